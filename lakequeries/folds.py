@@ -95,7 +95,7 @@ _TAKE = f"t.o_orderkey IS NULL OR (s.o_orderkey IS NOT NULL AND {_CHANGED})"
 _YEAR_COLUMNS = (*TAGGED_COLUMNS, "o_year")
 
 
-def _replay(base: str, step, source=snapshot_sql) -> str:
+def replay_sql(base: str, step, source=snapshot_sql) -> str:
     parts = [f"t0 AS MATERIALIZED ({base})"]
     for i in SNAPSHOTS:
         parts.append(f"s{i} AS MATERIALIZED ({source(i)})")
@@ -103,14 +103,14 @@ def _replay(base: str, step, source=snapshot_sql) -> str:
     return f"WITH {', '.join(parts)} SELECT * FROM t{SNAPSHOTS[-1]}"
 
 
-def _scd1_step(i: int) -> str:
+def scd1_step(i: int) -> str:
     out = ", ".join(
         f'CASE WHEN {_TAKE} THEN s."{c}" ELSE t."{c}" END AS "{c}"' for c in TAGGED_COLUMNS
     )
     return f"SELECT {out} FROM t{i - 1} t FULL JOIN s{i} s ON {_SAME}"
 
 
-def _fact_step(columns, scope: str = ""):
+def fact_step(columns, scope: str = ""):
     def step(i: int) -> str:
         now = ts(snapshot_time(i))
         gone = 's.o_orderkey IS NULL AND t."__DeletedDatetimeUTC" IS NULL'
@@ -137,7 +137,7 @@ def _fact_step(columns, scope: str = ""):
 _OPEN_END = ts("9999-12-31 00:00:00")
 
 
-def _scd2_step(columns, scope: str = ""):
+def scd2_step(columns, scope: str = ""):
     def step(i: int) -> str:
         now = ts(snapshot_time(i))
         lost = "s.o_orderkey IS NULL"
@@ -156,7 +156,7 @@ def _scd2_step(columns, scope: str = ""):
     return step
 
 
-def _append_step(i: int) -> str:
+def append_step(i: int) -> str:
     return f"""SELECT * FROM t{i - 1} UNION ALL
         SELECT {names(TAGGED_COLUMNS, "s.")}, {ts(snapshot_time(i))} FROM s{i} s
         WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM t{i - 1} QUALIFY
@@ -164,12 +164,12 @@ def _append_step(i: int) -> str:
             WHERE {_SAME} AND s."__HashDiff" = t."__HashDiff")"""
 
 
-def _opened(base: str, columns) -> str:
+def opened_sql(base: str, columns) -> str:
     return f"""SELECT {names(columns)}, {ts(snapshot_time(0))} AS "__StartDatetimeUTC",
         {_OPEN_END} AS "__EndDatetimeUTC", TRUE AS "__Current" FROM ({base})"""
 
 
-def _with_null_stamp(base: str, columns) -> str:
+def unstamped_sql(base: str, columns) -> str:
     return f'SELECT {names(columns)}, CAST(NULL AS TIMESTAMP) AS "{DELETED}" FROM ({base})'
 
 
@@ -183,24 +183,24 @@ QUERIES = {
 }
 
 ORACLES = {
-    "scd1_fold": _replay(f"SELECT {names(TAGGED_COLUMNS)} FROM ({snapshot_sql(0)})", _scd1_step),
-    "fact_fold": _replay(
-        _with_null_stamp(snapshot_sql(0), TAGGED_COLUMNS), _fact_step(TAGGED_COLUMNS)
+    "scd1_fold": replay_sql(f"SELECT {names(TAGGED_COLUMNS)} FROM ({snapshot_sql(0)})", scd1_step),
+    "fact_fold": replay_sql(
+        unstamped_sql(snapshot_sql(0), TAGGED_COLUMNS), fact_step(TAGGED_COLUMNS)
     ),
-    "fact_fold_scoped": _replay(
-        _with_null_stamp(SCOPED_BASE_SQL, _YEAR_COLUMNS),
-        _fact_step(_YEAR_COLUMNS, "o_year"),
+    "fact_fold_scoped": replay_sql(
+        unstamped_sql(SCOPED_BASE_SQL, _YEAR_COLUMNS),
+        fact_step(_YEAR_COLUMNS, "o_year"),
         scoped_snapshot_sql,
     ),
-    "scd2_fold": _replay(_opened(snapshot_sql(0), TAGGED_COLUMNS), _scd2_step(TAGGED_COLUMNS)),
-    "scd2_fold_scoped": _replay(
-        _opened(SCOPED_BASE_SQL, _YEAR_COLUMNS),
-        _scd2_step(_YEAR_COLUMNS, "o_year"),
+    "scd2_fold": replay_sql(opened_sql(snapshot_sql(0), TAGGED_COLUMNS), scd2_step(TAGGED_COLUMNS)),
+    "scd2_fold_scoped": replay_sql(
+        opened_sql(SCOPED_BASE_SQL, _YEAR_COLUMNS),
+        scd2_step(_YEAR_COLUMNS, "o_year"),
         scoped_snapshot_sql,
     ),
-    "scd2_append_fold": _replay(
+    "scd2_append_fold": replay_sql(
         f"""SELECT {names(TAGGED_COLUMNS)}, {ts(snapshot_time(0))} AS "__StartDatetimeUTC"
             FROM ({snapshot_sql(0)})""",
-        _append_step,
+        append_step,
     ),
 }

@@ -52,17 +52,28 @@ def _sql_select(df: DataFrame, select_list: str) -> DataFrame:
 
 
 def select_columns(
-    df: DataFrame, select: str | Sequence[ColumnLike] = "*", brackets: str = "strip"
+    df: DataFrame,
+    select: str | Sequence[ColumnLike] = "*",
+    brackets: str = "strip",
+    keep: str | None = None,
 ) -> DataFrame:
     """Project ``df``: SQL text as one string, or a list of columns / SQL expressions.
 
     ``brackets="strip"`` removes square brackets from SQL text, ``"quote"`` turns them into
-    back-ticks so that bracketed names may hold spaces.
+    back-ticks so that bracketed names may hold spaces. ``keep`` names one more column to carry.
     """
-    if isinstance(select, str):
-        text = bracket_text(select, as_backticks=brackets == "quote")
-        return df if text.strip() == "*" else _sql_select(df, text)
-    return df.select(*[F.expr(c) if isinstance(c, str) else c for c in select])
+    if not isinstance(select, str):
+        picked = [F.expr(c) if isinstance(c, str) else c for c in select]
+        return df.select(*picked, *([quoted(keep)] if keep else []))
+    text = bracket_text(select, as_backticks=brackets == "quote")
+    if text.strip() == "*":
+        return df
+    if keep is None:
+        return _sql_select(df, text)
+    # A star in the text brings the kept column along, so it travels under another name.
+    aside = f"{keep}_kept"
+    picked = _sql_select(df, f"{text}, {quoted(keep)} AS {quoted(aside)}")
+    return picked.drop(keep).withColumnRenamed(aside, keep)
 
 
 def derive_columns(df: DataFrame, derive: str | Mapping[str, ColumnLike] | None) -> DataFrame:
