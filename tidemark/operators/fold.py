@@ -35,6 +35,8 @@ from tidemark.plans.lookup import lookup_join
 
 _PREV_BATCH = "_tm_prev_batch"
 _PREV_HASH = "_tm_prev_hash"
+_PREV_GONE = "_tm_prev_gone"
+_NEXT_BATCH = "_tm_next_batch"
 _SCOPE_BATCHES = "_tm_scope_batches"
 _GONE_BATCH = "_tm_gone_batch"
 
@@ -43,6 +45,15 @@ class NeedsReplay(ValueError):
     """The requested combination depends on the evolving table: replay batch by batch."""
 
 
+def _one_per_key(batches: DataFrame, keys: Sequence[str], policy: str) -> DataFrame:
+    """Policy ``any`` keeps one row per key and batch; ``error`` is checked along the fold."""
+    if policy == "any":
+        return batches.dropDuplicates([*keys, BATCH])
+    if policy != "error":
+        raise ValueError(f"a fold takes on_duplicate 'error' or 'any', not {policy!r}")
+    return batches
+
+
 def _stack(target: DataFrame | None, batches: DataFrame, target_batch: Column) -> tuple:
     """Table rows and batch rows under one schema, each with its batch number."""
     rows = batches.drop(BATCH)
@@ -64,15 +75,32 @@ def _whole(keys: Sequence[str]):
     return _by_key(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def _looked_back(df: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFrame:
+def _with_neighbours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row before and after within the key, in one window operator over all rows.
+
+    Everything after it works on the few rows where something happens to a key. A key that occurs
+    twice in one batch fails the query.
+    """
     order = _by_key(keys)
-    df = df.withColumns(
-        {_PREV_BATCH: F.lag(BATCH).over(order), _PREV_HASH: F.lag(HASH).over(order)}
-    )
-    if on_duplicate == "error":
-        repeat = (F.col(_PREV_BATCH) == F.col(BATCH)) & (F.col(BATCH) > 0)
-        df = df.where(fail_on_repeat(repeat))
-    return df
+    seen = {
+        _PREV_BATCH: F.lag(BATCH).over(order),
+        _PREV_HASH: F.lag(HASH).over(order),
+        _NEXT_BATCH: F.lead(BATCH).over(order),
+    }
+    if _GONE_BATCH in df.columns:
+        seen[_PREV_GONE] = F.lag(_GONE_BATCH).over(order)
+    repeat = (F.col(_PREV_BATCH) == F.col(BATCH)) & (F.col(BATCH) > 0)
+    return df.withColumns(seen).where(fail_on_repeat(repeat))
+
+
+def _changed() -> Column:
+    """The first row of a key, and every row that differs from the one before."""
+    return F.col(_PREV_BATCH).isNull() | (F.col(_PREV_HASH) != F.col(HASH))
+
+
+def _removed() -> Column:
+    """A batch between the row before and this one deleted the key."""
+    return F.coalesce(F.col(_PREV_GONE) < F.col(BATCH), F.lit(False))
 
 
 def batch_times(batch_log: DataFrame, time_col: str) -> Column:
@@ -81,20 +109,18 @@ def batch_times(batch_log: DataFrame, time_col: str) -> Column:
     return batch_log.agg(F.transform(entries, lambda e: e["ts"]).alias("times")).scalar()
 
 
-def _value_where(condition: Column, name: str, keys: Sequence[str]) -> Column:
-    """The column's value in the one row of the key that meets the condition."""
-    marked = F.when(condition, F.col(quoted(name)))
-    return F.max_by(marked, F.when(condition, F.lit(1))).over(_whole(keys))
-
-
 def _kept_from_table(
-    df: DataFrame, schema: T.StructType, missing: Sequence[str], keys: Sequence[str]
+    df: DataFrame, schema: T.StructType, batches: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    """Columns no batch carries keep the value of the table's row for the key."""
-    if not missing:
-        return df
+    """Columns no batch carries keep the value of the table's row, the first one of its key."""
     held = F.col(BATCH) <= 0
-    return df.withColumns({c: _value_where(held, c, keys) for c in missing})
+    return df.withColumns(
+        {
+            f.name: F.first(F.when(held, F.col(quoted(f.name)))).over(_whole(keys))
+            for f in schema
+            if f.name not in batches.columns
+        }
+    )
 
 
 def scd1_fold(
@@ -119,13 +145,12 @@ def scd1_fold(
             inserted = inserted.unionAll(conform(target.where(loose), strict.schema))
         return strict.unionAll(inserted)
 
+    batches = _one_per_key(batches, keys, on_duplicate)
     stacked, schema = _stack(target, batches, F.lit(0))
-    missing = [f.name for f in schema if f.name not in batches.columns]
-    seen = _looked_back(stacked, keys, on_duplicate)
-    seen = _kept_from_table(seen, schema, missing, keys)
-    changed = F.col(_PREV_BATCH).isNull() | (F.col(_PREV_HASH) != F.col(HASH))
-    last = F.max(F.when(changed, F.col(BATCH))).over(_whole(keys))
-    kept = seen.withColumn("_tm_last", last).where(F.col("_tm_last") == F.col(BATCH))
+    seen = _with_neighbours(stacked, keys).where(_changed())
+    seen = _kept_from_table(seen, schema, batches, keys)
+    later = F.lead(BATCH).over(_by_key(keys))
+    kept = seen.withColumn("_tm_later", later).where(F.col("_tm_later").isNull())
     return kept.select(*cols(schema.names))
 
 
@@ -173,24 +198,29 @@ def scd2_fold(
     version starts where the key appears, returns or changes its hash, and ends where the next
     version starts or where a batch deletes the key, whichever comes first.
     """
+    batches = _one_per_key(batches, keys, on_duplicate)
     rows = batches.withColumns(
         {START: F.col(ARCHIVED), END: moment(OPEN_END), CURRENT: F.lit(True)}
     )
     current = None if target is None else target.where(F.col(CURRENT))
     stacked, schema = _stack(current, rows, F.lit(0))
     stacked = _with_removal(stacked, batches, batch_log, keys, deletes)
-    stacked = stacked.withColumn("_tm_prev_gone", F.lag(_GONE_BATCH).over(_by_key(keys)))
-    seen = _looked_back(stacked, keys, on_duplicate)
-
-    removed = F.coalesce(F.col("_tm_prev_gone") < F.col(BATCH), F.lit(False))
-    starts = F.col(_PREV_BATCH).isNull() | removed | (F.col(_PREV_HASH) != F.col(HASH))
-    # The end of the version before a start, as a batch number.
-    prev_end = F.when(removed, F.col("_tm_prev_gone")).otherwise(F.col(BATCH))
+    seen = _with_neighbours(stacked, keys)
+    starts = _changed() | _removed()
+    is_last = F.col(_NEXT_BATCH).isNull()
+    # What a row says about the version before it: a start ends it, or the deletion before the
+    # start did; the last row of a key says when the key is deleted, if ever.
+    before = F.when(_removed(), F.col(_PREV_GONE)).otherwise(F.col(BATCH))
     seen = seen.withColumns(
-        {"_tm_prev_end": prev_end, "_tm_last_gone": F.last(_GONE_BATCH).over(_whole(keys))}
+        {"_tm_starts": starts, "_tm_before": F.when(starts, before).otherwise(F.col(_GONE_BATCH))}
+    ).where(F.col("_tm_starts") | is_last)
+    order = _by_key(keys)
+    opened = seen.withColumns(
+        {"_tm_next": F.lead(BATCH).over(order), "_tm_next_before": F.lead("_tm_before").over(order)}
+    ).where("_tm_starts")
+    end_batch = F.when(F.col("_tm_next").isNull(), F.col(_GONE_BATCH)).otherwise(
+        F.col("_tm_next_before")
     )
-    opened = seen.where(starts).withColumn("_tm_next", F.lead("_tm_prev_end").over(_by_key(keys)))
-    end_batch = F.coalesce(F.col("_tm_next"), F.col("_tm_last_gone"))
     ended = opened.withColumn(
         "_tm_end", F.get(batch_times(batch_log, ARCHIVED), end_batch - F.lit(1))
     )
@@ -223,32 +253,37 @@ def fact_fold(
     """
     if not resurrect and deletes != "none":
         raise NeedsReplay("without resurrection an equal row depends on the stored stamp")
+    batches = _one_per_key(batches, keys, on_duplicate)
     none = F.lit(None).cast("timestamp_ntz")
     rows = batches if DELETED in batches.columns else batches.withColumn(DELETED, none)
     if target is not None and DELETED not in target.columns:
         target = target.withColumn(DELETED, none)
     entry = F.when(F.col(DELETED).isNull(), F.lit(0)).otherwise(F.lit(-1))
     stacked, schema = _stack(target, rows, entry)
-    missing = [f.name for f in schema if f.name not in rows.columns]
     stacked = _with_removal(stacked, batches, batch_log, keys, deletes)
-    stacked = stacked.withColumn("_tm_prev_gone", F.lag(_GONE_BATCH).over(_by_key(keys)))
-    seen = _looked_back(stacked, keys, on_duplicate)
+    seen = _with_neighbours(stacked, keys)
     # A key returns after a deletion in the backlog, or from a row already stamped in the table.
-    returns = F.coalesce(F.col("_tm_prev_gone") < F.col(BATCH), F.lit(False))
+    returns = _removed()
     if resurrect:
-        returns = returns | (F.col(_PREV_BATCH) == -1)
-    changed = F.col(_PREV_BATCH).isNull() | (F.col(_PREV_HASH) != F.col(HASH))
-    first = F.max(F.when(changed | returns, F.col(BATCH))).over(_whole(keys))
-    # A row that only returns keeps its content and takes the new audit columns; content is that
-    # of the run's first row, which differs from later ones only in columns outside the hash.
-    content = F.max(F.when(changed, F.col(BATCH))).over(_whole(keys))
-    gone = F.last(_GONE_BATCH).over(_whole(keys))
-    seen = seen.withColumns({"_tm_first": first, "_tm_content": content, "_tm_gone": gone})
-    seen = _kept_from_table(seen, schema, missing, keys)
+        returns = returns | F.coalesce(F.col(_PREV_BATCH) == -1, F.lit(False))
+    is_last = F.col(_NEXT_BATCH).isNull()
+    seen = seen.withColumns(
+        {"_tm_changed": _changed(), "_tm_event": _changed() | returns}
+    ).where(F.col("_tm_event") | is_last)
+    # A row that only returns keeps the stored content and takes the new audit columns.
     refreshed = [c for c in (*AUDIT, DELETED) if c in schema.names]
-    is_first = F.col(BATCH) == F.col("_tm_first")
-    taken = {c: _value_where(is_first, c, keys) for c in refreshed}
-    kept = seen.withColumns(taken).where(F.col(BATCH) == F.col("_tm_content"))
+    taken = F.last(F.when(F.col("_tm_event"), F.struct(*cols(refreshed))), ignorenulls=True)
+    whole = _whole(keys)
+    seen = seen.withColumns(
+        {
+            "_tm_taken": taken.over(whole),
+            "_tm_content": F.max(F.when(F.col("_tm_changed"), F.col(BATCH))).over(whole),
+            "_tm_gone": F.last(_GONE_BATCH).over(whole),
+        }
+    )
+    seen = _kept_from_table(seen, schema, rows, keys)
+    kept = seen.where(F.col("_tm_changed") & (F.col(BATCH) == F.col("_tm_content")))
+    kept = kept.withColumns({c: F.col("_tm_taken")[c] for c in refreshed})
     stamp = F.get(batch_times(batch_log, MODIFIED), F.col("_tm_gone") - F.lit(1))
     kept = kept.withColumn("_tm_stamp", stamp)
     out = []
@@ -261,7 +296,11 @@ def fact_fold(
 
 
 def append_fold(
-    target: DataFrame | None, batches: DataFrame, keys: Sequence[str], null_safe: bool = True
+    target: DataFrame | None,
+    batches: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = True,
+    on_duplicate: str = "error",
 ) -> DataFrame:
     """Versions to append to an append-only history after all batches.
 
@@ -269,12 +308,11 @@ def append_fold(
     """
     if not null_safe:
         loose = any_null(keys)
-        strict = append_fold(target, batches.where(~loose), keys)
+        strict = append_fold(target, batches.where(~loose), keys, True, on_duplicate)
         free = batches.where(loose).withColumn(START, F.col(ARCHIVED)).drop(BATCH)
         return strict.unionAll(conform(free, strict.schema))
-    rows = batches.withColumn(START, F.col(ARCHIVED))
+    rows = _one_per_key(batches, keys, on_duplicate).withColumn(START, F.col(ARCHIVED))
     newest = None if target is None else current_versions(target, keys)
     stacked, schema = _stack(newest, rows, F.lit(0))
-    seen = _looked_back(stacked, keys, "error")
-    fresh = F.col(_PREV_BATCH).isNull() | (F.col(_PREV_HASH) != F.col(HASH))
-    return seen.where((F.col(BATCH) > 0) & fresh).select(*cols(schema.names))
+    seen = _with_neighbours(stacked, keys)
+    return seen.where((F.col(BATCH) > 0) & _changed()).select(*cols(schema.names))

@@ -26,7 +26,7 @@ from tidemark.operators import config, export, fold, logs, merge, retention, scd
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform
 from tidemark.plans.lookup import MAX_BROADCAST_ROWS
-from tidemark.session import ensure_checkpoint_dir, scratch_path
+from tidemark.session import ensure_checkpoint_dir, written
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import file_path_col, plain_path, plain_path_col
@@ -160,25 +160,26 @@ def load_batches(
 
 
 def _folded(spec: TableSpec, target, batches: DataFrame, batch_log: DataFrame) -> DataFrame:
+    policy = spec.on_duplicate
     if spec.kind == "scd1":
         if spec.update_filter:
             raise fold.NeedsReplay("an update filter depends on the stored row")
-        return fold.scd1_fold(target, batches, spec.keys)
+        return fold.scd1_fold(target, batches, spec.keys, on_duplicate=policy)
     if spec.kind == "scd2":
-        return fold.scd2_fold(target, batches, spec.keys, batch_log, spec.deletes)
+        return fold.scd2_fold(
+            target, batches, spec.keys, batch_log, spec.deletes, on_duplicate=policy
+        )
     if spec.kind == "scd2_append":
-        return fold.append_fold(target, batches, spec.keys)
+        return fold.append_fold(target, batches, spec.keys, on_duplicate=policy)
     if spec.update_filter:
         raise fold.NeedsReplay("an update filter depends on the stored row")
     return fold.fact_fold(
-        target, batches, spec.keys, batch_log, spec.deletes, spec.resurrect
+        target, batches, spec.keys, batch_log, spec.deletes, spec.resurrect, policy
     )
 
 
 def _one_batch(spec: TableSpec, target, source: DataFrame, archived, now) -> DataFrame:
     options = {"on_duplicate": spec.on_duplicate}
-    if spec.on_duplicate == "latest":
-        options["newest_by"] = ARCHIVED
     if spec.kind == "scd1":
         empty = source.limit(0) if target is None else target
         return merge.scd1_merge(empty, source, spec.keys, spec.update_filter, **options)
@@ -210,6 +211,23 @@ def replayed(
     return target
 
 
+def _append_each(
+    spark: SparkSession, spec: TableSpec, store: SnapshotStore, chunk: Sequence[Row], now: Moment
+) -> int:
+    """Append batch by batch: repeated keys of one batch are all kept if they are new."""
+    applied: list[str] = []
+    at = now if isinstance(now, datetime) else None
+    for row in chunk:
+        frame = chunk_frame(spark, [row])
+        source = load_batches(spark, spec, frame, [plain_path(row["ArchiveFilePath"])], now)
+        fresh = scd2.appended_versions(
+            store.read(), source.drop(BATCH, MODIFIED), spec.keys, row["ArchiveDatetimeUTC"]
+        )
+        applied.append(row["ArchiveFilePath"])
+        version = store.commit(fresh, mode="append", applied=applied, now=at)
+    return version.number
+
+
 def _prunable(spec: TableSpec) -> bool:
     """May a merge leave the partitions alone that no batch touches?"""
     if not spec.partition_by or not spec.immutable_partitions:
@@ -230,6 +248,8 @@ def apply_chunk(
     at = now if isinstance(now, datetime) else None
     if spec.kind == "scd2_append":
         batches = load_batches(spark, spec, frame, paths, now).drop(MODIFIED)
+        if spec.on_duplicate == "allow":
+            return _append_each(spark, spec, store, chunk, now)
         fresh = _folded(spec, target, batches, frame)
         return store.commit(fresh, mode="append", applied=applied, now=at).number
 
@@ -411,9 +431,7 @@ def run_purge(
     logs_now = read_logs(spark, existing)
     classified = retention.retention_classify(logs_now, now, policy, ["ArchiveTable"])
     # The logs change below: what they say now is kept as a table of its own.
-    kept = scratch_path(spark, "purge")
-    classified.write.parquet(kept)
-    classified = spark.read.schema(classified.schema).parquet(kept)
+    classified = written(classified, "purge")
     if not dry_run:
         doomed = retention.files_to_purge(classified)
         outcome = files.remove_files(doomed.select(F.col("ArchiveFilePath").alias("source")), tasks)
@@ -433,9 +451,7 @@ def _flag_purged(spark: SparkSession, path: str, purged: DataFrame, now: datetim
     days = purged.select(_LOG_DAY).distinct()
     log = files.read_log(spark, path).join(days, _LOG_DAY, "left_semi")
     flagged = conform(retention.mark_purged(log, purged, now), ARCHIVE_LOG)
-    kept = scratch_path(spark, "purged-log")
-    flagged.write.parquet(kept)
-    rows = sinks.rebalanced(spark.read.schema(ARCHIVE_LOG).parquet(kept), [_LOG_DAY])
+    rows = sinks.rebalanced(written(flagged, "purged-log"), [_LOG_DAY])
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(_LOG_DAY).parquet(path)
 

@@ -1,7 +1,7 @@
 """Joins of a large side with a pre-aggregated lookup, safe under skew.
 
-The lookup is broadcast only after its rows and bytes were counted. Beyond the bound both sides are
-shuffled, and the large side is spread over a number of salts, so one lookup value that holds a
+The lookup is written once to the shared folder and broadcast only after its rows and bytes were
+counted there. Beyond the bound both sides are shuffled, and the large side is spread over a number of salts, so one lookup value that holds a
 large share of the rows is still shared by many tasks.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
+from tidemark.session import written
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -59,6 +60,7 @@ def lookup_join(
     keys are taken to be spread already.
     """
     values = [c for c in lookup.columns if c not in on]
+    lookup = written(lookup, "lookup")
     b = big
     small = lookup
     extra: list[str] = []

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.names import ARCHIVE_LOG
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform
-from tidemark.session import scratch_path
+from tidemark.session import written
 from tidemark.sources.blocks import copy_file, remove_file
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import extension, file_name, plain_path, plain_path_col, stem
@@ -122,10 +122,8 @@ def _run(files: DataFrame, action, tasks: int | None) -> DataFrame:
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     spread = files.select("source", "destination").repartition(tasks, "source")
     outcome = spread.mapInPandas(partial(_act, action), _OUTCOME)
-    # The outcome is written once: reading it again must not move the files again.
-    kept = scratch_path(spark, "file-outcome")
-    outcome.write.parquet(kept)
-    return spark.read.schema(_OUTCOME).parquet(kept)
+    # Computed once: reading the outcome again must not move the files again.
+    return written(outcome, "file-outcome")
 
 
 def copy_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -169,9 +167,7 @@ def archive_files(
     archived again; only their originals are removed. Returns the outcome of the copies.
     """
     spark = catalog.sparkSession
-    plan_path = scratch_path(spark, "archive-plan")
-    archive_plan(catalog, archive_root, now, name_style).write.parquet(plan_path)
-    plan = spark.read.schema(ARCHIVE_LOG).parquet(plan_path)
+    plan = written(archive_plan(catalog, archive_root, now, name_style), "archive-plan")
     log = read_log(spark, log_path)
     known = ["OriginalStagingFilePath", "OriginalStagingFileSize", "OriginalModificationTime"]
     fresh = plan if log is None else plan.join(log.select(*known), known, "left_anti")
