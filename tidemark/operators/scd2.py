@@ -42,6 +42,8 @@ def scd2_merge(
     the batch are closed). ``touch_modified`` also stamps closed rows as modified.
     """
     stamp = moment(batch_ts)
+    if on_duplicate == "any":
+        source = source.dropDuplicates(list(keys))
     opened = scd2_init(source, batch_ts)
     schema = merged_schema(target.schema, opened.schema)
     closed = conform(target.where(~F.col(CURRENT)), schema)
@@ -64,10 +66,9 @@ def scd2_merge(
             "_tm_next_hash": F.lead(HASH).over(order),
         }
     )
-    if on_duplicate == "error":
-        seen = seen.where(
-            fail_on_repeat((F.col("_tm_prev_side") == F.col(_SIDE)) & (F.col(_SIDE) == 1))
-        )
+    seen = seen.where(
+        fail_on_repeat((F.col("_tm_prev_side") == F.col(_SIDE)) & (F.col(_SIDE) == 1))
+    )
     is_old = F.col(_SIDE) == 0
     # A row is kept if it is the stored one or differs from it.
     kept = seen.where(

@@ -190,7 +190,7 @@ def _one_batch(spec: TableSpec, target, source: DataFrame, archived, now) -> Dat
         )
     if target is None:
         return scd2.scd2_init(source, archived)
-    return scd2.scd2_merge(target, source, spec.keys, archived, spec.deletes)
+    return scd2.scd2_merge(target, source, spec.keys, archived, spec.deletes, **options)
 
 
 def replayed(
@@ -247,9 +247,9 @@ def apply_chunk(
     applied = [r["ArchiveFilePath"] for r in chunk]
     at = now if isinstance(now, datetime) else None
     if spec.kind == "scd2_append":
-        batches = load_batches(spark, spec, frame, paths, now).drop(MODIFIED)
         if spec.on_duplicate == "allow":
             return _append_each(spark, spec, store, chunk, now)
+        batches = load_batches(spark, spec, frame, paths, now).drop(MODIFIED)
         fresh = _folded(spec, target, batches, frame)
         return store.commit(fresh, mode="append", applied=applied, now=at).number
 

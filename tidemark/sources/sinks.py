@@ -61,8 +61,7 @@ def create_table(
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
     """Register an external table over existing Parquet files, with its partitions."""
-    schema = spark.read.parquet(path).schema
-    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+    spark.catalog.createTable(table, path=path, source="parquet")
     if Folder(spark, path).folders("*=*"):
         spark.catalog.recoverPartitions(table)
 
