@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -186,11 +187,16 @@ def publish_select(spark, sf_dir):
 
 def _archive_of_snapshots(spark, sf_dir, root):
     """Every snapshot of the orders as an archived extract, with its log."""
-    rows = []
-    for i in (0, *SNAPSHOTS):
-        path = f"{root}/archive/orders_{i}.parquet"
-        snapshot(spark, sf_dir, i).select(*ORDER_COLUMNS).write.parquet(path)
-        rows.append((snapshot_time(i), path, f"orders_{i}.parquet"))
+    numbers = (0, *SNAPSHOTS)
+    extracts = [
+        snapshot(spark, sf_dir, i).select(*ORDER_COLUMNS).withColumn("extract", F.lit(i))
+        for i in numbers
+    ]
+    together = reduce(lambda a, b: a.unionByName(b), extracts)
+    together.write.partitionBy("extract").parquet(f"{root}/archive")
+    rows = [
+        (snapshot_time(i), f"{root}/archive/extract={i}", f"orders_{i}.parquet") for i in numbers
+    ]
     log = spark.createDataFrame(rows, "at string, ArchiveFilePath string, name string")
     at = F.col("at").cast("timestamp_ntz")
     files.append_log(
@@ -260,7 +266,8 @@ def stream_archive(spark, sf_dir):
     """Ingest files archived by a stream; the archived copies are read back."""
     root = scratch_path(spark, "stream-archive")
     events = read(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    events.repartition(8, "event_id").write.json(f"{root}/ingest")
+    tasks = spark.sparkContext.defaultParallelism
+    events.repartition(tasks, "event_id").write.json(f"{root}/ingest")
     start_archive(
         spark,
         f"{root}/ingest",

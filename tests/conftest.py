@@ -35,6 +35,22 @@ def spark():
     session.stop()
 
 
+@pytest.fixture
+def interpreted(spark):
+    """Tiny frames: compiling the plans would take longer than running them."""
+    settings = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.shuffle.partitions": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)

@@ -15,6 +15,8 @@ from tidemark.operators import fold, merge, scd2
 from tidemark.operators.common import with_audit
 from tidemark.session import written
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 SCHEMA = "k int, v string, g string"
 N_KEYS = 14
 

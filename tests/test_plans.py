@@ -28,7 +28,8 @@ def test_no_product_no_python(spark, name):
 
 
 def exchanges(plan: str) -> int:
-    return len(re.findall(r"Exchange hashpartitioning", plan))
+    """Distinct exchanges by key; a subquery is printed wherever it is used."""
+    return len(set(re.findall(r"Exchange hashpartitioning.*plan_id=(\d+)", plan)))
 
 
 @pytest.mark.parametrize("name", ["scd1_fold", "scd2_fold", "fact_fold"])

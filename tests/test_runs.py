@@ -20,6 +20,8 @@ from tidemark.sources.store import SnapshotStore
 from tidemark.spec import PurgePolicy, TableSpec
 from tidemark.streaming.archive import stream_archive
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 NOW = datetime(2024, 1, 20, 9, 30)
 
 
@@ -218,6 +220,23 @@ def test_partitioned_run_leaves_other_partitions_alone(spark, folder):
     assert rows == [("1", "x", False), ("1", "y", True), ("2", "x", True), ("3", "z", True)]
 
 
+@pytest.mark.parametrize("kind, deletes", [("scd1", "none"), ("scd2", ["g"]), ("fact", ["g"])])
+def test_rows_out_of_reach_bypass_the_fold(spark, folder, kind, deletes):
+    """With and without the bypass the table is the same."""
+    first = "id,g,v\n" + "".join(f"{k},g{k % 5},a\n" for k in range(40)) + ",,n\n"
+    put(f"{folder}/x/1.csv", first)
+    put(f"{folder}/x/2 +.csv", "id,g,v\n1,g1,b\n2,g2,a\n50,g9,c\n")
+    states = []
+    for name, limit in (("bypass", 0), ("plain", 1 << 60)):
+        root = f"{folder}/{name}"
+        logged(spark, root, (1, f"{folder}/x/1.csv"), (2, f"{folder}/x/2 +.csv"))
+        spec = spec_for(root, kind=kind, deletes=deletes, max_files=1, bypass_min_bytes=limit)
+        incremental.run_incremental(spark, spec, NOW)
+        rows = table(spark, spec)
+        states.append(sorted(map(str, rows.select(*sorted(rows.columns)).collect())))
+    assert states[0] == states[1] and len(states[0]) >= 41
+
+
 def test_run_cut_off_before_its_log_append(spark, folder):
     put(f"{folder}/x/1.csv", "id,v\n1,a\n")
     logged(spark, folder, (1, f"{folder}/x/1.csv"))

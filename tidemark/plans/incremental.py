@@ -24,8 +24,8 @@ from tidemark.names import (
 )
 from tidemark.operators import config, export, fold, logs, merge, retention, scd2, upkeep
 from tidemark.operators.common import Moment, moment
-from tidemark.operators.evolve import conform
-from tidemark.plans.lookup import MAX_BROADCAST_ROWS
+from tidemark.operators.evolve import conform, merged_schema, widened
+from tidemark.plans.lookup import MAX_BROADCAST_ROWS, estimated_bytes, split_by_reach
 from tidemark.session import ensure_checkpoint_dir, written
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.hadoop import Folder
@@ -237,6 +237,11 @@ def _prunable(spec: TableSpec) -> bool:
     return set(spec.partition_by) <= set(spec.deletes)
 
 
+def _bypasses(spec: TableSpec, target: DataFrame) -> bool:
+    """Is the table large, and can rows out of the batches' reach not change?"""
+    return spec.deletes != "full" and estimated_bytes(target) >= spec.bypass_min_bytes
+
+
 def apply_chunk(
     spark: SparkSession, spec: TableSpec, store: SnapshotStore, chunk: Sequence[Row], now: Moment
 ) -> int:
@@ -261,10 +266,18 @@ def apply_chunk(
     if target is not None and _prunable(spec):
         target, _ = merge.split_by_partition(target, batches, list(spec.partition_by))
         mode = "partitions"
+    untouched = None
+    if target is not None and _bypasses(spec, target):
+        scope = () if isinstance(spec.deletes, str) else spec.deletes
+        target, untouched = split_by_reach(
+            widened(target, merged_schema(target.schema, batches.schema)), batches, spec.keys, scope
+        )
     try:
         result = _folded(spec, target, batches, batch_log)
     except fold.NeedsReplay:
         result = replayed(spark, spec, target, chunk, now)
+    if untouched is not None:
+        result = result.unionAll(conform(untouched, result.schema))
     return store.commit(result, mode=mode, applied=applied, now=at).number
 
 

@@ -81,6 +81,43 @@ def lookup_join(
     return joined.select(*kept)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a frame: the file sizes for a plain scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def split_by_reach(
+    target: DataFrame,
+    batches: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = (),
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of a table the batches can change, and the rest.
+
+    A row is within reach if its key, or its scope value where there is a scope, occurs in the
+    batches. If the distinct keys and values are few enough to broadcast, the rest of the table is
+    found without a shuffle and need not take part in one. If not, everything is within reach.
+    """
+    flagged = target
+    flags = []
+    for i, names in enumerate([list(keys), *([list(scope)] if scope else [])]):
+        found = f"{_FOUND}_{i}"
+        members = batches.select(*[F.col(quoted(c)) for c in names]).distinct()
+        members = written(members, "reach")
+        if not fits_broadcast(members, max_rows):
+            return target, None
+        members = F.broadcast(members.withColumn(found, F.lit(True)))
+        match = null_safe_match("t", "m", names)
+        flagged = flagged.alias("t").join(members.alias("m"), match, "left").select(
+            "t.*", F.col(f"m.{found}")
+        )
+        flags.append(F.col(found).isNotNull())
+    reached = flags[0] if len(flags) == 1 else flags[0] | flags[1]
+    columns = [F.col(quoted(c)) for c in target.columns]
+    return flagged.where(reached).select(*columns), flagged.where(~reached).select(*columns)
+
+
 def flag_members(
     big: DataFrame,
     members: DataFrame,

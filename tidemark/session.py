@@ -14,9 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Size of the files that rebalanced writes aim for (128 MB).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Lets AQE size the shuffles: small inputs coalesce, large ones keep every partition.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -40,6 +40,8 @@ class TableSpec:
     source_id: tuple[str, str] | None = None
     default_lookback_days: int = 5
     max_files: int = 5000
+    # Tables of this size keep the rows out of a small batch's reach away from the shuffle.
+    bypass_min_bytes: int = 1 << 30
 
     def __post_init__(self) -> None:
         if self.kind not in KINDS:
