@@ -99,10 +99,11 @@ def bounded_strings(spark, sf_dir):
     return tagged.unionByName(talk.withColumn("table_name", F.lit("conversations")))
 
 
-def truncated_strings(spark, sf_dir):
+def checked_strings(spark, sf_dir):
+    """Whole texts that pass the length check of a warehouse column."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    cut = X.bound_strings(docs, 200, "truncate")
-    return cut.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
+    fits = X.bound_strings(docs, 1_000_000)
+    return fits.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
 
 
 def _report_sql(table: str, columns: list[str]) -> str:
@@ -126,7 +127,7 @@ QUERIES = {
     "complex_as_string": complex_as_string,
     "nonnull_keys": nonnull_keys,
     "bounded_strings": bounded_strings,
-    "truncated_strings": truncated_strings,
+    "checked_strings": checked_strings,
 }
 
 ORACLES = {
@@ -162,6 +163,6 @@ ORACLES = {
     "bounded_strings": _report_sql("documents", ["text", "lang", "source"])
     + " UNION ALL "
     + _report_sql("conversations", ["role", "text"]),
-    "truncated_strings": """SELECT doc_id, md5(substring(text, 1, 200)) AS text_md5,
-        CAST(least(length(text), 200) AS INTEGER) AS n FROM documents""",
+    "checked_strings": """SELECT doc_id, md5(text) AS text_md5,
+        CAST(length(text) AS INTEGER) AS n FROM documents""",
 }

@@ -168,9 +168,10 @@ def export_incremental_sql(spark, sf_dir):
     read(spark, sf_dir, "orders").createOrReplaceTempView("tidemark_orders")
     source = export.sql_source(
         spark,
-        "SELECT o.o_orderkey, o.o_orderpriority, max(l.l_shipdate) AS last_shipped, "
-        "sum(l.l_quantity) AS quantity FROM tidemark_orders o "
-        "JOIN tidemark_items l ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2",
+        "SELECT o.o_orderkey, o.o_orderpriority, l.last_shipped, l.quantity "
+        "FROM tidemark_orders o JOIN (SELECT l_orderkey, max(l_shipdate) AS last_shipped, "
+        "sum(l_quantity) AS quantity FROM tidemark_items GROUP BY l_orderkey) l "
+        "ON l.l_orderkey = o.o_orderkey",
     )
     return export.changed_rows(source, _EXPORT_SINCE, "last_shipped", include_previous=True)
 

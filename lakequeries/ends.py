@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from lakequeries.extracts import (
     ORDER_COLUMNS,
     SNAPSHOTS,
+    T0_SQL,
+    T1_SQL,
     TAGGED_COLUMNS,
     names,
+    orders_at_t0,
+    orders_at_t1,
     read,
     snapshot,
     snapshot_sql,
@@ -29,7 +33,7 @@ from lakequeries.folds import (
 )
 from tidemark.names import ARCHIVE_LOG, DELETED
 from tidemark.operators.evolve import conform
-from tidemark.plans.incremental import run_incremental, run_publish
+from tidemark.plans.incremental import run_incremental, run_publish, run_query_source
 from tidemark.session import scratch_path
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.store import SnapshotStore
@@ -175,7 +179,7 @@ def publish_select(spark, sf_dir):
         keys=["order key"],
         file_format="csv",
         select="[order key], o_orderstatus",
-        csv_options={"sep": readers.PUBLISH_SEPARATOR, "encoding": "UTF-8"},
+        reader_options={"sep": readers.PUBLISH_SEPARATOR, "encoding": "UTF-8"},
         default_lookback_days=90,
     )
     run_publish(spark, spec, _RUN_AT, lambda rows: sinks.publish(rows, f"{root}/out"))
@@ -259,6 +263,21 @@ def incremental_run_replay(spark, sf_dir):
     return table.select(*_STATE)
 
 
+def sql_source_scd1(spark, sf_dir):
+    """Two results of a query, one after the other, kept as a type-1 table without lineage."""
+    path = f"{scratch_path(spark, 'sql-source')}/table"
+    for source, hour in ((orders_at_t0, 0), (orders_at_t1, 12)):
+        run_query_source(
+            spark,
+            source(spark, sf_dir),
+            path,
+            ["o_orderkey"],
+            datetime(2024, 2, 1, hour),
+            exclude=["o_custkey"],
+        )
+    return SnapshotStore(spark, path).read()
+
+
 # --- streams ----------------------------------------------------------------------------------------
 
 
@@ -313,6 +332,26 @@ _LINEAGE_SQL = f"""CAST('2024-02-0' || {_TEXT_DAY} AS TIMESTAMP) AS "__ArchiveDa
     'orders_' || {_TEXT_DAY} || '.csv' AS "__OriginalStagingFileName" """
 _NAME_SQL = """'event_' || event_id || CASE WHEN value < 5 THEN '.json.partial' ELSE '.json' END"""
 
+_KEPT = [c for c in ORDER_COLUMNS if c != "o_custkey"]
+_SOURCE_COLUMNS = [*_KEPT, "__HashDiff", "__ModifiedDatetimeUTC"]
+
+
+def _source_sql(rows: str, at: str) -> str:
+    return f"""SELECT {names(_KEPT)}, sha256(concat_ws('||', {", ".join(_KEPT)})) AS "__HashDiff",
+        {ts(at)} AS "__ModifiedDatetimeUTC" FROM ({rows})"""
+
+
+def _sql_source_sql() -> str:
+    take = """t.o_orderkey IS NULL OR
+        (s.o_orderkey IS NOT NULL AND s."__HashDiff" <> t."__HashDiff")"""
+    out = ", ".join(
+        f'CASE WHEN {take} THEN s."{c}" ELSE t."{c}" END AS "{c}"' for c in _SOURCE_COLUMNS
+    )
+    return f"""WITH t AS ({_source_sql(T0_SQL, "2024-02-01 00:00:00")}),
+        s AS ({_source_sql(T1_SQL, "2024-02-01 12:00:00")})
+        SELECT {out} FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey"""
+
+
 QUERIES = {
     "extract_parquet": extract_parquet,
     "extract_csv": extract_csv,
@@ -326,6 +365,7 @@ QUERIES = {
     "incremental_run_fact": incremental_run_fact,
     "incremental_run_append": incremental_run_append,
     "incremental_run_replay": incremental_run_replay,
+    "sql_source_scd1": sql_source_scd1,
     "stream_archive": stream_archive,
     "stream_scd1": stream_scd1,
 }
@@ -373,6 +413,7 @@ ORACLES = {
         '"__StartDatetimeUTC"',
     ),
     "incremental_run_replay": _state_of(replay_sql(_BASE, _filtered_step)),
+    "sql_source_scd1": _sql_source_sql(),
     "stream_archive": "SELECT event_id, event_type, value FROM events",
     "stream_scd1": _state_of(replay_sql(_BASE, scd1_step)),
 }

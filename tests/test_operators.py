@@ -155,7 +155,7 @@ def test_human_bytes(spark):
 
 def test_bound_strings(spark):
     df = spark.createDataFrame([("abc",), ("abcdef",), (None,)], "s string")
-    assert [r[0] for r in X.bound_strings(df, 4, "truncate").collect()] == ["abc", "abcd", None]
+    assert [r[0] for r in X.bound_strings(df, 6).collect()] == ["abc", "abcdef", None]
     with pytest.raises(Exception, match="longer than 4"):
         X.bound_strings(df, 4).collect()
     report = X.string_length_report(df, 4).first()

@@ -118,6 +118,42 @@ def test_publish_as_is_and_clear(spark, folder):
     assert sorted(os.listdir(f"{folder}/out")) == ["log", "x.txt"]
 
 
+def test_publish_runs(spark, folder):
+    for i in (1, 2, 3):
+        put(f"{folder}/x/{i}.csv", f"row id;v\n{i};a\n")
+    logged(spark, folder, *[(i, f"{folder}/x/{i}.csv") for i in (1, 2, 3)], (4, f"{folder}/x/no.csv"))
+    spec = spec_for(folder, max_files=2)
+    with pytest.raises(RuntimeError, match="could not be delivered"):
+        incremental.run_publish_files(spark, spec, NOW, f"{folder}/out", ".txt", True)
+    assert sorted(os.listdir(f"{folder}/out")) == ["1.txt", "2.txt", "3.txt"]
+    log = incremental.read_process_log(spark, spec.process_log)
+    assert log.where("ArchiveFilePath IS NOT NULL").count() == 3  # the missing file is not logged
+    put(f"{folder}/x/no.csv", "row id;v\n4;a\n")
+    assert incremental.run_publish_files(spark, spec, NOW, f"{folder}/out", ".txt").files == 1
+    assert len(os.listdir(f"{folder}/out")) == 4
+
+    other = f"{folder}/other"
+    logged(spark, other, *[(i, f"{folder}/x/{i}.csv") for i in (1, 2, 3)])
+    spec = spec_for(other, max_files=2, select="[row id]", reader_options={"sep": ";"})
+    frames = []
+    incremental.run_publish(spark, spec, NOW, lambda df: frames.append(df.collect()), whole=True)
+    assert [sorted(r["row_id"] for r in rows) for rows in frames] == [["1", "2", "3"]]
+
+
+def test_failed_publish_is_not_logged(spark, folder):
+    put(f"{folder}/x/1.csv", "id\n1\n")
+    logged(spark, folder, (1, f"{folder}/x/1.csv"))
+    spec = spec_for(folder)
+
+    def broken(df):
+        raise OSError("sink is down")
+
+    with pytest.raises(OSError):
+        incremental.run_publish(spark, spec, NOW, broken)
+    log = incremental.read_process_log(spark, spec.process_log)
+    assert log.where("ArchiveFilePath IS NOT NULL").count() == 0
+
+
 def test_csv_with_different_headers(spark, folder):
     put(f"{folder}/a.csv", "id,v\n1,\xe9\n")
     put(f"{folder}/b.csv", "v,id,w\nx,2,y\n")

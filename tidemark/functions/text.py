@@ -70,20 +70,12 @@ def string_length_report(
     return df.agg(*aggregates).select(F.inline(entries))
 
 
-def bound_strings(
-    df: DataFrame, max_length: int, on_overflow: str = "error", cols: Sequence[str] | None = None
-) -> DataFrame:
-    """Make every string fit ``max_length``: fail on a longer one, or cut it when asked to."""
-    if on_overflow not in ("error", "truncate"):
-        raise ValueError("on_overflow is 'error' or 'truncate'")
-    changed = {}
+def bound_strings(df: DataFrame, max_length: int, cols: Sequence[str] | None = None) -> DataFrame:
+    """Let whole strings pass that fit ``max_length`` and fail the query on a longer one."""
+    checked = {}
     for c in cols or string_columns(df):
         column = F.col(quoted(c))
-        if on_overflow == "truncate":
-            changed[c] = F.substring(column, 1, max_length)
-        else:
-            message = F.lit(f"value longer than {max_length} characters in column {c}")
-            changed[c] = F.when(
-                F.length(column) > max_length, F.raise_error(message).cast("string")
-            ).otherwise(column)
-    return df.withColumns(changed) if changed else df
+        message = F.lit(f"value longer than {max_length} characters in column {c}")
+        failure = F.raise_error(message).cast("string")
+        checked[c] = F.when(F.length(column) > max_length, failure).otherwise(column)
+    return df.withColumns(checked) if checked else df

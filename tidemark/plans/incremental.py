@@ -25,7 +25,12 @@ from tidemark.names import (
 from tidemark.operators import config, export, fold, logs, merge, retention, scd2, upkeep
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform, merged_schema, widened
-from tidemark.plans.lookup import MAX_BROADCAST_ROWS, estimated_bytes, split_by_reach
+from tidemark.plans.lookup import (
+    MAX_BROADCAST_ROWS,
+    estimated_bytes,
+    lookup_join,
+    split_by_reach,
+)
 from tidemark.session import ensure_checkpoint_dir, written
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.hadoop import Folder
@@ -87,7 +92,7 @@ def _since(spark: SparkSession, spec: TableSpec, now: datetime) -> datetime:
 # --- reading a chunk of pending files -----------------------------------------------------------------
 
 
-def next_chunk(pending: DataFrame, max_files: int) -> list[Row]:
+def next_chunk(pending: DataFrame, max_files: int | None) -> list[Row]:
     """The next files in order, at most ``max_files`` plus those of the same archive time.
 
     A watermark cannot split files of one archive time, so they stay together. The file list of a
@@ -103,6 +108,8 @@ def next_chunk(pending: DataFrame, max_files: int) -> list[Row]:
         "ArchiveFileName",
     )
     order = logs.pending_order(ordered)
+    if max_files is None:
+        return ordered.orderBy(*order).collect()
     head = ordered.orderBy(*order).limit(max_files).collect()
     if len(head) < max_files:
         return head
@@ -135,14 +142,17 @@ def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
     return with_primary_key(df, spec.keys) if spec.with_primary_key else df
 
 
+def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
+    return readers.read_extracts(
+        spark, paths, spec.file_format, spec.reader_options, spec.schema, same_header=False
+    )
+
+
 def load_batches(
     spark: SparkSession, spec: TableSpec, chunk: DataFrame, paths: Sequence[str], now: Moment
 ) -> DataFrame:
     """All files of a chunk in one scan, tagged with batch number and lineage."""
-    raw = readers.read_extracts(
-        spark, paths, spec.file_format, spec.csv_options, spec.schema, same_header=False
-    )
-    rows = shape_extract(raw, spec)
+    rows = shape_extract(_read(spark, spec, paths), spec)
     lineage = chunk.select(
         plain_path_col(F.col("ArchiveFilePath")).alias(readers.SOURCE_PATH),
         F.col(BATCH),
@@ -151,9 +161,10 @@ def load_batches(
         F.col("OriginalStagingFileName").alias(STAGING_NAME),
     )
     if len(paths) <= MAX_BROADCAST_ROWS:
-        lineage = F.broadcast(lineage)
-    tagged = rows.join(lineage, readers.SOURCE_PATH).drop(readers.SOURCE_PATH)
-    return tagged.withColumn(MODIFIED, moment(now))
+        tagged = rows.join(F.broadcast(lineage), readers.SOURCE_PATH)
+    else:
+        tagged = lookup_join(rows, lineage, [readers.SOURCE_PATH], "left", spread_by=spec.keys)
+    return tagged.drop(readers.SOURCE_PATH).withColumn(MODIFIED, moment(now))
 
 
 # --- applying a chunk ---------------------------------------------------------------------------------
@@ -350,33 +361,109 @@ def run_publish(
     spec: TableSpec,
     now: datetime,
     write: Callable[[DataFrame], None],
+    whole: bool = False,
+) -> RunResult:
+    """Selected columns of pending files to a sink, then the process log.
+
+    ``write`` gets one frame per chunk and should append. A sink that overwrites, such as a
+    warehouse staging table, needs ``whole``: then all pending files come in one frame. If
+    ``write`` fails nothing is logged as processed.
+    """
+
+    def deliver(chunk: Sequence[Row], frame: DataFrame) -> datetime | None:
+        paths = [plain_path(r["ArchiveFilePath"]) for r in chunk]
+        listed = frame.withColumn("ArchiveFilePath", plain_path_col(F.col("ArchiveFilePath")))
+        write(sinks.staged_rows(_read(spark, spec, paths), listed, spec.select))
+        return None
+
+    return _each_chunk(spark, spec, now, deliver, None if whole else spec.max_files)
+
+
+def run_publish_files(
+    spark: SparkSession,
+    spec: TableSpec,
+    now: datetime,
+    target_path: str,
+    new_extension: str = "",
+    clear_target: bool = False,
+) -> RunResult:
+    """Pending files copied as they are.
+
+    If a file cannot be copied, only files archived before it are logged as processed and the run
+    fails, so that the next one takes up again from there.
+    """
+    if clear_target:
+        files.clear_folder(spark, target_path)
+
+    def deliver(chunk: Sequence[Row], frame: DataFrame) -> datetime | None:
+        outcome = files.publish_as_is(frame, target_path, new_extension)
+        failed = outcome.where(~F.col("ok")).select(F.col("source").alias("ArchiveFilePath"))
+        missed = frame.join(failed, "ArchiveFilePath", "left_semi")
+        return missed.agg(F.min("ArchiveDatetimeUTC")).first()[0]
+
+    return _each_chunk(spark, spec, now, deliver, spec.max_files)
+
+
+def _each_chunk(
+    spark: SparkSession,
+    spec: TableSpec,
+    now: datetime,
+    deliver: Callable[[Sequence[Row], DataFrame], datetime | None],
+    max_files: int | None,
 ) -> RunResult:
-    """Selected columns of pending files, all in one frame, to a sink; then the process log.
+    """Deliver pending files chunk by chunk and log them.
 
-    ``write`` gets one frame per chunk. If it fails nothing is logged as processed.
+    ``deliver`` returns the archive time of the first file that failed, or None.
     """
     n_files = folds = 0
     first = since = _since(spark, spec, now)
     while (archive := files.read_log(spark, spec.archive_log)) is not None:
         include = spec.include_previous and since == first
-        chunk = next_chunk(logs.pending_files(archive, since, include, ordered=False), spec.max_files)
+        chunk = next_chunk(logs.pending_files(archive, since, include, ordered=False), max_files)
         if not chunk:
             break
-        frame = chunk_frame(spark, chunk)
-        paths = [plain_path(r["ArchiveFilePath"]) for r in chunk]
-        raw = readers.read_extracts(
-            spark, paths, spec.file_format, spec.csv_options, spec.schema, same_header=False
-        )
-        listed = frame.withColumn("ArchiveFilePath", plain_path_col(F.col("ArchiveFilePath")))
-        write(sinks.staged_rows(raw, listed, spec.select))
-        append_process_log(logs.process_log_rows(frame, now, spec.source_id), spec.process_log)
+        done = chunk_frame(spark, chunk)
+        failed_at = deliver(chunk, done)
+        if failed_at is not None:
+            done = done.where(F.col("ArchiveDatetimeUTC") < moment(failed_at))
+        append_process_log(logs.process_log_rows(done, now, spec.source_id), spec.process_log)
+        if failed_at is not None:
+            raise RuntimeError(f"a file archived at {failed_at} could not be delivered")
         n_files, folds = n_files + len(chunk), folds + 1
         if chunk[-1]["ArchiveDatetimeUTC"] == since:
-            break
+            break  # Only files at the watermark itself were left.
         since = chunk[-1]["ArchiveDatetimeUTC"]
     return RunResult(n_files, folds, None, since)
 
 
+# --- query sources --------------------------------------------------------------------------------------
+
+
+def run_query_source(
+    spark: SparkSession,
+    source: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    now: datetime,
+    select: str = "*",
+    exclude: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
+    null_safe: bool = False,
+    on_duplicate: str = "error",
+) -> int:
+    """A type-1 table from the result of a query (JDBC or SQL), without file lineage.
+
+    Keys match by plain equality unless ``null_safe``. Returns the new version.
+    """
+    rows = C.exclude_columns(C.select_columns(source, select), exclude)
+    rows = with_row_hash(rows).withColumn(MODIFIED, moment(now))
+    store = SnapshotStore(spark, target, partition_by)
+    held = store.read()
+    if held is not None:
+        rows = merge.scd1_merge(held, rows, keys, null_safe=null_safe, on_duplicate=on_duplicate)
+    return store.commit(rows, now=now).number
+
+
 # --- export ---------------------------------------------------------------------------------------------
 
 
@@ -420,7 +507,8 @@ def read_logs(spark: SparkSession, archive_logs: dict[str, str]) -> DataFrame:
     roots = [(plain_path(path).rstrip("/"), name) for name, path in archive_logs.items()]
     names = spark.createDataFrame(roots, "_tm_root string, ArchiveTable string")
     day = F.date_format("ArchiveDatetimeUTC", "yyyyMMdd").cast("int")
-    return rows.join(names, "_tm_root").withColumn(_LOG_DAY, day).drop("_tm_root")
+    named = lookup_join(rows, names, ["_tm_root"], "left", spread_by=["ArchiveFilePath"])
+    return named.withColumn(_LOG_DAY, day).drop("_tm_root")
 
 
 def run_purge(
@@ -462,7 +550,8 @@ def _flag_purged(spark: SparkSession, path: str, purged: DataFrame, now: datetim
     rows are still there.
     """
     days = purged.select(_LOG_DAY).distinct()
-    log = files.read_log(spark, path).join(days, _LOG_DAY, "left_semi")
+    log = files.read_log(spark, path)
+    log = lookup_join(log, days, [_LOG_DAY], "left_semi", spread_by=["ArchiveFilePath"])
     flagged = conform(retention.mark_purged(log, purged, now), ARCHIVE_LOG)
     rows = sinks.rebalanced(written(flagged, "purged-log"), [_LOG_DAY])
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

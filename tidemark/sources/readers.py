@@ -75,10 +75,15 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.assign(line=[first_line(p) for p in pdf["path"]])
 
 
-def read_json(spark: SparkSession, paths: Sequence[str], schema: Any = None) -> DataFrame:
+def read_json(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: Any = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """JSON lines; a given schema saves the pass over the data that infers one."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(list(paths))
+    reader = spark.read.options(**dict(options or {}))
+    return (reader if schema is None else reader.schema(schema)).json(list(paths))
 
 
 def with_source_path(df: DataFrame, of_folder: bool = False) -> DataFrame:
@@ -93,7 +98,7 @@ def read_extracts(
     spark: SparkSession,
     paths: Sequence[str],
     file_format: str = "parquet",
-    csv_options: Mapping[str, str] | None = None,
+    options: Mapping[str, str] | None = None,
     schema: Any = None,
     same_header: bool = True,
 ) -> DataFrame:
@@ -108,11 +113,11 @@ def read_extracts(
         if not group:
             continue
         if file_format == "parquet":
-            df = read_parquet(spark, group, schema=schema)
+            df = read_parquet(spark, group, schema=schema, options=options)
         elif file_format == "csv":
-            df = read_csv(spark, group, csv_options, same_header or of_folder)
+            df = read_csv(spark, group, options, same_header or of_folder)
         elif file_format == "json":
-            df = read_json(spark, group, schema)
+            df = read_json(spark, group, schema, options)
         else:
             raise ValueError(f"unknown file format {file_format!r}")
         scans.append(with_source_path(df, of_folder))

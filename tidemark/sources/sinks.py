@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import clean_names, quoted, select_columns
 from tidemark.names import ARCHIVED, STAGING_NAME
 from tidemark.operators.common import cols
+from tidemark.plans.lookup import lookup_join
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.readers import SOURCE_PATH, with_source_path
 
@@ -39,7 +40,9 @@ def staged_rows(
         F.col("ArchiveDatetimeUTC").alias(ARCHIVED),
         F.col("OriginalStagingFileName").alias(STAGING_NAME),
     )
-    return clean_names(picked.join(lineage, SOURCE_PATH).drop(SOURCE_PATH))
+    content = [c for c in picked.columns if c != SOURCE_PATH]
+    tagged = lookup_join(picked, lineage, [SOURCE_PATH], "left", spread_by=content)
+    return clean_names(tagged.drop(SOURCE_PATH))
 
 
 def publish(rows: DataFrame, target_path: str, mode: str = "append") -> None:

@@ -35,7 +35,7 @@ class TableSpec:
     with_primary_key: bool = False
     resurrect: bool = True
     on_duplicate: str = "error"
-    csv_options: Mapping[str, str] = field(default_factory=dict)
+    reader_options: Mapping[str, str] = field(default_factory=dict)
     schema: Any = None
     source_id: tuple[str, str] | None = None
     default_lookback_days: int = 5
