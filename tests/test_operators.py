@@ -18,6 +18,7 @@ from tidemark.names import DELETED, MODIFIED
 from tidemark.operators import config, evolve, export, logs, merge, retention, upkeep
 from tidemark.operators.common import with_audit
 from tidemark.plans import lookup
+from tidemark.session import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITION_BYTES, shuffles_for
 from tidemark.spec import PurgePolicy, TableSpec
 
 
@@ -91,12 +92,26 @@ def test_salted_lookup_equals_broadcast_on_a_hot_value(spark):
     plain = lookup.lookup_join(big, small, ["g"], "left").orderBy("k").collect()
     salted = lookup.lookup_join(big, small, ["g"], "left", spread_by=["k"], max_rows=1, salts=8)
     assert salted.orderBy("k").collect() == plain
-    spread = big.withColumn("s", F.pmod(F.xxhash64("k"), F.lit(8))).where("g = 'hot'")
-    assert spread.select("s").distinct().count() == 8
+    left, right = lookup._salted(big, small, ["g"], ["k"], 8)
+    parts = {r["g"]: r["n"] for r in left.groupBy("g").agg(F.countDistinct("_tm_salt").alias("n")).collect()}
+    assert parts.pop("hot") == 8 and set(parts.values()) <= {1, 8}
+    assert right.where("g = 'hot'").count() == 8 and right.where("g = '2'").count() == 1
     semi = lookup.lookup_join(big, small.select("g"), ["g"], "left_semi", ["k"], 1, 8)
     assert semi.count() == sum(r["n"] is not None for r in plain)
 
 
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffles_for(spark, 1000) as n:
+        assert n == int(before)
+    with shuffles_for(spark, 10 * SHUFFLE_PARTITION_BYTES) as n:
+        assert n == 30 and spark.conf.get(key) == "30"
+    with shuffles_for(spark, 10**18) as n:
+        assert n == MAX_SHUFFLE_PARTITIONS
+    assert spark.conf.get(key) == before
+
+
 # --- schema -------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import quoted
 from tidemark.functions.text import human_bytes
 from tidemark.operators.common import Moment, cols, moment
-from tidemark.plans.lookup import lookup_join, null_safe_match
+from tidemark.plans.lookup import lookup_join
+from tidemark.session import written
 from tidemark.spec import PurgePolicy
 
 _TIME = "ArchiveDatetimeUTC"
@@ -29,7 +30,10 @@ RANKS = (
     ("IsLastOfDayRowNbr", (_YEAR, _MONTH, _DAY)),
 )
 _PIECE = "_tm_piece"
-_SECOND = "_tm_second"
+_PLACE = "_tm_place"
+_TASK = "_tm_task"
+# Fixed value: low bits of a generated id count within a task, the others name the task.
+_PLACE_BITS = 33
 
 
 def cutoff(now: Moment, age_days: int) -> Column:
@@ -50,7 +54,7 @@ def filter_tables(
 
 
 def _piece() -> Column:
-    """One of 256 slices of the path: orders files of equal time and splits a bulk load."""
+    """One of 256 slices of the path: the first order among files of equal time."""
     return F.coalesce(F.substring(F.md5(F.col(_PATH)), 1, 2), F.lit(""))
 
 
@@ -65,65 +69,51 @@ def retention_ranks(
     """Rank of every file from the end of its year, month, ISO week and day, per ``group``.
 
     Equal times are ordered by a slice of the path's md5 and the path, both descending. No window
-    runs over all files of a year: rows are counted per slice, the counts are summed over days,
-    times and slices, and only the files of one slice are ordered together.
+    runs over the files of a period: the log is range-sorted by group, time and path, which cuts
+    any busy table, day or moment into even tasks, and written down with every row's place. The
+    rank within a day is the distance from the day's first place; longer periods add the counts of
+    their later days.
     """
-    log = eligible(archive_log, now, policy)
     group = list(group)
-    log = log.withColumns({_SECOND: F.date_trunc("second", F.col(_TIME)), _PIECE: _piece()})
     day = [*group, *_DAY_KEY]
-    slice_key = [*day, _SECOND, _TIME, _PIECE]
-
-    # Every level counts from the level below and sums over its own siblings only.
-    per_slice = log.groupBy(*cols(slice_key)).agg(F.count(F.lit(1)).alias("_tm_n"))
-    per_time = _rolled_up(per_slice, [*day, _SECOND, _TIME])
-    per_second = _rolled_up(per_time, [*day, _SECOND])
-    per_day = _rolled_up(per_second, day)
-    for name, period in RANKS[:3]:
-        window = _before([*group, *period], [_MONTH, _DAY])
-        per_day = per_day.withColumn(f"_tm_{name}", _sum_before(window))
-    per_second = per_second.withColumn("_tm_second_off", _sum_before(_before(day, [_SECOND])))
-    per_time = per_time.withColumn(
-        "_tm_time_off", _sum_before(_before([*day, _SECOND], [_TIME]))
+    log = eligible(archive_log, now, policy).withColumn(_PIECE, _piece())
+    order = [*cols(group), *[F.col(c).desc() for c in (_TIME, _PIECE, _PATH)]]
+    # Written once: the place of a row must not change between the two readings below.
+    placed = log.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(placed.withColumn(_PLACE, F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumns(
+        {
+            _TASK: F.shiftright(_PLACE, _PLACE_BITS),
+            _PLACE: F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
+        }
+    )
+    # One row per task of the sort, so one task may add them up and every other may hold them.
+    per_task = placed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("_tm_n"))
+    before = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    per_task = per_task.select(_TASK, _sum_over(before).alias("_tm_task_off"))
+    placed = placed.join(F.broadcast(per_task), _TASK)
+    placed = placed.withColumn(_PLACE, F.col(_PLACE) + F.col("_tm_task_off"))
+
+    per_day = placed.groupBy(*cols(day)).agg(
+        F.count(F.lit(1)).alias("_tm_n"), F.min(_PLACE).alias("_tm_first")
     )
-    offsets = per_slice.withColumn(
-        "_tm_slice_off", _sum_before(_before([*day, _SECOND, _TIME], [_PIECE]))
-    ).drop("_tm_n")
-    offsets = _joined(offsets, per_time.drop("_tm_n"), [*day, _SECOND, _TIME])
-    offsets = _joined(offsets, per_second.drop("_tm_n"), [*day, _SECOND])
-    offsets = _joined(offsets, per_day.drop("_tm_n"), day)
-
-    ranked = _joined(log, offsets, slice_key)
-    place = F.row_number().over(Window.partitionBy(*cols(slice_key)).orderBy(F.col(_PATH).desc()))
-    in_day = place + F.col("_tm_second_off") + F.col("_tm_time_off") + F.col("_tm_slice_off")
+    later_days = [F.col(_MONTH).desc(), F.col(_DAY).desc()]
+    for name, period in RANKS[:3]:
+        later = Window.partitionBy(*cols([*group, *period])).orderBy(*later_days)
+        later = later.rowsBetween(Window.unboundedPreceding, -1)
+        per_day = per_day.withColumn(f"_tm_{name}", _sum_over(later))
+    ranked = lookup_join(placed, per_day.drop("_tm_n"), day, "left", spread_by=[_PATH])
+    in_day = F.col(_PLACE) - F.col("_tm_first") + 1
     out = {name: (in_day + F.col(f"_tm_{name}")).cast("int") for name, _ in RANKS[:3]}
     out[RANKS[3][0]] = in_day.cast("int")
-    kept = [c for c in log.columns if c not in (_PIECE, _SECOND)]
+    kept = [c for c in log.columns if c != _PIECE]
     return ranked.withColumns(out).select(*cols(kept), *cols([name for name, _ in RANKS]))
 
 
-def _rolled_up(counts: DataFrame, key: Sequence[str]) -> DataFrame:
-    return counts.groupBy(*cols(key)).agg(F.sum("_tm_n").alias("_tm_n"))
-
-
-def _before(partition: Sequence[str], order: Sequence[str]):
-    return (
-        Window.partitionBy(*cols(partition))
-        .orderBy(*[F.col(quoted(c)).desc() for c in order])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-
-
-def _sum_before(window) -> Column:
+def _sum_over(window) -> Column:
     return F.coalesce(F.sum("_tm_n").over(window), F.lit(0))
 
 
-def _joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    added = [c for c in right.columns if c not in on]
-    joined = left.alias("a").join(right.alias("b"), null_safe_match("a", "b", on))
-    return joined.select("a.*", *[F.col(f"b.{quoted(c)}") for c in added])
-
-
 def retention_keepers(
     log: DataFrame, policy: PurgePolicy, group: Sequence[str] = ()
 ) -> DataFrame:

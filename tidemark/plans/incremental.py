@@ -31,7 +31,7 @@ from tidemark.plans.lookup import (
     lookup_join,
     split_by_reach,
 )
-from tidemark.session import ensure_checkpoint_dir, written
+from tidemark.session import ensure_checkpoint_dir, shuffles_for, written
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import file_path_col, plain_path, plain_path_col
@@ -149,10 +149,10 @@ def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> DataFra
 
 
 def load_batches(
-    spark: SparkSession, spec: TableSpec, chunk: DataFrame, paths: Sequence[str], now: Moment
+    raw: DataFrame, spec: TableSpec, chunk: DataFrame, n_files: int, now: Moment
 ) -> DataFrame:
-    """All files of a chunk in one scan, tagged with batch number and lineage."""
-    rows = shape_extract(_read(spark, spec, paths), spec)
+    """The rows of all files of a chunk, hashed and tagged with batch number and lineage."""
+    rows = shape_extract(raw, spec)
     lineage = chunk.select(
         plain_path_col(F.col("ArchiveFilePath")).alias(readers.SOURCE_PATH),
         F.col(BATCH),
@@ -160,7 +160,7 @@ def load_batches(
         F.col("ArchiveFilePath").alias(FILE_PATH),
         F.col("OriginalStagingFileName").alias(STAGING_NAME),
     )
-    if len(paths) <= MAX_BROADCAST_ROWS:
+    if n_files <= MAX_BROADCAST_ROWS:
         tagged = rows.join(F.broadcast(lineage), readers.SOURCE_PATH)
     else:
         tagged = lookup_join(rows, lineage, [readers.SOURCE_PATH], "left", spread_by=spec.keys)
@@ -180,8 +180,6 @@ def _folded(spec: TableSpec, target, batches: DataFrame, batch_log: DataFrame) -
         return fold.scd2_fold(
             target, batches, spec.keys, batch_log, spec.deletes, on_duplicate=policy
         )
-    if spec.kind == "scd2_append":
-        return fold.append_fold(target, batches, spec.keys, on_duplicate=policy)
     if spec.update_filter:
         raise fold.NeedsReplay("an update filter depends on the stored row")
     return fold.fact_fold(
@@ -215,7 +213,8 @@ def replayed(
     ensure_checkpoint_dir(spark)
     for i, row in enumerate(chunk, start=1):
         frame = chunk_frame(spark, [row])
-        source = load_batches(spark, spec, frame, [plain_path(row["ArchiveFilePath"])], now)
+        raw = _read(spark, spec, [plain_path(row["ArchiveFilePath"])])
+        source = load_batches(raw, spec, frame, 1, now)
         target = _one_batch(spec, target, source.drop(BATCH), row["ArchiveDatetimeUTC"], now)
         if i < len(chunk):
             target = target.checkpoint()
@@ -230,7 +229,8 @@ def _append_each(
     at = now if isinstance(now, datetime) else None
     for row in chunk:
         frame = chunk_frame(spark, [row])
-        source = load_batches(spark, spec, frame, [plain_path(row["ArchiveFilePath"])], now)
+        raw = _read(spark, spec, [plain_path(row["ArchiveFilePath"])])
+        source = load_batches(raw, spec, frame, 1, now)
         fresh = scd2.appended_versions(
             store.read(), source.drop(BATCH, MODIFIED), spec.keys, row["ArchiveDatetimeUTC"]
         )
@@ -257,39 +257,54 @@ def apply_chunk(
     spark: SparkSession, spec: TableSpec, store: SnapshotStore, chunk: Sequence[Row], now: Moment
 ) -> int:
     """Fold the files of a chunk into the table and commit; returns the new version."""
+    if spec.kind == "scd2_append" and spec.on_duplicate == "allow":
+        return _append_each(spark, spec, store, chunk, now)
     frame = chunk_frame(spark, chunk)
-    paths = [plain_path(r["ArchiveFilePath"]) for r in chunk]
+    raw = _read(spark, spec, [plain_path(r["ArchiveFilePath"]) for r in chunk])
+    batches = load_batches(raw, spec, frame, len(chunk), now)
     target = store.read()
-    applied = [r["ArchiveFilePath"] for r in chunk]
-    at = now if isinstance(now, datetime) else None
-    if spec.kind == "scd2_append":
-        if spec.on_duplicate == "allow":
-            return _append_each(spark, spec, store, chunk, now)
-        batches = load_batches(spark, spec, frame, paths, now).drop(MODIFIED)
-        fresh = _folded(spec, target, batches, frame)
-        return store.commit(fresh, mode="append", applied=applied, now=at).number
-
-    batches = load_batches(spark, spec, frame, paths, now)
+    held_bytes = 0 if target is None else estimated_bytes(target)
+    with shuffles_for(spark, held_bytes + estimated_bytes(raw)):
+        if spec.kind == "scd2_append":
+            result = fold.append_fold(
+                target, batches.drop(MODIFIED), spec.keys, on_duplicate=spec.on_duplicate
+            )
+            mode = "append"
+        else:
+            result, mode = _merged(spark, spec, target, batches, frame, chunk, now)
+        at = now if isinstance(now, datetime) else None
+        applied = [r["ArchiveFilePath"] for r in chunk]
+        return store.commit(result, mode=mode, applied=applied, now=at).number
+
+
+def _merged(
+    spark: SparkSession,
+    spec: TableSpec,
+    target: DataFrame | None,
+    batches: DataFrame,
+    frame: DataFrame,
+    chunk: Sequence[Row],
+    now: Moment,
+) -> tuple[DataFrame, str]:
+    """The new rows of the table, or of the partitions the batches touch, and which of the two."""
     batch_log = frame.select(
         BATCH, F.col("ArchiveDatetimeUTC").alias(ARCHIVED), moment(now).alias(MODIFIED)
     )
-    mode = "replace"
+    mode, untouched = "replace", None
     if target is not None and _prunable(spec):
         target, _ = merge.split_by_partition(target, batches, list(spec.partition_by))
         mode = "partitions"
-    untouched = None
     if target is not None and _bypasses(spec, target):
         scope = () if isinstance(spec.deletes, str) else spec.deletes
-        target, untouched = split_by_reach(
-            widened(target, merged_schema(target.schema, batches.schema)), batches, spec.keys, scope
-        )
+        wide = widened(target, merged_schema(target.schema, batches.schema))
+        target, untouched = split_by_reach(wide, batches, spec.keys, scope)
     try:
         result = _folded(spec, target, batches, batch_log)
     except fold.NeedsReplay:
         result = replayed(spark, spec, target, chunk, now)
     if untouched is not None:
         result = result.unionAll(conform(untouched, result.schema))
-    return store.commit(result, mode=mode, applied=applied, now=at).number
+    return result, mode
 
 
 def _finish_last_run(spark: SparkSession, spec: TableSpec, store: SnapshotStore, now) -> None:

@@ -21,6 +21,7 @@ SALTS = 64
 
 _SALT = "_tm_salt"
 _FOUND = "_tm_found"
+_HOT = "_tm_hot"
 
 
 def null_safe_match(left: str, right: str, cols: Sequence[str], null_safe: bool = True) -> Column:
@@ -67,9 +68,7 @@ def lookup_join(
     if fits_broadcast(lookup, max_rows):
         small = F.broadcast(lookup)
     elif spread_by:
-        hashed = F.xxhash64(*[F.col(quoted(c)) for c in spread_by])
-        b = big.withColumn(_SALT, F.pmod(hashed, F.lit(salts)).cast("int"))
-        small = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        b, small = _salted(big, lookup, on, spread_by, salts)
         extra = [_SALT]
     condition = null_safe_match("tm_big", "tm_small", on)
     for c in extra:
@@ -81,6 +80,33 @@ def lookup_join(
     return joined.select(*kept)
 
 
+def _salted(
+    big: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: 0, but for hot values 0..salts-1.
+
+    A value is hot if it holds more than a quarter of an even share of the rows per salt, so there
+    are at most ``4 * salts`` hot values, whatever the data.
+    """
+    names = [F.col(quoted(c)) for c in on]
+    counts = written(big.groupBy(*names).agg(F.count(F.lit(1)).alias("_tm_n")), "lookup-counts")
+    n_rows = counts.agg(F.sum("_tm_n")).first()[0] or 0
+    hot = counts.where(F.col("_tm_n") > n_rows / (4 * salts)).select(*names)
+    hot = F.broadcast(hot.withColumn(_HOT, F.lit(True)))
+
+    def flagged(df: DataFrame) -> DataFrame:
+        joined = df.alias("d").join(hot.alias("h"), null_safe_match("d", "h", on), "left")
+        return joined.select("d.*", F.col(f"h.{_HOT}"))
+
+    spread = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in spread_by]), F.lit(salts)).cast("int")
+    salt = F.when(F.col(_HOT), spread).otherwise(F.lit(0))
+    repeats = F.sequence(F.lit(0), F.when(F.col(_HOT), F.lit(salts - 1)).otherwise(F.lit(0)))
+    return (
+        flagged(big).withColumn(_SALT, salt).drop(_HOT),
+        flagged(lookup).withColumn(_SALT, F.explode(repeats)).drop(_HOT),
+    )
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of a frame: the file sizes for a plain scan."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,9 @@ DEFAULTS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in DEFAULTS.items():
@@ -32,17 +37,43 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if not named:
-        active = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = active.get() if active.isDefined() else None
-    if not named:
-        named = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_DIR, named)
+        ensure_checkpoint_dir(spark)
+        named = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return named.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder; frames read from it are gone."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(root, True)
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, scanned_bytes: int) -> Iterator[int]:
+    """Enough shuffle partitions for an input of this size, as long as the block runs.
+
+    The setting only grows: AQE merges small partitions, but it cannot cut a number that is too
+    low for a large table. Scanned Parquet is taken to be three times as large in a shuffle.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = -(-3 * scanned_bytes // SHUFFLE_PARTITION_BYTES)
+    sized = max(int(before), min(needed, MAX_SHUFFLE_PARTITIONS))
+    spark.conf.set(key, str(sized))
+    try:
+        yield sized
+    finally:
+        spark.conf.set(key, before)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -53,5 +84,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    """Make ``checkpoint()`` usable: a folder is set only where the session has none."""
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        return
+    named = spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="tidemark-")
+    spark.sparkContext.setCheckpointDir(named)
