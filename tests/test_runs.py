@@ -380,3 +380,14 @@ def test_archive_stream_restarts_from_its_checkpoint(spark, folder):
 def test_conform_adds_log_columns(spark):
     df = conform(spark.range(1).select(F.lit("x").alias("Notes")), ARCHIVE_LOG)
     assert df.columns == ARCHIVE_LOG.names
+
+
+def test_clear_scratch_removes_only_this_applications_tables(spark):
+    from tidemark import session
+
+    kept = session.written(spark.range(3).toDF("n"), "kept")
+    assert kept.count() == 3
+    root = Folder(spark, session._scratch_root(spark))
+    assert any(n.startswith("kept-") for n in root.names())
+    session.clear_scratch(spark)
+    assert not root.exists() and Folder(spark, session.shared_dir(spark)).exists()
