@@ -7,9 +7,10 @@ from conftest import SF_DIR
 from oracle import connect, difference
 
 import __spark_entry__ as entry_point
+import lakequeries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = lakequeries.all_queries()
+ORACLES = lakequeries.all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,11 @@ def test_every_query_has_a_twin():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
