@@ -64,3 +64,26 @@ def map_slices(
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return df.mapInArrow(run, ddl)
+
+
+class Recent(dict):
+    """What a worker remembers: the entries used lately, between ``limit`` and twice as many.
+
+    Full, it becomes the older half; an older entry that is used comes back.
+    """
+
+    def __init__(self, limit: int = 200_000):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def __missing__(self, key):
+        value = self[key] = self.older[key]
+        return value
+
+    def unknown(self, keys: Iterable) -> list:
+        """The keys to make, each once; makes room before, so none of the others is forgotten after."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        older = self.older
+        return [key for key in set(keys) if key not in self and key not in older]
