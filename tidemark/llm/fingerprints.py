@@ -120,10 +120,10 @@ def _compared(doc_id, text: str, kept: np.ndarray, following: str, kept_followin
 _CHUNK = 256
 
 
-def _walk(part: int, rows: Iterator[tuple]) -> Iterator[tuple]:
+def _walk(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Rows of one sorted partition, each compared with the next; its first and last stay open."""
     before = None
-    for doc_id, text in rows:
+    for part, doc_id, text in rows:
         kept = sketch(text)
         if before is None:
             yield (doc_id, *[None] * 6, part, "first", text)
@@ -155,34 +155,24 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     Fingerprints are hex digits, 16 for each hash.
 
-    The next document is the one after it by descending ``doc_id`` (nulls last, equal ids by text);
+    The next document is the one after it by descending ``doc_id`` (nulls last, equal ids by a hash of
+    the text);
     the last one's is the first. An only document is its own next one. Null texts are empty. An
     empty table gives an empty result.
 
     Documents are range-sorted once. Each partition is walked through in order; only its first and
     last document are written out with their text, two rows for each partition, and paired after.
     """
-    spark = docs.sparkSession
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     ordered = with_text(docs, ["doc_id"]).repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     staged = arrow_schema(_STAGED)
     result = arrow_schema(_RESULT)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = [0]
-
-        def rows():
-            for batch in batches:
-                for columns in slices(batch):
-                    part[0] = columns["part"][0]
-                    yield from zip(columns["doc_id"], columns["text"], strict=True)
-
-        def all_rows():
-            for row in _walk(0, rows()):
-                yield (*row[:7], part[0], *row[8:])
-
-        yield from _batches(all_rows(), staged)
+        found = (c for batch in batches for c in slices(batch))
+        rows = (row for c in found for row in zip(c["part"], c["doc_id"], c["text"], strict=True))
+        yield from _batches(_walk(rows), staged)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, fingerprints, quality, simhash, token_count
+from tidemark.llm import byte_bpe, chat, fingerprints, packing, quality, secret_scan, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(_table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -30,18 +34,32 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
     return quality.judge(docs, model)
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    added = spark.sql(f"SELECT -7L AS conv_id, turn, role, r'{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.digests(chat.format_conversations(rows))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_secrets": op2_secrets,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_chat": op10_chat,
 }
 
 # SQL twins by query name; the other queries are tested against brute force in tests/llm.

@@ -72,7 +72,7 @@ class Recent(dict):
     Full, it becomes the older half; an older entry that is used comes back.
     """
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 400_000):
         super().__init__()
         self.limit, self.older = limit, {}
 
