@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, fingerprints, packing, quality, secret_scan, simhash, token_count
+from tidemark.llm import byte_bpe, chat, fingerprints, line_dedup, packing, quality, secret_scan, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
+    "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
