@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, fingerprints, line_dedup, packing, quality, secret_scan, simhash, token_count
+from tidemark.llm import byte_bpe, chat, fingerprints, html_extract, line_dedup, packing, quality, secret_scan, simhash, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_line_dedup": op3_line_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_html": op5_html,
     "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,

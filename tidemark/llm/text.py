@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-# Rows are handed to Python in slices of about this many characters, whatever Arrow's batch size is.
+# Rows are handed to Python in slices of about this many characters and at most this many rows,
+# whatever Arrow's batch size is.
 SLICE_CHARS = 4_000_000
+SLICE_ROWS = 2_000
 
 
 def words(data: bytes) -> list[bytes]:
@@ -43,7 +45,7 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list
     start = total = 0
     for i, n in enumerate(lengths, 1):
         total += n or 0
-        if total >= SLICE_CHARS or i == len(lengths):
+        if total >= SLICE_CHARS or i - start >= SLICE_ROWS or i == len(lengths):
             part = batch.slice(start, i - start)
             yield {name: part.column(k).to_pylist() for k, name in enumerate(part.schema.names)}
             start, total = i, 0
