@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.text import map_slices
+from tidemark.llm.text import free_name, map_slices
 from tidemark.session import written
 
 MIN_CHARS = 16
@@ -247,15 +247,15 @@ def without_duplicate_lines(docs: DataFrame) -> DataFrame:
 
     A document that loses all its text goes; one that loses no line stays as it is.
     """
-    found = duplicate_lines(docs).select(F.col("doc_key").alias("_key"), F.col("dropped").alias("_dropped"))
-    keyed = docs.withColumn("_doc_key", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(found, F.col("_doc_key") == F.col("_key"), "left")
-    left = F.filter(F.split("text", "\n", -1), lambda _, k: ~F.array_contains("_dropped", k))
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    key, other, gone = (free_name(docs, name) for name in ("doc_key", "dropped_key", "dropped_lines"))
+    found = duplicate_lines(docs).select(F.col("doc_key").alias(other), F.col("dropped").alias(gone))
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(found, F.col(key) == F.col(other), "left")
+    left = F.filter(F.split("text", "\n", -1), lambda _, k: ~F.array_contains(gone, k))
+    unchanged = F.col(gone).isNull()
+    text = F.when(unchanged, F.col("text")).otherwise(F.array_join(left, "\n"))
     changed = {"text": text}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_dropped").isNull(), F.col("n_chars")).otherwise(
-            F.length(text).cast(docs.schema["n_chars"].dataType)
-        )
-    stays = F.col("_dropped").isNull() | text.rlike("[^\\x20\\x09-\\x0D]")
+        counted = F.length(text).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(unchanged, F.col("n_chars")).otherwise(counted)
+    stays = unchanged | text.rlike("[^\\x20\\x09-\\x0D]")
     return joined.where(stays).withColumns(changed).select(*docs.columns)

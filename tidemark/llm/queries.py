@@ -73,4 +73,25 @@ QUERIES = {
 }
 
 # SQL twins by query name; the other queries are tested against brute force in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_chat": r"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
+        ),
+        -- A control string gets a backslash; role and text stand between marks of 6, 2 and 11 characters.
+        sized AS (
+            SELECT *, length(role) + length(text) + 19
+                + len(regexp_extract_all(text, '<\\*/?turn\b'))
+                + len(regexp_extract_all(text, '#\\*##\s*[\p{L}\p{N}_]+:')) AS size
+            FROM said
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(size)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
+}
