@@ -9,6 +9,7 @@ together is made of their sketches alone (``merge``).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -18,8 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from tidemark.llm.text import arrow_schema, sha256_hex, slices, with_text, words
-from tidemark.session import written
+from tidemark.llm.text import arrow_schema, slices, with_text, words
+from tidemark.session import scratch_path
 
 SHINGLE = 5
 SEED = 0
@@ -97,10 +98,16 @@ def edited(text: str, following: str) -> str:
 
 
 _RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
-_STAGED = f"{_RESULT}, part int, role string, text string"
+# Between the two passes the edited sketch is kept as what it shares with the other one, a bit for each
+# hash of that, and the hashes that it has besides.
+_COMPARED = (
+    "doc_id long, n_chars long, edited_sha256 binary, kept binary, shared binary, added binary, "
+    "near_edited double, near_next double"
+)
+_STAGED = f"{_COMPARED}, part int, role string, text string"
 
 
 def _compared(doc_id, text: str, kept: np.ndarray, following: str, kept_following: np.ndarray) -> tuple:
@@ -109,14 +116,22 @@ def _compared(doc_id, text: str, kept: np.ndarray, following: str, kept_followin
     return (
         doc_id,
         len(text),
-        sha256_hex(changed.encode()),
+        hashlib.sha256(changed.encode()).digest(),
         to_bytes(kept),
-        to_bytes(kept_changed),
+        np.packbits(np.isin(kept, kept_changed, assume_unique=True)).tobytes(),
+        to_bytes(np.setdiff1d(kept_changed, kept, assume_unique=True)),
         containment(kept, kept_changed),
         containment(kept, kept_following),
     )
 
 
+def _in_full(doc_id, n_chars, sha: bytes, kept: bytes, shared: bytes, added: bytes, *near) -> tuple:
+    hashes = np.frombuffer(kept, ">u8")
+    both = hashes[np.unpackbits(np.frombuffer(shared, np.uint8), count=len(hashes)).astype(bool)]
+    changed = np.sort(np.concatenate([both, np.frombuffer(added, ">u8")]))
+    return doc_id, n_chars, sha.hex(), kept.hex(), to_bytes(changed).hex(), *near
+
+
 _CHUNK = 256
 
 
@@ -126,12 +141,12 @@ def _walk(rows: Iterator[tuple]) -> Iterator[tuple]:
     for part, doc_id, text in rows:
         kept = sketch(text)
         if before is None:
-            yield (doc_id, *[None] * 6, part, "first", text)
+            yield (doc_id, *[None] * 7, part, "first", text)
         else:
             yield (*_compared(*before, text, kept), part, "done", None)
         before = (doc_id, text, kept)
     if before is not None:
-        yield (before[0], *[None] * 6, part, "last", before[1])
+        yield (before[0], *[None] * 7, part, "last", before[1])
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -150,6 +165,11 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield flush()
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Fingerprint of every document and of its edited text, and how near to it this and the next one are.
 
@@ -167,7 +187,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ordered = with_text(docs, ["doc_id"]).repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     staged = arrow_schema(_STAGED)
-    result = arrow_schema(_RESULT)
+    compared, result = arrow_schema(_COMPARED), arrow_schema(_RESULT)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = (c for batch in batches for c in slices(batch))
@@ -175,15 +195,16 @@ def with_next(docs: DataFrame) -> DataFrame:
         yield from _batches(_walk(rows), staged)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                c = {name: batch.column(k).to_pylist() for k, name in enumerate(batch.schema.names)}
-                for doc_id, text, following in zip(c["doc_id"], c["text"], c["following"], strict=True):
-                    yield _compared(doc_id, text, sketch(text), following, sketch(following))
+        rows = (_compared(d, t, sketch(t), f, sketch(f)) for d, t, f in _rows(batches))
+        yield from _batches(rows, compared)
 
-        yield from _batches(rows(), result)
+    def in_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches((_in_full(*row) for row in _rows(batches)), result)
 
-    walked = written(numbered.mapInArrow(walk, _STAGED), "fingerprints")
+    path = scratch_path(docs.sparkSession, "fingerprints")
+    walked = numbered.mapInArrow(walk, _STAGED)
+    walked.write.option("compression", "zstd").parquet(path)
+    walked = docs.sparkSession.read.schema(walked.schema).parquet(path)
     ends = walked.where("role != 'done'")
     # One row for each partition that has rows: the place of the next one in the ring of partitions.
     parts = ends.where("role = 'last'").select("part")
@@ -192,7 +213,6 @@ def with_next(docs: DataFrame) -> DataFrame:
     after = parts.select("part", F.coalesce(F.lead("part").over(ring), F.first("part").over(whole)).alias("next_part"))
     first = ends.where("role = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     open_rows = ends.where("role = 'last'").select("part", "doc_id", "text").join(after, "part").join(first, "next_part")
-    paired = open_rows.select("doc_id", "text", "following").mapInArrow(pair, _RESULT)
-    done = walked.where("role = 'done'").select(*result.names)
-    digits = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
-    return done.unionByName(paired).withColumns(digits)
+    paired = open_rows.select("doc_id", "text", "following").mapInArrow(pair, _COMPARED)
+    done = walked.where("role = 'done'").select(*compared.names)
+    return done.unionByName(paired).mapInArrow(in_full, _RESULT)
