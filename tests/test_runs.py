@@ -391,3 +391,120 @@ def test_clear_scratch_removes_only_this_applications_tables(spark):
     assert any(n.startswith("kept-") for n in root.names())
     session.clear_scratch(spark)
     assert not root.exists() and Folder(spark, session.shared_dir(spark)).exists()
+
+
+# --- nothing is lost, and the size of a chunk changes nothing ------------------------------------------
+
+
+def test_previous_files_do_not_starve_newer_ones(spark, folder):
+    for i, v in ((1, "a"), (2, "b"), (3, "c")):
+        put(f"{folder}/f{i}", f"id,v\n1,{v}\n")
+    logged(spark, folder, (1, f"{folder}/f1"))
+    spec = spec_for(folder, include_previous=True, max_files=1)
+    incremental.run_incremental(spark, spec, NOW)
+    logged(spark, folder, (2, f"{folder}/f2"), (3, f"{folder}/f3"))
+    result = incremental.run_incremental(spark, spec, NOW)
+    assert result.files == 3
+    assert [r["v"] for r in table(spark, spec).collect()] == ["c"]
+    published = []
+    again = spec_for(f"{folder}", include_previous=True, max_files=1)
+    incremental.run_publish(spark, again, NOW, lambda rows: published.append(rows.count()))
+    assert published == [1]
+
+
+def test_odd_paths_find_their_rows(spark, folder):
+    names = ["a b.csv", "p%20q.csv", "x+y.csv", "ü.csv"]
+    for k, name in enumerate(names):
+        put(f"{folder}/odd/{name}", f"id,v\n{k},{k}\n")
+    logged(spark, folder, *[(k + 1, f"{folder}//odd/{name}") for k, name in enumerate(names)])
+    spec = spec_for(folder)
+    assert incremental.run_incremental(spark, spec, NOW).files == 4
+    assert table(spark, spec).count() == 4
+
+
+def test_a_row_without_lineage_fails_the_run(spark, folder):
+    put(f"{folder}/f1", "id\n1\n")
+    frame = incremental.chunk_frame(
+        spark,
+        [
+            Row(
+                ArchiveDatetimeUTC=day(1),
+                OriginalStagingFilePath="",
+                OriginalStagingFileName="",
+                OriginalStagingFileSize=1,
+                ArchiveFilePath="/elsewhere",
+                ArchiveFileName="",
+            )
+        ],
+    )
+    spec = spec_for(folder)
+    rows = incremental.load_batches(incremental._read(spark, spec, [f"{folder}/f1"]), spec, frame, 1, NOW)
+    with pytest.raises(Exception, match="no pending file has the path"):
+        rows.collect()
+
+
+EVOLVING = [
+    [{"id": 1, "v": "a", "w": "x"}, {"id": 2, "v": "b", "w": "y"}],
+    [{"v": "a", "id": 1, "w": "x"}, {"v": "b", "id": 2, "w": "y"}],
+    [{"id": 1, "v": "c"}, {"id": 2, "v": "b"}, {"id": 3, "v": "d"}],
+    [{"id": 2**40, "v": "e", "w": "z", "more": "1"}, {"id": 1, "v": "c", "w": "q", "more": "2"}],
+    [{"id": 2, "v": "f"}],
+]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv", "json"])
+@pytest.mark.parametrize("kind", ["scd1", "fact", "scd2", "scd2_append"])
+def test_chunk_size_changes_nothing(spark, folder, file_format, kind):
+    for i, rows in enumerate(EVOLVING, 1):
+        wide = any(r["id"] > 2**31 for r in rows)
+        types = {"id": "bigint" if wide else "int"}
+        schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in rows[0])
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], schema).coalesce(1)
+        writer = df.write.option("header", "true")
+        writer.format(file_format).save(f"{folder}/in/f{i}")
+    logged(spark, folder, *[(i, f"{folder}/in/f{i}") for i in range(1, len(EVOLVING) + 1)])
+    results = []
+    for max_files in (1, 2, 1000):
+        spec = spec_for(
+            folder, kind=kind, file_format=file_format, max_files=max_files, deletes="none"
+        )
+        spec = TableSpec(**{**vars(spec), "target": f"{folder}/t{max_files}", "process_log": f"{folder}/p{max_files}"})
+        incremental.run_incremental(spark, spec, NOW)
+        got = table(spark, spec)
+        results.append(sorted(map(str, got.select(*sorted(got.columns)).collect())))
+    assert results[0] == results[1] == results[2]
+    if kind == "scd1":
+        last = {r["id"]: (r["v"], r["w"]) for r in got.select(F.col("id").cast("long").alias("id"), "v", "w").collect()}
+        assert last == {1: ("c", "q"), 2: ("f", "y"), 3: ("d", None), 2**40: ("e", "z")}
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from tidemark import session
+
+    class Unset:
+        def isDefined(self):  # noqa: N802
+            return False
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Unset()})()})()
+
+    fake = type("Session", (), {"sparkContext": Context(), "conf": type("C", (), {"get": lambda self, k, d=None: d})()})()
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.ensure_checkpoint_dir(fake)
+
+
+def test_invalid_options_are_refused():
+    for options in ({"on_duplicate": "latest"}, {"kind": "scd1", "touch_modified": True}, {"kind": "scd1", "on_duplicate": "allow"}):
+        with pytest.raises(ValueError):
+            spec_for("/nowhere", **options)
+
+
+def test_skip_applied_and_null_token(spark, folder):
+    put(f"{folder}/f1", "id,v,w\n1,,b\n2,b,\n")
+    logged(spark, folder, (1, f"{folder}/f1"))
+    spec = spec_for(folder, null_token="~", skip_applied=True, include_previous=True)
+    incremental.run_incremental(spark, spec, NOW)
+    assert incremental.run_incremental(spark, spec, NOW).files == 0
+    hashes = {r["__HashDiff"] for r in table(spark, spec).collect()}
+    assert len(hashes) == 2

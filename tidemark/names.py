@@ -24,6 +24,8 @@ TECHNICAL = (HASH, PRIMARY_KEY, *AUDIT, DELETED, START, END, CURRENT)
 
 # Batch number of a row inside one fold: 1..n for pending batches.
 BATCH = "__Batch"
+# Columns of a row's file, where the files of a fold differ in them.
+CARRIED = "__Carried"
 
 _NTZ = T.TimestampNTZType()
 

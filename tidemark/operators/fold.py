@@ -19,6 +19,7 @@ from tidemark.names import (
     ARCHIVED,
     AUDIT,
     BATCH,
+    CARRIED,
     CURRENT,
     DELETED,
     END,
@@ -56,14 +57,16 @@ def _one_per_key(batches: DataFrame, keys: Sequence[str], policy: str) -> DataFr
 
 def _stack(target: DataFrame | None, batches: DataFrame, target_batch: Column) -> tuple:
     """Table rows and batch rows under one schema, each with its batch number."""
-    rows = batches.drop(BATCH)
+    rows = batches.drop(BATCH, CARRIED)
     base = rows.schema if target is None else merged_schema(target.schema, rows.schema)
     schema = T.StructType([f for f in base if f.name != BATCH])
-    number = F.col(BATCH).cast("int").alias(BATCH)
-    stacked = conform(batches, schema, number)
+    own, held = [F.col(BATCH).cast("int").alias(BATCH)], [target_batch.cast("int").alias(BATCH)]
+    if CARRIED in batches.columns:
+        own.append(F.col(CARRIED))
+        held.append(F.lit(None).cast("array<string>").alias(CARRIED))
+    stacked = conform(batches, schema, *own)
     if target is not None:
-        held = conform(target, schema, target_batch.cast("int").alias(BATCH))
-        stacked = held.unionAll(stacked)
+        stacked = conform(target, schema, *held).unionAll(stacked)
     return stacked, schema
 
 
@@ -110,17 +113,33 @@ def batch_times(batch_log: DataFrame, time_col: str) -> Column:
 
 
 def _kept_from_table(
-    df: DataFrame, schema: T.StructType, batches: DataFrame, keys: Sequence[str]
+    df: DataFrame,
+    schema: T.StructType,
+    batches: DataFrame,
+    keys: Sequence[str],
+    changed: Column | None = None,
 ) -> DataFrame:
-    """Columns no batch carries keep the value of the table's row, the first one of its key."""
+    """Columns that a row's batch does not carry keep the value that its key had before.
+
+    No batch carries it: the table's value, in the first row of the key. Only some do (``CARRIED``
+    says which columns a row's batch has): the value of the last row before that changed the key
+    (``changed``, all rows by default) and whose batch has the column.
+    """
     held = F.col(BATCH) <= 0
-    return df.withColumns(
-        {
-            f.name: F.first(F.when(held, F.col(quoted(f.name)))).over(_whole(keys))
-            for f in schema
-            if f.name not in batches.columns
-        }
-    )
+    kept = {
+        f.name: F.first(F.when(held, F.col(quoted(f.name)))).over(_whole(keys))
+        for f in schema
+        if f.name not in batches.columns
+    }
+    if CARRIED in df.columns:
+        so_far = _by_key(keys).rowsBetween(Window.unboundedPreceding, 0)
+        for f in schema:
+            if f.name in batches.columns and f.name not in TECHNICAL and f.name not in keys:
+                has = held | F.array_contains(CARRIED, f.name)
+                has = has if changed is None else has & changed
+                value = F.when(has, F.struct(F.col(quoted(f.name)).alias("v")))
+                kept[f.name] = F.last(value, ignorenulls=True).over(so_far)["v"]
+    return df.withColumns(kept)
 
 
 def scd1_fold(
@@ -140,7 +159,7 @@ def scd1_fold(
             True,
             on_duplicate,
         )
-        inserted = conform(batches.where(loose).drop(BATCH), strict.schema)
+        inserted = conform(batches.where(loose).drop(BATCH, CARRIED), strict.schema)
         if target is not None:
             inserted = inserted.unionAll(conform(target.where(loose), strict.schema))
         return strict.unionAll(inserted)
@@ -281,7 +300,7 @@ def fact_fold(
             "_tm_gone": F.last(_GONE_BATCH).over(whole),
         }
     )
-    seen = _kept_from_table(seen, schema, rows, keys)
+    seen = _kept_from_table(seen, schema, rows, keys, F.col("_tm_changed"))
     kept = seen.where(F.col("_tm_changed") & (F.col(BATCH) == F.col("_tm_content")))
     kept = kept.withColumns({c: F.col("_tm_taken")[c] for c in refreshed})
     stamp = F.get(batch_times(batch_log, MODIFIED), F.col("_tm_gone") - F.lit(1))

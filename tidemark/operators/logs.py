@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
-from tidemark.names import BATCH, PROCESS_LOG
+from tidemark.names import PROCESS_LOG
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform
 
@@ -87,14 +87,6 @@ def pending_order(log: DataFrame) -> list[Column]:
     return [F.col(quoted(c)).asc() for c in order if c in log.columns]
 
 
-def numbered_batches(chunk: DataFrame) -> DataFrame:
-    """Number the files of one chunk 1..n in their order of application.
-
-    A chunk holds the bounded number of files of one fold, so one task may order it.
-    """
-    return chunk.withColumn(BATCH, F.row_number().over(Window.orderBy(*pending_order(chunk))))
-
-
 def process_log_rows(
     files: DataFrame, processed_at: Moment, source_id: tuple[str, str] | None = None
 ) -> DataFrame:

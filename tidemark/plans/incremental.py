@@ -16,6 +16,7 @@ from tidemark.names import (
     ARCHIVE_LOG,
     ARCHIVED,
     BATCH,
+    CARRIED,
     EXPORT_LOG,
     FILE_PATH,
     MODIFIED,
@@ -24,7 +25,7 @@ from tidemark.names import (
 )
 from tidemark.operators import config, export, fold, logs, merge, retention, scd2, upkeep
 from tidemark.operators.common import Moment, moment
-from tidemark.operators.evolve import conform, merged_schema, widened
+from tidemark.operators.evolve import conform, evolve_union_all, merged_schema, widened
 from tidemark.plans.lookup import (
     MAX_BROADCAST_ROWS,
     estimated_bytes,
@@ -138,21 +139,31 @@ def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
     df = C.exclude_columns(df, spec.exclude)
     if spec.file_format == "csv":
         df = C.nonnull_keys(df, spec.keys)
-    df = with_row_hash(df, [c for c in df.columns if c != path], spec.hash_mode)
+    df = with_row_hash(df, [c for c in df.columns if c != path], spec.hash_mode, spec.null_token)
     return with_primary_key(df, spec.keys) if spec.with_primary_key else df
 
 
-def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
-    return readers.read_extracts(
-        spark, paths, spec.file_format, spec.reader_options, spec.schema, same_header=False
-    )
+def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> list[DataFrame]:
+    """One scan for each schema that occurs among the files."""
+    return readers.scans_by_schema(spark, paths, spec.file_format, spec.reader_options, spec.schema)
 
 
 def load_batches(
-    raw: DataFrame, spec: TableSpec, chunk: DataFrame, n_files: int, now: Moment
+    scans: Sequence[DataFrame], spec: TableSpec, chunk: DataFrame, n_files: int, now: Moment
 ) -> DataFrame:
-    """The rows of all files of a chunk, hashed and tagged with batch number and lineage."""
-    rows = shape_extract(raw, spec)
+    """The rows of all files of a chunk, hashed and tagged with batch number and lineage.
+
+    Files are shaped and hashed under their own schema, as they would be one by one; columns that
+    only some files have make each row name the columns of its file in ``CARRIED``.
+    """
+    shaped = [shape_extract(df, spec) for df in scans]
+    common = set.intersection(*[set(df.columns) for df in shaped])
+    if any(set(df.columns) - common for df in shaped):
+        shaped = [
+            df.withColumn(CARRIED, F.array(*[F.lit(c) for c in df.columns]))
+            for df in shaped
+        ]
+    rows = evolve_union_all(shaped)
     lineage = chunk.select(
         plain_path_col(F.col("ArchiveFilePath")).alias(readers.SOURCE_PATH),
         F.col(BATCH),
@@ -161,10 +172,12 @@ def load_batches(
         F.col("OriginalStagingFileName").alias(STAGING_NAME),
     )
     if n_files <= MAX_BROADCAST_ROWS:
-        tagged = rows.join(F.broadcast(lineage), readers.SOURCE_PATH)
+        tagged = rows.join(F.broadcast(lineage), readers.SOURCE_PATH, "left")
     else:
         tagged = lookup_join(rows, lineage, [readers.SOURCE_PATH], "left", spread_by=spec.keys)
-    return tagged.drop(readers.SOURCE_PATH).withColumn(MODIFIED, moment(now))
+    lost = F.concat(F.lit("no pending file has the path "), readers.SOURCE_PATH)
+    known = F.when(F.col(BATCH).isNull(), F.raise_error(lost).cast("boolean")).otherwise(True)
+    return tagged.where(known).drop(readers.SOURCE_PATH).withColumn(MODIFIED, moment(now))
 
 
 # --- applying a chunk ---------------------------------------------------------------------------------
@@ -178,7 +191,7 @@ def _folded(spec: TableSpec, target, batches: DataFrame, batch_log: DataFrame) -
         return fold.scd1_fold(target, batches, spec.keys, on_duplicate=policy)
     if spec.kind == "scd2":
         return fold.scd2_fold(
-            target, batches, spec.keys, batch_log, spec.deletes, on_duplicate=policy
+            target, batches, spec.keys, batch_log, spec.deletes, spec.touch_modified, policy
         )
     if spec.update_filter:
         raise fold.NeedsReplay("an update filter depends on the stored row")
@@ -199,6 +212,7 @@ def _one_batch(spec: TableSpec, target, source: DataFrame, archived, now) -> Dat
         )
     if target is None:
         return scd2.scd2_init(source, archived)
+    options["touch_modified"] = spec.touch_modified
     return scd2.scd2_merge(target, source, spec.keys, archived, spec.deletes, **options)
 
 
@@ -214,7 +228,7 @@ def replayed(
     for i, row in enumerate(chunk, start=1):
         frame = chunk_frame(spark, [row])
         raw = _read(spark, spec, [plain_path(row["ArchiveFilePath"])])
-        source = load_batches(raw, spec, frame, 1, now)
+        source = load_batches(raw, spec, frame, 1, now).drop(CARRIED)
         target = _one_batch(spec, target, source.drop(BATCH), row["ArchiveDatetimeUTC"], now)
         if i < len(chunk):
             target = target.checkpoint()
@@ -264,7 +278,7 @@ def apply_chunk(
     batches = load_batches(raw, spec, frame, len(chunk), now)
     target = store.read()
     held_bytes = 0 if target is None else estimated_bytes(target)
-    with shuffles_for(spark, held_bytes + estimated_bytes(raw)):
+    with shuffles_for(spark, held_bytes + sum(map(estimated_bytes, raw))):
         if spec.kind == "scd2_append":
             result = fold.append_fold(
                 target, batches.drop(MODIFIED), spec.keys, on_duplicate=spec.on_duplicate
@@ -334,26 +348,32 @@ def run_incremental(spark: SparkSession, spec: TableSpec, now: datetime) -> RunR
     _finish_last_run(spark, spec, store, now)
     n_files = folds = 0
     version = None
-    first = since = _since(spark, spec, now)
-    while True:
-        archive = files.read_log(spark, spec.archive_log)
-        if archive is None:
-            break
-        include = spec.include_previous and since == first
-        pending = logs.pending_files(archive, since, include, ordered=False)
-        chunk = next_chunk(pending, spec.max_files)
+    since = _since(spark, spec, now)
+    while (archive := files.read_log(spark, spec.archive_log)) is not None:
+        # The files at the first watermark are in the first chunk as a whole; later ones go on
+        # after it.
+        include = spec.include_previous and folds == 0
+        chunk = next_chunk(_pending(spark, spec, archive, since, include), spec.max_files)
         if not chunk:
             break
         version = apply_chunk(spark, spec, store, chunk, now)
         done = chunk_frame(spark, chunk)
         append_process_log(logs.process_log_rows(done, now, spec.source_id), spec.process_log)
         n_files, folds = n_files + len(chunk), folds + 1
-        if chunk[-1]["ArchiveDatetimeUTC"] == since:
-            break  # Only files at the watermark itself were left.
         since = chunk[-1]["ArchiveDatetimeUTC"]
     return RunResult(n_files, folds, version, since)
 
 
+def _pending(
+    spark: SparkSession, spec: TableSpec, archive: DataFrame, since: datetime, include: bool
+) -> DataFrame:
+    """Pending files; with ``skip_applied`` those of the process log are left out."""
+    applied = read_process_log(spark, spec.process_log) if spec.skip_applied else None
+    if applied is not None and spec.source_id is not None:
+        applied = logs.of_source(applied, *spec.source_id)
+    return logs.pending_files(archive, since, include, applied, ordered=False)
+
+
 def run_config(
     spark: SparkSession,
     config_table: DataFrame,
@@ -388,7 +408,8 @@ def run_publish(
     def deliver(chunk: Sequence[Row], frame: DataFrame) -> datetime | None:
         paths = [plain_path(r["ArchiveFilePath"]) for r in chunk]
         listed = frame.withColumn("ArchiveFilePath", plain_path_col(F.col("ArchiveFilePath")))
-        write(sinks.staged_rows(_read(spark, spec, paths), listed, spec.select))
+        rows = evolve_union_all(_read(spark, spec, paths))
+        write(sinks.staged_rows(rows, listed, spec.select))
         return None
 
     return _each_chunk(spark, spec, now, deliver, None if whole else spec.max_files)
@@ -431,10 +452,10 @@ def _each_chunk(
     ``deliver`` returns the archive time of the first file that failed, or None.
     """
     n_files = folds = 0
-    first = since = _since(spark, spec, now)
+    since = _since(spark, spec, now)
     while (archive := files.read_log(spark, spec.archive_log)) is not None:
-        include = spec.include_previous and since == first
-        chunk = next_chunk(logs.pending_files(archive, since, include, ordered=False), max_files)
+        include = spec.include_previous and folds == 0
+        chunk = next_chunk(_pending(spark, spec, archive, since, include), max_files)
         if not chunk:
             break
         done = chunk_frame(spark, chunk)
@@ -445,8 +466,6 @@ def _each_chunk(
         if failed_at is not None:
             raise RuntimeError(f"a file archived at {failed_at} could not be delivered")
         n_files, folds = n_files + len(chunk), folds + 1
-        if chunk[-1]["ArchiveDatetimeUTC"] == since:
-            break  # Only files at the watermark itself were left.
         since = chunk[-1]["ArchiveDatetimeUTC"]
     return RunResult(n_files, folds, None, since)
 
@@ -549,6 +568,9 @@ def run_purge(
     # The logs change below: what they say now is kept as a table of its own.
     classified = written(classified, "purge")
     if not dry_run:
+        held, kept = logs_now.count(), classified.count()
+        if held != kept:
+            raise RuntimeError(f"{kept} of {held} log rows were read back: is the scratch folder shared?")
         doomed = retention.files_to_purge(classified)
         outcome = files.remove_files(doomed.select(F.col("ArchiveFilePath").alias("source")), tasks)
         gone = outcome.where("ok").select(F.col("source").alias("ArchiveFilePath"))

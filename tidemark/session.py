@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -84,8 +85,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``checkpoint()`` usable: a folder is set only where the session has none."""
+    """Make ``checkpoint()`` usable: a folder is set only where the session has none.
+
+    A folder of this machine is enough for a local master only; on a cluster it is an error, as the
+    executors would write to disks of their own and the tables would be read back empty.
+    """
     if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         return
-    named = spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="tidemark-")
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors of {master} share")
+        named = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(named)

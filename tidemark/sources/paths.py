@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 _LOCAL = r"^file:/+"
 
 
+# Slashes that repeat, but for those behind a scheme.
+_REPEATED = r"(?<![:/])/{2,}"
+
+
 def plain_path(path: str) -> str:
-    """Local paths without their scheme; other paths as they are."""
-    return re.sub(_LOCAL, "/", path)
+    """Local paths without their scheme; no slash repeated."""
+    return re.sub(_REPEATED, "/", re.sub(_LOCAL, "/", path))
 
 
 def plain_path_col(path: Column) -> Column:
-    return F.regexp_replace(path, _LOCAL, "/")
+    return F.regexp_replace(F.regexp_replace(path, _LOCAL, "/"), _REPEATED, "/")
 
 
 def file_path_col() -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 import pandas as pd
@@ -20,8 +21,8 @@ SOURCE_PATH = "_tm_path"
 CSV_DEFAULTS = {"header": "true", "sep": ",", "encoding": "ISO-8859-1"}
 PUBLISH_SEPARATOR = ";"
 
-# Optional reader settings for timestamps written by very old writers.
-LEGACY_REBASE = {"datetimeRebaseMode": "LEGACY", "int96RebaseMode": "LEGACY"}
+# Files whose kind or schema is asked for at a time.
+PROBES = 16
 
 
 def read_parquet(
@@ -94,6 +95,19 @@ def with_source_path(df: DataFrame, of_folder: bool = False) -> DataFrame:
     return df.withColumn(SOURCE_PATH, F.regexp_replace(path, "/[^/]+$", "") if of_folder else path)
 
 
+def _probed(paths: Sequence[str], probe: Callable[[str], Any]) -> list[Any]:
+    """The answers to one question about each path, several asked at a time."""
+    with ThreadPool(min(PROBES, max(1, len(paths)))) as pool:
+        return pool.map(probe, paths)
+
+
+def _by_kind(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], bool]]:
+    """Single files and folders of part files apart, each with whether they are folders."""
+    kinds = _probed(paths, lambda p: Folder(spark, p).is_folder())
+    groups = [([p for p, k in zip(paths, kinds, strict=True) if k == kind], kind) for kind in (False, True)]
+    return [g for g in groups if g[0]]
+
+
 def read_extracts(
     spark: SparkSession,
     paths: Sequence[str],
@@ -106,12 +120,8 @@ def read_extracts(
 
     An extract is one file, or a folder of part files; the two kinds are scanned apart.
     """
-    folders = [p for p in paths if Folder(spark, p).is_folder()]
-    single = [p for p in paths if p not in set(folders)]
     scans = []
-    for group, of_folder in ((single, False), (folders, True)):
-        if not group:
-            continue
+    for group, of_folder in _by_kind(spark, paths):
         if file_format == "parquet":
             df = read_parquet(spark, group, schema=schema, options=options)
         elif file_format == "csv":
@@ -124,6 +134,38 @@ def read_extracts(
     return evolve_union_all(scans)
 
 
+def scans_by_schema(
+    spark: SparkSession,
+    paths: Sequence[str],
+    file_format: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    schema: Any = None,
+) -> list[DataFrame]:
+    """One scan for the extracts of each schema, so that each is seen as if it were read alone.
+
+    Column order and types count. Without a given schema the footer of each Parquet extract, the
+    first line of each CSV file or the content of each JSON extract is asked for its own.
+    """
+    scans = []
+    for group, of_folder in _by_kind(spark, paths):
+        if file_format == "csv":
+            parts = [[p] for p in group] if of_folder else _by_first_line(spark, group)
+            frames = [read_csv(spark, part, options) for part in parts]
+        elif file_format not in ("parquet", "json"):
+            raise ValueError(f"unknown file format {file_format!r}")
+        else:
+            reader = spark.read.options(**dict(options or {}))
+            scan = reader.parquet if file_format == "parquet" else lambda p, r=reader: r.json(p)
+            found = [schema] * len(group) if schema is not None else _probed(group, lambda p, s=scan: s(p).schema)
+            by_schema: dict[str, tuple[Any, list[str]]] = {}
+            for path, own in zip(group, found, strict=True):
+                by_schema.setdefault(own if isinstance(own, str) else own.json(), (own, []))[1].append(path)
+            read = {"parquet": read_parquet, "json": read_json}[file_format]
+            frames = [read(spark, part, schema=own, options=options) for own, part in by_schema.values()]
+        scans += [with_source_path(df, of_folder) for df in frames]
+    return scans
+
+
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table by name, or Parquet files by path."""
     if "/" in name_or_path:

@@ -34,6 +34,12 @@ class TableSpec:
     hash_mode: str = "concat"
     with_primary_key: bool = False
     resurrect: bool = True
+    # Closing a type-2 version also sets its modification time.
+    touch_modified: bool = False
+    # Text that stands for NULL in the row hash; without one NULLs are skipped.
+    null_token: str | None = None
+    # Leave out files that the process log names, for runs that overlap.
+    skip_applied: bool = False
     on_duplicate: str = "error"
     reader_options: Mapping[str, str] = field(default_factory=dict)
     schema: Any = None
@@ -52,6 +58,11 @@ class TableSpec:
             raise ValueError("deletes is 'none', 'full' or a list of scope columns")
         if self.kind in ("scd1", "scd2_append") and self.deletes != "none":
             raise ValueError(f"{self.kind} never deletes")
+        allowed = ("error", "any", "allow") if self.kind == "scd2_append" else ("error", "any")
+        if self.on_duplicate not in allowed:
+            raise ValueError(f"on_duplicate of {self.kind} is one of {allowed}, not {self.on_duplicate!r}")
+        if self.touch_modified and self.kind != "scd2":
+            raise ValueError("touch_modified is for type-2 tables")
 
 
 @dataclass(frozen=True)
