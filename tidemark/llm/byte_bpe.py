@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import os
 import struct
 from functools import lru_cache
 
@@ -23,15 +22,15 @@ import numpy as np
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
-from tokenizers import Tokenizer, models
+from tokenizers import models
 
 from tidemark.llm.text import Recent, map_slices, sha256_hex, with_text
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# Marks that often end a word.
+_MARKS = frozenset(".,;:!?")
 # A space with white space before it, and white space or the end behind it.
 _SPACE_INSIDE = regex.compile(r"(?<=\s) (?!\S)")
-# A worker has one core; the library would start a thread for each core of the machine.
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 def byte_characters() -> str:
@@ -62,7 +61,7 @@ class ByteBpe:
         self.characters = byte_characters()
         self.from_latin = {b: c for b, c in enumerate(self.characters) if chr(b) != c}
         # Ids of what stands between two spaces, with the first of them.
-        self.after_space = Recent()
+        self.after_space = Recent(self._ids_after_space)
         self._build()
 
     def as_characters(self, data: bytes) -> str:
@@ -81,7 +80,7 @@ class ByteBpe:
                     self.overlaps.add_word(both, True)
         self.overlaps.make_automaton()
         vocabulary = {self.as_characters(t): r for t, r in self.ranks.items()}
-        self.library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True))
+        self.model = models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True)
 
     def _by_rank(self, data: bytes) -> list[int]:
         """The rank rule itself: merge the adjacent pair of the smallest rank, the leftmost first."""
@@ -113,20 +112,22 @@ class ByteBpe:
             offer(k)
         return [ranks[data[k : after[k]]] for k in ends]
 
-    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
-        spelt = [self.as_characters(p.encode()) for p in pieces]
-        found = [e.ids for e in self.library.encode_batch_fast(spelt, add_special_tokens=False)]
-        for k, characters in enumerate(spelt):
-            if len(characters) > 3 and next(self.overlaps.iter(characters), None):
-                found[k] = self._by_rank(pieces[k].encode())
-        return found
-
-    def _learn(self, known: Recent, chunks: list[str], before: str) -> None:
-        """Remember the ids of chunks, each behind the string ``before``."""
-        cut = [self.pattern.findall(before + c) for c in chunks]
-        ids = iter(self._piece_ids([piece for pieces in cut for piece in pieces]))
-        for chunk, pieces in zip(chunks, cut, strict=True):
-            known[chunk] = _as_bytes([i for _ in pieces for i in next(ids)])
+    def _piece_ids(self, piece: str) -> bytes:
+        spelt = self.as_characters(piece.encode())
+        if len(spelt) > 3 and next(self.overlaps.iter(spelt), None):
+            return _as_bytes(self._by_rank(piece.encode()))
+        return _as_bytes([token.id for token in self.model.tokenize(spelt)])
+
+    def _ids(self, text: str) -> bytes:
+        return b"".join(map(self._piece_ids, self.pattern.findall(text)))
+
+    def _ids_after_space(self, chunk: str) -> bytes:
+        # What the pattern does with letters, and with letters and one mark.
+        if chunk.isalpha():
+            return self._piece_ids(" " + chunk)
+        if chunk[-1:] in _MARKS and chunk[:-1].isalpha():
+            return self.after_space[chunk[:-1]] + self._piece_ids(chunk[-1])
+        return self._ids(" " + chunk)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, unsigned 32 bits, little-endian.
@@ -135,14 +136,9 @@ class ByteBpe:
         follows; a text whose spaces are all like that is cut there and its chunks are looked up.
         """
         if _SPACE_INSIDE.search(text):
-            return np.array([i for ids in self._piece_ids(self.pattern.findall(text)) for i in ids], "<u4")
+            return np.frombuffer(self._ids(text), "<u4")
         head, *rest = text.split(" ")
-        known = self.after_space
-        unknown = known.unknown(rest)
-        if unknown:
-            self._learn(known, unknown, " ")
-        first = [i for ids in self._piece_ids(self.pattern.findall(head)) for i in ids] if head else []
-        return np.frombuffer(_as_bytes(first) + b"".join(map(known.__getitem__, rest)), "<u4")
+        return np.frombuffer(self._ids(head) + b"".join(map(self.after_space.__getitem__, rest)), "<u4")
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and past-the-last code point that each token touches; a split character is in both."""

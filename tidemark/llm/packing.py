@@ -9,7 +9,6 @@ cut into sequences whose lengths are powers of two, which need no padding.
 
 from __future__ import annotations
 
-import os
 import re
 import struct
 import unicodedata
@@ -30,8 +29,6 @@ from tidemark.llm.byte_bpe import byte_characters
 from tidemark.llm.text import Recent, arrow_schema, map_slices, with_text
 from tidemark.session import written
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
 VOCABULARY = "word_bpe_49k.json"
 # The vocabulary's own pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -44,57 +41,57 @@ BITS = 12
 # Capital sigma, and blocks with letters that are newer than Python's tables.
 _BY_LIBRARY = re.compile("[Σ\u1c89\ua7cb-\ua7dc\U00010d50-\U00010d65\U00016ea0-\U00016eb8]")
 
+# White space to ``str.split`` but not to the pattern.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+# Marks that often end a word, each a piece of its own behind letters.
+_MARKS = frozenset(".,;:!?")
+
 
 class WordBpe:
     """Ids of whole texts, as the vocabulary's tokenizer gives them.
 
     No piece crosses white space, so what stands between is looked up; what is new is cut into letters,
-    digits and marks by the vocabulary's pattern (by the library, unless it is ASCII), and new pieces
-    are merged by the library. Texts are
-    normalised whole (lower case, composed form): by Python where both agree, which is for composed
-    texts without a capital sigma, whose lower case depends on its place; else by the library.
+    digits and marks as the vocabulary's pattern does (by the library, unless it is plain), and new
+    pieces are merged by the library. Texts are normalised whole (lower case, composed form): by Python
+    where both agree, which is for composed texts without a capital sigma, whose lower case depends on
+    its place; else by the library.
     """
 
     def __init__(self, path: str):
         whole = Tokenizer.from_file(path)
         self.normaliser = whole.normalizer
         self.cutter = whole.pre_tokenizer
-        self.merger = Tokenizer(whole.model)
+        self.model = whole.model
         self.pattern = regex.compile(PATTERN)
         self.characters = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
-        # White space to ``str.split`` but not to the pattern.
-        self.separators = re.compile("[\x1c-\x1f]")
-        self.words, self.pieces = Recent(), Recent()
+        self.words = Recent(self._word_ids)
 
     def normalised(self, text: str) -> str:
         if text.isascii() or (not _BY_LIBRARY.search(text) and unicodedata.is_normalized("NFC", text)):
             return text.lower()
         return self.normaliser.normalize_str(text)
 
-    def _cut(self, word: str) -> list[str]:
-        """Pieces of a word, in the characters that stand for its bytes."""
-        if not word.isascii():
-            return [piece for piece, _ in self.cutter.pre_tokenize_str(word)]
-        return [word] if word.isalpha() else [p.translate(self.characters) for p in self.pattern.findall(word)]
-
-    def _learn(self, words: list[str]) -> None:
-        cut = list(map(self._cut, words))
-        new = self.pieces.unknown(piece for pieces in cut for piece in pieces)
-        encoded = self.merger.encode_batch_fast(new, add_special_tokens=False)
-        for piece, got in zip(new, encoded, strict=True):
-            ids = got.ids
-            self.pieces[piece] = struct.pack(f"<{len(ids)}H", *ids)
-        for word, pieces in zip(words, cut, strict=True):
-            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
+    def _merged(self, piece: str) -> bytes:
+        """Ids of a piece, in the characters that stand for its bytes."""
+        ids = [token.id for token in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}H", *ids)
+
+    def _word_ids(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._merged(word if word.isascii() else word.encode().decode("latin-1").translate(self.characters))
+        if len(word) > 1 and word[-1] in _MARKS and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.words[word[-1]]
+        if word.isascii():
+            cut = [p.translate(self.characters) for p in self.pattern.findall(word)]
+        else:
+            cut = [piece for piece, _ in self.cutter.pre_tokenize_str(word)]
+        return b"".join(map(self._merged, cut))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 16-bit numbers, without special tokens."""
         text = self.normalised(text)
-        found = regex.split(r"\s+", text) if self.separators.search(text) else text.split()
-        unknown = self.words.unknown(found)
-        if unknown:
-            self._learn(unknown)
-        return np.frombuffer(b"".join(map(self.words.__getitem__, found)), "<u2")
+        split = regex.split(r"\s+", text) if any(c in text for c in _SEPARATORS) else text.split()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, split)), "<u2")
 
 
 @lru_cache(maxsize=2)
@@ -105,19 +102,24 @@ def word_bpe(path: str) -> WordBpe:
 
 @lru_cache(maxsize=1)
 def _directions() -> np.ndarray:
-    """+1 or -1 for each dimension and id: bits of a multiplicative hash of the id."""
+    """For each id one random bit for each dimension, in a lane of 16 bits of one number."""
     mixed = np.arange(2**16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    planes = [(mixed >> np.uint64(63 - d)) & np.uint64(1) for d in range(DIMENSIONS)]
-    return (2 * np.stack(planes).astype(np.int8) - 1).astype(np.int8)
+    lanes = np.zeros(2**16, np.uint64)
+    for d in range(DIMENSIONS):
+        lanes |= ((mixed >> np.uint64(63 - d)) & np.uint64(1)) << np.uint64(16 * d)
+    return lanes
 
 
 def coordinates(ids: np.ndarray) -> np.ndarray:
     """Place in the cube, whole numbers of ``BITS`` bits: the projection of the mean token, squashed."""
     if not len(ids):
         return np.full(DIMENSIONS, 2 ** (BITS - 1), np.int64)
-    mean = _directions()[:, ids].mean(axis=1, dtype=np.float64)
+    # A lane holds the sum of fewer than 2**16 bits.
+    parts = [_directions()[ids[k : k + 65_535]].sum() for k in range(0, len(ids), 65_535)]
+    ones = [sum(int(p) >> (16 * d) & 0xFFFF for p in parts) for d in range(DIMENSIONS)]
+    mean = 2 * np.array(ones) / len(ids) - 1
     return np.clip((0.5 + 0.5 * np.tanh(4 * mean)) * 2**BITS, 0, 2**BITS - 1).astype(np.int64)
 
 

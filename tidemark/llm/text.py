@@ -32,6 +32,14 @@ def with_text(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     kind = _parse_datatype_string(ddl)
     assert isinstance(kind, StructType)
@@ -51,6 +59,13 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list
             start, total = i, 0
 
 
+def short_batches(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_slices(
     df: DataFrame, fn: Callable[[dict[str, list]], Iterable[dict[str, list]]], ddl: str, text: str = "text"
 ) -> DataFrame:
@@ -69,23 +84,21 @@ def map_slices(
 
 
 class Recent(dict):
-    """What a worker remembers: the entries used lately, between ``limit`` and twice as many.
+    """What a worker has made lately, between ``limit`` and twice as many entries; makes what is missing.
 
     Full, it becomes the older half; an older entry that is used comes back.
     """
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, make: Callable, limit: int = 250_000):
         super().__init__()
-        self.limit, self.older = limit, {}
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key):
-        value = self[key] = self.older[key]
-        return value
-
-    def unknown(self, keys: Iterable) -> list:
-        """The keys to make, each once; makes room before, so none of the others is forgotten after."""
-        if len(self) > self.limit:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        older = self.older
-        return [key for key in set(keys) if key not in self and key not in older]
+        self[key] = value
+        return value

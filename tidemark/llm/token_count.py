@@ -40,7 +40,7 @@ class UnigramCounter:
         self.automaton.make_automaton()
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
-        self.remembered = Recent()
+        self.remembered = Recent(lambda chunk: self.count_chunk(MARK + chunk))
 
     def _steps(self, chunk: str):
         """``end, start, score, pieces`` of every match and unknown character, by end, then by start."""
@@ -74,12 +74,8 @@ class UnigramCounter:
             return 0
         marked = text.replace(" ", MARK)
         head, *rest = marked.split(MARK)
-        known = self.remembered
         # A text that begins with a mark has an empty head; else the head gets its own mark.
-        chunks = [head, *rest] if head else rest
-        for chunk in known.unknown(chunks):
-            known[chunk] = self.count_chunk(MARK + chunk)
-        return sum(map(known.__getitem__, chunks))
+        return sum(map(self.remembered.__getitem__, [head, *rest] if head else rest))
 
 
 @lru_cache(maxsize=2)
