@@ -31,9 +31,14 @@ from lakequeries.folds import (
     scd2_step,
     unstamped_sql,
 )
-from tidemark.names import ARCHIVE_LOG, DELETED
+from tidemark.names import ARCHIVE_LOG, CONFIG_SILVER, DELETED
 from tidemark.operators.evolve import conform
-from tidemark.plans.incremental import run_incremental, run_publish, run_query_source
+from tidemark.plans.incremental import (
+    run_config,
+    run_incremental,
+    run_publish,
+    run_query_source,
+)
 from tidemark.session import scratch_path
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.store import SnapshotStore
@@ -189,22 +194,24 @@ def publish_select(spark, sf_dir):
 # --- whole runs -------------------------------------------------------------------------------------
 
 
-def _archive_of_snapshots(spark, sf_dir, root):
-    """Every snapshot of the orders as an archived extract, with its log."""
+def _archive_of_snapshots(spark, sf_dir, root, folder="archive", log="log", logged=None):
+    """Every snapshot of the orders as an archived extract, and the log (of some of them)."""
     numbers = (0, *SNAPSHOTS)
     extracts = [
         snapshot(spark, sf_dir, i).select(*ORDER_COLUMNS).withColumn("extract", F.lit(i))
         for i in numbers
     ]
     together = reduce(lambda a, b: a.unionByName(b), extracts)
-    together.write.partitionBy("extract").parquet(f"{root}/archive")
-    rows = [
-        (snapshot_time(i), f"{root}/archive/extract={i}", f"orders_{i}.parquet") for i in numbers
-    ]
-    log = spark.createDataFrame(rows, "at string, ArchiveFilePath string, name string")
+    together.write.partitionBy("extract").parquet(f"{root}/{folder}")
+    _log_snapshots(spark, f"{root}/{folder}", f"{root}/{log}", numbers if logged is None else logged)
+
+
+def _log_snapshots(spark, archive, log_path, numbers):
+    rows = [(snapshot_time(i), f"{archive}/extract={i}", f"orders_{i}.parquet") for i in numbers]
+    extracts = spark.createDataFrame(rows, "at string, ArchiveFilePath string, name string")
     at = F.col("at").cast("timestamp_ntz")
     files.append_log(
-        log.select(
+        extracts.select(
             at.alias("ArchiveDatetimeUTC"),
             F.date_format(at, "yyyyMMdd").cast("int").alias("ArchiveyyyyMMddUTC"),
             F.col("name").alias("OriginalStagingFileName"),
@@ -213,7 +220,7 @@ def _archive_of_snapshots(spark, sf_dir, root):
             F.lit(False).alias("IsPurged"),
             F.lit(False).alias("IsIgnorable"),
         ),
-        f"{root}/log",
+        log_path,
     )
 
 
@@ -263,6 +270,49 @@ def incremental_run_replay(spark, sf_dir):
     return table.select(*_STATE)
 
 
+def incremental_run_previous(spark, sf_dir):
+    """Files at the watermark are applied again; the newer ones after them all arrive."""
+    root = scratch_path(spark, "run-previous")
+    _archive_of_snapshots(spark, sf_dir, root, logged=(0,))
+    spec = _spec(root, "scd1", include_previous=True, max_files=1)
+    run_incremental(spark, spec, _RUN_AT)
+    _log_snapshots(spark, f"{root}/archive", f"{root}/log", SNAPSHOTS)
+    run_incremental(spark, spec, _RUN_AT)
+    return SnapshotStore(spark, spec.target).read().select(*_STATE)
+
+
+def incremental_run_odd_paths(spark, sf_dir):
+    """A doubled slash, a space, a plus and a per cent sign in the paths of the log."""
+    root = scratch_path(spark, "run-odd")
+    _archive_of_snapshots(spark, sf_dir, root, folder="/a b+c%20d")
+    spec = _spec(root, "scd1")
+    run_incremental(spark, spec, _RUN_AT)
+    return SnapshotStore(spark, spec.target).read().select(*_STATE)
+
+
+def config_run(spark, sf_dir):
+    """Two targets of one source, each with a process log of its own, and a row without a type."""
+    root = scratch_path(spark, "config-run")
+    _archive_of_snapshots(spark, sf_dir, root, log="archives/bronze/orders")
+    kinds = {"orders_scd1": "SCD1", "orders_fact": "FACT", "orders_untyped": ""}
+    rows = [
+        (True, kind, "bronze", "orders", "silver", name, "o_orderkey", "*", None, None, "daily")
+        for name, kind in kinds.items()
+    ]
+    columns = (
+        "IsActive boolean, Type string, BronzeSchema string, BronzeTable string, SilverSchema string, "
+        "SilverTable string, BusinessKeyColumns string, ExtractColumns string, ExcludeColumns string, "
+        "DeleteFilterColumns string, Tag string"
+    )
+    config = conform(spark.createDataFrame(rows, columns), CONFIG_SILVER)
+    run_config(spark, config, "daily", f"{root}/tables", f"{root}/archives", f"{root}/logs", _RUN_AT)
+    tables = []
+    for name in ("orders_scd1", "orders_fact"):
+        table = SnapshotStore(spark, f"{root}/tables/silver/{name}").read()
+        tables.append(table.select(F.lit(name).alias("target"), *_STATE))
+    return tables[0].unionAll(tables[1])
+
+
 def sql_source_scd1(spark, sf_dir):
     """Two results of a query, one after the other, kept as a type-1 table without lineage."""
     path = f"{scratch_path(spark, 'sql-source')}/table"
@@ -365,6 +415,9 @@ QUERIES = {
     "incremental_run_fact": incremental_run_fact,
     "incremental_run_append": incremental_run_append,
     "incremental_run_replay": incremental_run_replay,
+    "incremental_run_previous": incremental_run_previous,
+    "incremental_run_odd_paths": incremental_run_odd_paths,
+    "config_run": config_run,
     "sql_source_scd1": sql_source_scd1,
     "stream_archive": stream_archive,
     "stream_scd1": stream_scd1,
@@ -413,6 +466,11 @@ ORACLES = {
         '"__StartDatetimeUTC"',
     ),
     "incremental_run_replay": _state_of(replay_sql(_BASE, _filtered_step)),
+    "incremental_run_previous": _state_of(replay_sql(_BASE, scd1_step)),
+    "incremental_run_odd_paths": _state_of(replay_sql(_BASE, scd1_step)),
+    "config_run": f"""SELECT 'orders_scd1' AS target, * FROM
+        ({_state_of(replay_sql(_BASE, scd1_step))}) UNION ALL SELECT 'orders_fact' AS target, * FROM ({_state_of(
+        replay_sql(unstamped_sql(snapshot_sql(0), TAGGED_COLUMNS), fact_step(TAGGED_COLUMNS)))})""",
     "sql_source_scd1": _sql_source_sql(),
     "stream_archive": "SELECT event_id, event_type, value FROM events",
     "stream_scd1": _state_of(replay_sql(_BASE, scd1_step)),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import day
@@ -208,10 +208,11 @@ def test_store_versions(spark, folder):
     assert sorted(r["k"] for r in store.read(1).collect()) == [1, 2, 3]
     assert store.compact(now=NOW) == 2  # the two folders of partition a
     assert store.read().count() == 4
-    assert store.vacuum(now=NOW) > 0
+    assert store.vacuum(now=NOW) == 0  # all versions are young
+    assert store.vacuum(now=NOW + timedelta(days=9000), min_age=timedelta(0)) > 0
     assert {r["k"] for r in store.read().collect()} == set(rows)
-    assert store.history().where("operation = 'VACUUM END'").count() == 1
-    assert not incremental.run_upkeep(store, NOW)
+    assert store.history().where("operation = 'VACUUM END'").count() == 2
+    assert not incremental.run_upkeep(store, NOW + timedelta(days=9001))
 
 
 def test_commit_file_is_never_replaced(spark, folder):
@@ -326,6 +327,9 @@ def test_config_run(spark, folder):
     table_rows = spark.createDataFrame([row], CONFIG_SILVER)
     done = incremental.run_config(spark, table_rows, "DAILY", f"{folder}/tables", f"{folder}/archive", f"{folder}/process", NOW)
     assert [r.files for r in done.values()] == [1]
+    twice = [row, Row(**{**row.asDict(), "SilverTable": "v"}), Row(**{**row.asDict(), "SilverTable": "w", "Type": "??"})]
+    again = incremental.run_config(spark, spark.createDataFrame(twice, CONFIG_SILVER), "x", f"{folder}/tables", f"{folder}/archive", f"{folder}/process", NOW)
+    assert {k[-1]: (r.files, r.error is None) for k, r in again.items()} == {"u": (0, True), "v": (1, True), "w": (0, False)}
     loaded = SnapshotStore(spark, f"{folder}/tables/s/u").read()
     assert loaded.count() == 3 and "row_id" in loaded.columns and "__PrimaryKey" in loaded.columns
     assert incremental.run_config(spark, table_rows, "other", f"{folder}/tables", f"{folder}/archive", f"{folder}/process", NOW) == {}
@@ -375,6 +379,64 @@ def test_archive_stream_restarts_from_its_checkpoint(spark, folder):
     put(f"{folder}/in/b.csv", "id\n2\n")
     assert run() == 2
     assert os.listdir(f"{folder}/in") == []
+    # The same name with new content, and a file that was empty at first.
+    put(f"{folder}/in/a.csv", "id\n3\n")
+    put(f"{folder}/in/late.csv", "")
+    assert run() == 3
+    put(f"{folder}/in/late.csv", "id\n4\n")
+    assert run() == 4
+
+
+def test_files_archived_together_have_times_of_their_own(spark, folder):
+    for k in range(5):
+        put(f"{folder}/in/{k}.csv", f"id,v\n1,{k}\n")
+        os.utime(f"{folder}/in/{k}.csv", (1_700_000_000 + k, 1_700_000_000 + k))
+    catalog = files.file_catalog(spark, f"{folder}/in")
+    files.archive_files(catalog, f"{folder}/archive", f"{folder}/log", day(19))
+    times = [r[0] for r in files.read_log(spark, f"{folder}/log").orderBy("OriginalStagingFileName").select("ArchiveDatetimeUTC").collect()]
+    assert times == [day(19) + timedelta(microseconds=k) for k in range(5)]
+    put(f"{folder}/in/5.csv", "id,v\n1,5\n")
+    files.archive_files(files.file_catalog(spark, f"{folder}/in"), f"{folder}/archive", f"{folder}/log", day(19))
+    assert files.read_log(spark, f"{folder}/log").agg(F.max("ArchiveDatetimeUTC")).first()[0] == day(19) + timedelta(microseconds=5)
+    spec = spec_for(folder, kind="scd2_append")
+    incremental.run_incremental(spark, spec, NOW)
+    current = incremental.scd2.current_versions(table(spark, spec), ["id"]).collect()
+    assert [r["v"] for r in current] == ["5"]
+
+
+def test_a_failing_copy_fails_the_stream(spark, folder, monkeypatch):
+    put(f"{folder}/in/a.csv", "id\n1\n")
+    real = files.archive_files
+
+    def one_fails(catalog, *args):
+        ghost = catalog.withColumns({"path": F.lit(f"{folder}/in/ghost.csv"), "name": F.lit("ghost.csv")})
+        return real(catalog.unionByName(ghost), *args)
+
+    monkeypatch.setattr(files, "archive_files", one_fails)
+    with pytest.raises(Exception, match="ghost"):
+        stream_archive(
+            spark, f"{folder}/in", f"{folder}/archive", f"{folder}/log", f"{folder}/cp",
+            available_now=True, clock=lambda: NOW,
+        ).awaitTermination()
+    assert files.read_log(spark, f"{folder}/log").count() == 1
+
+
+def test_schemes():
+    from tidemark.sources.blocks import arrow_uri
+
+    for path, want in {
+        "/a//b": "/a/b",
+        "file:///a": "/a",
+        "s3a://b/k": "s3://b/k",
+        "gs://b/k": "gs://b/k",
+        "hdfs://h:8020/k": "hdfs://h:8020/k",
+        "wasbs://c@acc.blob.core.windows.net/k": "abfss://c@acc.dfs.core.windows.net/k",
+        "abfss://c@acc.dfs.core.windows.net/k": "abfss://c@acc.dfs.core.windows.net/k",
+        "dbfs:/mnt/k": "/dbfs/mnt/k",
+    }.items():
+        assert arrow_uri(path) == want
+    with pytest.raises(ValueError, match="oss"):
+        arrow_uri("oss://b/k")
 
 
 def test_conform_adds_log_columns(spark):

@@ -42,15 +42,21 @@ _KINDS = {"SCD1": "scd1", "SCD2": "scd2_append", "FACT": "fact"}
 
 
 def spec_from_row(row: Row, table_root: str, archive_root: str, process_log: str) -> TableSpec:
-    """The load one configuration row describes."""
-    kind = _KINDS[row["Type"].strip().upper()]
+    """The load one configuration row describes; its process log is below ``process_log``.
+
+    Every target has a log of its own: two targets of one source advance on their own.
+    """
+    name = row["Type"].strip().upper()
+    if name not in _KINDS:
+        raise ValueError(f"{row['SilverSchema']}.{row['SilverTable']}: load type {row['Type']!r} is none of {sorted(_KINDS)}")
+    kind = _KINDS[name]
     scope = [clean_name_full(c) for c in parse_column_list(row["DeleteFilterColumns"])]
     deletes: str | list[str] = "none"
     if kind == "fact":
         deletes = scope or "full"
     return TableSpec(
         target=f"{table_root}/{row['SilverSchema']}/{row['SilverTable']}",
-        process_log=process_log,
+        process_log=f"{process_log}/{row['SilverSchema']}/{row['SilverTable']}",
         archive_log=f"{archive_root}/{row['BronzeSchema']}/{row['BronzeTable']}",
         keys=[clean_name_full(c) for c in parse_column_list(row["BusinessKeyColumns"])],
         kind=kind,
@@ -64,9 +70,6 @@ def spec_from_row(row: Row, table_root: str, archive_root: str, process_log: str
     )
 
 
-def specs_from_config(
-    config: DataFrame, tag: str | None, table_root: str, archive_root: str, process_log: str
-) -> list[TableSpec]:
-    """Specs of the selected loads; a configuration table has one row per managed table."""
-    rows = silver_lookup(config, tag).orderBy(*SILVER_COLUMNS).collect()
-    return [spec_from_row(r, table_root, archive_root, process_log) for r in rows]
+def rows_from_config(config: DataFrame, tag: str | None) -> list[Row]:
+    """The selected loads; a configuration table has one row per managed table."""
+    return silver_lookup(config, tag).orderBy(*SILVER_COLUMNS).collect()

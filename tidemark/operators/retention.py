@@ -11,7 +11,7 @@ from tidemark.functions.columns import quoted
 from tidemark.functions.text import human_bytes
 from tidemark.operators.common import Moment, cols, moment
 from tidemark.plans.lookup import lookup_join
-from tidemark.session import written
+from tidemark.plans.places import PLACE, with_place
 from tidemark.spec import PurgePolicy
 
 _TIME = "ArchiveDatetimeUTC"
@@ -30,10 +30,6 @@ RANKS = (
     ("IsLastOfDayRowNbr", (_YEAR, _MONTH, _DAY)),
 )
 _PIECE = "_tm_piece"
-_PLACE = "_tm_place"
-_TASK = "_tm_task"
-# Fixed value: low bits of a generated id count within a task, the others name the task.
-_PLACE_BITS = 33
 
 
 def cutoff(now: Moment, age_days: int) -> Column:
@@ -78,24 +74,10 @@ def retention_ranks(
     day = [*group, *_DAY_KEY]
     log = eligible(archive_log, now, policy).withColumn(_PIECE, _piece())
     order = [*cols(group), *[F.col(c).desc() for c in (_TIME, _PIECE, _PATH)]]
-    # Written once: the place of a row must not change between the two readings below.
-    placed = log.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = written(placed.withColumn(_PLACE, F.monotonically_increasing_id()), "placed")
-    placed = placed.withColumns(
-        {
-            _TASK: F.shiftright(_PLACE, _PLACE_BITS),
-            _PLACE: F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)),
-        }
-    )
-    # One row per task of the sort, so one task may add them up and every other may hold them.
-    per_task = placed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("_tm_n"))
-    before = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
-    per_task = per_task.select(_TASK, _sum_over(before).alias("_tm_task_off"))
-    placed = placed.join(F.broadcast(per_task), _TASK)
-    placed = placed.withColumn(_PLACE, F.col(_PLACE) + F.col("_tm_task_off"))
+    placed = with_place(log, order, "placed")
 
     per_day = placed.groupBy(*cols(day)).agg(
-        F.count(F.lit(1)).alias("_tm_n"), F.min(_PLACE).alias("_tm_first")
+        F.count(F.lit(1)).alias("_tm_n"), F.min(PLACE).alias("_tm_first")
     )
     later_days = [F.col(_MONTH).desc(), F.col(_DAY).desc()]
     for name, period in RANKS[:3]:
@@ -103,7 +85,7 @@ def retention_ranks(
         later = later.rowsBetween(Window.unboundedPreceding, -1)
         per_day = per_day.withColumn(f"_tm_{name}", _sum_over(later))
     ranked = lookup_join(placed, per_day.drop("_tm_n"), day, "left", spread_by=[_PATH])
-    in_day = F.col(_PLACE) - F.col("_tm_first") + 1
+    in_day = F.col(PLACE) - F.col("_tm_first") + 1
     out = {name: (in_day + F.col(f"_tm_{name}")).cast("int") for name, _ in RANKS[:3]}
     out[RANKS[3][0]] = in_day.cast("int")
     kept = [c for c in log.columns if c != _PIECE]

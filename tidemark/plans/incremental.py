@@ -55,6 +55,7 @@ class RunResult:
     folds: int = 0
     version: int | None = None
     watermark: datetime | None = None
+    error: str | None = None
 
 
 # --- process and export logs -------------------------------------------------------------------------
@@ -383,9 +384,20 @@ def run_config(
     process_log: str,
     now: datetime,
 ) -> dict[str, RunResult]:
-    """Run every active load of a configuration table that carries the tag."""
-    specs = config.specs_from_config(config_table, tag, table_root, archive_root, process_log)
-    return {spec.target: run_incremental(spark, spec, now) for spec in specs}
+    """Run every active load of a configuration table that carries the tag.
+
+    Each target has a process log below ``process_log``. A load that is described wrongly or fails
+    has its ``error`` in its result and does not stop the others.
+    """
+    done = {}
+    for row in config.rows_from_config(config_table, tag):
+        target = f"{table_root}/{row['SilverSchema']}/{row['SilverTable']}"
+        try:
+            spec = config.spec_from_row(row, table_root, archive_root, process_log)
+            done[target] = run_incremental(spark, spec, now)
+        except Exception as error:
+            done[target] = RunResult(error=f"{type(error).__name__}: {error}")
+    return done
 
 
 # --- publish and stage ----------------------------------------------------------------------------------

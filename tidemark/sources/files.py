@@ -6,7 +6,8 @@ its own rows' files, streaming them in blocks, and reports the outcome as rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from datetime import timedelta
 from functools import partial
 
 import pandas as pd
@@ -17,8 +18,9 @@ from pyspark.sql import types as T
 from tidemark.names import ARCHIVE_LOG
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform
+from tidemark.plans.places import PLACE, with_place
 from tidemark.session import written
-from tidemark.sources.blocks import copy_file, remove_file
+from tidemark.sources.blocks import arrow_uri, copy_file, remove_file, storage_options
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import extension, file_name, plain_path, plain_path_col, stem
 
@@ -105,12 +107,12 @@ def archive_plan(
 # --- moving bytes on the executors -----------------------------------------------------------------
 
 
-def _act(action, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _act(action, options: Mapping[str, str], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         outcomes = []
         for source, destination in zip(pdf["source"], pdf["destination"], strict=True):
             try:
-                action(source, destination)
+                action(source, destination, options)
                 outcomes.append((source, destination, True, None))
             except Exception as error:  # One unreadable file must not stop the others.
                 outcomes.append((source, destination, False, f"{type(error).__name__}: {error}"))
@@ -121,7 +123,7 @@ def _run(files: DataFrame, action, tasks: int | None) -> DataFrame:
     spark = files.sparkSession
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     spread = files.select("source", "destination").repartition(tasks, "source")
-    outcome = spread.mapInPandas(partial(_act, action), _OUTCOME)
+    outcome = spread.mapInPandas(partial(_act, action, storage_options(spark)), _OUTCOME)
     # Computed once: reading the outcome again must not move the files again.
     return written(outcome, "file-outcome")
 
@@ -152,6 +154,18 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame | None:
     return spark.read.schema(ARCHIVE_LOG).parquet(log_path).select(*ARCHIVE_LOG.names)
 
 
+def _first_free(log: DataFrame | None, now: Moment) -> Column:
+    """``now``, or just after the last archive time of a log that already goes beyond it."""
+    start = moment(now)
+    if log is None:
+        return start
+    day = F.date_format(start, "yyyyMMdd").cast("int")
+    last = log.where(F.col("ArchiveyyyyMMddUTC") >= day).agg(F.max("ArchiveDatetimeUTC")).first()[0]
+    if last is None:
+        return start
+    return F.greatest(start, moment(last + timedelta(microseconds=1)))
+
+
 def archive_files(
     catalog: DataFrame,
     archive_root: str,
@@ -162,13 +176,26 @@ def archive_files(
 ) -> DataFrame:
     """Copy new files into the archive, append the archive log, remove the originals.
 
-    In this order, so that a failure leaves originals in place. Files the log already holds (same
+    Every file has an archive time of its own: ``now`` (later, if the log already goes beyond it), and
+    a microsecond more for each file before it by modification time and path. In this order of
+    steps, so that a failure leaves originals in place. Files the log already holds (same
     path, size and modification time, from a run that failed after its log append) are not
     archived again; only their originals are removed. Returns the outcome of the copies.
     """
     spark = catalog.sparkSession
-    plan = written(archive_plan(catalog, archive_root, now, name_style), "archive-plan")
+    arrow_uri(archive_root)
     log = read_log(spark, log_path)
+    listed = with_place(
+        ready_files(catalog), [F.col("modificationTime"), F.col("path")], "archive-catalog"
+    )
+    at = F.timestamp_add("MICROSECOND", F.col(PLACE), _first_free(log, now))
+    plan = written(archive_plan(listed, archive_root, at, name_style), "archive-plan")
+    if log is not None:
+        # A file can only have been archived after it was last modified, unless the clocks disagree.
+        first = F.least(F.min("OriginalModificationTime"), F.min("ArchiveDatetimeUTC"))
+        since = plan.agg(first).first()[0]
+        if since is not None:
+            log = log.where(F.col("ArchiveyyyyMMddUTC") >= int(f"{since:%Y%m%d}") - 1)
     known = ["OriginalStagingFilePath", "OriginalStagingFileSize", "OriginalModificationTime"]
     fresh = plan if log is None else plan.join(log.select(*known), known, "left_anti")
     copies = copy_files(
@@ -190,6 +217,7 @@ def publish_as_is(
     pending: DataFrame, target_path: str, new_extension: str = "", tasks: int | None = None
 ) -> DataFrame:
     """Copy pending archive files to a folder, byte for byte, with the extension replaced."""
+    arrow_uri(target_path)
     name = F.col("ArchiveFileName")
     renamed = F.concat(stem(name), F.lit(new_extension)) if new_extension else name
     return copy_files(

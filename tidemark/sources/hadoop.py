@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import SparkSession
 
 
@@ -47,6 +49,11 @@ class Folder:
                 out.append("/".join(s.getPath().toString().split("/")[-depth:]))
         return sorted(out)
 
+    def modified(self, relative: str) -> datetime:
+        """When a file or folder was last changed, in UTC without a zone."""
+        millis = self._fs.getFileStatus(self._at(relative)).getModificationTime()
+        return datetime(1970, 1, 1) + timedelta(milliseconds=millis)
+
     def read_text(self, relative: str) -> str:
         stream = self._fs.open(self._at(relative))
         try:

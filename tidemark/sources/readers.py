@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import partial
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.evolve import evolve_union_all
-from tidemark.sources.blocks import first_line
+from tidemark.sources.blocks import first_line, storage_options
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import file_path_col
 
@@ -64,16 +65,20 @@ def read_csv(
 def _by_first_line(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
     listed = spark.createDataFrame([(p,) for p in paths], "path string")
     tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
-    lines = listed.repartition(tasks, "path").mapInPandas(_first_lines, "path string, line binary")
+    lines = listed.repartition(tasks, "path").mapInPandas(
+        partial(_first_lines, storage_options(spark)), "path string, line binary"
+    )
     groups: dict[bytes, list[str]] = {}
     for row in lines.orderBy("path").collect():
         groups.setdefault(bytes(row["line"]), []).append(row["path"])
     return list(groups.values())
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _first_lines(
+    options: Mapping[str, str], batches: Iterator[pd.DataFrame]
+) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pdf.assign(line=[first_line(p) for p in pdf["path"]])
+        yield pdf.assign(line=[first_line(p, options) for p in pdf["path"]])
 
 
 def read_json(

@@ -12,7 +12,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -185,21 +185,41 @@ class SnapshotStore:
         self._commit_folders([*kept, *written], last.schema, "OPTIMIZE", last.applied, now, last)
         return len(small)
 
-    def vacuum(self, keep_versions: int = 1, now: datetime | None = None) -> int:
-        """Remove folders that none of the newest versions needs; returns how many."""
+    def vacuum(
+        self,
+        keep_versions: int = 1,
+        now: datetime | None = None,
+        min_age: timedelta = timedelta(days=7),
+    ) -> int:
+        """Remove folders that no kept version needs; returns how many.
+
+        The newest versions are kept, and all that were the newest within ``min_age``, which a running
+        reader may still use. So are folders written within it: a running writer may commit them.
+        """
         numbers = self._numbers()
         if not numbers:
             return 0
+        before = (now or datetime.utcnow()) - min_age
         last = self.version()
-        kept_numbers = numbers[-keep_versions:]
-        needed = {f for n in kept_numbers for f in self.version(n).folders}
+        versions = {n: self.version(n) for n in numbers}
+        kept = set(numbers[-keep_versions:])
+        for n, after in zip(numbers, numbers[1:], strict=False):
+            if datetime.fromisoformat(versions[after].timestamp) > before:
+                kept.add(n)
+        needed = {f for n in kept for f in versions[n].folders}
+        known = {f for v in versions.values() for f in v.folders}
         depth = 1 + len(self.partition_by)
         present = [f.removeprefix("data/") for f in self._folder.folders("data" + "/*" * depth)]
-        unneeded = [f for f in present if f not in needed]
+        unneeded = [
+            f
+            for f in present
+            if f not in needed and (f in known or self._folder.modified(f"data/{f}") <= before)
+        ]
         for f in unneeded:
             self._folder.remove(f"data/{f}", recursive=True)
-        for n in numbers[: -len(kept_numbers)]:
-            self._folder.remove(f"{_COMMITS}/{n:012d}.json")
+        for n in numbers:
+            if n not in kept:
+                self._folder.remove(f"{_COMMITS}/{n:012d}.json")
         self._commit_folders(
             last.folders, last.schema, "VACUUM END", last.applied, now, last
         )

@@ -1,4 +1,4 @@
-"""Continuous archive: new files of a folder, micro-batch by micro-batch."""
+"""Continuous archive: the files of a folder, poll by poll."""
 
 from __future__ import annotations
 
@@ -23,27 +23,27 @@ def stream_archive(
     available_now: bool = False,
     clock: Callable[[], datetime] = datetime.utcnow,
     name_style: str = "time",
-    max_files_per_trigger: int = 10_000,
 ) -> StreamingQuery:
-    """Archive files as they arrive.
+    """Archive the files of a folder, again and again.
 
-    The file source remembers the files it has seen in the checkpoint, so the folder need not be
-    swapped or emptied between polls. File contents are not part of the stream: the columns are
-    pruned to metadata before the sink.
+    Every poll lists the folder anew, so a name that comes back and a file that was empty before are
+    archived too; what the archive log already holds is not. A file that cannot be copied fails the
+    query after the others are archived, and is tried again by the next one.
     """
-    arriving = (
-        spark.readStream.format("binaryFile")
-        .schema(files.CATALOG_SCHEMA)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(ingest_path)
-        .select("path", "modificationTime", "length")
-    )
-
-    def archive(batch: DataFrame, batch_id: int) -> None:
-        catalog = files.catalog_columns(batch)
-        files.archive_files(catalog, archive_root, log_path, clock(), name_style)
-
-    writer = arriving.writeStream.foreachBatch(archive).option("checkpointLocation", checkpoint)
+    # A stream of ticks: the folder itself says what there is to do.
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+
+    def archive(tick: DataFrame, batch_id: int) -> None:
+        session = tick.sparkSession
+        catalog = files.ready_files(files.file_catalog(session, ingest_path))
+        if catalog.isEmpty():
+            return
+        copies = files.archive_files(catalog, archive_root, log_path, clock(), name_style)
+        failed = copies.where("NOT ok").first()
+        if failed is not None:
+            raise RuntimeError(f"{failed['source']} could not be archived: {failed['error']}")
+
+    writer = ticks.writeStream.foreachBatch(archive).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{POLL_SECONDS} seconds").start()
