@@ -251,7 +251,11 @@ def test_dropped_lines_equal_brute_force(table):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text("abc ", min_size=16, max_size=24), st.integers(0, 30), st.sampled_from(["a", "b", "", "cc"]))
+@given(
+    st.one_of(st.text("abc ", min_size=16, max_size=66), st.lists(st.sampled_from(["aaaaaa", "bbbbbbb", "cccccc"]), min_size=8, max_size=40).map(" ".join)),
+    st.integers(0, 300),
+    st.sampled_from(["a", "b", "", "cc", "x ", " y"]),
+)
 def test_near_lines_share_keys(line, at, put):
     a = line_dedup.normalised(line)
     b = line_dedup.normalised(a[:at] + put + a[at + 1 :])
@@ -261,8 +265,12 @@ def test_near_lines_share_keys(line, at, put):
     near = edit_distance(x, y) <= 1
     assert line_dedup.within_one(a, b) == near
     if near and a != b:
-        assert set(line_dedup.half_keys(kind, x)) & set(line_dedup.half_keys(kind, y))
-        assert {k for k, _ in line_dedup.variant_keys(kind, x)} & {k for k, _ in line_dedup.variant_keys(kind, y)}
+        shared = set(line_dedup.half_keys(kind, x)) & set(line_dedup.half_keys(kind, y))
+        assert shared
+        sides = {k & 1 for k in shared}
+        mine, theirs = (dict(line_dedup.variant_keys(kind, u, sum(1 << k for k in sides))) for u in (x, y))
+        met = {(mine[k], theirs[k]) for k in mine.keys() & theirs.keys()}
+        assert met & {(2, 2), (0, 1), (1, 0)}
 
 
 def test_documents_without_their_lines(odd):

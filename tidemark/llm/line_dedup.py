@@ -4,14 +4,14 @@ Lines are compared in lower case with white space made single. Lines of fewer th
 characters are left alone: that short, being equal says nothing. The edit unit is the word for lines of
 more than ``LONG_CHARS`` characters and at least ``MIN_UNITS`` words, else the character; two lines of
 one kind are near if at most one unit is substituted, inserted or deleted. A line goes if an equal or
-near line stands earlier (by ``doc_id``, nulls last, then by line number).
+near line stands earlier (by ``doc_id``, nulls last, then by line number; under one id, by text).
 
 Near lines are found by their deletion neighbourhood: each line is written under the hash of every
 variant with one unit left out, and under its own; equal variants are joined and the distance is
 verified on the texts. Variants of all lines would be as many as there are words, so a first round
 leaves out half a line instead of a unit: of two near lines either the first or the last half is
 equal. Only lines that share such a half with a different line, a few in a hundred, have their
-variants made; no near pair is lost. Keys keep their earliest line only (a partial aggregate), so a
+variants made, and only for units outside that half; no near pair is lost. Keys keep their earliest line only (a partial aggregate), so a
 line or a template that stands everywhere makes no pairs; each line is then compared with that one.
 """
 
@@ -37,48 +37,73 @@ def normalised(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def units(line: str) -> tuple[str, list[str]]:
-    """The kind of unit of a normalised line, and its units."""
+def units(line: str) -> tuple[str, list[str] | str]:
+    """The kind of unit of a normalised line, and its units: a list of words, or the line itself."""
     if len(line) > LONG_CHARS:
         found = line.split(" ")
         if len(found) >= MIN_UNITS:
             return "word", found
-    return "char", list(line)
+    return "char", line
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _hash(*parts) -> int:
-    return _signed(xxh64_intdigest("\x1f".join(map(str, parts))))
+def _joined(parts: list[str] | str) -> str:
+    return parts if isinstance(parts, str) else " ".join(parts)
 
 
-def half_keys(kind: str, parts: list[str]) -> list[int]:
-    """Keys of the first and last half; two near lines share one.
+FIRST, LAST = 0, 1
 
-    ``q`` units are at most half of every line of a class, and of the lines one unit shorter than its
+
+def _half_sizes(n: int) -> dict[int, int]:
+    """Classes of a line of ``n`` units, and how many units their halves have.
+
+    A half is at most half of every line of a class, and of the lines one unit shorter than its
     shortest, which are in both classes.
     """
-    n = len(parts)
     classes = {n // CLASS_WIDTH}
     if (n + 1) % CLASS_WIDTH == 0:
         classes.add((n + 1) // CLASS_WIDTH)
+    return {c: (c * CLASS_WIDTH - 1) // 2 if c else (MIN_UNITS - 1) // 2 for c in classes}
+
+
+def half_keys(kind: str, parts: list[str] | str) -> list[int]:
+    """Keys of the first and last half; two near lines share one. The last bit tells which it is."""
     keys = []
-    for c in classes:
-        q = (c * CLASS_WIDTH - 1) // 2 if c else (MIN_UNITS - 1) // 2
-        keys += [_hash(kind, c, "first", *parts[:q]), _hash(kind, c, "last", *parts[n - q :])]
+    for c, q in _half_sizes(len(parts)).items():
+        for side, half in ((FIRST, parts[:q]), (LAST, parts[len(parts) - q :])):
+            hashed = xxh64_intdigest(f"{kind}{c}\x1f{_joined(half)}")
+            keys.append(_signed(hashed >> 1 << 1 | side))
     return keys
 
 
-def variant_keys(kind: str, parts: list[str]) -> list[tuple[int, str]]:
-    """Key and role of each variant: one unit replaced, one left out, or the line itself."""
-    n = len(parts)
-    keys = {(_hash(kind, "whole", n, *parts), "whole")}
-    for k in range(n):
-        rest = parts[:k] + parts[k + 1 :]
-        keys.add((_hash(kind, "replaced", n, k, *rest), "replaced"))
-        keys.add((_hash(kind, "whole", n - 1, *rest), "shorter"))
+WHOLE, SHORTER, REPLACED = 0, 1, 2
+
+
+def variant_keys(kind: str, parts: list[str] | str, shared: int = 3) -> list[tuple[int, int]]:
+    """Key and role of each variant: the line itself, one unit left out, or replaced at its place.
+
+    ``shared`` has a bit for each side (first, last) on which a different line has an equal half. With
+    an equal first half the edit comes after it, and before an equal last half.
+    """
+    n, q = len(parts), min(_half_sizes(len(parts)).values())
+    places = range(0 if shared >> LAST & 1 else q, n if shared >> FIRST & 1 else n - q)
+    seed = 1 if kind == "word" else 0
+    text = _joined(parts)
+    keys = {(_signed(xxh64_intdigest(text, seed)), WHOLE)}
+    wide = 0 if isinstance(parts, str) else 1
+    start = len(_joined(parts[: places.start])) + (wide if places.start else 0) if n else 0
+    for k in places:
+        end = start + (len(parts[k]) if wide else 1)
+        # With the space behind it, or before it for the last word.
+        rest = text[:start] + text[end + wide :] if k < n - 1 else text[: max(0, start - wide)]
+        hashed = xxh64_intdigest(rest, seed)
+        keys.add((_signed(hashed), SHORTER))
+        at_place = (n << 32 | k + 1) * 0x9E3779B97F4A7C15 & 2**64 - 1
+        keys.add((_signed(hashed ^ at_place), REPLACED))
+        start = end + wide
     return list(keys)
 
 
@@ -126,65 +151,78 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _place() -> Column:
-    return F.struct("doc_id", "doc_key", "line", "h1", "h2")
+    return F.struct("doc_id", "line", "h1", "h2")
 
 
 def _active(lines: DataFrame) -> DataFrame:
-    """``h1`` of the lines that share a half with a different line."""
+    """``h1`` of the lines that share a half with a different line, and a bit for each such side."""
     halves = lines.select("h1", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b")
-    return halves.join(shared.select("half"), "half").select("h1").distinct()
+    met = halves.join(shared.select("half"), "half")
+    return met.groupBy("h1").agg(F.bit_or(F.when(F.col("half") % 2 == 0, 1).otherwise(2)).alias("shared"))
 
 
 def _texts(docs: DataFrame, first: DataFrame) -> DataFrame:
     """The normalised text of each line of ``first``, fetched from its document."""
-    wanted = first.groupBy("doc_key").agg(F.collect_list(F.struct("line", "h1", "h2", "doc_id")).alias("wanted"))
+    line = F.struct("line", "h1", "h2", "doc_id", "shared")
+    wanted = first.groupBy("doc_key").agg(F.collect_list(line).alias("wanted"))
     found = _with_key(docs).select("doc_key", "text").join(wanted, "doc_key")
+    names = ("line", "h1", "h2", "doc_id", "shared")
 
     def run(columns: dict[str, list]):
-        out: dict[str, list] = {k: [] for k in ("h1", "h2", "doc_id", "doc_key", "line", "content")}
-        for key, text, rows in zip(columns["doc_key"], columns["text"], columns["wanted"], strict=True):
+        out: dict[str, list] = {k: [] for k in (*names, "content")}
+        for text, rows in zip(columns["text"], columns["wanted"], strict=True):
             split = text.split("\n")
             for row in rows:
-                out["doc_key"].append(key)
                 out["content"].append(normalised(split[row["line"]]))
-                for name in ("h1", "h2", "doc_id", "line"):
+                for name in names:
                     out[name].append(row[name])
         yield out
 
-    return map_slices(found, run, "h1 long, h2 long, doc_id long, doc_key long, line int, content string")
+    return map_slices(found, run, "h1 long, h2 long, doc_id long, line int, shared int, content string")
+
+
+_VARIANT_ROWS = 50_000
 
 
 def _variants(texts: DataFrame) -> DataFrame:
+    names = ("h1", "h2", "doc_id", "line")
+
     def run(columns: dict[str, list]):
-        names = ("h1", "h2", "doc_id", "doc_key", "line")
+        out: dict[str, list] = {k: [] for k in ("variant", "role", *names)}
         for k, content in enumerate(columns["content"]):
-            keys = variant_keys(*units(content))
-            yield {
-                "variant": [v for v, _ in keys],
-                "role": [r for _, r in keys],
-                **{name: [columns[name][k]] * len(keys) for name in names},
-            }
+            keys = variant_keys(*units(content), columns["shared"][k])
+            out["variant"] += [v for v, _ in keys]
+            out["role"] += [r for _, r in keys]
+            for name in names:
+                out[name] += [columns[name][k]] * len(keys)
+            if len(out["variant"]) >= _VARIANT_ROWS:
+                yield out
+                out = {name: [] for name in out}
+        yield out
 
-    return map_slices(
-        texts, run, "variant long, role string, h1 long, h2 long, doc_id long, doc_key long, line int", text="content"
-    )
+    ddl = "variant long, role byte, h1 long, h2 long, doc_id long, line int"
+    return map_slices(texts, run, ddl, text="content")
 
 
 def _candidates(variants: DataFrame) -> DataFrame:
     """``h1, h2`` of a line and ``e1, e2`` of an earlier one with an equal variant."""
     place = _place()
 
-    def earliest(role: str) -> Column:
-        return F.min(F.when(F.col("role") == role, place)).alias(role)
+    def earliest(role: int, name: str) -> Column:
+        return F.min(F.when(F.col("role") == role, place)).alias(name)
 
     kept = variants.groupBy("variant").agg(
-        earliest("replaced"), earliest("shorter"), earliest("whole"), F.min("h1").alias("a"), F.max("h1").alias("b")
+        earliest(REPLACED, "replaced"),
+        earliest(SHORTER, "shorter"),
+        earliest(WHOLE, "whole"),
+        F.min("h1").alias("a"),
+        F.max("h1").alias("b"),
     )
     # A line meets others under one of its variants in three ways: both with the unit at the same
     # place replaced; it is the longer one; it is the shorter one.
-    met = F.when(F.col("role") == "replaced", F.col("replaced"))
-    met = met.when(F.col("role") == "shorter", F.col("whole")).otherwise(F.col("shorter"))
+    met = F.when(F.col("role") == REPLACED, F.col("replaced"))
+    met = met.when(F.col("role") == SHORTER, F.col("whole")).otherwise(F.col("shorter"))
     pairs = variants.join(kept.where("a != b"), "variant").withColumn("earlier", met)
     pairs = pairs.where(F.col("earlier") < place)
     return pairs.selectExpr("h1", "h2", "earlier.h1 AS e1", "earlier.h2 AS e2").distinct()
@@ -213,7 +251,7 @@ def duplicate_lines(docs: DataFrame) -> DataFrame:
     """
     lines = written(_lines(docs), "lines")
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "doc_key", "line")).alias("first"), F.count("*").alias("n"))
-    active = firsts.join(_active(lines), "h1").select("h1", "h2", "first.*")
+    active = firsts.join(_active(lines), "h1").select("h1", "h2", "first.*", "shared")
     texts = written(_texts(docs, active), "line-texts")
     variants = written(_variants(texts), "line-variants")
     near = _verified(_candidates(variants), texts).withColumn("near", F.lit(True))

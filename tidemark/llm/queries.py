@@ -80,9 +80,9 @@ ORACLES: dict[str, str] = {
             UNION ALL
             SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
         ),
-        -- A control string gets a backslash; role and text stand between marks of 6, 2 and 11 characters.
+        -- A control string gets a backslash; role and text stand between marks of 6, 2 and 9 characters.
         sized AS (
-            SELECT *, length(role) + length(text) + 19
+            SELECT *, length(role) + length(text) + 17
                 + len(regexp_extract_all(text, '<\\*/?turn\b'))
                 + len(regexp_extract_all(text, '#\\*##\s*[\p{L}\p{N}_]+:')) AS size
             FROM said
