@@ -13,6 +13,7 @@ from lakequeries.extracts import (
     ORDER_KEYS,
     RECENT_SQL,
     T0,
+    T0_SQL,
     T1,
     TAGGED_COLUMNS,
     TARGET_SQL,
@@ -22,6 +23,7 @@ from lakequeries.extracts import (
     names,
     read,
     recent,
+    tagged,
     target_orders,
     ts,
     with_year,
@@ -120,7 +122,8 @@ def fact_apply(spark, sf_dir):
 
 
 def scd2_init(spark, sf_dir):
-    return scd2.scd2_init(target_orders(spark, sf_dir), T0)
+    """A first load of all orders."""
+    return scd2.scd2_init(tagged(read(spark, sf_dir, "orders"), T0, "orders_0"), T0)
 
 
 def scd2_merge(spark, sf_dir):
@@ -331,7 +334,7 @@ ORACLES = {
     "soft_delete_scoped": _delete_sql(
         _FACT_YEAR_SQL, RECENT_SQL, (*TAGGED_COLUMNS, "o_year"), True
     ),
-    "scd2_init": HISTORY_SQL,
+    "scd2_init": HISTORY_SQL.replace(T0_SQL, "SELECT * FROM orders"),
     "scd2_merge": _scd2_sql(_DIFFERS),
     "scd2_merge_full": _scd2_sql(f"(s.o_orderkey IS NULL OR {_DIFFERS})"),
     "scd2_close_missing": _scd2_sql("s.o_orderkey IS NULL", insert=False),

@@ -20,11 +20,13 @@ from tidemark.operators import config, export, logs, retention, upkeep
 from tidemark.spec import PurgePolicy
 
 _SINCE = datetime(2024, 1, 20, 12, 0, 0)
-_APPLIED = "BronzeTable IN ('purchase', 'signup') AND NOT IsPurged AND NOT IsIgnorable"
+_USABLE = "NOT IsPurged AND NOT IsIgnorable"
+# Two of the tables are up to date, the others wait.
+_APPLIED = f"BronzeTable IN ('purchase', 'signup') AND {_USABLE}"
 
 
-def _process_log(spark, sf_dir):
-    files = log_of_events(spark, sf_dir).where(_APPLIED)
+def _process_log(spark, sf_dir, which=_USABLE):
+    files = log_of_events(spark, sf_dir).where(which)
     return logs.process_log_rows(files, NOW)
 
 
@@ -55,14 +57,14 @@ def pending_unapplied(spark, sf_dir):
         log_of_events(spark, sf_dir),
         _SINCE,
         include_previous=True,
-        applied=_process_log(spark, sf_dir),
+        applied=_process_log(spark, sf_dir, _APPLIED),
         ordered=False,
     )
     return pending.select(*_PENDING)
 
 
 def process_log_rows(spark, sf_dir):
-    return logs.process_log_rows(log_of_events(spark, sf_dir).where(_APPLIED), NOW)
+    return _process_log(spark, sf_dir)
 
 
 _POLICY = PurgePolicy(exclude_prefixes=("archive_low",))
@@ -202,8 +204,8 @@ def maintenance_due(spark, sf_dir):
 
 # --- SQL twins ----------------------------------------------------------------------------------
 
-_APPLIED_SQL = f"""SELECT * FROM ({LOG_EVENTS_SQL}) WHERE "BronzeTable" IN ('purchase', 'signup')
-    AND NOT "IsPurged" AND NOT "IsIgnorable" """
+_USABLE_SQL = f"""SELECT * FROM ({LOG_EVENTS_SQL}) WHERE NOT "IsPurged" AND NOT "IsIgnorable" """
+_APPLIED_SQL = f"""SELECT * FROM ({_USABLE_SQL}) WHERE "BronzeTable" IN ('purchase', 'signup')"""
 _SINCE_SQL = ts(str(_SINCE))
 _PENDING_SQL = ", ".join(f'"{c}"' for c in _PENDING)
 _ELIGIBLE_SQL = f"""SELECT *, CAST(weekofyear("ArchiveDatetimeUTC") AS INTEGER) AS "ArchiveWeekUTC"
@@ -290,12 +292,12 @@ QUERIES = {
 
 ORACLES = {
     "watermark": f"""SELECT max("ArchiveDatetimeUTC") AS "ArchiveDatetimeUTC"
-        FROM ({_APPLIED_SQL})""",
+        FROM ({_USABLE_SQL})""",
     "watermark_first_run": f"""SELECT coalesce(max("ArchiveDatetimeUTC"),
         date_trunc('day', {ts(NOW)}) - INTERVAL 90 DAY) AS "ArchiveDatetimeUTC"
-        FROM ({_APPLIED_SQL}) WHERE "OriginalStagingFileSize" < 0""",
+        FROM ({_USABLE_SQL}) WHERE "OriginalStagingFileSize" < 0""",
     "watermark_by_source": f"""SELECT "BronzeSchema", "BronzeTable",
-        max("ArchiveDatetimeUTC") AS "ArchiveDatetimeUTC" FROM ({_APPLIED_SQL}) GROUP BY 1, 2""",
+        max("ArchiveDatetimeUTC") AS "ArchiveDatetimeUTC" FROM ({_USABLE_SQL}) GROUP BY 1, 2""",
     "pending_files": f"""SELECT {_PENDING_SQL} FROM ({LOG_EVENTS_SQL})
         WHERE "ArchiveDatetimeUTC" > {_SINCE_SQL} AND NOT "IsPurged" AND NOT "IsIgnorable" """,
     "pending_unapplied": f"""SELECT {_PENDING_SQL} FROM ({LOG_EVENTS_SQL})
@@ -304,7 +306,7 @@ ORACLES = {
     "process_log_rows": f"""SELECT {ts(NOW)} AS "ProcessDatetime", "ArchiveDatetimeUTC",
         "OriginalStagingFilePath", "OriginalStagingFileName", "OriginalStagingFileSize",
         "ArchiveFilePath", "ArchiveFileName", "BronzeSchema", "BronzeTable"
-        FROM ({_APPLIED_SQL})""",
+        FROM ({_USABLE_SQL})""",
     "table_catalog_filter": f"""SELECT "ArchiveTable", count(*) AS n_files FROM ({LOG_ORDERS_SQL})
         WHERE starts_with("ArchiveTable", 'archive_')
         AND NOT starts_with("ArchiveTable", 'archive_low') GROUP BY 1""",
