@@ -262,3 +262,10 @@ def test_scope_on_audit_column_needs_replay(spark):
     rows = backlog(spark, [[{"k": 1, "v": "x", "g": "a"}]])
     with pytest.raises(fold.NeedsReplay):
         fold.fact_fold(None, rows, ["k"], log(spark, 1), ["__OriginalStagingFileName"])
+
+
+def test_type_2_merge_refuses_other_policies(spark):
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    for policy in ("latest", "allow"):
+        with pytest.raises(ValueError):
+            scd2.scd2_merge(rows, rows, ["k"], day(1), on_duplicate=policy)

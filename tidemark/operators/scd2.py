@@ -44,6 +44,8 @@ def scd2_merge(
     stamp = moment(batch_ts)
     if on_duplicate == "any":
         source = source.dropDuplicates(list(keys))
+    elif on_duplicate != "error":
+        raise ValueError(f"a type-2 merge takes on_duplicate 'error' or 'any', not {on_duplicate!r}")
     opened = scd2_init(source, batch_ts)
     schema = merged_schema(target.schema, opened.schema)
     closed = conform(target.where(~F.col(CURRENT)), schema)
