@@ -16,11 +16,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.text import map_slices, with_text, words
+from tidemark.llm.text import map_slices, short_batches, with_text, words
 
 BITS = 16
 # Fixed threshold on the calibrated probability that a document is good.
@@ -101,7 +102,7 @@ def features(text: str, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(slots), np.concatenate(weights) / np.sqrt(len(slots))
 
 
-_word_hash = lru_cache(maxsize=300_000)(xxh64_intdigest)
+_word_hash = lru_cache(maxsize=150_000)(xxh64_intdigest)
 
 
 @dataclass
@@ -242,10 +243,8 @@ def keep_good(docs: DataFrame, model: Model | None, min_good: float = MIN_GOOD)
     kept = docs.schema
 
     def run(batches):
-        import pyarrow as pa
-
         fitted = weights.value
-        for batch in batches:
+        for batch in short_batches(batches):
             verdicts = []
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 tokens = words((text or "").encode())
