@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from tidemark.llm.text import arrow_schema, slices, with_text, words
+from tidemark.llm.text import arrow_schema, in_small_batches, slices, with_text, words
 from tidemark.session import scratch_path
 
 SHINGLE = 5
@@ -202,7 +202,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         yield from _batches((_in_full(*row) for row in _rows(batches)), result)
 
     path = scratch_path(docs.sparkSession, "fingerprints")
-    walked = numbered.mapInArrow(walk, _STAGED)
+    walked = in_small_batches(numbered).mapInArrow(walk, _STAGED)
     walked.write.option("compression", "zstd").parquet(path)
     walked = docs.sparkSession.read.schema(walked.schema).parquet(path)
     ends = walked.where("role != 'done'")

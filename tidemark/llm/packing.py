@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.byte_bpe import byte_characters
-from tidemark.llm.text import Recent, arrow_schema, map_slices, with_text
+from tidemark.llm.text import Recent, arrow_schema, in_small_batches, map_slices, with_text
 from tidemark.session import written
 
 VOCABULARY = "word_bpe_49k.json"
@@ -243,4 +243,4 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Data
         if pieces:
             yield batch_of(pieces)
 
-    return ordered.select("doc_id", "ids").mapInArrow(run, _PIECES)
+    return in_small_batches(ordered.select("doc_id", "ids")).mapInArrow(run, _PIECES)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.text import map_slices, short_batches, with_text, words
+from tidemark.llm.text import in_small_batches, map_slices, with_text, words
 
 BITS = 16
 # Fixed threshold on the calibrated probability that a document is good.
@@ -244,7 +244,7 @@ def keep_good(docs: DataFrame, model: Model | None, min_good: float = MIN_GOOD)
 
     def run(batches):
         fitted = weights.value
-        for batch in short_batches(batches):
+        for batch in batches:
             verdicts = []
             for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
                 tokens = words((text or "").encode())
@@ -254,4 +254,4 @@ def keep_good(docs: DataFrame, model: Model | None, min_good: float = MIN_GOOD)
                 verdicts.append(passes)
             yield batch.filter(pa.array(verdicts, pa.bool_()))
 
-    return docs.mapInArrow(run, kept)
+    return in_small_batches(docs).mapInArrow(run, kept)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.text import map_slices, sha256_hex, short_batches, with_text
+from tidemark.llm.text import in_small_batches, map_slices, sha256_hex, with_text
 
 KINDS = ("assign", "access", "hex")
 _RANK = {kind: k for k, kind in enumerate(KINDS)}
@@ -316,7 +316,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        for batch in short_batches(batches):
+        for batch in batches:
             at = batch.schema.get_field_index("text")
             texts = [None if t is None else redact(t) for t in batch.column(at).to_pylist()]
             batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
@@ -327,4 +327,4 @@ def redact_documents(docs: DataFrame) -> DataFrame:
                 batch = batch.set_column(counted, field, pa.array(lengths, field.type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)

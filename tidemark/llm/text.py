@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 # Rows are handed to Python in slices of about this many characters and at most this many rows,
 # whatever Arrow's batch size is.
 SLICE_CHARS = 4_000_000
-SLICE_ROWS = 2_000
+SLICE_ROWS = 1_000
 
 
 def words(data: bytes) -> list[bytes]:
@@ -32,6 +32,21 @@ def with_text(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return df.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same frame; sees to it that its session hands at most 1,000 rows to Python at once.
+
+    Texts are long: ten thousand of them, Spark's default, are held several times over by an executor
+    and its workers. The setting changes no result; one that is lower already stays.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_ROWS)) <= SLICE_ROWS:
+        conf.set(_BATCH_ROWS, str(SLICE_ROWS))
+    return df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have in any case."""
     taken = {c.lower() for c in df.columns}
@@ -59,13 +74,6 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[dict[str, list
             start, total = i, 0
 
 
-def short_batches(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def map_slices(
     df: DataFrame, fn: Callable[[dict[str, list]], Iterable[dict[str, list]]], ddl: str, text: str = "text"
 ) -> DataFrame:
@@ -80,7 +88,7 @@ def map_slices(
                     arrays = [pa.array(out[f.name], f.type) for f in schema]
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return df.mapInArrow(run, ddl)
+    return in_small_batches(df).mapInArrow(run, ddl)
 
 
 class Recent(dict):
