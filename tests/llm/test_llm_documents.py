@@ -180,6 +180,17 @@ def test_wrapped_secrets_are_found_in_place(outer, inner):
     assert secret_scan.find(secret_scan.redact(text)) == ([], [])
 
 
+@pytest.mark.parametrize("before, after", [("note%3A%20", ""), ("q=%22", "%22"), (r"x\u003d", ""), (r"\u0022", r"\u0022")])
+def test_base64_behind_an_escape(before, after):
+    # The hex digits of the escape belong to the alphabet of base64, and shift its groups.
+    wrapped = wrap_base64(SECRET).rstrip("=")
+    text = f"a {before}{wrapped}{after} b"
+    deeper = secret_scan.find(text)[1]
+    start = text.index(wrapped)
+    assert any(f.rank == 0 and start <= f.start < f.end <= start + len(wrapped) for f in deeper)
+    assert wrapped not in secret_scan.redact(text)
+
+
 def test_exact_places_and_leftmost_rule():
     text = "x pass%77ord=abcdefghijkl y"
     assert [f.label() for f in secret_scan.find(text)[1]] == ["assign:2:25"]

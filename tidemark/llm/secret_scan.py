@@ -75,15 +75,11 @@ def scan(text: str) -> list[Found]:
 
 
 class Layer(NamedTuple):
-    """Decoded text; ``starts`` and ``ends`` give the document's code points behind each character.
-
-    ``fresh`` marks the characters that decoding made; what has none of them was seen one layer up.
-    """
+    """Decoded text; ``starts`` and ``ends`` give the document's code points behind each character."""
 
     text: str
     starts: np.ndarray
     ends: np.ndarray
-    fresh: np.ndarray
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
@@ -120,7 +116,7 @@ def _escapes_decoded(run: str) -> list[tuple[str, int]] | None:
 
 def _decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with every run that decodes replaced; None if there is none."""
-    texts, starts, ends, fresh = [], [], [], []
+    texts, starts, ends = [], [], []
     at = 0
     for m in pattern.finditer(layer.text):
         made = decode(m[0])
@@ -130,22 +126,15 @@ def _decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None
         texts.append(layer.text[kept])
         starts.append(layer.starts[kept])
         ends.append(layer.ends[kept])
-        fresh.append(np.zeros(m.start() - at, bool))
         begins = m.start() + np.cumsum([0, *(n for _, n in made)])
         texts.append("".join(c for c, _ in made))
         starts.append(layer.starts[begins[:-1]])
         ends.append(layer.ends[begins[1:] - 1])
-        fresh.append(np.ones(len(made), bool))
         at = m.end()
     if not texts:
         return None
     texts.append(layer.text[at:])
-    parts = (
-        np.concatenate([*starts, layer.starts[at:]]),
-        np.concatenate([*ends, layer.ends[at:]]),
-        np.concatenate([*fresh, np.zeros(len(layer.text) - at, bool)]),
-    )
-    return Layer("".join(texts), *parts)
+    return Layer("".join(texts), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
 def _from_base64(run: str) -> bytes | None:
@@ -192,8 +181,6 @@ def _unpacked(data: bytes) -> tuple[bytes, bool]:
 
 def _base64_layers(layer: Layer) -> Iterator[Layer]:
     for m in _BASE64.finditer(layer.text):
-        if not layer.fresh[m.start() : m.end()].any():
-            continue
         data = _from_base64(m[0])
         if data is None:
             continue
@@ -204,13 +191,13 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
         n = len(text)
         if compressed:
             start, end = layer.place(m.start(), m.end())
-            yield Layer(text, np.full(n, start), np.full(n, end), np.ones(n, bool))
+            yield Layer(text, np.full(n, start), np.full(n, end))
             continue
         sizes = np.array([len(c.encode()) for c in text])
         byte_ends = np.cumsum(sizes)
         first = m.start() + (byte_ends - sizes) // 3 * 4
         last = np.minimum(m.start() + ((byte_ends - 1) // 3 + 1) * 4, m.end())
-        yield Layer(text, layer.starts[first], layer.ends[last - 1], np.ones(n, bool))
+        yield Layer(text, layer.starts[first], layer.ends[last - 1])
 
 
 def _children(layer: Layer) -> Iterator[Layer]:
@@ -245,7 +232,7 @@ def find(text: str) -> tuple[list[Found], list[Found]]:
     if not _may_unwrap(text):
         return base, []
     n = len(text)
-    top = Layer(text, np.arange(n), np.arange(1, n + 1), np.ones(n, bool))
+    top = Layer(text, np.arange(n), np.arange(1, n + 1))
     work, seen, deeper = [top], {_identity(top)}, set()
     while work:
         layer = work.pop()
@@ -256,9 +243,8 @@ def find(text: str) -> tuple[list[Found], list[Found]]:
             seen.add(key)
             work.append(child)
             for f in scan(child.text):
-                if child.fresh[f.start : f.end].any():
-                    start, end = child.place(f.start, f.end)
-                    deeper.add(Found(start, f.rank, end, *child.place(f.value_start, f.value_end)))
+                start, end = child.place(f.start, f.end)
+                deeper.add(Found(start, f.rank, end, *child.place(f.value_start, f.value_end)))
     known = {(f.start, f.rank, f.end) for f in base}
     return base, sorted(f for f in deeper if (f.start, f.rank, f.end) not in known)
 
