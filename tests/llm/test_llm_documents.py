@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 import urllib.parse
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -191,6 +192,40 @@ def test_base64_behind_an_escape(before, after):
     assert wrapped not in secret_scan.redact(text)
 
 
+def wrap_lines(data):
+    return base64.encodebytes(data).decode().rstrip("\n")
+
+
+LONG = f"{'x ' * 29}{SECRET}{' y' * 40}"
+NOISE = random.Random(5).randbytes(200).hex().upper()
+
+
+@pytest.mark.parametrize(
+    "before, wrapped, after",
+    [
+        ("https://h.example/cb/", wrap_base64(SECRET).rstrip("="), "/next"),
+        ("id_", wrap_base64(SECRET), ""),
+        ("key-", wrap_gzip(SECRET), ""),
+        ("abc", wrap_base64(SECRET).rstrip("=")[:-1], ""),
+        ("", wrap_lines(LONG.encode()), ""),
+        ("mail:\n", wrap_lines(LONG.encode()).replace("\n", "\r\n  "), "\nend"),
+        ("", wrap_lines(gzip.compress((NOISE + LONG).encode(), mtime=0)), ""),
+        ("", wrap_lines(zlib.compress((NOISE + LONG).encode())), ""),
+        ("", urllib.parse.quote(gzip.compress(SECRET.encode(), mtime=0)), ""),
+        ("", "".join(f"\\x{b:02x}" for b in zlib.compress(SECRET.encode())), " Ω"),
+        ("", r"\ud83d" + wrap_escapes(SECRET), ""),
+        ("", "%FF" + "".join(f"%{b:02x}" for b in SECRET.encode()), ""),
+        *(("", wrap_base64(f"é{c} {SECRET}"), "") for c in "\u00a0\u3000\u200b\u200d\ufeff\f\0"),
+    ],
+)
+def test_base64_at_any_place_and_any_text_in_it(before, wrapped, after):
+    text = f"a {before}{wrapped}{after} b"
+    start = text.index(wrapped)
+    found = [f for f in secret_scan.find(text)[1] if f.rank == 0]
+    assert any(start <= f.start < f.end <= start + len(wrapped) + 3 for f in found)
+    assert [f for f in secret_scan.find(secret_scan.redact(text))[1] if f.rank == 0] == []
+
+
 def test_exact_places_and_leftmost_rule():
     text = "x pass%77ord=abcdefghijkl y"
     assert [f.label() for f in secret_scan.find(text)[1]] == ["assign:2:25"]

@@ -1,21 +1,24 @@
 """Secrets in text, under any number of encodings.
 
 A worklist holds layers of a document: its text, and whatever unwraps from a layer. Percent runs and
-Unicode escapes are decoded in place, giving the whole layer anew; runs of base64 give a layer of
-their own, and so does what is compressed (gzip, zlib) inside one. Every layer is scanned like the
+Unicode escapes are decoded in place, giving the whole layer anew; runs of base64 give layers of
+their own, and so does what is compressed (gzip, zlib) anywhere in one. Every layer is scanned like the
 text itself. A layer knows for each of its characters which code points of the document it came from,
 so what is found there is reported in places of the document: exact for decoding in place, whole
-groups of four for base64, the whole run for compressed data. A layer that was met before, with the
+groups of four for base64, the whole stream for compressed data. A layer that was met before, with the
 same content from the same place, is not unwrapped again; that ends cycles, such as an archive that
 holds itself. Decoding in place and base64 shorten, and zlib's expansion is bounded by its format
 (about 1,000 times), so no limit is set on depth or size.
+
+Decoded bytes are kept as one character each. Secrets and wrappings are ASCII, which reads the same so
+in every 8-bit code and in UTF-8, and compressed data stays whole. What stands before a blob may belong
+to the alphabet of base64 and shift its groups of four, so a run is decoded from each of its first four
+characters; lines that only a line end separates are one run.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
-import gzip
 import hashlib
 import re
 import zlib
@@ -44,7 +47,18 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % MIN_BASE64)
+_DIGIT = "[A-Za-z0-9+/_-]"
+_LINE_END = r"[ \t]*+\r?\n[ \t]*+"
+_BASE64 = re.compile(
+    rf"(?<!{_DIGIT})(?:{_DIGIT}{{{MIN_BASE64},}}+|{_DIGIT}++(?={_LINE_END}{_DIGIT}))(?:{_LINE_END}{_DIGIT}++)*+"
+)
+_DIGITS = re.compile(f"{_DIGIT}+")
+_STANDARD = str.maketrans("-_", "+/")
+# What a gzip or zlib stream begins with.
+_MAGIC = re.compile("\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+# No secret and no wrapping of one is shorter than this, and all are of these characters.
+_TELLING = re.compile(r"[\t\n\r\x20-\x7e]{%d}" % MIN_BASE64)
+_WIDE = re.compile("[^\x00-\xff]")
 
 
 class Found(NamedTuple):
@@ -85,43 +99,33 @@ class Layer(NamedTuple):
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _percent_decoded(run: str) -> list[tuple[str, int]] | None:
-    """Characters of a percent run and how many characters of the run each took; None if not UTF-8."""
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    return [(c, 3 * len(c.encode())) for c in text]
+def _percent_decoded(run: str) -> list[tuple[str, int]]:
+    """The bytes of a percent run as characters, and how many characters of the run each took."""
+    return [(c, 3) for c in bytes.fromhex(run.replace("%", "")).decode("latin-1")]
 
 
-def _escapes_decoded(run: str) -> list[tuple[str, int]] | None:
-    """Characters of a run of escapes; None if it holds half a surrogate pair or no code point."""
+def _escapes_decoded(run: str) -> list[tuple[str, int]]:
+    """Characters of a run of escapes; U+FFFD for half a surrogate pair and for what is no code point."""
     out: list[tuple[str, int]] = []
     high = None
     for m in _ESCAPE.finditer(run):
         code, width = int(m[1] or m[2] or m[3], 16), m.end() - m.start()
-        if high is not None:
-            if not 0xDC00 <= code < 0xE000:
-                return None
-            out.append((chr(0x10000 + ((high - 0xD800) << 10) + code - 0xDC00), 2 * width))
+        if high is not None and 0xDC00 <= code < 0xE000:
+            before = out.pop()[1]
+            out.append((chr(0x10000 + ((high - 0xD800) << 10) + code - 0xDC00), before + width))
             high = None
-        elif 0xD800 <= code < 0xDC00:
-            high = code
-        elif 0xDC00 <= code < 0xE000 or code > 0x10FFFF:
-            return None
-        else:
-            out.append((chr(code), width))
-    return None if high is not None else out
+            continue
+        high = code if 0xD800 <= code < 0xDC00 else None
+        out.append(("\ufffd" if 0xD800 <= code < 0xE000 or code > 0x10FFFF else chr(code), width))
+    return out
 
 
 def _decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every run that decodes replaced; None if there is none."""
+    """The layer with every run decoded; None if there is none."""
     texts, starts, ends = [], [], []
     at = 0
     for m in pattern.finditer(layer.text):
         made = decode(m[0])
-        if not made:
-            continue
         kept = slice(at, m.start())
         texts.append(layer.text[kept])
         starts.append(layer.starts[kept])
@@ -137,34 +141,36 @@ def _decoded_in_place(layer: Layer, pattern: re.Pattern, decode) -> Layer | None
     return Layer("".join(texts), np.concatenate([*starts, layer.starts[at:]]), np.concatenate([*ends, layer.ends[at:]]))
 
 
-def _from_base64(run: str) -> bytes | None:
-    if len(run) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
-    except (binascii.Error, ValueError):
-        return None
+_PROBE = 64 * 1024
+_STEP = 64
 
 
-def _decompressed(data: bytes) -> bytes | None:
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return gzip.decompress(data)
-        if data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompress(data)
-    except (OSError, EOFError, zlib.error):
-        pass
-    return None
+def _inflated(data: bytes) -> tuple[bytes, int]:
+    """What comes out of the stream that data begins with, and how much of data it took.
+
+    All members of a gzip file count; a stream that is cut off or damaged gives what stands before,
+    to the nearest ``_STEP`` bytes.
+    """
+    out, at = [], 0
+    while at == 0 or data[at : at + 3] == b"\x1f\x8b\x08":
+        stream = zlib.decompressobj(47)
+        try:
+            while not stream.eof and at < len(data):
+                part = data[at : at + _STEP]
+                out.append(stream.decompress(part))
+                at += len(part) - len(stream.unused_data)
+        except zlib.error:
+            at = min(len(data), at + _STEP)
+            break
+        if not stream.eof:
+            break
+    return b"".join(out), at
 
 
-def _readable(data: bytes) -> str | None:
-    """UTF-8 text without control characters, or None."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    printable = text.replace("\n", "").replace("\r", "").replace("\t", "")
-    return text if printable.isprintable() else None
+def _decompressed(data: bytes) -> bytes | None:
+    if _MAGIC.match(data[:3].decode("latin-1")):
+        return _inflated(data)[0] or None
+    return None
 
 
 def _unpacked(data: bytes) -> tuple[bytes, bool]:
@@ -179,25 +185,54 @@ def _unpacked(data: bytes) -> tuple[bytes, bool]:
     return data, bool(seen)
 
 
-def _base64_layers(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        data = _from_base64(m[0])
-        if data is None:
-            continue
-        data, compressed = _unpacked(data)
-        text = _readable(data)
-        if not text:
+def _runs(text: str) -> Iterator[np.ndarray]:
+    """Places of the digits of each run of base64: lines joined, and alone where no encoder broke them."""
+    for m in _BASE64.finditer(text):
+        lines = [np.arange(*d.span()) for d in _DIGITS.finditer(text, *m.span())]
+        digits = lines[0] if len(lines) == 1 else np.concatenate(lines)
+        if len(digits) < MIN_BASE64:
             continue
-        n = len(text)
-        if compressed:
-            start, end = layer.place(m.start(), m.end())
-            yield Layer(text, np.full(n, start), np.full(n, end))
+        yield digits
+        sizes = {len(line) for line in lines[:-1]}
+        if len(lines) > 1 and (len(sizes) > 1 or sizes.pop() % 4 or len(lines[-1]) > len(lines[0])):
+            yield from (line for line in lines if len(line) >= MIN_BASE64)
+
+
+def _from_base64(text: str, digits: np.ndarray) -> Iterator[tuple[np.ndarray, str]]:
+    """The bytes of a run, as characters, from each of its first four digits, where they may tell something."""
+    first, last = int(digits[0]), int(digits[-1]) + 1
+    run = text[first:last]
+    if last - first != len(digits):
+        run = "".join(_DIGITS.findall(run))
+    run = run.translate(_STANDARD)
+    for k in range(4):
+        size = len(run) - k - ((len(run) - k) % 4 == 1)
+        made = base64.b64decode(run[k : k + size] + "=" * (-size % 4)).decode("latin-1")
+        if _TELLING.search(made) or _MAGIC.search(made):
+            yield digits[k : k + size], made
+
+
+def _base64_layers(layer: Layer) -> Iterator[Layer]:
+    for run in _runs(layer.text):
+        for digits, made in _from_base64(layer.text, run):
+            byte = np.arange(len(made))
+            first, last = digits[byte // 3 * 4], digits[np.minimum(byte // 3 * 4 + 3, len(digits) - 1)]
+            yield Layer(made, layer.starts[first], layer.ends[last])
+
+
+def _compressed_layers(layer: Layer) -> Iterator[Layer]:
+    for m in _MAGIC.finditer(layer.text):
+        start = m.start()
+        wide = _WIDE.search(layer.text, start)
+        end = wide.start() if wide else len(layer.text)
+        # Most of what looks like the head of a stream is none, which a small part tells.
+        if not _inflated(layer.text[start : min(end, start + _PROBE)].encode("latin-1"))[0]:
             continue
-        sizes = np.array([len(c.encode()) for c in text])
-        byte_ends = np.cumsum(sizes)
-        first = m.start() + (byte_ends - sizes) // 3 * 4
-        last = np.minimum(m.start() + ((byte_ends - 1) // 3 + 1) * 4, m.end())
-        yield Layer(text, layer.starts[first], layer.ends[last - 1])
+        data, used = _inflated(layer.text[start:end].encode("latin-1"))
+        text = _unpacked(data)[0].decode("latin-1")
+        if _TELLING.search(text) or _MAGIC.search(text):
+            begin, finish = layer.place(start, start + used)
+            yield Layer(text, np.full(len(text), begin), np.full(len(text), finish))
 
 
 def _children(layer: Layer) -> Iterator[Layer]:
@@ -209,6 +244,7 @@ def _children(layer: Layer) -> Iterator[Layer]:
         made = _decoded_in_place(layer, _ESCAPES, _escapes_decoded)
         if made is not None:
             yield made
+    yield from _compressed_layers(layer)
     yield from _base64_layers(layer)
 
 
@@ -217,13 +253,9 @@ _WRAPPED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f]{2}")
 
 def _may_unwrap(text: str) -> bool:
     """Whether anything in a text decodes, told without the maps of places."""
-    if _WRAPPED.search(text):
+    if _WRAPPED.search(text) or _MAGIC.search(text):
         return True
-    for m in _BASE64.finditer(text):
-        data = _from_base64(m[0])
-        if data is not None and _readable(_unpacked(data)[0]):
-            return True
-    return False
+    return any(True for run in _runs(text) for _ in _from_base64(text, run))
 
 
 def find(text: str) -> tuple[list[Found], list[Found]]:
