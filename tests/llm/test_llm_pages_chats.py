@@ -56,6 +56,27 @@ def test_pages_without_an_article(spark):
         assert got[k] == f"Headline {k} & more\n\nFirst paragraph {k} with bold text\n\nSecond <{k}>\n\ncell {k}"
 
 
+def extracted(spark, sources):
+    rows = [(k, f"http://one.example/{k}", source) for k, source in enumerate(sources)]
+    found = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in found}
+
+
+def test_text_that_differs_at_a_template_node_stays(spark):
+    short = "<article><h1>Short notice</h1><p>Closed today.</p><p>Number {}</p></article>"
+    other = "<article><h1>Another head</h1><p>Its lead.</p>" + "<p>A longer paragraph of its own.</p>" * 9 + "</article>"
+    got = extracted(spark, [*(short.format(k) for k in range(20)), other])
+    assert got[20].startswith("Another head\n\nIts lead.\n\nA longer")
+
+
+def test_copies_of_a_page_without_an_article_stay(spark):
+    copy = "<body><div><h1>A head</h1><p>The text of it all.</p><p>More of it.</p></div></body>"
+    counted = copy.replace("</body>", "<p>{}</p></body>")
+    got = extracted(spark, [copy] * 20 + [copy.replace("A head", "B head")])
+    assert got[0] == "A head\n\nThe text of it all.\n\nMore of it." and got[20].startswith("B head")
+    assert all("A head\n\nThe text of it all." in t for t in extracted(spark, [counted.format(k) for k in range(20)]).values())
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, "x"),

@@ -2,9 +2,9 @@
 
 Pages of one host are made from one template. One page of a host is its pivot; the DOM tree of every
 other page is aligned with the pivot's by simple tree matching (Yang, 1991), so that each block of
-text falls onto a node of the pivot or onto none. Counted over all pages of the host, a node that
-almost always holds the same text is template; nodes whose text varies, and what has no counterpart,
-are slots for content.
+text falls onto a node of the pivot or onto none. Counted over all different pages of the host (copies
+of a page say nothing about its template), a text that a node almost always holds is template there;
+other texts of the node, nodes whose text varies, and what has no counterpart, are slots for content.
 
 What varies is not always the article: menus, adverts and footers vary too. Elements that say what they
 are (``nav``, ``footer``, ``form``, class and id words) never count. Of the slots, those inside the
@@ -21,15 +21,19 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from xxhash import xxh64_intdigest
+
 from tidemark.llm.text import map_slices
 from tidemark.session import written
 
 # A node is template if at least this many pages have it, and this share of them with one text.
 MIN_PAGES = 5
 CONSTANT_SHARE = 0.9
-# Template nodes inside an article go only if they are less than this share of its text: where whole
+# Template inside an article goes only if it is less than this share of its text: where whole
 # articles repeat, the article is constant too and is still the content.
 MAX_TEMPLATE_SHARE = 0.3
+# The same for pages without an article, where much more may be the site's own text.
+MAX_TEMPLATE_SHARE_OUTSIDE = 0.7
 # The content element of a page without an article holds at least this share of the varying text.
 REGION_SHARE = 0.7
 # Pivots and template nodes are broadcast up to this size (checked), else joined with a shuffle.
@@ -291,17 +295,19 @@ def aligned_blocks(source: str, pivot_source: str) -> list[dict]:
         {
             "node": pairs.get(page.owners[k].index, -1),
             "text": page.texts[k],
+            "content": xxh64_intdigest(page.texts[k].encode()) - (1 << 63),
             "path": None if inside else _path(page.owners[k]),
         }
         for k in chosen
     ]
 
 
-def content(blocks: list[dict], template: set[int]) -> list[str]:
-    """Texts of the content blocks in page order."""
+def content(blocks: list[dict], template: set[tuple[int, int]]) -> list[str]:
+    """Texts of the content blocks in page order; ``template`` has nodes with the hash of their text."""
     total = sum(len(b["text"]) for b in blocks)
-    slots = [b for b in blocks if b["node"] not in template]
-    if sum(len(b["text"]) for b in slots) < (1 - MAX_TEMPLATE_SHARE) * total and blocks and blocks[0]["path"] is None:
+    slots = [b for b in blocks if (b["node"], b["content"]) not in template]
+    inside = bool(blocks) and blocks[0]["path"] is None
+    if sum(len(b["text"]) for b in slots) < (1 - (MAX_TEMPLATE_SHARE if inside else MAX_TEMPLATE_SHARE_OUTSIDE)) * total:
         slots = blocks
     if slots and slots[0]["path"] is not None:
         weight: dict[int, int] = {}
@@ -320,7 +326,7 @@ def _small(df: DataFrame, size) -> DataFrame:
     return F.broadcast(df) if total <= MAX_BROADCAST_BYTES else df
 
 
-_BLOCKS = "array<struct<node:int,text:string,path:array<int>>>"
+_BLOCKS = "array<struct<node:int,text:string,content:long,path:array<int>>>"
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -337,21 +343,28 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def aligned(columns: dict[str, list]):
         found = [aligned_blocks(h, p) for h, p in zip(columns["html"], columns["pivot"], strict=True)]
-        yield {name: columns[name] for name in ("page_id", "url", "host")} | {"blocks": found}
+        # Copies have the same blocks at the same nodes.
+        same = [xxh64_intdigest(repr([(b["node"], b["content"]) for b in blocks])) - (1 << 63) for blocks in found]
+        yield {name: columns[name] for name in ("page_id", "url", "host")} | {"copy": same, "blocks": found}
 
-    schema = f"page_id long, url string, host string, blocks {_BLOCKS}"
+    schema = f"page_id long, url string, host string, copy long, blocks {_BLOCKS}"
     blocks = written(map_slices(joined, aligned, schema, text="html"), "blocks")
-    seen = blocks.select("host", F.explode("blocks").alias("b")).where("b.node >= 0")
-    texts = seen.groupBy("host", "b.node", F.xxhash64("b.text").alias("content")).agg(F.count("*").alias("n"))
-    nodes = texts.groupBy("host", "node").agg(F.sum("n").alias("pages"), F.max("n").alias("same"))
+    placed = F.filter("blocks", lambda b: b["node"] >= 0)
+    placed = F.transform(placed, lambda b: F.struct(b["node"].alias("node"), b["content"].alias("content")))
+    seen = blocks.select("host", "copy", F.explode(placed).alias("b")).select("host", "copy", "b.*").distinct()
+    texts = seen.groupBy("host", "node", "content").agg(F.count("*").alias("n"))
+    nodes = texts.groupBy("host", "node").agg(
+        F.sum("n").alias("pages"), F.max("n").alias("same"), F.max_by("content", "n").alias("content")
+    )
     constant = nodes.where((F.col("pages") >= MIN_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("pages")))
     # At most one entry for each node of a pivot.
-    templates = written(constant.groupBy("host").agg(F.collect_set("node").alias("template")), "templates")
-    with_template = blocks.join(_small(templates, 8 * F.size("template") + 100), "host", "left")
+    entry = F.struct("node", "content")
+    templates = written(constant.groupBy("host").agg(F.collect_set(entry).alias("template")), "templates")
+    with_template = blocks.join(_small(templates, 16 * F.size("template") + 100), "host", "left")
 
     def chosen(columns: dict[str, list]):
         pairs = zip(columns["blocks"], columns["template"], strict=True)
-        texts = ["\n\n".join(content(b, set(t or ()))) for b, t in pairs]
+        texts = ["\n\n".join(content(b, {(x["node"], x["content"]) for x in t or ()})) for b, t in pairs]
         yield {
             "page_id": columns["page_id"],
             "url": columns["url"],
