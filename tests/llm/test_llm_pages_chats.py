@@ -77,6 +77,22 @@ def test_copies_of_a_page_without_an_article_stay(spark):
     assert all("A head\n\nThe text of it all." in t for t in extracted(spark, [counted.format(k) for k in range(20)]).values())
 
 
+def test_all_of_a_page_without_an_article_stays(spark):
+    beside = "<body><h1>Head {0}</h1><p>Lead {0}</p><div class=body>" + "<p>Paragraph {0} of the text.</p>" * 9 + "</div></body>"
+    sections = "<body><section><p>Short {0}</p></section><section>" + "<p>Paragraph {0} of the text.</p>" * 9 + "</section></body>"
+    for source, first in ((beside, "Head {0}\n\nLead {0}\n\n"), (sections, "Short {0}\n\n")):
+        got = extracted(spark, [source.format(k) for k in range(6)])
+        for k in range(6):
+            assert got[k] == first.format(k) + "\n\n".join([f"Paragraph {k} of the text."] * 9)
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "post no-comments", "ad-free", "widget", "content sharing"])
+def test_a_class_word_does_not_empty_a_page(name):
+    for tag in ("article", "div"):
+        page = f"<body><div class='{name}'><{tag}><p>The text of the page.</p></{tag}></div><div class='sidebar'>Aside</div></body>"
+        assert [b["text"] for b in html_extract.aligned_blocks(page, page)] == ["The text of the page."]
+
+
 def test_odd_pages(spark):
     rows = [
         (1, None, None, "x"),

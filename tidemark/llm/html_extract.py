@@ -7,9 +7,9 @@ of a page say nothing about its template), a text that a node almost always hold
 other texts of the node, nodes whose text varies, and what has no counterpart, are slots for content.
 
 What varies is not always the article: menus, adverts and footers vary too. Elements that say what they
-are (``nav``, ``footer``, ``form``, class and id words) never count. Of the slots, those inside the
-page's ``article`` (else ``main``) are its text; a page that has neither gives the slots under the
-smallest element that holds most of the varying text.
+are (``nav``, ``footer``, ``form``, class and id words) never count, unless a class or id word names an
+element that holds most of the page's text. Of the slots, those inside the page's ``article`` (else
+``main``) are its text; a page that has neither gives all its slots.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ CONSTANT_SHARE = 0.9
 MAX_TEMPLATE_SHARE = 0.3
 # The same for pages without an article, where much more may be the site's own text.
 MAX_TEMPLATE_SHARE_OUTSIDE = 0.7
-# The content element of a page without an article holds at least this share of the varying text.
-REGION_SHARE = 0.7
+# An element with more than this share of a page's text is its content, whatever its class says.
+MOST = 0.5
 # Pivots and template nodes are broadcast up to this size (checked), else joined with a shuffle.
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -66,6 +66,8 @@ _NOISE_WORDS = frozenset(
     "pager login toolbar".split()
 )
 _OUTER_NOISE_WORDS = frozenset(["header", "topbar", "search"])
+# With one of these, a class says what an element has or lacks, not what it is: has-sidebar, ad-free.
+_QUALIFIERS = frozenset("no not non without with has have hide is free".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
@@ -82,13 +84,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 class Node:
     """An element that makes blocks. ``blocks`` are the numbers of the texts that stand right in it."""
 
-    __slots__ = ("tag", "parent", "children", "blocks", "noise", "article", "main", "shape", "index")
+    __slots__ = ("tag", "parent", "children", "blocks", "noise", "named", "article", "main", "shape", "index")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool, article: bool, main: bool):
         self.tag, self.parent = tag, parent
         self.children: list[Node] = []
         self.blocks: list[int] = []
         self.noise, self.article, self.main = noise, article, main
+        self.named = False
         self.shape = self.index = -1
 
 
@@ -105,6 +108,17 @@ class Page:
         self._read(source)
         for k, node in enumerate(self.nodes):
             node.index = k
+        self._judge_names()
+
+    def _judge_names(self) -> None:
+        """Elements named like noise become noise, unless they hold most of the page's text."""
+        if not any(node.named for node in self.nodes):
+            return
+        sizes = [0 if node.noise else sum(len(self.texts[b]) for b in node.blocks) for node in self.nodes]
+        for node in reversed(self.nodes[1:]):
+            sizes[node.parent.index] += sizes[node.index]
+        for node, size in zip(self.nodes[1:], sizes[1:], strict=True):
+            node.noise = node.noise or node.parent.noise or (node.named and size <= MOST * sizes[0])
 
     def _flush(self) -> None:
         if self._pending:
@@ -177,13 +191,16 @@ class Page:
         parent = self._open
         article, main = parent.article or name == "article", parent.main or name == "main"
         noise = parent.noise or name in _NEVER or (name == "header" and not (article or main))
+        named = False
         if len(rest) > 1:
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest[:-1])}
             role = given.get("role", "").lower()
             main = main or role == "main"
             if name not in ("html", "body", "article", "main"):
-                noise = noise or _named_noise(given, role, article or main)
+                noise = noise or _hidden(given, role)
+                named = _named_noise(given, article or main)
         node = Node(name, parent, noise, article, main)
+        node.named = named
         parent.children.append(node)
         self.nodes.append(node)
         self._open = node
@@ -195,14 +212,18 @@ class Page:
         self._close({name}, {"td", "th"} if name not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot") else set())
 
 
-def _named_noise(given: dict[str, str], role: str, inside: bool) -> bool:
+def _hidden(given: dict[str, str], role: str) -> bool:
     if role in _ROLES or "hidden" in given or given.get("aria-hidden", "").lower() == "true":
         return True
-    if _HIDDEN.search(given.get("style", "")):
-        return True
-    names = f"{given.get('class', '')} {given.get('id', '')}"
-    found = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", names))}
-    return bool(found & _NOISE_WORDS) or (not inside and bool(found & _OUTER_NOISE_WORDS))
+    return bool(_HIDDEN.search(given.get("style", "")))
+
+
+def _named_noise(given: dict[str, str], inside: bool) -> bool:
+    for name in f"{given.get('class', '')} {given.get('id', '')}".split():
+        found = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", name))}
+        if not found & _QUALIFIERS and (found & _NOISE_WORDS or (not inside and found & _OUTER_NOISE_WORDS)):
+            return True
+    return False
 
 
 _shapes: dict[tuple, int] = {}
@@ -272,19 +293,10 @@ def _pivot(source: str) -> Page:
     return _shaped(Page(source))
 
 
-def _path(node: Node) -> list[int]:
-    path = []
-    while node is not None:
-        path.append(node.index)
-        node = node.parent
-    return path[::-1]
-
-
 def aligned_blocks(source: str, pivot_source: str) -> list[dict]:
     """Blocks of a page that may be content, each with its pivot node (-1: none).
 
-    With an ``article`` or ``main``, those inside it; else all outside of what is never content, with
-    the elements that they are in.
+    With an ``article`` or ``main``, those inside it; else all outside of what is never content.
     """
     page = _shaped(Page(source))
     open_blocks = [k for k, owner in enumerate(page.owners) if not owner.noise]
@@ -296,7 +308,7 @@ def aligned_blocks(source: str, pivot_source: str) -> list[dict]:
             "node": pairs.get(page.owners[k].index, -1),
             "text": page.texts[k],
             "content": xxh64_intdigest(page.texts[k].encode()) - (1 << 63),
-            "path": None if inside else _path(page.owners[k]),
+            "inside": bool(inside),
         }
         for k in chosen
     ]
@@ -306,17 +318,9 @@ def content(blocks: list[dict], template: set[tuple[int, int]]) -> list[str]:
     """Texts of the content blocks in page order; ``template`` has nodes with the hash of their text."""
     total = sum(len(b["text"]) for b in blocks)
     slots = [b for b in blocks if (b["node"], b["content"]) not in template]
-    inside = bool(blocks) and blocks[0]["path"] is None
+    inside = bool(blocks) and blocks[0]["inside"]
     if sum(len(b["text"]) for b in slots) < (1 - (MAX_TEMPLATE_SHARE if inside else MAX_TEMPLATE_SHARE_OUTSIDE)) * total:
         slots = blocks
-    if slots and slots[0]["path"] is not None:
-        weight: dict[int, int] = {}
-        for b in slots:
-            for element in b["path"]:
-                weight[element] = weight.get(element, 0) + len(b["text"])
-        enough = REGION_SHARE * sum(len(b["text"]) for b in slots)
-        region = max(element for element, n in weight.items() if n >= enough)
-        slots = [b for b in slots if region in b["path"]]
     return [b["text"] for b in slots]
 
 
@@ -326,7 +330,7 @@ def _small(df: DataFrame, size) -> DataFrame:
     return F.broadcast(df) if total <= MAX_BROADCAST_BYTES else df
 
 
-_BLOCKS = "array<struct<node:int,text:string,content:long,path:array<int>>>"
+_BLOCKS = "array<struct<node:int,text:string,content:long,inside:boolean>>"
 
 
 def extract(pages: DataFrame) -> DataFrame:
