@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, fingerprints, html_extract, line_dedup, packing, quality, secret_scan, simhash, token_count
+from tidemark.llm import (
+    byte_bpe,
+    chat,
+    fill_middle,
+    fingerprints,
+    html_extract,
+    line_dedup,
+    minhash_forest,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    spill_align,
+    token_count,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +73,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spill_align.align(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.pieces(_table(spark, sf_dir, "documents")))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_secrets": op2_secrets,
@@ -70,6 +96,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_alignment": op11_alignment,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_minhash": op13_minhash,
 }
 
 # SQL twins by query name; the other queries are tested against brute force in tests/llm.
@@ -94,4 +123,30 @@ ORACLES: dict[str, str] = {
             sum(size)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op12_fill_middle": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ),
+        numbers AS (
+            SELECT doc_id, text, length(text) AS n,
+                ('0x' || substr(h, 1, 8))::BIGINT % (length(text) + 1) AS p, ('0x' || substr(h, 9, 8))::BIGINT % (length(text) + 1) AS q,
+                ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4
+            FROM hashed
+        ),
+        cut AS (
+            SELECT doc_id, text, n, least(p, q) AS a, greatest(p, q) AS b,
+                CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                    WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM numbers
+        ),
+        parts AS (
+            SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cut
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
