@@ -163,7 +163,8 @@ def neighbours(trees: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _full_sets(docs: DataFrame, table: DataFrame, trees: DataFrame, shingle: int) -> DataFrame:
     """``node, full``: the whole set of each node of the forest, made from one of its texts."""
     wanted = table.join(trees.select("node").distinct(), "node", "left_semi")
-    chosen = wanted.groupBy("node").agg(F.min("text_id").alias("text_id"))
+    # Written, so that Spark knows its size and broadcasts it only if it is small.
+    chosen = written(wanted.groupBy("node").agg(F.min("text_id").alias("text_id")), "forest-chosen")
     texts = with_text(docs, ["doc_id"]).select("doc_id", "text")
 
     def run(columns: dict[str, list]):
@@ -171,7 +172,6 @@ def _full_sets(docs: DataFrame, table: DataFrame, trees: DataFrame, shingle: int
         yield {"text_id": ids, "text": columns["text"]}
 
     marked = map_slices(texts, run, "text_id binary, text string")
-    # Copies of one text meet in a partial aggregate by their id; only wanted texts get that far.
     found = marked.join(chosen, "text_id")
 
     def sets(columns: dict[str, list]):
@@ -183,6 +183,7 @@ def _full_sets(docs: DataFrame, table: DataFrame, trees: DataFrame, shingle: int
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` whose full sets are alike, as a table."""
+    pairs = written(pairs, "forest-pairs")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("full").alias("full_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("full").alias("full_b")), "b")
     schema = arrow_schema("a binary, b binary")
