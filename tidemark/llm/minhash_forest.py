@@ -14,9 +14,10 @@ anything else. Each node meets the one before it, the one with the longest commo
 trees go first; whoever is in one component already is not compared again.
 
 *Regions.* After that every region is looked at again for pairs across components. Where they are at
-most ``LIMIT`` for each node, all of them are compared, the nodes outside of the largest component with
-all others. A region with more of them goes one level deeper, until its parts can be done; at the
-deepest level all of them are compared. So a crowd of copies of one text costs a neighbour for each
+most ``FEW``, or ``LIMIT`` for each node, all of them are compared, the nodes outside of the largest component with
+all others: first by ``BITS`` bits of each minhash, where more differ than six standard deviations above the
+mean of barely alike sets, the sets are not looked at. A region with more pairs goes one level deeper,
+until its parts can be done; at the deepest level all of them are compared. So a crowd of copies of one text costs a neighbour for each
 member, and a stranger in it is still compared with all of them.
 
 A pair of likeness s shares a region of depth d in one of the trees with probability
@@ -26,6 +27,7 @@ A pair of likeness s shares a region of depth d in one of the trees with probabi
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -43,8 +45,10 @@ HASHES = 128
 TREES = 32
 DEPTH = 3
 DEEPEST = 16
-LIMIT = 32
+LIMIT = 4
+FEW = 512
 FIRST_TREES = 4
+BITS = 4
 SHINGLE = 2
 PERCENT = 80
 
@@ -82,22 +86,46 @@ def _least_size(percent: int) -> int:
     return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
 
 
-_NODES = "doc_id long, text_id binary, n_shingles long, node binary, signature binary"
+def few_bits(minhashes: np.ndarray) -> list[int]:
+    """The lowest ``BITS`` bits of all minhashes as signed longs."""
+    low = np.unpackbits(minhashes.astype("<u4").view(np.uint8).reshape(HASHES, 4)[:, :1], axis=1)[:, 8 - BITS :]
+    return np.packbits(low.reshape(-1)).view(np.int64).tolist()
+
+
+def most_bits_apart(percent: int = PERCENT) -> int:
+    """Bits in which the few bits of alike sets differ at most, but for one pair in many millions.
+
+    A minhash differs with probability 1 - s, and then each bit with 1/2.
+    """
+    apart = 1 - percent / 100
+    mean, variance = apart * BITS / 2, apart * (BITS + BITS * BITS) / 4 - (apart * BITS / 2) ** 2
+    return math.ceil(HASHES * mean + 6 * math.sqrt(HASHES * variance))
+
+
+def _bits_apart(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(HASHES * BITS // 64)), F.lit(0))
+
+
+_NODES = "doc_id long, text_id binary, n_shingles long, node binary, signature binary, bits array<long>"
 
 
 def nodes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The node of every row: a digest of its set (null: no shingle), its size and minhashes."""
     least = _least_size(percent)
+    names = arrow_schema(_NODES).names
 
     def run(columns: dict[str, list]):
         out = []
         for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
             found = shingle_set(text, shingle)
             node = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-            minhashes = signature(found).astype(">u4").tobytes() if len(found) >= least else None
+            minhashes = bits = None
+            if len(found) >= least:
+                own = signature(found)
+                minhashes, bits = own.astype(">u4").tobytes(), few_bits(own)
             text_id = hashlib.blake2b(text.encode(), digest_size=16).digest()
-            out.append((doc_id, text_id, len(found), node, minhashes))
-        yield dict(zip(("doc_id", "text_id", "n_shingles", "node", "signature"), zip(*out, strict=True), strict=True))
+            out.append((doc_id, text_id, len(found), node, minhashes, bits))
+        yield dict(zip(names, zip(*out, strict=True), strict=True))
 
     return map_slices(with_text(docs, ["doc_id"]), run, _NODES)
 
@@ -116,7 +144,7 @@ def _beginning(depth: int) -> Column:
 
 
 def forest(table: DataFrame) -> DataFrame:
-    """``tree, path, node, n`` of the nodes that have company at depth ``DEPTH``, one row for each tree."""
+    """``tree, path, node, n, bits`` of the nodes that have company at depth ``DEPTH``, one row for each tree."""
     every = table.where(F.col("signature").isNotNull())
     trees = every.select("node", F.col("n_shingles").alias("n"), "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     keyed = trees.withColumn("region", F.xxhash64("tree", F.substring(_path(F.col("tree")), 1, 4 * DEPTH)))
@@ -125,8 +153,8 @@ def forest(table: DataFrame) -> DataFrame:
     held = keyed.select("node", "n", "tree", "region").join(shared, "region", "left_semi").drop("region")
     # Copies of a text are rows of one node: one of them stays, before paths are added.
     held = written(held.distinct(), "forest-nodes")
-    minhashes = every.select("node", "signature").join(held.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    return held.join(minhashes, "node").select("tree", _path(F.col("tree")).alias("path"), "node", "n")
+    minhashes = every.select("node", "signature", "bits").join(held.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return held.join(minhashes, "node").select("tree", _path(F.col("tree")).alias("path"), "node", "n", "bits")
 
 
 _NEIGHBOURS = "tree int, a binary, b binary"
@@ -230,7 +258,8 @@ def _region_pairs(trees: DataFrame, labels: DataFrame | None, percent: int, limi
         rows = rows.join(labels, "node", "left")
     else:
         rows = rows.withColumn("label", F.lit(None).cast("binary"))
-    rows = rows.select("tree", "path", "node", "n", F.coalesce("label", "node").alias("label"))
+    rows = rows.select("tree", "path", "node", "n", "bits", F.coalesce("label", "node").alias("label"))
+    most = most_bits_apart(percent)
     found = None
     for depth in range(DEPTH, DEEPEST + 1):
         keyed = rows.withColumn("region", F.xxhash64("tree", _beginning(depth)))
@@ -243,18 +272,18 @@ def _region_pairs(trees: DataFrame, labels: DataFrame | None, percent: int, limi
         across = (F.col("n_all").cast("double") * F.col("n_all") - F.col("squares")) / 2
         mixed = sizes.withColumn("across", across).where("across > 0").select("region", "n_all", "across", "main")
         mixed = written(mixed, "forest-mixed")
-        now = F.lit(True) if depth == DEEPEST else F.col("across") <= limit * F.col("n_all")
+        now = F.lit(True) if depth == DEEPEST else F.col("across") <= F.greatest(limit * F.col("n_all"), F.lit(FEW))
         held = keyed.join(mixed, "region")
         doing = held.where(now)
-        left = doing.select("region", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
-        right = doing.where("label != main").select("region", "node", "n", "label")
-        near = 100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")
+        left = doing.select("region", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("bits").alias("bits_x"), F.col("label").alias("label_x"))
+        right = doing.where("label != main").select("region", "node", "n", "bits", "label")
+        near = (100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")) & (_bits_apart("bits", "bits_x") <= most)
         pairs = left.join(right, "region").where((F.col("label") != F.col("label_x")) & near)
         pairs = pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
         found = pairs if found is None else found.unionByName(pairs)
         if depth == DEEPEST or mixed.where(~now).isEmpty():
             return found.distinct()
-        rows = written(held.where(~now).select("tree", "path", "node", "n", "label"), "forest-deeper")
+        rows = written(held.where(~now).select("tree", "path", "node", "n", "bits", "label"), "forest-deeper")
     return found
 
 

@@ -5,9 +5,10 @@ text, so their tokens cut the same bytes. Offsets where tokens of both end cut t
 and a B token are linked where their byte ranges overlap. The count of an id pair is the number of
 documents (rows) that hold it linked.
 
-*Words.* Before a space that follows something other than white space, tokens of both always end: no
-piece holds a space behind another character, and A splits there. So a text is cut into words at such
-spaces, a word is aligned once and remembered, and a document's groups are those of its words.
+*Words.* Before a space or a line feed that follows something other than white space, tokens of both
+always end: no piece holds a space behind another character or a line feed beside any, and A splits
+there. So a text is cut into words at such places, a word is aligned once and remembered, and a
+document's groups are those of its words.
 
 *Counting.* A document has many pairs and the corpus more than a memory holds, so they are counted
 outside of it. A worker collects documents until they hold about ``RUN_CHARS`` characters and writes a
@@ -58,10 +59,13 @@ BLOCK = 1 << 16
 
 # Words are remembered while they have at most this many characters, all together this many.
 LONG_WORD = 64
-REMEMBERED_CHARS = 1_500_000
+REMEMBERED_CHARS = 2_500_000
 
-# A space and what follows it, up to a space behind something other than white space.
-_WORD = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
+# A space or line feed and what follows, up to one that stands behind something other than white space.
+_WORD = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
+
+
+_NO_LINKS = np.empty(0, np.uint64)
 
 
 class Words:
@@ -81,6 +85,9 @@ class Words:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.lengths_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        # An id with what follows it: a comma inside a group, else the mark at the end of its side.
+        self.signs_a = np.array([f"{i}{c}" for i in range(len(self.bytes_a)) for c in ",|"], object)
+        self.signs_b = np.array([f"{i}{c}" for i in range(len(self.bytes_b)) for c in ",;"], object)
         self.clear()
 
     def _piece(self, i: int) -> bytes:
@@ -110,20 +117,22 @@ class Words:
     def _align(self, missing: list[str]) -> None:
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
         all_a = [e.ids for e in encode(missing, add_special_tokens=False)]
-        # B puts the space in front of the word itself.
-        all_b = self.b.encode([w[1:] for w in missing], num_threads=1)
+        # B puts a space in front itself; before a line feed it is a token of its own, which goes.
+        all_b = self.b.encode([w[1:] if w[0] == " " else w for w in missing], num_threads=1)
+        all_b = [ids if w[0] == " " else ids[1:] for w, ids in zip(missing, all_b, strict=True)]
         base = len(self.stats)
-        good = []
-        for k, (word, ids_a, ids_b) in enumerate(zip(missing, all_a, all_b, strict=True)):
-            self.number[word] = base + k
-            self.chars += len(word)
-            self.stats.append((0, 0, 0, 0))
-            self.groups.append(None)
-            self.links.append(np.empty(0, np.uint64))
-            data = word.encode()
-            same_a = b"".join([self.bytes_a[i] for i in ids_a]) == data
-            if same_a and b"".join([self.bytes_b[i] for i in ids_b]) == data:
-                good.append(k)
+        data = [w.encode() for w in missing]
+        good = [
+            k
+            for k, (word, ids_a, ids_b) in enumerate(zip(data, all_a, all_b, strict=True))
+            if b"".join(map(self.bytes_a.__getitem__, ids_a)) == word == b"".join(map(self.bytes_b.__getitem__, ids_b))
+        ]
+        n = len(missing)
+        self.number.update(zip(missing, range(base, base + n), strict=True))
+        self.chars += sum(map(len, missing))
+        self.stats += [(0, 0, 0, 0)] * n
+        self.groups += [None] * n
+        self.links += [_NO_LINKS] * n
         if good:
             self._align_good([all_a[k] for k in good], [all_b[k] for k in good], [base + k for k in good])
 
@@ -146,26 +155,27 @@ class Words:
         before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b))])[group_a]
         until_a = np.cumsum(np.bincount(group_a))[group_b]
         symbols = np.empty(len(flat_a) + len(flat_b), object)
-        symbols[np.arange(len(flat_a)) + before_b] = [f"{i}{'|' if c else ','}" for i, c in zip(flat_a.tolist(), closes_a.tolist(), strict=True)]
-        symbols[np.arange(len(flat_b)) + until_a] = [f"{i}{';' if c else ','}" for i, c in zip(flat_b.tolist(), closes_b.tolist(), strict=True)]
+        symbols[np.arange(len(flat_a)) + before_b] = self.signs_a[2 * flat_a + closes_a]
+        symbols[np.arange(len(flat_b)) + until_a] = self.signs_b[2 * flat_b + closes_b]
+        symbols = symbols.tolist()
         n = len(numbers)
         n_a, n_b, n_links = (np.bincount(w, minlength=n) for w in (word_a, word_b, link_word))
         n_groups = np.bincount(link_word[both], minlength=n)
         ends_at = np.cumsum(n_a + n_b).tolist()
         starts = [0, *ends_at[:-1]]
-        parts = np.split(link, np.cumsum(n_links)[:-1])
+        links_at = np.cumsum(n_links).tolist()
         stats = list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), strict=True))
         for k, number in enumerate(numbers):
             self.stats[number] = stats[k]
             self.groups[number] = "".join(symbols[starts[k] : ends_at[k]])
             # A copy: the batch's array must not live as long as one of its words.
-            self.links[number] = parts[k].copy()
+            self.links[number] = link[links_at[k] - stats[k][3] : links_at[k]].copy()
 
     def drop_long(self) -> None:
         for word in [w for w in self.number if len(w) > LONG_WORD]:
             number = self.number.pop(word)
             self.chars -= len(word)
-            self.groups[number], self.links[number] = None, np.empty(0, np.uint64)
+            self.groups[number], self.links[number] = None, _NO_LINKS
 
 
 @lru_cache(maxsize=1)
