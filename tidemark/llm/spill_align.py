@@ -85,6 +85,7 @@ class Words:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.lengths_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        self.space_b = [self.b.piece_to_id("▁")]
         # An id with what follows it: a comma inside a group, else the mark at the end of its side.
         self.signs_a = np.array([f"{i}{c}" for i in range(len(self.bytes_a)) for c in ",|"], object)
         self.signs_b = np.array([f"{i}{c}" for i in range(len(self.bytes_b)) for c in ",;"], object)
@@ -119,7 +120,8 @@ class Words:
         all_a = [e.ids for e in encode(missing, add_special_tokens=False)]
         # B puts a space in front itself; before a line feed it is a token of its own, which goes.
         all_b = self.b.encode([w[1:] if w[0] == " " else w for w in missing], num_threads=1)
-        all_b = [ids if w[0] == " " else ids[1:] for w, ids in zip(missing, all_b, strict=True)]
+        # Of no text it makes no token, so a last space stands for itself.
+        all_b = [self.space_b if w == " " else ids if w[0] == " " else ids[1:] for w, ids in zip(missing, all_b, strict=True)]
         base = len(self.stats)
         data = [w.encode() for w in missing]
         good = [
