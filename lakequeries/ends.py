@@ -38,6 +38,7 @@ from tidemark.plans.incremental import (
     run_incremental,
     run_publish,
     run_query_source,
+    store_of,
 )
 from tidemark.session import scratch_path
 from tidemark.sources import files, readers, sinks
@@ -241,7 +242,7 @@ def _run(spark, sf_dir, kind, **options):
     _archive_of_snapshots(spark, sf_dir, root)
     spec = _spec(root, kind, **options)
     run_incremental(spark, spec, _RUN_AT)
-    return SnapshotStore(spark, spec.target, spec.partition_by).read()
+    return store_of(spark, spec).read()
 
 
 _STATE = [*ORDER_COLUMNS, "__HashDiff", "__ArchiveDatetimeUTC", "__OriginalStagingFileName"]
@@ -254,6 +255,18 @@ def incremental_run(spark, sf_dir):
     return table.select(*_STATE, *_INTERVAL)
 
 
+def incremental_run_buckets(spark, sf_dir):
+    """The same backlog into folders by key, a file at a time: each run writes what its keys touch."""
+    table = _run(spark, sf_dir, "scd1", max_files=1, key_buckets=16)
+    return table.select(*_STATE)
+
+
+def incremental_run_closed_apart(spark, sf_dir):
+    """A type-2 table whose closed versions are only added to."""
+    table = _run(spark, sf_dir, "scd2", deletes="full", max_files=2, key_buckets=4, closed_apart=True)
+    return table.select(*_STATE, *_INTERVAL)
+
+
 def incremental_run_fact(spark, sf_dir):
     table = _run(spark, sf_dir, "fact", deletes="full", max_files=3)
     return table.select(*_STATE, F.col(DELETED).isNotNull().alias("is_deleted"))
@@ -412,6 +425,8 @@ QUERIES = {
     "stage_union": stage_union,
     "publish_select": publish_select,
     "incremental_run": incremental_run,
+    "incremental_run_buckets": incremental_run_buckets,
+    "incremental_run_closed_apart": incremental_run_closed_apart,
     "incremental_run_fact": incremental_run_fact,
     "incremental_run_append": incremental_run_append,
     "incremental_run_replay": incremental_run_replay,
@@ -453,6 +468,11 @@ ORACLES = {
         replay_sql(opened_sql(snapshot_sql(0), TAGGED_COLUMNS), scd2_step(TAGGED_COLUMNS)),
         names(_INTERVAL),
     ),
+    "incremental_run_buckets": _state_of(replay_sql(_BASE, scd1_step)),
+    "incremental_run_closed_apart": _state_of(
+        replay_sql(opened_sql(snapshot_sql(0), TAGGED_COLUMNS), scd2_step(TAGGED_COLUMNS)),
+        names(_INTERVAL),
+    ),
     "incremental_run_fact": _state_of(
         replay_sql(unstamped_sql(snapshot_sql(0), TAGGED_COLUMNS), fact_step(TAGGED_COLUMNS)),
         f'"{DELETED}" IS NOT NULL AS is_deleted',

@@ -210,6 +210,23 @@ def test_append_keeps_repeated_keys_of_a_batch(spark):
     assert again.count() == 3
 
 
+@pytest.mark.parametrize("turned", [False, True])
+@pytest.mark.parametrize("seed", range(2))
+def test_append_to_tied_current_versions(spark, seed, turned):
+    """Two current versions of one start, in either order: a row equal to any of them is not appended."""
+    rng = random.Random(seed)
+    first = [{"k": k, "v": v, "g": None} for k in range(6) for v in ("x", "y")]
+    if turned:
+        first.reverse()
+    rest = [[{"k": k, "v": rng.choice("xyz"), "g": None} for k in range(7) if rng.random() < 0.8] for _ in range(5)]
+    want = model.append([], first, day(0))
+    for i, b in enumerate(rest, 1):
+        want = model.append(want, b, day(i))
+    target = tagged(spark, first, 0).withColumn(START, F.col(ARCHIVED))
+    fresh = fold.append_fold(target, backlog(spark, rest), ["k"])
+    assert found(target.unionByName(fresh), "k", "v", "g", START) == expected(want, "k", "v", "g", "start")
+
+
 def test_applying_twice_changes_nothing(spark):
     first, second = random_batches(5, 2)
     target = scd2.scd2_init(tagged(spark, first, 0), day(0))

@@ -27,6 +27,12 @@ BATCH = "__Batch"
 # Columns of a row's file, where the files of a fold differ in them.
 CARRIED = "__Carried"
 
+# Folder columns of a stored table that are no columns of its rows: a hash of the key, and whether a
+# version is open.
+BUCKET = "__KeyBucket"
+OPEN = "__IsOpen"
+
+# Names, types and order of the columns of the control tables.
 _NTZ = T.TimestampNTZType()
 
 

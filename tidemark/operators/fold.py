@@ -40,6 +40,9 @@ _PREV_GONE = "_tm_prev_gone"
 _NEXT_BATCH = "_tm_next_batch"
 _SCOPE_BATCHES = "_tm_scope_batches"
 _GONE_BATCH = "_tm_gone_batch"
+_HASHES = "_tm_hashes"
+_HELD = "_tm_held"
+_OUTSIDE = "_tm_outside"
 
 
 class NeedsReplay(ValueError):
@@ -323,7 +326,9 @@ def append_fold(
 ) -> DataFrame:
     """Versions to append to an append-only history after all batches.
 
-    A row is appended where its hash differs from the newest version of the key so far.
+    A row is appended where its hash is none of the newest versions' of its key so far. The table may
+    hold several of one start; they enter as one row with the set of their hashes. It counts until a
+    row outside of it is appended, and from then on the row before does.
     """
     if not null_safe:
         loose = any_null(keys)
@@ -331,7 +336,21 @@ def append_fold(
         free = batches.where(loose).withColumn(START, F.col(ARCHIVED)).drop(BATCH)
         return strict.unionAll(conform(free, strict.schema))
     rows = _one_per_key(batches, keys, on_duplicate).withColumn(START, F.col(ARCHIVED))
-    newest = None if target is None else current_versions(target, keys)
+    newest = None
+    if target is not None:
+        hashes = F.collect_set(HASH).alias(_HASHES)
+        newest = current_versions(target, keys).groupBy(*cols(keys)).agg(hashes)
     stacked, schema = _stack(newest, rows, F.lit(0))
-    seen = _with_neighbours(stacked, keys)
-    return seen.where((F.col(BATCH) > 0) & _changed()).select(*cols(schema.names))
+    if newest is None:
+        seen = _with_neighbours(stacked, keys).where((F.col(BATCH) > 0) & _changed())
+        return seen.select(*cols(schema.names))
+    order = _by_key(keys)
+    held = F.first(_HASHES).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    outside = F.col(_HELD).isNull() | ~F.array_contains(_HELD, F.col(HASH))
+    seen = _with_neighbours(stacked, keys).withColumn(_HELD, held)
+    seen = seen.withColumn(_OUTSIDE, (F.col(BATCH) > 0) & outside)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.coalesce(F.max(_OUTSIDE).over(before), F.lit(False))
+    differs = F.when(left, F.col(_PREV_HASH) != F.col(HASH)).otherwise(F.col(_OUTSIDE))
+    fresh = seen.withColumn("_tm_fresh", differs).where((F.col(BATCH) > 0) & F.col("_tm_fresh"))
+    return conform(fresh.drop(_HASHES), merged_schema(target.schema, rows.drop(BATCH, CARRIED).schema))

@@ -36,7 +36,7 @@ from tidemark.session import ensure_checkpoint_dir, shuffles_for, written
 from tidemark.sources import files, readers, sinks
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import file_path_col, plain_path, plain_path_col
-from tidemark.sources.store import SnapshotStore
+from tidemark.sources.store import Layout, SnapshotStore
 from tidemark.spec import PurgePolicy, TableSpec
 
 _LOG_DAY = "ArchiveyyyyMMddUTC"
@@ -56,6 +56,8 @@ class RunResult:
     version: int | None = None
     watermark: datetime | None = None
     error: str | None = None
+    written_bytes: int = 0
+    carried_folders: int = 0
 
 
 # --- process and export logs -------------------------------------------------------------------------
@@ -277,7 +279,7 @@ def apply_chunk(
     frame = chunk_frame(spark, chunk)
     raw = _read(spark, spec, [plain_path(r["ArchiveFilePath"]) for r in chunk])
     batches = load_batches(raw, spec, frame, len(chunk), now)
-    target = store.read()
+    target, touched = _held(spec, store, batches)
     held_bytes = 0 if target is None else estimated_bytes(target)
     with shuffles_for(spark, held_bytes + sum(map(estimated_bytes, raw))):
         if spec.kind == "scd2_append":
@@ -286,10 +288,35 @@ def apply_chunk(
             )
             mode = "append"
         else:
-            result, mode = _merged(spark, spec, target, batches, frame, chunk, now)
+            prunable = not store.layout.columns() and _prunable(spec)
+            result, mode = _merged(spark, spec, target, batches, frame, chunk, now, prunable)
+            if store.layout.columns() and store.fits_layout():
+                mode = "buckets"
         at = now if isinstance(now, datetime) else None
         applied = [r["ArchiveFilePath"] for r in chunk]
-        return store.commit(result, mode=mode, applied=applied, now=at).number
+        return store.commit(result, mode=mode, applied=applied, now=at, touched=touched).number
+
+
+def store_of(spark: SparkSession, spec: TableSpec) -> SnapshotStore:
+    layout = Layout(tuple(spec.keys), spec.key_buckets, spec.closed_apart)
+    return SnapshotStore(spark, spec.target, spec.partition_by, layout)
+
+
+def _held(
+    spec: TableSpec, store: SnapshotStore, batches: DataFrame
+) -> tuple[DataFrame | None, set[int] | None]:
+    """The rows of the table that take part in a merge, and the key buckets that do (None: all).
+
+    Folders are left out by name. There are at most ``key_buckets`` values to bring back.
+    """
+    layout = store.layout
+    if not layout.columns() or not store.fits_layout():
+        return store.read(), None
+    touched = None
+    if layout.buckets and spec.deletes == "none":
+        rows = batches.select(layout.bucket().alias("bucket")).distinct().collect()
+        touched = {r["bucket"] for r in rows}
+    return store.read(keep=lambda folder: layout.takes_part(folder, touched)), touched
 
 
 def _merged(
@@ -300,13 +327,14 @@ def _merged(
     frame: DataFrame,
     chunk: Sequence[Row],
     now: Moment,
+    prunable: bool,
 ) -> tuple[DataFrame, str]:
     """The new rows of the table, or of the partitions the batches touch, and which of the two."""
     batch_log = frame.select(
         BATCH, F.col("ArchiveDatetimeUTC").alias(ARCHIVED), moment(now).alias(MODIFIED)
     )
     mode, untouched = "replace", None
-    if target is not None and _prunable(spec):
+    if target is not None and prunable:
         target, _ = merge.split_by_partition(target, batches, list(spec.partition_by))
         mode = "partitions"
     if target is not None and _bypasses(spec, target):
@@ -345,7 +373,7 @@ def run_incremental(spark: SparkSession, spec: TableSpec, now: datetime) -> RunR
     Files are folded in chunks until none is pending. The data commit names the files it holds and
     comes before the process-log append; a run cut off between the two is completed by the next.
     """
-    store = SnapshotStore(spark, spec.target, spec.partition_by)
+    store = store_of(spark, spec)
     _finish_last_run(spark, spec, store, now)
     n_files = folds = 0
     version = None
@@ -362,7 +390,14 @@ def run_incremental(spark: SparkSession, spec: TableSpec, now: datetime) -> RunR
         append_process_log(logs.process_log_rows(done, now, spec.source_id), spec.process_log)
         n_files, folds = n_files + len(chunk), folds + 1
         since = chunk[-1]["ArchiveDatetimeUTC"]
-    return RunResult(n_files, folds, version, since)
+    return RunResult(
+        n_files,
+        folds,
+        version,
+        since,
+        written_bytes=store.written_bytes,
+        carried_folders=store.carried_folders,
+    )
 
 
 def _pending(

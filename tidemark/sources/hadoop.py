@@ -74,5 +74,9 @@ class Folder:
         if not self._fs.rename(aside, self._at(relative)):
             raise FileExistsError(f"{self.path}/{relative}")
 
+    def size(self, relative: str = "") -> int:
+        """Bytes of all files below."""
+        return self._fs.getContentSummary(self._at(relative)).getLength()
+
     def remove(self, relative: str, recursive: bool = False) -> bool:
         return self._fs.delete(self._at(relative), recursive)

@@ -4,22 +4,28 @@ Plain Parquet cannot be merged in place: a path must not be overwritten while it
 commit writes a new run folder and then one commit file that lists the folders making up the
 version; readers see the last commit file only. A partition-wise commit carries the untouched
 partition folders over. This is file lay-out, not a transaction engine: one writer per table.
+
+A ``Layout`` deals the rows of a table over folders of its own, whatever its columns: by a hash of the
+key, which never changes, and closed versions away from open ones. A merge then reads and writes the
+folders of the keys it touches, and adds versions it closes to those closed before.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.names import HISTORY_LOG
-from tidemark.operators.evolve import merged_schema
+from tidemark.functions.columns import quoted
+from tidemark.names import BUCKET, CURRENT, HISTORY_LOG, OPEN
+from tidemark.operators.evolve import evolve_union, merged_schema
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.sinks import rebalanced
 
@@ -28,6 +34,38 @@ _RUN = "tmrun"
 _COMMITS = "_commits"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Folders by key bucket (``buckets`` of them, 0 for none) and by open and closed versions."""
+
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
+    closed_apart: bool = False
+
+    def __str__(self) -> str:
+        """What tells two layouts apart; empty for none."""
+        return json.dumps([self.keys, self.buckets, self.closed_apart]) if self.columns() else ""
+
+    def bucket(self) -> Column:
+        """The bucket of a row; as text, so a key column that gets a wider type keeps it."""
+        keys = [F.col(quoted(k)).cast("string") for k in self.keys]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def columns(self) -> dict[str, Column]:
+        found = {BUCKET: self.bucket()} if self.buckets else {}
+        return found | ({OPEN: F.col(CURRENT)} if self.closed_apart else {})
+
+    def is_closed(self, folder: str) -> bool:
+        return self.closed_apart and f"{OPEN}=false" in folder.split("/")
+
+    def takes_part(self, folder: str, touched: Collection[int] | None) -> bool:
+        """Does a merge of these buckets (None: of all) read and replace the folder?"""
+        if self.is_closed(folder):
+            return False
+        found = re.search(rf"/{BUCKET}=(\d+)(/|$)", folder)
+        return touched is None or found is None or int(found[1]) in touched
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
@@ -37,6 +75,7 @@ class Version:
     operation: str
     timestamp: str
     applied: tuple[str, ...] = ()
+    layout: str = ""
 
     def to_json(self) -> str:
         body = dict(self.__dict__, schema=json.loads(self.schema.json()))
@@ -52,11 +91,20 @@ class Version:
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = ()):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        partition_by: Sequence[str] = (),
+        layout: Layout | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
+        self.layout = layout or Layout()
         self._folder = Folder(spark, self.path)
+        # What this object has written and carried over so far.
+        self.written_bytes = self.carried_folders = 0
 
     # --- reading -------------------------------------------------------------------------------
 
@@ -71,12 +119,22 @@ class SnapshotStore:
         number = numbers[-1] if number is None else number
         return Version.from_json(self._folder.read_text(f"{_COMMITS}/{number:012d}.json"))
 
-    def read(self, number: int | None = None) -> DataFrame | None:
-        """The table at a version, the last one by default; None before the first commit."""
+    def read(
+        self, number: int | None = None, keep: Callable[[str], bool] = lambda folder: True
+    ) -> DataFrame | None:
+        """The table at a version, the last one by default; None before the first commit.
+
+        ``keep`` picks folders by name, before anything is scanned.
+        """
         version = self.version(number)
         if version is None:
             return None
-        return self._scan(version.folders, version.schema)
+        return self._scan([f for f in version.folders if keep(f)], version.schema)
+
+    def fits_layout(self) -> bool:
+        """Is the last version laid out as this object would write it?"""
+        last = self.version()
+        return last is not None and last.layout == str(self.layout)
 
     def _scan(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
@@ -98,13 +156,13 @@ class SnapshotStore:
 
     def _write_run(self, df: DataFrame) -> list[str]:
         run = f"{_RUN}={uuid.uuid4().hex}"
-        writer = rebalanced(df, self.partition_by).write
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
+        by = [*self.layout.columns(), *self.partition_by]
+        writer = rebalanced(df.withColumns(self.layout.columns()), by).write
+        if by:
+            writer = writer.partitionBy(*by)
         writer.parquet(f"{self.path}/data/{run}")
-        if not self.partition_by:
-            return [run]
-        return self._folder.folders("data/" + run + "/*" * len(self.partition_by))
+        self.written_bytes += self._folder.size(f"data/{run}")
+        return self._folder.folders("data/" + run + "/*" * len(by)) if by else [run]
 
     def commit(
         self,
@@ -113,14 +171,20 @@ class SnapshotStore:
         mode: str = "replace",
         applied: Sequence[str] = (),
         now: datetime | None = None,
+        touched: Collection[int] | None = None,
     ) -> Version:
         """Write a version.
 
         ``replace`` makes ``df`` the whole table, ``append`` adds it, ``partitions`` replaces just
-        the partitions that occur in ``df``. ``applied`` records the source files the version
-        includes.
+        the partitions that occur in ``df``, ``buckets`` the folders that take part in a merge of the
+        ``touched`` buckets (all by default). ``applied`` records the source files the version
+        includes. A table of another layout must be replaced; an append rewrites it.
         """
         last = self.version()
+        if last is not None and mode != "replace" and last.layout != str(self.layout):
+            if mode != "append":
+                raise ValueError(f"the table has the layout {last.layout!r}: replace it as a whole")
+            df, mode = evolve_union(self.read(), df), "replace"
         schema = _nullable(df.schema)
         written = [f.removeprefix("data/") for f in self._write_run(df)]
         kept: list[str] = []
@@ -129,6 +193,9 @@ class SnapshotStore:
         elif last is not None and mode == "partitions":
             replaced = {_partition_of(f) for f in written}
             kept = [f for f in last.folders if _partition_of(f) not in replaced]
+        elif last is not None and mode == "buckets":
+            kept = [f for f in last.folders if not self.layout.takes_part(f, touched)]
+        self.carried_folders += len(kept)
         if last is not None and mode != "replace":
             schema = _nullable(merged_schema(last.schema, schema))
         return self._commit_folders([*kept, *written], schema, operation, applied, now, last)
@@ -144,6 +211,7 @@ class SnapshotStore:
             operation,
             stamp,
             tuple(applied),
+            str(self.layout),
         )
         self._folder.write_text(f"{_COMMITS}/{number:012d}.json", version.to_json())
         return version
@@ -208,7 +276,7 @@ class SnapshotStore:
                 kept.add(n)
         needed = {f for n in kept for f in versions[n].folders}
         known = {f for v in versions.values() for f in v.folders}
-        depth = 1 + len(self.partition_by)
+        depth = 1 + len(self.layout.columns()) + len(self.partition_by)
         present = [f.removeprefix("data/") for f in self._folder.folders("data" + "/*" * depth)]
         unneeded = [
             f

@@ -27,6 +27,11 @@ class TableSpec:
     deletes: str | Sequence[str] = "none"
     partition_by: Sequence[str] = ()
     immutable_partitions: bool = False
+    # Folders by a hash of the key: a run rewrites those of the keys its files hold. About a gigabyte
+    # each is a good size. Deletions may reach any key, so with them all buckets are rewritten.
+    key_buckets: int = 0
+    # Closed versions of a type-2 table in folders of their own, which runs add to and never read.
+    closed_apart: bool = False
     include_previous: bool = False
     update_filter: str | None = None
     complex_as_string: bool = False
@@ -61,6 +66,10 @@ class TableSpec:
         allowed = ("error", "any", "allow") if self.kind == "scd2_append" else ("error", "any")
         if self.on_duplicate not in allowed:
             raise ValueError(f"on_duplicate of {self.kind} is one of {allowed}, not {self.on_duplicate!r}")
+        if self.closed_apart and self.kind != "scd2":
+            raise ValueError("closed_apart is for type-2 tables")
+        if self.key_buckets < 0:
+            raise ValueError("key_buckets is a number of folders, or 0")
         if self.touch_modified and self.kind != "scd2":
             raise ValueError("touch_modified is for type-2 tables")
 
