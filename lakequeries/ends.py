@@ -278,7 +278,7 @@ def incremental_run_append(spark, sf_dir):
 
 
 def incremental_run_replay(spark, sf_dir):
-    """An update filter needs the stored row, so the files are applied one by one."""
+    """An update filter needs the row that the files before left: they are folded key by key."""
     table = _run(spark, sf_dir, "scd1", update_filter="t.o_orderpriority <> '1-URGENT'")
     return table.select(*_STATE)
 

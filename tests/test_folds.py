@@ -210,6 +210,29 @@ def test_append_keeps_repeated_keys_of_a_batch(spark):
     assert again.count() == 3
 
 
+@pytest.mark.parametrize("rule", ["t.v <> 'x'", "s.v > t.v", "s.g IS NULL OR t.v IS NULL"])
+def test_filtered_fold(spark, rule):
+    """A filter on the stored row: the fold equals merging batch by batch."""
+    first, *rest = random_batches(700 + len(rule), 6)
+    target = tagged(spark, first, 0).withColumn("own", F.lit(1))
+    looped = target
+    for i, b in enumerate(rest, 1):
+        looped = written(merge.scd1_merge(looped, tagged(spark, b, i), ["k"], rule), "step")
+    once = fold.scd1_filtered_fold(target, backlog(spark, rest), ["k"], rule)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    columns = ("k", "v", "g", "own", MODIFIED, ARCHIVED)
+    assert found(once, *columns) == found(looped, *columns)
+    none = fold.scd1_filtered_fold(None, backlog(spark, [first, *rest]), ["k"], rule)
+    assert none.count() == looped.select("k").distinct().count()
+
+
+def test_filtered_fold_refuses_repeated_keys(spark):
+    rows = [{"k": 1, "v": "x", "g": None}, {"k": 1, "v": "y", "g": None}]
+    with pytest.raises(Exception, match="more than one row"):
+        fold.scd1_filtered_fold(None, backlog(spark, [rows]), ["k"], "true").collect()
+
+
 @pytest.mark.parametrize("turned", [False, True])
 @pytest.mark.parametrize("seed", range(2))
 def test_append_to_tied_current_versions(spark, seed, turned):

@@ -176,6 +176,43 @@ def scd1_fold(
     return kept.select(*cols(schema.names))
 
 
+def scd1_filtered_fold(
+    target: DataFrame | None,
+    batches: DataFrame,
+    keys: Sequence[str],
+    update_filter: str,
+    on_duplicate: str = "error",
+) -> DataFrame:
+    """Type-1 result of all batches where a stored row is replaced only if ``update_filter`` holds.
+
+    The filter names columns of the stored row ``t`` and the new row ``s``, so what a batch does depends
+    on what the batches before it left. The rows of a key, sorted by batch, are folded into one: the
+    carried row is ``t``, the next one ``s``. A key has one row for each batch at most, so its array is
+    bounded by the files of a fold; a repeated key fails before anything is collected.
+    """
+    if CARRIED in batches.columns:
+        raise NeedsReplay("with columns that only some files carry, a filter depends on the stored row")
+    batches = _one_per_key(batches, keys, on_duplicate)
+    stacked, schema = _stack(target, batches, F.lit(0))
+    seen = _with_neighbours(stacked, keys)
+    rows = F.collect_list(F.struct(F.col(BATCH), *cols(schema.names)))
+    grouped = seen.groupBy(*cols(keys)).agg(rows.alias("_tm_rows"))
+    by_batch = F.array_sort("_tm_rows", lambda a, b: a[BATCH] - b[BATCH])
+    sorted_rows = grouped.select(by_batch.alias("_tm_rows"))
+    # Columns that no batch carries keep the stored value.
+    carried = {BATCH, *batches.columns}
+    taken = ", ".join(
+        f"'{f}', {'s' if f in carried else 't'}.{quoted(f)}" for f in (BATCH, *schema.names)
+    )
+    state = F.expr(
+        f"""aggregate(slice(_tm_rows, 2, size(_tm_rows)), _tm_rows[0], (t, s) -> CASE
+            WHEN s.{quoted(HASH)} <> t.{quoted(HASH)} AND ({update_filter})
+            THEN named_struct({taken}) ELSE t END)"""
+    )
+    folded = sorted_rows.select(state.alias("_tm_row"))
+    return folded.select(*[F.col("_tm_row").getField(n).alias(n) for n in schema.names])
+
+
 def _with_removal(
     df: DataFrame,
     batches: DataFrame,

@@ -190,7 +190,7 @@ def _folded(spec: TableSpec, target, batches: DataFrame, batch_log: DataFrame) -
     policy = spec.on_duplicate
     if spec.kind == "scd1":
         if spec.update_filter:
-            raise fold.NeedsReplay("an update filter depends on the stored row")
+            return fold.scd1_filtered_fold(target, batches, spec.keys, spec.update_filter, policy)
         return fold.scd1_fold(target, batches, spec.keys, on_duplicate=policy)
     if spec.kind == "scd2":
         return fold.scd2_fold(
