@@ -9,15 +9,15 @@ is the sequence from the tree's own place on; sorted by path, nodes that are ali
 those that share a beginning of some depth form a region. Regions start at depth ``DEPTH``; nodes
 without company there in a tree leave that tree.
 
-*Neighbours.* All trees' paths are sorted once, by range, so a crowd is cut over partitions like
-anything else. Each node meets the one before it, the one with the longest common beginning. A few
-trees go first; whoever is in one component already is not compared again.
+*Neighbours.* The paths of the first ``SORTED`` trees are sorted, by range, so a crowd is cut over
+partitions like anything else. Each node meets the one before it, the one with the longest common
+beginning; what is alike becomes one component.
 
-*Regions.* After that every region is looked at again for pairs across components. Where they are at
+*Regions.* After that the regions of all trees are looked at for pairs across components. Where they are at
 most ``FEW``, or ``LIMIT`` for each node, all of them are compared, the nodes outside of the largest component with
 all others: first by ``BITS`` bits of each minhash, where more differ than six standard deviations above the
 mean of barely alike sets, the sets are not looked at. A region with more pairs goes one level deeper,
-until its parts can be done; at the deepest level all of them are compared. So a crowd of copies of one text costs a neighbour for each
+until its parts can be done (``DEPTHS``); at the deepest level all of them are compared. So a crowd of copies of one text costs a neighbour for each
 member, and a stranger in it is still compared with all of them.
 
 A pair of likeness s shares a region of depth d in one of the trees with probability
@@ -43,11 +43,11 @@ from tidemark.session import written
 
 HASHES = 128
 TREES = 32
-DEPTH = 3
-DEEPEST = 16
+DEPTHS = (3, 4, 5, 6, 8, 10, 13, 16)
+DEPTH, DEEPEST = DEPTHS[0], DEPTHS[-1]
 LIMIT = 4
 FEW = 512
-FIRST_TREES = 4
+SORTED = 16
 BITS = 4
 SHINGLE = 2
 PERCENT = 80
@@ -235,33 +235,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 # --- components ---------------------------------------------------------------------------------------
 
 
-def _labels(found: DataFrame | None) -> DataFrame | None:
+def _labels(found: DataFrame) -> DataFrame:
     """``node, label`` of the nodes that have a link."""
-    return None if found is None else written(components(found, "a", "b").withColumnRenamed("root", "label"), "forest-labels")
+    return written(components(found, "a", "b").withColumnRenamed("root", "label"), "forest-labels")
 
 
-def _across(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Different pairs of different components."""
-    pairs = pairs.select("a", "b").distinct()
-    if labels is None:
-        return pairs
-    for end in ("a", "b"):
-        own = labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-        pairs = pairs.join(own, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    return pairs.where("label_a != label_b").select("a", "b")
-
-
-def _region_pairs(trees: DataFrame, labels: DataFrame | None, percent: int, limit: int) -> DataFrame:
+def _region_pairs(trees: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
     """All pairs across components of all regions, as deep as their number asks for."""
-    rows = trees
-    if labels is not None:
-        rows = rows.join(labels, "node", "left")
-    else:
-        rows = rows.withColumn("label", F.lit(None).cast("binary"))
-    rows = rows.select("tree", "path", "node", "n", "bits", F.coalesce("label", "node").alias("label"))
+    label = F.coalesce("label", "node").alias("label")
+    rows = trees.join(labels, "node", "left").select("tree", "path", "node", "n", "bits", label)
     most = most_bits_apart(percent)
     found = None
-    for depth in range(DEPTH, DEEPEST + 1):
+    for depth in DEPTHS:
         keyed = rows.withColumn("region", F.xxhash64("tree", _beginning(depth)))
         own = keyed.groupBy("region", "label").agg(F.count("*").alias("n_own"))
         sizes = own.groupBy("region").agg(
@@ -280,22 +265,21 @@ def _region_pairs(trees: DataFrame, labels: DataFrame | None, percent: int, limi
         near = (100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")) & (_bits_apart("bits", "bits_x") <= most)
         pairs = left.join(right, "region").where((F.col("label") != F.col("label_x")) & near)
         pairs = pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+        # A table for each depth: the plan of what is compared stays small.
+        pairs = written(pairs.distinct(), "forest-compared")
         found = pairs if found is None else found.unionByName(pairs)
         if depth == DEEPEST or mixed.where(~now).isEmpty():
-            return found.distinct()
+            break
         rows = written(held.where(~now).select("tree", "path", "node", "n", "bits", "label"), "forest-deeper")
-    return found
+    return found.distinct()
 
 
 def links(docs: DataFrame, table: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, limit: int = LIMIT) -> DataFrame:
     """Links ``a, b`` between nodes that connect them as all alike pairs of the forest do."""
     trees = written(forest(table), "forest")
     sets = _full_sets(docs, table, trees, shingle)
-    near = written(neighbours(trees, percent), "forest-neighbours")
-    found = confirmed(_across(near.where(F.col("tree") < FIRST_TREES), None), sets, percent)
-    labels = _labels(found)
-    more = confirmed(_across(near.where(F.col("tree") >= FIRST_TREES), labels), sets, percent)
-    found = found.unionByName(more)
+    near = neighbours(trees.where(F.col("tree") < SORTED), percent)
+    found = confirmed(near.select("a", "b").distinct(), sets, percent)
     labels = _labels(found)
     rest = _region_pairs(trees, labels, percent, limit)
     return found.unionByName(confirmed(rest, sets, percent))
