@@ -10,6 +10,7 @@ from test_runs import logged, put, spec_for
 from tidemark.names import BUCKET, CURRENT, OPEN
 from tidemark.plans import incremental
 from tidemark.sources.store import Layout, SnapshotStore
+from tidemark.spec import PurgePolicy
 
 pytestmark = pytest.mark.usefixtures("interpreted")
 
@@ -140,3 +141,11 @@ def test_buckets_of_null_and_widened_keys(spark):
     wide = narrow.selectExpr("cast(k AS long) AS k", "l")
     buckets = [[r[0] for r in df.select(layout.bucket()).collect()] for df in (narrow, wide)]
     assert buckets[0] == buckets[1] and all(0 <= b < 7 for b in buckets[0])
+
+
+def test_purge_without_a_log_has_the_columns_of_a_summary(spark, folder):
+    extracts(spark, folder)
+    policy = PurgePolicy(include_prefixes=())
+    some = incremental.run_purge(spark, {"archive_x": f"{folder}/log"}, policy, NOW)
+    none = incremental.run_purge(spark, {"archive_x": f"{folder}/missing"}, policy, NOW)
+    assert none.columns == some.columns and none.where("ArchiveTable IS NOT NULL").count() == 0

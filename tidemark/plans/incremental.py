@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -39,6 +40,7 @@ from tidemark.sources.paths import file_path_col, plain_path, plain_path_col
 from tidemark.sources.store import Layout, SnapshotStore
 from tidemark.spec import PurgePolicy, TableSpec
 
+_LOGGER = logging.getLogger(__name__)
 _LOG_DAY = "ArchiveyyyyMMddUTC"
 _PENDING_SCHEMA = (
     f"{BATCH} int, ArchiveDatetimeUTC timestamp_ntz, OriginalStagingFilePath string, "
@@ -431,6 +433,7 @@ def run_config(
             spec = config.spec_from_row(row, table_root, archive_root, process_log)
             done[target] = run_incremental(spark, spec, now)
         except Exception as error:
+            _LOGGER.exception("the load of %s failed", target)
             done[target] = RunResult(error=f"{type(error).__name__}: {error}")
     return done
 
@@ -609,7 +612,9 @@ def run_purge(
     wanted = [r[0] for r in retention.filter_tables(names, policy).collect()]
     existing = {n: archive_logs[n] for n in wanted if Folder(spark, archive_logs[n]).exists()}
     if not existing:
-        return spark.createDataFrame([], "ArchiveTable string")
+        table = T.StructField("ArchiveTable", T.StringType())
+        none = spark.createDataFrame([], T.StructType([*ARCHIVE_LOG, table]))
+        return retention.purge_summary(retention.retention_classify(none, now, policy, ["ArchiveTable"]))
     logs_now = read_logs(spark, existing)
     classified = retention.retention_classify(logs_now, now, policy, ["ArchiveTable"])
     # The logs change below: what they say now is kept as a table of its own.
