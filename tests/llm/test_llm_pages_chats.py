@@ -125,6 +125,15 @@ def plain_match(a, b):
 @settings(max_examples=100, deadline=None)
 @given(*[st.lists(st.sampled_from(["<div>", "</div>", "<ul>", "</ul>", "<p>x", "<section>", "</section>"]), max_size=14)] * 2)
 def test_tree_matching(a, b):
+    check_matching(a, b)
+    whole, html_extract.MAX_CELLS = html_extract.MAX_CELLS, 1
+    try:
+        check_matching(a, b)
+    finally:
+        html_extract.MAX_CELLS = whole
+
+
+def check_matching(a, b):
     x, y = (html_extract._shaped(html_extract.Page("".join(parts))) for parts in (a, b))
     pairs = html_extract.align(x, y)
     assert len(pairs) == html_extract.match(x.root, y.root) == plain_match(x.root, y.root)
@@ -135,6 +144,17 @@ def test_tree_matching(a, b):
             assert pairs[x.nodes[i].parent.index] == y.nodes[j].parent.index
 
 
+def test_deep_and_wide_pages(spark):
+    deep = ["<div>" * n + f"<p>deep {n}" + "<ul><li>x</ul>" * (n % 3) + "</div>" * n for n in (10_000, 10_001, 9_000, 600, 600)]
+    kinds = ["<p>{}</p>", "<ul><li>{}</ul>", "<div><p>{}</div>", "<section><p>{}</p><p>more</p></section>"]
+    wide = ["".join(kinds[(i * i + i // 7 * k) % 4].format(f"{k} {i}") for i in range(3_000)) for k in (1, 2)]
+    got = extracted(spark, deep + wide)
+    assert [got[k].split("\n\n")[0] for k in range(5)] == [f"deep {n}" for n in (10_000, 10_001, 9_000, 600, 600)]
+    for k in (1, 2):
+        blocks = [b for b in got[4 + k].split("\n\n") if b != "more"]
+        assert blocks == [f"{k} {i}" for i in range(3_000)]
+
+
 # 10: conversations
 
 HARD = st.text("<#/\\turn>: A\n%", max_size=25)
@@ -184,7 +204,7 @@ def test_formatted_conversations(spark):
 def test_all_are_registered():
     found = entry_point.queries()
     assert set(QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))

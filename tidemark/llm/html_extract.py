@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import html
 import re
+from collections import deque
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.text import map_slices
@@ -36,6 +38,8 @@ MAX_TEMPLATE_SHARE = 0.3
 MAX_TEMPLATE_SHARE_OUTSIDE = 0.7
 # An element with more than this share of a page's text is its content, whatever its class says.
 MOST = 0.5
+# Tables of sibling scores are held whole up to this many cells.
+MAX_CELLS = 1_000_000
 # Pivots and template nodes are broadcast up to this size (checked), else joined with a shuffle.
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -84,7 +88,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 class Node:
     """An element that makes blocks. ``blocks`` are the numbers of the texts that stand right in it."""
 
-    __slots__ = ("tag", "parent", "children", "blocks", "noise", "named", "article", "main", "shape", "index")
+    __slots__ = ("tag", "parent", "children", "blocks", "noise", "named", "article", "main", "shape", "index", "size", "tags")
 
     def __init__(self, tag: str, parent: Node | None, noise: bool, article: bool, main: bool):
         self.tag, self.parent = tag, parent
@@ -93,6 +97,10 @@ class Node:
         self.noise, self.article, self.main = noise, article, main
         self.named = False
         self.shape = self.index = -1
+        self.size = 1
+        # Tags of the element and of all above it: one set for as long as none is new.
+        above = parent.tags if parent is not None else frozenset()
+        self.tags = above if tag in above else above | {tag}
 
 
 class Page:
@@ -166,7 +174,7 @@ class Page:
     def _close(self, tags: set[str], limits: set[str] | frozenset[str]) -> None:
         """Close the nearest open element of these tags that no limit stands before."""
         node = self._open
-        while node.parent is not None:
+        while node.parent is not None and not node.tags.isdisjoint(tags):
             if node.tag in tags:
                 self._open = node.parent
                 return
@@ -230,53 +238,128 @@ _shapes: dict[tuple, int] = {}
 _scores: dict[tuple[int, int], int] = {}
 
 
-def _shaped(page: Page) -> Page:
-    """Number the shapes of subtrees: equal tags with equal children have one number in a worker."""
-    if len(_shapes) > 50_000:
+def _forget() -> None:
+    """Start anew where a worker remembers much; only between pages, as shapes are compared by number."""
+    if len(_shapes) > 50_000 or len(_scores) > 500_000:
         _shapes.clear()
         _scores.clear()
         _pivot.cache_clear()
+
+
+def _shaped(page: Page) -> Page:
+    """Number the shapes of subtrees: equal tags with equal children have one number in a worker."""
     for node in reversed(page.nodes):
         key = (node.tag, *(c.shape for c in node.children))
+        node.size = 1 + sum(c.size for c in node.children)
         node.shape = _shapes.setdefault(key, len(_shapes))
     return page
 
 
-def _table(a: list[Node], b: list[Node]) -> list[list[int]]:
-    rows = [[0] * (len(b) + 1)]
-    for x in a:
-        above, row, left = rows[-1], [0], 0
-        for j, y in enumerate(b):
-            left = max(left, above[j + 1], above[j] + match(x, y))
-            row.append(left)
-        rows.append(row)
-    return rows
-
-
-def match(a: Node, b: Node) -> int:
-    """Simple tree matching: the most nodes that can be paired, parents with parents, in order."""
+def _known(a: Node, b: Node) -> int | None:
+    """The score of two nodes if it needs no table, or its table was made."""
     if a.tag != b.tag:
         return 0
     if not a.children or not b.children:
         return 1
-    key = (a.shape, b.shape)
-    score = _scores.get(key)
-    if score is None:
-        score = _scores[key] = 1 + _table(a.children, b.children)[-1][-1]
+    return _scores.get((a.shape, b.shape))
+
+
+def _ends(a: list[Node], b: list[Node]) -> tuple[int, int]:
+    """How many siblings have equal shapes at the start and, of the others, at the end.
+
+    Equal subtrees score the most that either can, and two pairs that use them crosswise would cross:
+    some best matching pairs them.
+    """
+    most = min(len(a), len(b))
+    head = next((k for k in range(most) if a[k].shape != b[k].shape), most)
+    tail = next((k for k in range(most - head) if a[-1 - k].shape != b[-1 - k].shape), most - head)
+    return head, tail
+
+
+def _weights(a: list[Node], b: list[Node]) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Scores of the different shapes of both lists, and the place of each sibling's shape in them."""
+    kinds_a = {x.shape: x for x in a}
+    kinds_b = {y.shape: y for y in b}
+    scores = np.array([[_known(x, y) for y in kinds_b.values()] for x in kinds_a.values()], np.int64)
+    place_a = {shape: k for k, shape in enumerate(kinds_a)}
+    place_b = {shape: k for k, shape in enumerate(kinds_b)}
+    return scores, [place_a[x.shape] for x in a], np.array([place_b[y.shape] for y in b], np.int64)
+
+
+def _rows(scores: np.ndarray, at_a: list[int], at_b: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of the table of best scores of the first siblings of both lists, one for each of ``at_a``."""
+    row = np.zeros(len(at_b) + 1, np.int64)
+    yield row
+    for k in at_a:
+        below = row.copy()
+        np.maximum(row[1:], row[:-1] + scores[k][at_b], out=below[1:])
+        row = np.maximum.accumulate(below)
+        yield row
+
+
+def _last_row(scores: np.ndarray, at_a: list[int], at_b: np.ndarray) -> np.ndarray:
+    return deque(_rows(scores, at_a, at_b), maxlen=1)[0]
+
+
+def _siblings_score(a: list[Node], b: list[Node]) -> int:
+    """The score of two lists of siblings; scores of their children are known."""
+    head, tail = _ends(a, b)
+    score = sum(x.size for x in a[:head]) + sum(x.size for x in a[len(a) - tail :])
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if a and b:
+        score += int(_last_row(*_weights(a, b))[-1])
     return score
 
 
-def align(page: Page, pivot: Page) -> dict[int, int]:
-    """Numbers of the page's nodes and of the pivot's nodes that they are matched with."""
-    pairs = {}
-    work = [(page.root, pivot.root)]
+def match(a: Node, b: Node) -> int:
+    """Simple tree matching: the most nodes that can be paired, parents with parents, in order.
+
+    Pairs of shapes wait on a list until the pairs of their children are done, however deep they lie.
+    """
+    work = [(a, b)]
+    while work:
+        x, y = work[-1]
+        if _known(x, y) is None:
+            if x.shape == y.shape:
+                _scores[x.shape, y.shape] = x.size
+            else:
+                head, tail = _ends(x.children, y.children)
+                kinds_x = {c.shape: c for c in x.children[head : len(x.children) - tail]}
+                kinds_y = {c.shape: c for c in y.children[head : len(y.children) - tail]}
+                open_pairs = [(c, d) for c in kinds_x.values() for d in kinds_y.values() if _known(c, d) is None]
+                if open_pairs:
+                    work += open_pairs
+                    continue
+                _scores[x.shape, y.shape] = 1 + _siblings_score(x.children, y.children)
+        work.pop()
+    return _known(a, b)
+
+
+def _paired(a: list[Node], b: list[Node]) -> Iterator[tuple[Node, Node]]:
+    """The siblings that a best matching pairs (scores of their children are known).
+
+    A table of more than ``MAX_CELLS`` cells is halved at the middle of ``a`` (Hirschberg, 1975), so
+    memory grows with the sum of both lengths, not with their product.
+    """
+    work = [(a, b)]
     while work:
         a, b = work.pop()
-        pairs[a.index] = b.index
-        if not a.children or not b.children:
+        head, tail = _ends(a, b)
+        yield from zip(a[:head], b[:head], strict=True)
+        yield from zip(a[len(a) - tail :], b[len(b) - tail :], strict=True)
+        a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+        if not a or not b:
+            continue
+        scores, at_a, at_b = _weights(a, b)
+        if len(a) > 1 and len(a) * len(b) > MAX_CELLS:
+            middle = len(a) // 2
+            before = _last_row(scores, at_a[:middle], at_b)
+            after = _last_row(scores, at_a[: middle - 1 : -1], at_b[::-1])[::-1]
+            cut = int(np.argmax(before + after))
+            work += [(a[:middle], b[:cut]), (a[middle:], b[cut:])]
             continue
-        rows = _table(a.children, b.children)
-        i, j = len(a.children), len(b.children)
+        rows = list(_rows(scores, at_a, at_b))
+        i, j = len(a), len(b)
         while i and j:
             if rows[i][j] == rows[i - 1][j]:
                 i -= 1
@@ -284,7 +367,21 @@ def align(page: Page, pivot: Page) -> dict[int, int]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                work.append((a.children[i], b.children[j]))
+                yield a[i], b[j]
+
+
+def align(page: Page, pivot: Page) -> dict[int, int]:
+    """Numbers of the page's nodes and of the pivot's nodes that they are matched with."""
+    match(page.root, pivot.root)
+    pairs = {}
+    work = [(page.root, pivot.root)]
+    while work:
+        a, b = work.pop()
+        pairs[a.index] = b.index
+        if not a.children or not b.children:
+            continue
+        # Equal shapes need no table above them; below unequal ones the scores are there.
+        work += _paired(a.children, b.children)
     return pairs
 
 
@@ -298,6 +395,7 @@ def aligned_blocks(source: str, pivot_source: str) -> list[dict]:
 
     With an ``article`` or ``main``, those inside it; else all outside of what is never content.
     """
+    _forget()
     page = _shaped(Page(source))
     open_blocks = [k for k, owner in enumerate(page.owners) if not owner.noise]
     inside = [k for k in open_blocks if page.owners[k].article] or [k for k in open_blocks if page.owners[k].main]
