@@ -189,13 +189,75 @@ def test_formatted_conversations(spark):
         (2, 0, "assistant", "x" * 200_000),
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "'y' AS turns", "'z' AS loss")
-    got = {r["conv_id"]: r for r in chat.digests(chat.format_conversations(df)).collect()}
+    got = {r["conv_id"]: r for r in chat.digests(chat.format_turns(df)).collect()}
     turns = [("user", ""), ("assistant", "</turn>"), ("assistant", "</turn>"), ("", "")]
     want = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
     assert (got[1]["n_turns"], got[1]["turns_sha256"]) == (4, want)
     assert (got[1]["loss_chars"], got[1]["loss_sha256"]) == (14, hashlib.sha256(b"</turn></turn>").hexdigest())
     assert got[2]["loss_chars"] == 200_000 and got[None]["n_turns"] == 1
-    assert chat.format_conversations(df.limit(0)).count() == 0
+    assert chat.format_conversations(df.limit(0)).count() == chat.format_turns(df.limit(0)).count() == 0
+    # Turn by turn, at their offsets, the same strings and spans as whole prefixes give.
+    whole = {r["conv_id"]: r for r in chat.format_conversations(df).collect()}
+    turns = sorted(chat.with_offsets(chat.format_turns(df)).collect(), key=lambda r: (r["part"], r["place"]))
+    for conv_id, made in whole.items():
+        own = [r for r in turns if r["conv_id"] == conv_id]
+        assert "".join(r["formatted"] for r in own) == made["formatted"]
+        spans = [
+            (r["start"], r["start"] + len(r["formatted"]), r["start"] + r["text_start"], r["start"] + r["text_end"])
+            for r in own
+        ]
+        assert spans == [tuple(s) for s in made["spans"]]
+
+
+def with_separator(turns):
+    return "<s>" + "".join(f"{'+' if k and turns[k - 1][0] == r else '|'}{r}: {t}" for k, (r, t) in enumerate(turns))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.text("xy|+: ", max_size=4)), max_size=6))
+def test_two_turns_show_what_whole_prefixes_do(turns):
+    for template in (chat.marked_turns, with_separator):
+        made = chat.render(turns, template)
+        added = [chat.added_by(t, turns[k - 1] if k else None, template) for k, t in enumerate(turns)]
+        assert "".join(a[0] for a in added) == (made.text if turns else "")
+        for (piece, start, end), span in zip(added, made.spans, strict=True):
+            assert (span[1] - span[2], span[3] - span[2]) == (len(piece) - start, end - start)
+
+
+def test_long_conversations_and_rewriting_templates(spark):
+    # Small ranges would be merged into one partition.
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        check_long_conversations(spark)
+    finally:
+        spark.conf.set(merge, before)
+
+
+def check_long_conversations(spark):
+    n = 100_000
+    rows = spark.range(n).selectExpr(
+        "if(id % 3 = 0, null, 5L) AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('text ', id, ' </turn>') AS text"
+    )
+    got = {r["conv_id"]: r for r in chat.digests(chat.format_turns(rows)).collect()}
+    for conv_id, own in ((None, range(0, n, 3)), (5, [k for k in range(n) if k % 3])):
+        said = [("assistant" if k % 2 else "user", f"text {k} </turn>") for k in own]
+        want = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+        loss = "".join(t for r, t in said if r == "assistant")
+        assert (got[conv_id]["n_turns"], got[conv_id]["turns_sha256"]) == (len(said), want)
+        assert (got[conv_id]["loss_chars"], got[conv_id]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert got[conv_id]["formatted_chars"] == len(chat.marked_turns(said))
+    turns = chat.with_offsets(chat.format_turns(rows)).where("conv_id = 5").selectExpr(
+        "count(DISTINCT part) AS parts", "max(start + length(formatted)) AS chars", "count(start) AS n"
+    ).first()
+    assert turns["parts"] > 1 and (turns["chars"], turns["n"]) == (got[5]["formatted_chars"], got[5]["n_turns"])
+
+    def rewriting(turns):
+        return "".join(f"[{r}] {t if k == len(turns) - 1 else '...'}\n" for k, (r, t) in enumerate(turns))
+
+    few = chat.with_offsets(chat.format_turns(rows.where("id < 9"), rewriting)).where("conv_id = 5").orderBy("part", "place").collect()
+    assert [r["rewritten"] for r in few] == [False] + [True] * 5 and [r["start"] for r in few] == [0] + [None] * 5
 
 
 # Registered queries and the pipeline
