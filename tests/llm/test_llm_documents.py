@@ -74,6 +74,28 @@ def table(request):
     return request.getfixturevalue(request.param)
 
 
+def likeness_components(texts, percent=80):
+    """The smallest id that each document reaches over pairs of that Jaccard likeness, by all pairs."""
+    sets = {d: shingles(t) for d, t in sorted(texts.items())}
+    roots = {d: d for d in sets}
+
+    def root(d):
+        while roots[d] != d:
+            d = roots[d]
+        return d
+
+    ids = list(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                common = len(x & y)
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    low, high = sorted((root(a), root(b)))
+                    roots[high] = low
+    return {d: root(d) for d in ids}
+
+
 # 1: fingerprints
 
 
@@ -457,6 +479,59 @@ def test_one_of_each_stays(odd):
     assert sorted(r["doc_id"] for r in left.collect() if r["doc_id"] is not None) == [1, 3, 4, 5, 5, 7, 9]
 
 
+def altered(rng, tokens, n):
+    """The words with ``n`` of them replaced."""
+    out = list(tokens)
+    for k in rng.sample(range(len(out)), n):
+        out[k] = f"new{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+def test_near_copies_are_found_by_slices(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(20_000)]
+    texts, pairs = {}, 0
+    for k in range(400):
+        n = rng.choice([12, 30, 60, 110, 200, 420, 1_500])
+        tokens = rng.choices(vocabulary, k=n)
+        texts[2 * k] = " ".join(tokens)
+        # Each replaced word changes five shingles: a likeness from just under 0.8 up.
+        texts[2 * k + 1] = altered(rng, tokens, rng.randint(0, max(1, round(n * 0.023))))
+        x, y = shingles(texts[2 * k]), shingles(texts[2 * k + 1])
+        pairs += 100 * len(x & y) >= 80 * len(x | y)
+    rows = [(d, t) for d, t in texts.items()]
+    got = dict(simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = likeness_components(texts)
+    assert pairs > 250
+    wrong = [d for d in texts if got[d] != want[d]]
+    assert all(got[d] == d for d in wrong) and len(wrong) <= 0.03 * pairs
+
+
+def test_a_crowd_of_near_copies(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5_000)}" for _ in range(120)]
+    texts = {k: altered(rng, base, rng.randint(0, 2)) for k in range(700)} | {k: f"other text number {k} " * 9 for k in range(700, 760)}
+    rows = [(d, t) for d, t in texts.items()]
+    got = dict(simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = likeness_components(texts)
+    assert sum(got[d] != want[d] for d in texts) <= 7
+
+
+def test_odd_rows_and_similar_documents(odd, empty):
+    got = rows(simhash.similar_documents(odd))
+    ids = [r[0] for r in got]
+    # Null and wordless texts (1, 2, 6) have no row; two short texts differ in case and white space only.
+    assert sorted(ids, key=repr) == sorted([3, 4, 5, 5, None, 7, 8, 9], key=repr)
+    assert (8, 7) in got and (5, 5) in got
+    assert rows(simhash.keep_one_of_each(odd).select("doc_id")) == sorted([(d,) for d in (1, 2, 3, 4, 5, 5, None, 6, 7, 9)], key=repr)
+    assert simhash.similar_documents(empty).count() == 0
+
+
+def test_sets_of_like_sizes_share_a_cut():
+    for size in [*range(1, 400), 1_000, 5_000]:
+        assert all(set(simhash.cuts(size)) & set(simhash.cuts(other)) for other in range(size, size * 5 // 4 + 1))
+
+
 # 8: packing
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections import defaultdict
 
 import corpus_pipeline
 import duckdb
@@ -14,7 +13,7 @@ from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import connect, difference
-from test_llm_documents import brute_components, brute_lines, plain_simhash
+from test_llm_documents import brute_lines, likeness_components
 
 import __spark_entry__ as entry_point
 from tidemark.llm import chat, html_extract, line_dedup, quality, secret_scan
@@ -286,12 +285,8 @@ def test_pipeline_equals_brute_force(spark):
         text = "\n".join(x for k, x in enumerate(r["text"].split("\n")) if k not in dropped)
         if not dropped or re.search("[^\x20\x09-\x0d]", text):
             texts[r["doc_id"]] = text
-    found = [(d, plain_simhash(t)) for d, t in texts.items()]
-    roots = brute_components(found)
-    least = defaultdict(list)
-    for d, f in found:
-        least[roots[f]].append(d)
-    stays = {min(ds) for ds in least.values()}
+    roots = likeness_components(texts)
+    stays = {d for d in texts if roots[d] == d}
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {p["doc_id"] for p in pieces} == stays
     from public_tokenizers import path

@@ -15,15 +15,18 @@ has only as many members as there are fingerprints within that many flips.
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from xxhash import xxh64_digest
+from xxhash import xxh3_128_digest, xxh64_digest
 
 from tidemark.llm.components import components
-from tidemark.llm.text import map_slices, with_text, words
+from tidemark.llm.text import arrow_schema, map_slices, with_text, words
 from tidemark.session import written
 
 SEED = 42
@@ -120,12 +123,159 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, crowd:
     return table.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents without all but the first of each component, by ``doc_id`` (columns unchanged).
+# Documents are near at this Jaccard likeness of their sets of word shingles, of this many words.
+SHINGLE = 5
+SIMILAR_PERCENT = 80
+# Whole fingerprints of such a pair differ in about 10 of 64 bits; 18 are three deviations more.
+SIMILAR_BITS = 18
+SLICES = 32
+# A document is compared with so many before it under a key, in the order of fingerprints.
+NEIGHBOURS = 4
 
-    Rows without a ``doc_id`` cannot be told apart and stay; of rows that share the kept ``doc_id``
-    all stay.
+
+def _shingle_set(text: str) -> np.ndarray:
+    """Hashes of the different 5-word shingles, sorted; fewer words are one shingle, none are none."""
+    tokens = words(text.encode().lower())
+    if not tokens:
+        return np.array([], np.uint64)
+    grams = [b" ".join(tokens)]
+    if len(tokens) > SHINGLE:
+        grams = map(b" ".join, zip(*(tokens[k:] for k in range(SHINGLE)), strict=False))
+    digests = b"".join(map(xxh64_digest, grams, repeat(SEED)))
+    return np.unique(np.frombuffer(digests, ">u8").astype(np.uint64))
+
+
+def _least_size(cut: int) -> float:
+    """The smallest set that is cut into so many slices: 1.5 to 3 shingles each, from 96 on 3 to 6."""
+    return 1.5 * cut if cut <= 16 else 3 * cut
+
+
+def cuts(size: int) -> list[int]:
+    """Into how many slices a set is cut. Two sets with a likeness of 0.8 share one of these numbers.
+
+    Their sizes differ by a quarter at most, so a set less than a quarter above the least size for its
+    number is cut into half as many as well.
+    """
+    cut = 1
+    while _least_size(2 * cut) <= size:
+        cut *= 2
+    return [cut, cut // 2] if cut > 1 and size < 1.25 * _least_size(cut) else [cut]
+
+
+def _majority(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """SimHash of each run of hashes."""
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64)
+    sizes = np.diff(np.append(starts, len(hashes)))
+    over = 2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int64) > sizes[:, None]
+    return np.packbits(over, axis=1).reshape(-1).view(">u8").astype(np.uint64)
+
+
+def slice_keys(hashes: np.ndarray) -> np.ndarray:
+    """A key for each of the first ``SLICES`` slices of a shingle set: its SimHash, number and count."""
+    keys = [np.array([], np.uint64)]
+    for cut in cuts(len(hashes)) if len(hashes) else []:
+        at = hashes & np.uint64(cut - 1)
+        chosen = at < SLICES
+        order = np.argsort(at[chosen], kind="stable")
+        numbers, starts = np.unique(at[chosen][order], return_index=True)
+        if len(numbers):
+            place = (numbers + np.uint64(SLICES * cut + 1)) * np.uint64(0x9E3779B97F4A7C15)
+            keys.append(_majority(hashes[chosen][order], starts) ^ place)
+    return np.concatenate(keys)
+
+
+def _sliced(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, copy, fp, keys`` of every row; equal shingle sets have one ``copy``."""
+
+    def run(columns: dict[str, list]):
+        sets = [_shingle_set(t) for t in columns["text"]]
+        whole = [int(_majority(h, np.array([0])).view(np.int64)[0]) if len(h) else 0 for h in sets]
+        yield {
+            "doc_id": columns["doc_id"],
+            "text_key": columns["text_key"],
+            "copy": [xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets],
+            "fp": whole,
+            "keys": [slice_keys(h).view(np.int64) for h in sets],
+        }
+
+    rows = with_text(docs, ["doc_id", F.xxhash64("text").alias("text_key")])
+    return map_slices(rows, run, "doc_id long, text_key long, copy binary, fp long, keys array<long>")
+
+
+def _neighbours(keyed: DataFrame) -> DataFrame:
+    """``a, b``: each node with those just before it under a key, and with the key's first.
+
+    Rows are range-sorted by key and fingerprint and streamed, so a key that stands everywhere is cut
+    into ranges, and makes a fixed number of pairs a row.
+    """
+    order = ["key", "fp", "node"]
+    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = arrow_schema("a long, b long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first, last = None, None, deque(maxlen=NEIGHBOURS)
+        for batch in batches:
+            found = set()
+            for k, fp, node in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != key:
+                    key, first = k, (fp, node)
+                    last.clear()
+                for other, before in {first, *last}:
+                    if before != node and ((fp ^ other) & (1 << 64) - 1).bit_count() <= SIMILAR_BITS:
+                        found.add((min(node, before), max(node, before)))
+                last.append((fp, node))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], schema=schema)
+
+    return ranged.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, component_id`` of every row that has words: near copies at a Jaccard likeness of 0.8.
+
+    Shingles are five words. The bits of one SimHash are too few to tell 0.8 from less, so the
+    fingerprint is a wide one: a document's shingles are dealt by hash into slices of a few, and each
+    slice has a SimHash of its own. The slices are its blocks: near documents share one (of pairs at
+    0.8, 98 in 100 or more), documents that share a block are compared with their neighbours by
+    SimHash, whole fingerprints have to lie within 18 bits, and what is left is confirmed on the full
+    sets. Equal sets are one node from the start. ``component_id`` is the smallest ``doc_id`` of those
+    linked; rows without a ``doc_id`` take part but name none. Texts without words are near to nothing
+    and have no row. Repeated rows stay; an empty table gives an empty result.
+    """
+    table = written(_sliced(docs).where("copy is not null"), "simhash-sliced")
+    grouped = table.groupBy("copy").agg(
+        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("fp").alias("fp"), F.min("keys").alias("keys")
+    )
+    nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
+    pairs = written(_neighbours(nodes.select(F.explode("keys").alias("key"), "fp", "node")), "simhash-pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = nodes.join(ends, "node").select("text_key", "node")
+    texts = with_text(docs, [F.xxhash64("text").alias("text_key")]).join(wanted, "text_key")
+
+    def run(columns: dict[str, list]):
+        sets = [_shingle_set(t).view(np.int64) for t in columns["text"]]
+        yield {"node": columns["node"], "shingles": sets}
+
+    # Rows with equal texts give equal sets: one of them is read.
+    once = texts.groupBy("node").agg(F.first("text").alias("text"))
+    sets = written(map_slices(once, run, "node long, shingles array<long>"), "simhash-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    union = F.size("x") + F.size("y") - common
+    links = both.where(100 * common >= SIMILAR_PERCENT * union).select("a", "b")
+    rooted = nodes.join(components(links, "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = rooted.select("copy", "root").join(least, "root").select("copy", "component_id")
+    return table.select("doc_id", "copy").join(named, "copy").select("doc_id", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents without all but the first of each group of near copies, by ``doc_id`` (columns unchanged).
+
+    Groups are those of ``similar_documents``. Rows without a ``doc_id`` cannot be told apart and stay;
+    of rows that share the kept ``doc_id`` all stay.
     """
-    found = near_duplicates(docs, **options)
+    found = similar_documents(docs)
     gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
