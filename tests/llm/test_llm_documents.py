@@ -88,7 +88,7 @@ def likeness_components(texts, percent=80):
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+            if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                 common = len(x & y)
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     low, high = sorted((root(a), root(b)))
@@ -520,10 +520,9 @@ def test_a_crowd_of_near_copies(spark):
 def test_odd_rows_and_similar_documents(odd, empty):
     got = rows(simhash.similar_documents(odd))
     ids = [r[0] for r in got]
-    # Null and wordless texts (1, 2, 6) have no row; two short texts differ in case and white space only.
-    assert sorted(ids, key=repr) == sorted([3, 4, 5, 5, None, 7, 8, 9], key=repr)
-    assert (8, 7) in got and (5, 5) in got
-    assert rows(simhash.keep_one_of_each(odd).select("doc_id")) == sorted([(d,) for d in (1, 2, 3, 4, 5, 5, None, 6, 7, 9)], key=repr)
+    assert sorted(ids, key=repr) == sorted([1, 2, 3, 4, 5, 5, None, 6, 7, 8, 9], key=repr)
+    # 1, 2 and 6 have no words; two short texts differ in case and white space only.
+    assert {(2, 1), (6, 1), (8, 7), (5, 5)} <= set(got)
     assert simhash.similar_documents(empty).count() == 0
 
 

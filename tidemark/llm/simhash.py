@@ -193,7 +193,7 @@ def _sliced(docs: DataFrame) -> DataFrame:
         yield {
             "doc_id": columns["doc_id"],
             "text_key": columns["text_key"],
-            "copy": [xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets],
+            "copy": [xxh3_128_digest(h.tobytes()) for h in sets],
             "fp": whole,
             "keys": [slice_keys(h).view(np.int64) for h in sets],
         }
@@ -231,7 +231,7 @@ def _neighbours(keyed: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, component_id`` of every row that has words: near copies at a Jaccard likeness of 0.8.
+    """``doc_id, component_id`` of every row: near copies at a Jaccard likeness of 0.8.
 
     Shingles are five words. The bits of one SimHash are too few to tell 0.8 from less, so the
     fingerprint is a wide one: a document's shingles are dealt by hash into slices of a few, and each
@@ -239,10 +239,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     0.8, 98 in 100 or more), documents that share a block are compared with their neighbours by
     SimHash, whole fingerprints have to lie within 18 bits, and what is left is confirmed on the full
     sets. Equal sets are one node from the start. ``component_id`` is the smallest ``doc_id`` of those
-    linked; rows without a ``doc_id`` take part but name none. Texts without words are near to nothing
-    and have no row. Repeated rows stay; an empty table gives an empty result.
+    linked; rows without a ``doc_id`` take part but name none. Texts without words (null ones too)
+    are copies of each other. Repeated rows stay; an empty table gives an empty result.
     """
-    table = written(_sliced(docs).where("copy is not null"), "simhash-sliced")
+    table = written(_sliced(docs), "simhash-sliced")
     grouped = table.groupBy("copy").agg(
         F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("fp").alias("fp"), F.min("keys").alias("keys")
     )
