@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pathlib
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.names import ARCHIVE_LOG, CONFIG_SILVER, CURRENT, DELETED
+from tidemark.operators import logs
 from tidemark.operators.evolve import conform
 from tidemark.plans import incremental
-from tidemark.sources import files, readers, sinks
+from tidemark.sources import blocks, files, readers, sinks
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.store import SnapshotStore
 from tidemark.spec import PurgePolicy, TableSpec
@@ -366,6 +368,81 @@ def test_purge_run(spark, folder):
     assert after.first()["BytesPurged"] == 10
 
 
+def log_files(folder):
+    return {p: p.stat().st_mtime_ns for p in pathlib.Path(f"{folder}/log").rglob("*.parquet") if "_purged" not in p.parts}
+
+
+@pytest.mark.parametrize("step", ["removal", "marks"])
+def test_purge_cut_off_at_a_step_loses_no_row(spark, folder, monkeypatch, step):
+    for i in (1, 2, 3):
+        put(f"{folder}/x/{i}.csv", "0123456789")
+    logged(spark, folder, (1, f"{folder}/x/1.csv"), (1, f"{folder}/x/2.csv"), (2, f"{folder}/x/3.csv"))
+    before = log_files(folder)
+    policy = PurgePolicy(age_days=5, keep_year=False, keep_month=False, keep_week=False)
+
+    def purge():
+        return incremental.run_purge(spark, {"archive_x": f"{folder}/log"}, policy, NOW, dry_run=False)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as cut:
+        cut.setattr(files, "remove_files" if step == "removal" else "append_purge_marks", broken)
+        with pytest.raises(RuntimeError, match="cut off"):
+            purge()
+    log = files.read_log(spark, f"{folder}/log")
+    assert log.count() == 3 and log.where("IsPurged").count() == 0
+    purge()
+    log = files.read_log(spark, f"{folder}/log")
+    assert log.count() == 3 and log.where("IsPurged").count() == 1
+    assert log_files(folder) == before
+    # Marked again by a purge that was retried, and twice: nothing changes.
+    files.append_purge_marks(log.where("IsPurged"), f"{folder}/log", day(30))
+    again = files.read_log(spark, f"{folder}/log")
+    assert sorted(map(str, again.collect())) == sorted(map(str, log.collect()))
+    assert {r[0] for r in again.where("IsPurged").select("PurgeDatetimeUTC").collect()} == {NOW}
+    summary = incremental.run_purge(spark, {"archive_x": f"{folder}/log"}, policy, NOW)
+    assert summary.where("ArchiveTable IS NOT NULL").first()["BytesPurged"] == 10
+
+
+def test_purge_marks_are_read_for_the_days_asked_for(spark, folder):
+    logged(spark, folder, (1, "/a/1.csv"), (2, "/a/2.csv"), (3, "/a/3.csv"))
+    log = files.read_log(spark, f"{folder}/log")
+    for i in (1, 3):
+        files.append_purge_marks(log.where(F.col("ArchiveFilePath") == f"/a/{i}.csv"), f"{folder}/log", NOW)
+    for old in pathlib.Path(f"{folder}/log").rglob("*20240102/*.parquet"):
+        old.write_bytes(b"no longer readable")
+    pending = logs.pending_files(files.read_log(spark, f"{folder}/log"), day(2), include_previous=True)
+    assert [r["ArchiveFilePath"] for r in pending.collect()] == ["/a/2.csv"]
+
+
+def test_a_run_reads_the_archive_log_from_its_watermark_on(spark, folder):
+    for i in (1, 2, 3):
+        put(f"{folder}/x/{i}.csv", f"id,v\n1,{i}\n")
+    logged(spark, folder, (1, f"{folder}/x/1.csv"), (2, f"{folder}/x/2.csv"))
+    spec = spec_for(folder)
+    assert incremental.run_incremental(spark, spec, NOW).files == 2
+    logged(spark, folder, (3, f"{folder}/x/3.csv"))
+    for old in pathlib.Path(f"{folder}/log").rglob("*20240102/*.parquet"):
+        old.write_bytes(b"no longer readable")
+    assert incremental.run_incremental(spark, spec, NOW).files == 1
+    assert incremental.run_incremental(spark, spec, NOW).files == 0
+    applied = incremental.read_process_log(spark, spec.process_log).where("ArchiveFilePath IS NOT NULL")
+    assert applied.count() == 3
+
+
+def test_first_lines_of_any_length_are_told_apart(folder, monkeypatch):
+    monkeypatch.setattr(blocks, "_LINE_BLOCK", 4)
+    texts = ["id,v\n1", "id,v\r\n2", "id,v", "id,v\r", "id,vv\n", "id\r,v\n", "idid\r\r\n", "idid\n", "", "\n1"]
+    seen = {}
+    for k, text in enumerate(texts):
+        put(f"{folder}/x/{k}.csv", text)
+        line = text.split("\n")[0].rstrip("\r")
+        digest = blocks.first_line_digest(f"{folder}/x/{k}.csv")
+        assert seen.setdefault(line, digest) == digest
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_archive_stream_restarts_from_its_checkpoint(spark, folder):
     def run():
         stream_archive(

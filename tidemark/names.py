@@ -40,6 +40,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# The columns of the control tables.
 ARCHIVE_LOG = _schema(
     ("ArchiveDatetimeUTC", _NTZ),
     ("ArchiveYearUTC", T.IntegerType()),
@@ -58,6 +59,14 @@ ARCHIVE_LOG = _schema(
     ("Notes", T.StringType()),
 )
 
+# A purged file of the archive log; kept beside it.
+PURGE_MARK = _schema(
+    ("ArchiveyyyyMMddUTC", T.IntegerType()),
+    ("ArchiveDatetimeUTC", _NTZ),
+    ("ArchiveFilePath", T.StringType()),
+    ("PurgeDatetimeUTC", _NTZ),
+)
+
 PROCESS_LOG = _schema(
     ("ProcessDatetime", _NTZ),
     ("ArchiveDatetimeUTC", _NTZ),

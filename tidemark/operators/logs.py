@@ -55,6 +55,13 @@ def read_watermark(
     return watermark(log, now, lookback_days).first()[0]
 
 
+def from_day(archive_log: DataFrame, since: datetime) -> DataFrame:
+    """The rows from the day of a time on, if the log names days: other folders are not read."""
+    if _DAY not in archive_log.columns:
+        return archive_log
+    return archive_log.where(F.col(_DAY) >= since.year * 10000 + since.month * 100 + since.day)
+
+
 def pending_files(
     archive_log: DataFrame,
     since: datetime,
@@ -71,8 +78,7 @@ def pending_files(
     time = F.col("ArchiveDatetimeUTC")
     test = time >= moment(since) if include_previous else time > moment(since)
     log = archive_log.where(test)
-    if _DAY in log.columns:
-        log = log.where(F.col(_DAY) >= since.year * 10000 + since.month * 100 + since.day)
+    log = from_day(log, since)
     for flag in SKIP_FLAGS:
         if flag in log.columns:
             log = log.where(~F.coalesce(F.col(flag), F.lit(False)))

@@ -23,6 +23,7 @@ _YEAR, _MONTH, _WEEK, _DAY = (
     "ArchiveDayUTC",
 )
 _DAY_KEY = (_YEAR, _MONTH, _WEEK, _DAY)
+# The names of the ranks.
 RANKS = (
     ("IsLastOfYearRowNbr", (_YEAR,)),
     ("IsLastOfMonthRowNbr", (_YEAR, _MONTH)),
@@ -161,3 +162,14 @@ def mark_purged(archive_log: DataFrame, purged: DataFrame, now: Moment) -> DataF
             "PurgeDatetimeUTC": F.when(hit, moment(now)).otherwise(F.col("PurgeDatetimeUTC")),
         }
     ).drop("_tm_done")
+
+
+def with_purge_marks(archive_log: DataFrame, marks: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The log with the marks of removed files; a file marked twice has its earliest purge time."""
+    at, marked = "PurgeDatetimeUTC", "_tm_marked"
+    first = marks.groupBy(*key).agg(F.min(at).alias(marked))
+    joined = archive_log.join(first, list(key), "left")
+    hit = F.col(marked).isNotNull()
+    return joined.withColumns(
+        {"IsPurged": hit | F.col("IsPurged"), at: F.coalesce(F.col(at), F.col(marked))}
+    ).drop(marked)

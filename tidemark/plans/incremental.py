@@ -87,10 +87,16 @@ def _start_log(spark: SparkSession, spec: TableSpec, now: datetime) -> datetime:
     return since
 
 
-def _since(spark: SparkSession, spec: TableSpec, now: datetime) -> datetime:
+def _own_log(spark: SparkSession, spec: TableSpec) -> DataFrame | None:
+    """The process log of the table's source, without those of others."""
     log = read_process_log(spark, spec.process_log)
-    if log is not None and spec.source_id is not None:
-        log = logs.of_source(log, *spec.source_id)
+    if log is None or spec.source_id is None:
+        return log
+    return logs.of_source(log, *spec.source_id)
+
+
+def _since(spark: SparkSession, spec: TableSpec, now: datetime) -> datetime:
+    log = _own_log(spark, spec)
     last = None if log is None else log.agg(F.max("ArchiveDatetimeUTC")).first()[0]
     return last if last is not None else _start_log(spark, spec, now)
 
@@ -352,21 +358,32 @@ def _merged(
     return result, mode
 
 
-def _finish_last_run(spark: SparkSession, spec: TableSpec, store: SnapshotStore, now) -> None:
-    """Log the files of a commit whose process-log append is missing (a run that was cut off)."""
+def _finish_last_run(
+    spark: SparkSession, spec: TableSpec, store: SnapshotStore, since: datetime, now: datetime
+) -> datetime:
+    """Log the files of a commit whose process-log append is missing (a run that was cut off).
+
+    They were pending at the watermark ``since``, so nothing before it is read in either log, unless
+    runs may overlap (``skip_applied``): another one can have gone on beyond them. Returns the
+    watermark that holds then.
+    """
     version = store.version()
     if version is None or not version.applied:
-        return
+        return since
     applied = spark.createDataFrame([(p,) for p in version.applied], "ArchiveFilePath string")
     log = read_process_log(spark, spec.process_log)
+    archive = files.read_log(spark, spec.archive_log)
+    if not spec.skip_applied:
+        recent = F.col("ArchiveDatetimeUTC") >= moment(since)
+        archive = logs.from_day(archive, since).where(recent)
+        log = None if log is None else log.where(recent)
     if log is not None:
         applied = applied.join(log, "ArchiveFilePath", "left_anti")
-    archive = files.read_log(spark, spec.archive_log)
     missing = archive.join(applied, "ArchiveFilePath", "left_semi")
-    if not missing.isEmpty():
-        append_process_log(
-            logs.process_log_rows(missing, now, spec.source_id), spec.process_log
-        )
+    if missing.isEmpty():
+        return since
+    append_process_log(logs.process_log_rows(missing, now, spec.source_id), spec.process_log)
+    return _since(spark, spec, now)
 
 
 def run_incremental(spark: SparkSession, spec: TableSpec, now: datetime) -> RunResult:
@@ -376,10 +393,9 @@ def run_incremental(spark: SparkSession, spec: TableSpec, now: datetime) -> RunR
     comes before the process-log append; a run cut off between the two is completed by the next.
     """
     store = store_of(spark, spec)
-    _finish_last_run(spark, spec, store, now)
     n_files = folds = 0
     version = None
-    since = _since(spark, spec, now)
+    since = _finish_last_run(spark, spec, store, _since(spark, spec, now), now)
     while (archive := files.read_log(spark, spec.archive_log)) is not None:
         # The files at the first watermark are in the first chunk as a whole; later ones go on
         # after it.
@@ -592,7 +608,9 @@ def read_logs(spark: SparkSession, archive_logs: dict[str, str]) -> DataFrame:
     names = spark.createDataFrame(roots, "_tm_root string, ArchiveTable string")
     day = F.date_format("ArchiveDatetimeUTC", "yyyyMMdd").cast("int")
     named = lookup_join(rows, names, ["_tm_root"], "left", spread_by=["ArchiveFilePath"])
-    return named.withColumn(_LOG_DAY, day).drop("_tm_root")
+    named = named.withColumn(_LOG_DAY, day).drop("_tm_root")
+    marks = files.read_purge_marks(spark, list(archive_logs.values()))
+    return named if marks is None else retention.with_purge_marks(named, marks, files.PURGE_KEY[1:])
 
 
 def run_purge(
@@ -606,7 +624,9 @@ def run_purge(
     """Classify the files of every wanted archive table and, unless dry, remove the ones to purge.
 
     ``archive_logs`` maps table names to log paths. Returns the byte summary from before the
-    purge, per table and overall. Only files whose removal succeeded are flagged in their log.
+    purge, per table and overall. Only files whose removal succeeded are marked in their log, by rows
+    added to it: a purge cut off at any step leaves the log whole, and the next one marks the files
+    that are gone already.
     """
     names = spark.createDataFrame([(n,) for n in archive_logs], "tableName string")
     wanted = [r[0] for r in retention.filter_tables(names, policy).collect()]
@@ -628,25 +648,10 @@ def run_purge(
         gone = outcome.where("ok").select(F.col("source").alias("ArchiveFilePath"))
         purged = doomed.join(gone, "ArchiveFilePath", "left_semi")
         for name, path in existing.items():
-            _flag_purged(spark, path, purged.where(F.col("ArchiveTable") == name), now)
+            files.append_purge_marks(purged.where(F.col("ArchiveTable") == name), path, now)
     return retention.purge_summary(classified)
 
 
-def _flag_purged(spark: SparkSession, path: str, purged: DataFrame, now: datetime) -> None:
-    """Rewrite the days of a log that hold purged files.
-
-    The new content is written to a scratch table first: should replacing the days be cut off, the
-    rows are still there.
-    """
-    days = purged.select(_LOG_DAY).distinct()
-    log = files.read_log(spark, path)
-    log = lookup_join(log, days, [_LOG_DAY], "left_semi", spread_by=["ArchiveFilePath"])
-    flagged = conform(retention.mark_purged(log, purged, now), ARCHIVE_LOG)
-    rows = sinks.rebalanced(written(flagged, "purged-log"), [_LOG_DAY])
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(_LOG_DAY).parquet(path)
-
-
 # --- upkeep ---------------------------------------------------------------------------------------------
 
 

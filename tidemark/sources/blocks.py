@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -91,14 +92,18 @@ def remove_file(
         pass
 
 
-def first_line(path: str, options: Mapping[str, str] | None = None) -> bytes:
-    """The bytes of the first line, however long it is."""
+def first_line_digest(path: str, options: Mapping[str, str] | None = None) -> bytes:
+    """SHA-256 of the first line without its line end, read block by block, however long it is."""
     fs, plain = _open_fs(path, options)
-    line = b""
+    digest, held = hashlib.sha256(), b""
     with fs.open_input_stream(plain) as reader:
         while block := reader.read(_LINE_BLOCK):
             head, end, _ = block.partition(b"\n")
-            line += head
+            line = held + head
+            # Carriage returns count unless the line ends with them.
+            text = line.rstrip(b"\r")
+            digest.update(text)
+            held = line[len(text) :]
             if end:
                 break
-    return line.rstrip(b"\r")
+    return digest.digest()

@@ -6,7 +6,7 @@ its own rows' files, streaming them in blocks, and reports the outcome as rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import timedelta
 from functools import partial
 
@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.names import ARCHIVE_LOG
+from tidemark.names import ARCHIVE_LOG, PURGE_MARK
 from tidemark.operators.common import Moment, moment
 from tidemark.operators.evolve import conform
+from tidemark.operators.retention import with_purge_marks
 from tidemark.plans.places import PLACE, with_place
 from tidemark.session import written
 from tidemark.sources.blocks import arrow_uri, copy_file, remove_file, storage_options
@@ -148,10 +149,38 @@ def append_log(rows: DataFrame, log_path: str) -> None:
     )
 
 
+# Below the log, in a folder that a scan of the log does not see.
+_MARKS = "_purged/marks"
+PURGE_KEY = ("ArchiveyyyyMMddUTC", "ArchiveDatetimeUTC", "ArchiveFilePath")
+
+
 def read_log(spark: SparkSession, log_path: str) -> DataFrame | None:
+    """The archive log, its purge marks applied; a filter on the day prunes both."""
     if not Folder(spark, log_path).exists():
         return None
-    return spark.read.schema(ARCHIVE_LOG).parquet(log_path).select(*ARCHIVE_LOG.names)
+    log = spark.read.schema(ARCHIVE_LOG).parquet(log_path)
+    if Folder(spark, log_path).exists(_MARKS):
+        marks = spark.read.schema(PURGE_MARK).parquet(f"{log_path}/{_MARKS}")
+        log = with_purge_marks(log, marks, PURGE_KEY)
+    return log.select(*ARCHIVE_LOG.names)
+
+
+def append_purge_marks(purged: DataFrame, log_path: str, now: Moment) -> None:
+    """Mark log rows as purged by rows of their own, below the day of the log row.
+
+    The log itself is only ever added to. A mark that a retried purge writes again changes nothing.
+    """
+    rows = purged.withColumn("PurgeDatetimeUTC", moment(now)).select(*PURGE_MARK.names)
+    rows.write.mode("append").partitionBy("ArchiveyyyyMMddUTC").parquet(f"{log_path.rstrip('/')}/{_MARKS}")
+
+
+def read_purge_marks(spark: SparkSession, log_paths: Sequence[str]) -> DataFrame | None:
+    """The purge marks of many logs in one scan, without their days; None if no log has any."""
+    places = [f"{p.rstrip('/')}/{_MARKS}" for p in log_paths if Folder(spark, p).exists(_MARKS)]
+    if not places:
+        return None
+    schema = T.StructType([f for f in PURGE_MARK if f.name != "ArchiveyyyyMMddUTC"])
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*places)
 
 
 def _first_free(log: DataFrame | None, now: Moment) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.evolve import evolve_union_all
-from tidemark.sources.blocks import first_line, storage_options
+from tidemark.sources.blocks import first_line_digest, storage_options
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.paths import file_path_col
 
@@ -78,7 +78,7 @@ def _first_lines(
     options: Mapping[str, str], batches: Iterator[pd.DataFrame]
 ) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pdf.assign(line=[first_line(p, options) for p in pdf["path"]])
+        yield pdf.assign(line=[first_line_digest(p, options) for p in pdf["path"]])
 
 
 def read_json(
