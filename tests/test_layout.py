@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from datetime import datetime
 
 import pytest
 from test_runs import logged, put, spec_for
 
-from tidemark.names import BUCKET, CURRENT, OPEN
+from tidemark.names import BATCH, BUCKET, CURRENT, HASH, OPEN, START
+from tidemark.operators import fold, scd2
+from tidemark.operators.common import packed, unpacked
 from tidemark.plans import incremental
 from tidemark.sources.store import Layout, SnapshotStore
-from tidemark.spec import PurgePolicy
+from tidemark.spec import PurgePolicy, TableSpec
 
 pytestmark = pytest.mark.usefixtures("interpreted")
 
@@ -149,3 +153,66 @@ def test_purge_without_a_log_has_the_columns_of_a_summary(spark, folder):
     some = incremental.run_purge(spark, {"archive_x": f"{folder}/log"}, policy, NOW)
     none = incremental.run_purge(spark, {"archive_x": f"{folder}/missing"}, policy, NOW)
     assert none.columns == some.columns and none.where("ArchiveTable IS NOT NULL").count() == 0
+
+
+def exchanges_by_key(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(set(re.findall(r"Exchange hashpartitioning.*plan_id=(\d+)", plan)))
+
+
+def test_hashes_cross_a_shuffle_as_bytes_and_come_back(spark):
+    rows = spark.sql(f"SELECT id, IF(id % 4 = 0, sha2(cast(id AS string), 256), element_at(array('ABCD', 'x', ''), cast(id % 4 AS int))) AS {HASH} FROM range(9)")
+    rows = rows.unionByName(spark.createDataFrame([(9, None), (10, "abc"), (11, "0abc")], f"id long, {HASH} string"))
+    narrow = packed(rows)
+    assert narrow.where(f"{HASH} IS NULL").count() == 7
+    assert sorted(unpacked(narrow).collect()) == sorted(rows.collect())
+
+
+def test_hashes_of_a_run_are_those_of_its_files(spark, folder):
+    """One schema: hashed behind the shuffle. A wider column, or files that differ: before it."""
+    put(f"{folder}/x/0.csv", "id;v\n1;1\n2;2\n")
+    put(f"{folder}/x/1.csv", "id;v\n1;1\n2;3\n;4\n")
+    logged(spark, folder, (1, f"{folder}/x/0.csv"))
+    spec = spec_for(folder, reader_options={"sep": ";"}, key_buckets=3, max_files=1)
+    incremental.run_incremental(spark, spec, NOW)
+    logged(spark, folder, (2, f"{folder}/x/1.csv"))
+    incremental.run_incremental(spark, spec, NOW)
+    want = {k: hashlib.sha256(f"{k}||{v}".encode()).hexdigest() for k, v in (("1", "1"), ("2", "3"))}
+    assert {r["id"]: r[HASH] for r in incremental.store_of(spark, spec).read().collect()} == want
+
+
+def test_hashed_late_only_where_the_files_agree(spark):
+    spec = TableSpec(target="", process_log="", archive_log="", keys=["id"])
+    one, other = (spark.createDataFrame([], s) for s in ("id int, v int", "id int, v long"))
+    odd = spark.createDataFrame([], f"id int, {HASH} string")
+    batches = incremental.shape_extract(one, spec)
+    late = incremental._late_hash
+    assert late([one, one], spec, None, batches) is not None
+    assert late([one, other], spec, None, batches) is None
+    assert late([one], spec, other, batches) is None
+    assert late([odd], spec, None, incremental.shape_extract(odd, spec)) is None
+
+
+def test_a_bucketed_run_shuffles_once(spark, folder):
+    """What a fold deals by bucket is written as it is."""
+    rows = spark.range(50).selectExpr("id AS k", f"cast(id AS string) AS {HASH}", f"1 AS {BATCH}")
+    layout = Layout(("k",), 4)
+    dealt = fold.scd1_fold(None, rows, ["k"], deal_by=layout.dealing(8))
+    assert exchanges_by_key(dealt) == 1 and dealt.columns == ["k", HASH]
+    store = SnapshotStore(spark, f"{folder}/t", layout=layout)
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("tidemark.sources.store.rebalanced", lambda df, by: seen.append(by) or df)
+        store.commit(dealt, dealt=True)
+    assert not seen and sorted(r["k"] for r in store.read().collect()) == list(range(50))
+    assert len(store.version().folders) == 4
+
+
+def test_current_versions_shuffle_once(spark):
+    rows = spark.sql(
+        f"SELECT k, cast(s AS timestamp_ntz) AS {START}, sha2(s, 256) AS {HASH} FROM VALUES"
+        " (1, '2024-01-01'), (1, '2024-01-02'), (1, '2024-01-02'), (null, '2024-01-01'), (2, null) AS t(k, s)"
+    )
+    current = scd2.current_versions(rows, ["k"])
+    assert exchanges_by_key(current) == 1 and current.columns == rows.columns
+    assert sorted((str(r["k"]), r[START].day) for r in current.collect()) == [("1", 2), ("1", 2), ("None", 1)]

@@ -43,6 +43,16 @@ def with_row_hash(
     ``concat`` joins the values as text and, like the built-in ``concat_ws``, skips NULLs unless a
     ``null_token`` is given; ``json`` hashes the row as a JSON document and takes nested columns.
     """
+    return df.withColumn(name, row_hash(df, cols, mode, null_token))
+
+
+def row_hash(
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    mode: str = "concat",
+    null_token: str | None = None,
+) -> Column:
+    """The hash of ``with_row_hash`` as an expression over the columns of ``df``."""
     cols = list(cols or df.columns)
     if mode == "concat":
         payload = joined_text(df, cols, null_token)
@@ -50,7 +60,7 @@ def with_row_hash(
         payload = F.to_json(F.struct(*[F.col(quoted(c)) for c in cols]))
     else:
         raise ValueError(f"unknown hash mode {mode!r}")
-    return df.withColumn(name, F.sha2(payload, 256))
+    return F.sha2(payload, 256)
 
 
 def with_primary_key(df: DataFrame, keys: Sequence[str], name: str = PRIMARY_KEY) -> DataFrame:

@@ -31,6 +31,8 @@ CARRIED = "__Carried"
 # version is open.
 BUCKET = "__KeyBucket"
 OPEN = "__IsOpen"
+# Part of a key bucket inside one fold.
+PART = "__KeyPart"
 
 # Names, types and order of the columns of the control tables.
 _NTZ = T.TimestampNTZType()

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
-from tidemark.names import ARCHIVED, FILE_PATH, MODIFIED, STAGING_NAME
+from tidemark.names import ARCHIVED, FILE_PATH, HASH, MODIFIED, STAGING_NAME
 
 Moment = datetime | date | str | Column
 
+_PACKED_HASH = "_tm_packed_hash"
 _DUPLICATE_TEXT = "the batch holds more than one row for a business key"
 
 
@@ -28,6 +29,21 @@ def cols(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The row hash as bytes, half as long in a shuffle; text that is no lower-case hex stays text."""
+    found = F.unhex(HASH)
+    is_hex = F.coalesce(F.lower(F.hex(found)) == F.col(HASH), F.lit(False))
+    return df.withColumns(
+        {_PACKED_HASH: F.when(is_hex, found), HASH: F.when(~is_hex, F.col(HASH))}
+    )
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """The row hash as it was before ``packed``."""
+    text = F.lower(F.hex(_PACKED_HASH))
+    return df.withColumn(HASH, F.coalesce(HASH, text)).drop(_PACKED_HASH)
+
+
 def any_null(names: Sequence[str]) -> Column:
     condition = F.lit(False)
     for n in names:

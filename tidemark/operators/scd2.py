@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
 from tidemark.names import CURRENT, END, HASH, MODIFIED, OPEN_END, START
-from tidemark.operators.common import Moment, cols, fail_on_repeat, moment
+from tidemark.operators.common import Moment, cols, fail_on_repeat, moment, packed, unpacked
 from tidemark.operators.evolve import conform, evolve_union, merged_schema, widened
 from tidemark.plans.lookup import flag_members, null_safe_match
 
 _SIDE = "_tm_side"
 _SEEN = "_tm_seen"
 _IN_SCOPE = "_tm_in_scope"
+_RANK = "_tm_rank"
 
 
 def scd2_init(source: DataFrame, batch_ts: Moment) -> DataFrame:
@@ -150,8 +151,8 @@ def appended_versions(
 ) -> DataFrame:
     """Source rows whose (key, hash) is not among the current versions of the history.
 
-    The history is reduced to one row per (key, hash) and then to one per key, both with partial
-    aggregation, so a key with a very long history is not collected into one task.
+    Of the history only keys, hashes and starts are shuffled, older versions being left out in each
+    task before, so a key with a very long history is not collected into one task.
     ``null_safe=False`` appends rows with a NULL key on every batch.
     """
     opened = source.withColumn(START, moment(batch_ts))
@@ -165,21 +166,21 @@ def appended_versions(
 
 
 def _current_hashes(history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    latest = "_tm_latest"
-    per_hash = history.groupBy(*cols([*keys, HASH])).agg(F.max(START).alias(latest))
-    per_key = history.groupBy(*cols(keys)).agg(F.max(START).alias(latest))
-    match = null_safe_match("h", "k", keys) & (F.col(f"h.{latest}") == F.col(f"k.{latest}"))
-    return per_hash.alias("h").join(per_key.alias("k"), match, "left_semi").select(
-        *cols([*keys, HASH])
-    )
+    return current_versions(history.select(*cols([*keys, HASH, START])), keys).drop(START)
 
 
 def current_versions(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of an append-only history with the greatest start per key; ties are all kept.
 
-    The greatest start per key is a partial aggregate, and the join back is on key and start, so
-    the versions of one long-lived key are spread over the tasks.
+    The history is read once and its rows cross one exchange by key. A first place by rank is known
+    in part before it: each task leaves out what is older than its own newest version of the key, so
+    the versions of one long-lived key are not gathered in one task.
     """
-    latest = history.groupBy(*cols(keys)).agg(F.max(START).alias(START))
-    match = null_safe_match("v", "l", keys) & (F.col(f"v.{START}") == F.col(f"l.{START}"))
-    return history.alias("v").join(latest.alias("l"), match, "left_semi")
+    newest = Window.partitionBy(*cols(keys)).orderBy(F.col(START).desc())
+    ranked = _packed_if_hashed(history.where(F.col(START).isNotNull())).withColumn(_RANK, F.rank().over(newest))
+    first = ranked.where(F.col(_RANK) == 1).drop(_RANK)
+    return (unpacked(first) if HASH in history.columns else first).select(*cols(history.columns))
+
+
+def _packed_if_hashed(df: DataFrame) -> DataFrame:
+    return packed(df) if HASH in df.columns else df

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
-from tidemark.functions.hashing import with_primary_key, with_row_hash
+from tidemark.functions.hashing import row_hash, with_primary_key, with_row_hash
 from tidemark.names import (
     ARCHIVE_LOG,
     ARCHIVED,
@@ -23,6 +23,7 @@ from tidemark.names import (
     MODIFIED,
     PROCESS_LOG,
     STAGING_NAME,
+    TECHNICAL,
 )
 from tidemark.operators import config, export, fold, logs, merge, retention, scd2, upkeep
 from tidemark.operators.common import Moment, moment
@@ -42,6 +43,8 @@ from tidemark.spec import PurgePolicy, TableSpec
 
 _LOGGER = logging.getLogger(__name__)
 _LOG_DAY = "ArchiveyyyyMMddUTC"
+# Scanned bytes of a group of keys that a fold deals over tasks: about 64 MB in the shuffle.
+_GROUP_BYTES = 22 * 1024 * 1024
 _PENDING_SCHEMA = (
     f"{BATCH} int, ArchiveDatetimeUTC timestamp_ntz, OriginalStagingFilePath string, "
     "OriginalStagingFileName string, OriginalStagingFileSize bigint, ArchiveFilePath string, "
@@ -138,8 +141,8 @@ def chunk_frame(spark: SparkSession, chunk: Sequence[Row]) -> DataFrame:
     return spark.createDataFrame(rows, _PENDING_SCHEMA)
 
 
-def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Select, derive, clean, exclude and hash: a raw extract to comparable rows."""
+def _content(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The columns of a raw extract that are hashed, and its path."""
     path = readers.SOURCE_PATH
     if spec.complex_as_string:
         df = C.complex_as_string(df)
@@ -150,10 +153,37 @@ def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
     df = C.exclude_columns(df, spec.exclude)
     if spec.file_format == "csv":
         df = C.nonnull_keys(df, spec.keys)
+    return df
+
+
+def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Select, derive, clean, exclude and hash: a raw extract to comparable rows."""
+    path = readers.SOURCE_PATH
+    df = _content(df, spec)
     df = with_row_hash(df, [c for c in df.columns if c != path], spec.hash_mode, spec.null_token)
     return with_primary_key(df, spec.keys) if spec.with_primary_key else df
 
 
+def _late_hash(
+    scans: Sequence[DataFrame], spec: TableSpec, target: DataFrame | None, batches: DataFrame
+) -> Column | None:
+    """The row hash over columns of ``batches``, if that is the one their files gave them.
+
+    It is where all files have one schema, no hashed column has a technical name, which the lineage
+    would replace, and the table has none of them in a wider type.
+    """
+    contents = [_content(df, spec) for df in scans]
+    content = contents[0]
+    hashed = [c for c in content.columns if c != readers.SOURCE_PATH]
+    types = [[(f.name, f.dataType) for f in df.schema] for df in contents]
+    if any(t != types[0] for t in types) or {*TECHNICAL, BATCH, CARRIED} & set(hashed):
+        return None
+    schema = batches.schema if target is None else merged_schema(target.schema, batches.schema)
+    if any(schema[c].dataType != content.schema[c].dataType for c in hashed):
+        return None
+    return row_hash(content, hashed, spec.hash_mode, spec.null_token)
+
+
 def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> list[DataFrame]:
     """One scan for each schema that occurs among the files."""
     return readers.scans_by_schema(spark, paths, spec.file_format, spec.reader_options, spec.schema)
@@ -194,20 +224,28 @@ def load_batches(
 # --- applying a chunk ---------------------------------------------------------------------------------
 
 
-def _folded(spec: TableSpec, target, batches: DataFrame, batch_log: DataFrame) -> DataFrame:
+def _folded(
+    spec: TableSpec,
+    target,
+    batches: DataFrame,
+    batch_log: DataFrame,
+    late_hash: Column | None,
+    deal_by: Mapping[str, Column] | None,
+) -> DataFrame:
     policy = spec.on_duplicate
+    how = {"late_hash": late_hash, "deal_by": deal_by}
     if spec.kind == "scd1":
         if spec.update_filter:
-            return fold.scd1_filtered_fold(target, batches, spec.keys, spec.update_filter, policy)
-        return fold.scd1_fold(target, batches, spec.keys, on_duplicate=policy)
+            return fold.scd1_filtered_fold(target, batches, spec.keys, spec.update_filter, policy, **how)
+        return fold.scd1_fold(target, batches, spec.keys, on_duplicate=policy, **how)
     if spec.kind == "scd2":
         return fold.scd2_fold(
-            target, batches, spec.keys, batch_log, spec.deletes, spec.touch_modified, policy
+            target, batches, spec.keys, batch_log, spec.deletes, spec.touch_modified, policy, **how
         )
     if spec.update_filter:
         raise fold.NeedsReplay("an update filter depends on the stored row")
     return fold.fact_fold(
-        target, batches, spec.keys, batch_log, spec.deletes, spec.resurrect, policy
+        target, batches, spec.keys, batch_log, spec.deletes, spec.resurrect, policy, **how
     )
 
 
@@ -289,20 +327,36 @@ def apply_chunk(
     batches = load_batches(raw, spec, frame, len(chunk), now)
     target, touched = _held(spec, store, batches)
     held_bytes = 0 if target is None else estimated_bytes(target)
-    with shuffles_for(spark, held_bytes + sum(map(estimated_bytes, raw))):
+    late_hash = _late_hash(raw, spec, target, batches)
+    scanned_bytes = held_bytes + sum(map(estimated_bytes, raw))
+    with shuffles_for(spark, scanned_bytes):
+        dealt = False
         if spec.kind == "scd2_append":
             result = fold.append_fold(
-                target, batches.drop(MODIFIED), spec.keys, on_duplicate=spec.on_duplicate
+                target,
+                batches.drop(MODIFIED),
+                spec.keys,
+                on_duplicate=spec.on_duplicate,
+                late_hash=late_hash,
             )
             mode = "append"
         else:
             prunable = not store.layout.columns() and _prunable(spec)
-            result, mode = _merged(spark, spec, target, batches, frame, chunk, now, prunable)
+            groups = -(-scanned_bytes // _GROUP_BYTES)
+            deal_by = store.layout.dealing(groups) if _dealable(spec) else None
+            result, mode, dealt = _merged(
+                spark, spec, target, batches, frame, chunk, now, prunable, late_hash, deal_by
+            )
             if store.layout.columns() and store.fits_layout():
                 mode = "buckets"
         at = now if isinstance(now, datetime) else None
         applied = [r["ArchiveFilePath"] for r in chunk]
-        return store.commit(result, mode=mode, applied=applied, now=at, touched=touched).number
+        return store.commit(result, mode=mode, applied=applied, now=at, touched=touched, dealt=dealt).number
+
+
+def _dealable(spec: TableSpec) -> bool:
+    """Does a fold give all rows of a table that lies in key buckets alone?"""
+    return bool(spec.key_buckets) and not spec.partition_by and (spec.kind != "scd2" or spec.closed_apart)
 
 
 def store_of(spark: SparkSession, spec: TableSpec) -> SnapshotStore:
@@ -336,8 +390,13 @@ def _merged(
     chunk: Sequence[Row],
     now: Moment,
     prunable: bool,
-) -> tuple[DataFrame, str]:
-    """The new rows of the table, or of the partitions the batches touch, and which of the two."""
+    late_hash: Column | None = None,
+    deal_by: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, str, bool]:
+    """The new rows of the table, or of the partitions the batches touch, and which of the two.
+
+    And whether they are dealt over tasks by ``deal_by``.
+    """
     batch_log = frame.select(
         BATCH, F.col("ArchiveDatetimeUTC").alias(ARCHIVED), moment(now).alias(MODIFIED)
     )
@@ -350,12 +409,12 @@ def _merged(
         wide = widened(target, merged_schema(target.schema, batches.schema))
         target, untouched = split_by_reach(wide, batches, spec.keys, scope)
     try:
-        result = _folded(spec, target, batches, batch_log)
+        result, dealt = _folded(spec, target, batches, batch_log, late_hash, deal_by), deal_by is not None
     except fold.NeedsReplay:
-        result = replayed(spark, spec, target, chunk, now)
+        result, dealt = replayed(spark, spec, target, chunk, now), False
     if untouched is not None:
-        result = result.unionAll(conform(untouched, result.schema))
-    return result, mode
+        result, dealt = result.unionAll(conform(untouched, result.schema)), False
+    return result, mode, dealt
 
 
 def _finish_last_run(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import quoted
-from tidemark.names import BUCKET, CURRENT, HISTORY_LOG, OPEN
+from tidemark.names import BUCKET, CURRENT, HISTORY_LOG, OPEN, PART
 from tidemark.operators.evolve import evolve_union, merged_schema
 from tidemark.sources.hadoop import Folder
 from tidemark.sources.sinks import rebalanced
@@ -51,6 +51,12 @@ class Layout:
         keys = [F.col(quoted(k)).cast("string") for k in self.keys]
         return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
 
+    def dealing(self, groups: int) -> dict[str, Column]:
+        """The bucket of a row and a part of it, so that there are ``groups`` of both or more."""
+        parts = -(-groups // self.buckets)
+        keys = [F.col(quoted(k)).cast("string") for k in self.keys]
+        return {BUCKET: self.bucket(), PART: F.pmod(F.hash(*keys), F.lit(parts))}
+
     def columns(self) -> dict[str, Column]:
         found = {BUCKET: self.bucket()} if self.buckets else {}
         return found | ({OPEN: F.col(CURRENT)} if self.closed_apart else {})
@@ -154,10 +160,12 @@ class SnapshotStore:
 
     # --- writing -------------------------------------------------------------------------------
 
-    def _write_run(self, df: DataFrame) -> list[str]:
+    def _write_run(self, df: DataFrame, dealt: bool = False) -> list[str]:
         run = f"{_RUN}={uuid.uuid4().hex}"
         by = [*self.layout.columns(), *self.partition_by]
-        writer = rebalanced(df.withColumns(self.layout.columns()), by).write
+        rows = df.withColumns(self.layout.columns())
+        # Half of a row is its hash, hex digits that only an entropy coder makes shorter.
+        writer = (rows if dealt else rebalanced(rows, by)).write.option("compression", "zstd")
         if by:
             writer = writer.partitionBy(*by)
         writer.parquet(f"{self.path}/data/{run}")
@@ -172,13 +180,15 @@ class SnapshotStore:
         applied: Sequence[str] = (),
         now: datetime | None = None,
         touched: Collection[int] | None = None,
+        dealt: bool = False,
     ) -> Version:
         """Write a version.
 
         ``replace`` makes ``df`` the whole table, ``append`` adds it, ``partitions`` replaces just
         the partitions that occur in ``df``, ``buckets`` the folders that take part in a merge of the
         ``touched`` buckets (all by default). ``applied`` records the source files the version
-        includes. A table of another layout must be replaced; an append rewrites it.
+        includes. A table of another layout must be replaced; an append rewrites it. Rows that are
+        ``dealt`` by the layout over tasks already are written as they are.
         """
         last = self.version()
         if last is not None and mode != "replace" and last.layout != str(self.layout):
@@ -186,7 +196,7 @@ class SnapshotStore:
                 raise ValueError(f"the table has the layout {last.layout!r}: replace it as a whole")
             df, mode = evolve_union(self.read(), df), "replace"
         schema = _nullable(df.schema)
-        written = [f.removeprefix("data/") for f in self._write_run(df)]
+        written = [f.removeprefix("data/") for f in self._write_run(df, dealt)]
         kept: list[str] = []
         if last is not None and mode == "append":
             kept = list(last.folders)
