@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from test_runs import logged, put, spec_for
 
-from tidemark.names import BATCH, BUCKET, CURRENT, HASH, OPEN, START
+from tidemark.names import BATCH, BUCKET, CURRENT, HASH, OPEN, PRIMARY_KEY, START
 from tidemark.operators import fold, scd2
 from tidemark.operators.common import packed, unpacked
 from tidemark.plans import incremental
@@ -186,11 +187,13 @@ def test_hashed_late_only_where_the_files_agree(spark):
     one, other = (spark.createDataFrame([], s) for s in ("id int, v int", "id int, v long"))
     odd = spark.createDataFrame([], f"id int, {HASH} string")
     batches = incremental.shape_extract(one, spec)
-    late = incremental._late_hash
-    assert late([one, one], spec, None, batches) is not None
-    assert late([one, other], spec, None, batches) is None
-    assert late([one], spec, other, batches) is None
-    assert late([odd], spec, None, incremental.shape_extract(odd, spec)) is None
+    late = incremental._late_hashes
+    assert list(late([one, one], spec, None, batches)) == [HASH]
+    keyed = replace(spec, with_primary_key=True)
+    assert list(late([one], keyed, None, incremental.shape_extract(one, keyed))) == [HASH, PRIMARY_KEY]
+    assert late([one, other], spec, None, batches) == {}
+    assert late([one], spec, other, batches) == {}
+    assert late([odd], spec, None, incremental.shape_extract(odd, spec)) == {}
 
 
 def test_a_bucketed_run_shuffles_once(spark, folder):

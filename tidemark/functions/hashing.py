@@ -65,4 +65,9 @@ def row_hash(
 
 def with_primary_key(df: DataFrame, keys: Sequence[str], name: str = PRIMARY_KEY) -> DataFrame:
     """Append the sha-1 surrogate of the business key."""
-    return df.withColumn(name, F.sha1(joined_text(df, keys)))
+    return df.withColumn(name, primary_key(df, keys))
+
+
+def primary_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The key of ``with_primary_key`` as an expression over the columns of ``df``."""
+    return F.sha1(joined_text(df, keys))

@@ -5,8 +5,8 @@ files so that an empty extract still counts. The rows the table holds enter as b
 deleted ones as -1), and one shuffle by business key replays all batches: a window per key holds at
 most one row per batch. The result equals applying the batches one by one.
 
-``late_hash`` is the row hash of a batch's rows as an expression over their columns, where the caller
-knows it: then it is computed behind the shuffle. ``deal_by`` names functions of the key by which rows
+``late`` has the row hash and surrogate key of a batch's rows as expressions over their columns, where the
+caller knows them: then they are computed behind the shuffle. ``deal_by`` names functions of the key by which rows
 are dealt over tasks, for a write that follows them.
 """
 
@@ -66,12 +66,11 @@ def _stack(
     target: DataFrame | None,
     batches: DataFrame,
     target_batch: Column,
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> tuple:
     """Table rows and batch rows under one schema, each with its batch number."""
-    if late_hash is not None:
-        batches = batches.withColumn(HASH, F.lit(None).cast("string"))
+    batches = batches.withColumns({c: F.lit(None).cast("string") for c in late or ()})
     rows = batches.drop(BATCH, CARRIED)
     base = rows.schema if target is None else merged_schema(target.schema, rows.schema)
     schema = T.StructType([f for f in base if f.name != BATCH])
@@ -94,28 +93,27 @@ def _whole(keys: Sequence[str]):
 
 
 def _dealt(
-    df: DataFrame, keys: Sequence[str], late_hash: Column | None, deal_by: Sequence[str]
+    df: DataFrame, keys: Sequence[str], late: Mapping[str, Column] | None, deal_by: Sequence[str]
 ) -> DataFrame:
     """The rows of a key in one task, through the one exchange of a fold.
 
-    The hash is half of a row there. It crosses as bytes, and with ``late_hash`` not at all for rows
-    of batches: theirs is computed behind the exchange, from the columns it stands for.
+    Hashes are half of a row there. The row hash crosses as bytes; the columns ``late`` of rows of
+    batches do not cross at all but are computed behind the exchange.
     """
     dealt = unpacked(packed(df).repartition(*cols(deal_by or keys)))
-    if late_hash is None:
-        return dealt
-    return dealt.withColumn(HASH, F.when(F.col(BATCH) > 0, late_hash).otherwise(F.col(HASH)))
+    own = F.col(BATCH) > 0
+    return dealt.withColumns({c: F.when(own, v).otherwise(F.col(c)) for c, v in (late or {}).items()})
 
 
 def _with_neighbours(
-    df: DataFrame, keys: Sequence[str], late_hash: Column | None = None, deal_by: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], late: Mapping[str, Column] | None = None, deal_by: Sequence[str] = ()
 ) -> DataFrame:
     """The row before and after within the key, in one window operator over all rows.
 
     Everything after it works on the few rows where something happens to a key. A key that occurs
     twice in one batch fails the query. ``deal_by`` names those of ``keys`` that tell tasks apart.
     """
-    df = _dealt(df, keys, late_hash, deal_by)
+    df = _dealt(df, keys, late, deal_by)
     order = _by_key(keys)
     seen = {
         _PREV_BATCH: F.lag(BATCH).over(order),
@@ -180,7 +178,7 @@ def scd1_fold(
     keys: Sequence[str],
     null_safe: bool = True,
     on_duplicate: str = "error",
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Type-1 result of all batches: the first row of the last run of equal hashes per key."""
@@ -199,9 +197,9 @@ def scd1_fold(
         return strict.unionAll(inserted)
 
     batches = _one_per_key(batches, keys, on_duplicate)
-    stacked, schema = _stack(target, batches, F.lit(0), late_hash, deal_by)
+    stacked, schema = _stack(target, batches, F.lit(0), late, deal_by)
     keys = [*(deal_by or ()), *keys]
-    seen = _with_neighbours(stacked, keys, late_hash, tuple(deal_by or ())).where(_changed())
+    seen = _with_neighbours(stacked, keys, late, tuple(deal_by or ())).where(_changed())
     seen = _kept_from_table(seen, schema, batches, keys)
     later = F.lead(BATCH).over(_by_key(keys))
     kept = seen.withColumn("_tm_later", later).where(F.col("_tm_later").isNull())
@@ -214,7 +212,7 @@ def scd1_filtered_fold(
     keys: Sequence[str],
     update_filter: str,
     on_duplicate: str = "error",
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Type-1 result of all batches where a stored row is replaced only if ``update_filter`` holds.
@@ -227,9 +225,9 @@ def scd1_filtered_fold(
     if CARRIED in batches.columns:
         raise NeedsReplay("with columns that only some files carry, a filter depends on the stored row")
     batches = _one_per_key(batches, keys, on_duplicate)
-    stacked, schema = _stack(target, batches, F.lit(0), late_hash, deal_by)
+    stacked, schema = _stack(target, batches, F.lit(0), late, deal_by)
     keys = [*(deal_by or ()), *keys]
-    seen = _with_neighbours(stacked, keys, late_hash, tuple(deal_by or ()))
+    seen = _with_neighbours(stacked, keys, late, tuple(deal_by or ()))
     rows = F.collect_list(F.struct(F.col(BATCH), *cols(schema.names)))
     grouped = seen.groupBy(*cols(keys)).agg(rows.alias("_tm_rows"))
     by_batch = F.array_sort("_tm_rows", lambda a, b: a[BATCH] - b[BATCH])
@@ -285,7 +283,7 @@ def scd2_fold(
     deletes: str | Sequence[str] = "full",
     touch_modified: bool = False,
     on_duplicate: str = "error",
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Type-2 interval table after all batches.
@@ -299,10 +297,10 @@ def scd2_fold(
         {START: F.col(ARCHIVED), END: moment(OPEN_END), CURRENT: F.lit(True)}
     )
     current = None if target is None else target.where(F.col(CURRENT))
-    stacked, schema = _stack(current, rows, F.lit(0), late_hash, deal_by)
+    stacked, schema = _stack(current, rows, F.lit(0), late, deal_by)
     stacked = _with_removal(stacked, batches, batch_log, keys, deletes)
     keys = [*(deal_by or ()), *keys]
-    seen = _with_neighbours(stacked, keys, late_hash, tuple(deal_by or ()))
+    seen = _with_neighbours(stacked, keys, late, tuple(deal_by or ()))
     starts = _changed() | _removed()
     is_last = F.col(_NEXT_BATCH).isNull()
     # What a row says about the version before it: a start ends it, or the deletion before the
@@ -343,7 +341,7 @@ def fact_fold(
     deletes: str | Sequence[str] = "full",
     resurrect: bool = True,
     on_duplicate: str = "error",
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """FACT table after all batches: last version per key, stamped if a later batch dropped it.
@@ -358,10 +356,10 @@ def fact_fold(
     if target is not None and DELETED not in target.columns:
         target = target.withColumn(DELETED, none)
     entry = F.when(F.col(DELETED).isNull(), F.lit(0)).otherwise(F.lit(-1))
-    stacked, schema = _stack(target, rows, entry, late_hash, deal_by)
+    stacked, schema = _stack(target, rows, entry, late, deal_by)
     stacked = _with_removal(stacked, batches, batch_log, keys, deletes)
     keys = [*(deal_by or ()), *keys]
-    seen = _with_neighbours(stacked, keys, late_hash, tuple(deal_by or ()))
+    seen = _with_neighbours(stacked, keys, late, tuple(deal_by or ()))
     # A key returns after a deletion in the backlog, or from a row already stamped in the table.
     returns = _removed()
     if resurrect:
@@ -401,7 +399,7 @@ def append_fold(
     keys: Sequence[str],
     null_safe: bool = True,
     on_duplicate: str = "error",
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Versions to append to an append-only history after all batches.
 
@@ -419,14 +417,14 @@ def append_fold(
     if target is not None:
         hashes = F.collect_set(HASH).alias(_HASHES)
         newest = current_versions(target, keys).groupBy(*cols(keys)).agg(hashes)
-    stacked, schema = _stack(newest, rows, F.lit(0), late_hash)
+    stacked, schema = _stack(newest, rows, F.lit(0), late)
     if newest is None:
-        seen = _with_neighbours(stacked, keys, late_hash).where((F.col(BATCH) > 0) & _changed())
+        seen = _with_neighbours(stacked, keys, late).where((F.col(BATCH) > 0) & _changed())
         return seen.select(*cols(schema.names))
     order = _by_key(keys)
     held = F.first(_HASHES).over(order.rowsBetween(Window.unboundedPreceding, 0))
     outside = F.col(_HELD).isNull() | ~F.array_contains(_HELD, F.col(HASH))
-    seen = _with_neighbours(stacked, keys, late_hash).withColumn(_HELD, held)
+    seen = _with_neighbours(stacked, keys, late).withColumn(_HELD, held)
     seen = seen.withColumn(_OUTSIDE, (F.col(BATCH) > 0) & outside)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     left = F.coalesce(F.max(_OUTSIDE).over(before), F.lit(False))

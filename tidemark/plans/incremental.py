@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
-from tidemark.functions.hashing import row_hash, with_primary_key, with_row_hash
+from tidemark.functions.hashing import primary_key, row_hash, with_primary_key, with_row_hash
 from tidemark.names import (
     ARCHIVE_LOG,
     ARCHIVED,
@@ -20,7 +20,9 @@ from tidemark.names import (
     CARRIED,
     EXPORT_LOG,
     FILE_PATH,
+    HASH,
     MODIFIED,
+    PRIMARY_KEY,
     PROCESS_LOG,
     STAGING_NAME,
     TECHNICAL,
@@ -164,12 +166,12 @@ def shape_extract(df: DataFrame, spec: TableSpec) -> DataFrame:
     return with_primary_key(df, spec.keys) if spec.with_primary_key else df
 
 
-def _late_hash(
+def _late_hashes(
     scans: Sequence[DataFrame], spec: TableSpec, target: DataFrame | None, batches: DataFrame
-) -> Column | None:
-    """The row hash over columns of ``batches``, if that is the one their files gave them.
+) -> dict[str, Column]:
+    """Row hash and surrogate key over columns of ``batches``, if their files gave them the same ones.
 
-    It is where all files have one schema, no hashed column has a technical name, which the lineage
+    That is where all files have one schema, no hashed column has a technical name, which the lineage
     would replace, and the table has none of them in a wider type.
     """
     contents = [_content(df, spec) for df in scans]
@@ -177,11 +179,14 @@ def _late_hash(
     hashed = [c for c in content.columns if c != readers.SOURCE_PATH]
     types = [[(f.name, f.dataType) for f in df.schema] for df in contents]
     if any(t != types[0] for t in types) or {*TECHNICAL, BATCH, CARRIED} & set(hashed):
-        return None
+        return {}
     schema = batches.schema if target is None else merged_schema(target.schema, batches.schema)
     if any(schema[c].dataType != content.schema[c].dataType for c in hashed):
-        return None
-    return row_hash(content, hashed, spec.hash_mode, spec.null_token)
+        return {}
+    late = {HASH: row_hash(content, hashed, spec.hash_mode, spec.null_token)}
+    if spec.with_primary_key and set(spec.keys) <= set(hashed):
+        late[PRIMARY_KEY] = primary_key(content, spec.keys)
+    return late
 
 
 def _read(spark: SparkSession, spec: TableSpec, paths: Sequence[str]) -> list[DataFrame]:
@@ -229,11 +234,11 @@ def _folded(
     target,
     batches: DataFrame,
     batch_log: DataFrame,
-    late_hash: Column | None,
+    late: Mapping[str, Column],
     deal_by: Mapping[str, Column] | None,
 ) -> DataFrame:
     policy = spec.on_duplicate
-    how = {"late_hash": late_hash, "deal_by": deal_by}
+    how = {"late": late, "deal_by": deal_by}
     if spec.kind == "scd1":
         if spec.update_filter:
             return fold.scd1_filtered_fold(target, batches, spec.keys, spec.update_filter, policy, **how)
@@ -327,7 +332,7 @@ def apply_chunk(
     batches = load_batches(raw, spec, frame, len(chunk), now)
     target, touched = _held(spec, store, batches)
     held_bytes = 0 if target is None else estimated_bytes(target)
-    late_hash = _late_hash(raw, spec, target, batches)
+    late = _late_hashes(raw, spec, target, batches)
     scanned_bytes = held_bytes + sum(map(estimated_bytes, raw))
     with shuffles_for(spark, scanned_bytes):
         dealt = False
@@ -337,7 +342,7 @@ def apply_chunk(
                 batches.drop(MODIFIED),
                 spec.keys,
                 on_duplicate=spec.on_duplicate,
-                late_hash=late_hash,
+                late=late,
             )
             mode = "append"
         else:
@@ -345,7 +350,7 @@ def apply_chunk(
             groups = -(-scanned_bytes // _GROUP_BYTES)
             deal_by = store.layout.dealing(groups) if _dealable(spec) else None
             result, mode, dealt = _merged(
-                spark, spec, target, batches, frame, chunk, now, prunable, late_hash, deal_by
+                spark, spec, target, batches, frame, chunk, now, prunable, late, deal_by
             )
             if store.layout.columns() and store.fits_layout():
                 mode = "buckets"
@@ -390,7 +395,7 @@ def _merged(
     chunk: Sequence[Row],
     now: Moment,
     prunable: bool,
-    late_hash: Column | None = None,
+    late: Mapping[str, Column] | None = None,
     deal_by: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, str, bool]:
     """The new rows of the table, or of the partitions the batches touch, and which of the two.
@@ -409,7 +414,7 @@ def _merged(
         wide = widened(target, merged_schema(target.schema, batches.schema))
         target, untouched = split_by_reach(wide, batches, spec.keys, scope)
     try:
-        result, dealt = _folded(spec, target, batches, batch_log, late_hash, deal_by), deal_by is not None
+        result, dealt = _folded(spec, target, batches, batch_log, late, deal_by), deal_by is not None
     except fold.NeedsReplay:
         result, dealt = replayed(spark, spec, target, chunk, now), False
     if untouched is not None:
