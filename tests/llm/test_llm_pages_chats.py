@@ -259,6 +259,41 @@ def check_long_conversations(spark):
     assert [r["rewritten"] for r in few] == [False] + [True] * 5 and [r["start"] for r in few] == [0] + [None] * 5
 
 
+def looking_back(name):
+    """Templates that count turns and add up texts, ask for roles that alternate, or carry a count."""
+
+    def numbered(turns):
+        return "".join(f"{k} of {sum(len(t) for _, t in turns[:k])} {r}: {t}\n" for k, (r, t) in enumerate(turns))
+
+    def alternating(turns):
+        assert all(r == ("assistant" if k % 2 else "user") for k, (r, _) in enumerate(turns))
+        return "<s>" + "".join(f"[{r}] {t}" for r, t in turns)
+
+    counted = chat.Resumable(0, lambda n, turn: n + 1, lambda n, turn: f"{n} {turn[0]}: {turn[1]}\n", lambda n: "")
+    return {"numbered": numbered, "alternating": alternating, "counted": counted}[name]
+
+
+@pytest.mark.parametrize("name", ["numbered", "alternating", "counted"])
+def test_every_prefix_begins_with_the_first_turn(spark, name):
+    template = looking_back(name)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        sizes = {1: 1, 2: 40, 3: 2, 4: 3, 5: 7}
+        said = {c: [("assistant" if k % 2 else "user", f"text {k}") for k in range(n)] for c, n in sizes.items()}
+        df = spark.createDataFrame([(c, k, *t) for c, own in said.items() for k, t in enumerate(own)], "conv_id long, turn long, role string, text string")
+        found = chat.with_offsets(chat.format_turns(df, template)).orderBy("part", "place").collect()
+    finally:
+        spark.conf.set(merge, before)
+    assert len({r["part"] for r in found if r["conv_id"] == 2}) > 1
+    for conv_id, turns in said.items():
+        own = [r for r in found if r["conv_id"] == conv_id]
+        assert "".join(r["formatted"] for r in own) == template(turns)
+        places = [(r["start"] + r["text_start"], r["start"] + r["text_end"]) for r in own]
+        assert places == [s[2:] for s in chat.render(turns, template).spans]
+
+
 # Registered queries and the pipeline
 
 
