@@ -15,7 +15,8 @@ from oracle import connect, difference
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import fill_middle, minhash_forest, spill_align
+from tidemark.llm import crowds, fill_middle, minhash_forest, spill_align
+from tidemark.llm.components import components
 from tidemark.llm.queries import ORACLES, QUERIES
 
 CLASHES = "node label tree path region a b n run radix pairs records piece place form content task section bits".split()
@@ -310,3 +311,44 @@ def test_forest_finds_nine_in_ten_pairs_at_the_threshold(spark):
     df = spark.createDataFrame(texts, "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in minhash_forest.near_duplicates(df).collect()}
     assert [found[2 * k + 1] == 2 * k for k in range(300)] == [bool(k % 2) for k in range(300)]
+
+
+# Crowds: groups too large for all pairs
+
+
+def near_crowd(seed, n, groups):
+    """Sets around a few centres with a border at the threshold, some of them with edits in common."""
+    rng = random.Random(seed)
+    base = [rng.getrandbits(64) for _ in range(150)]
+    variants = [base[: 150 - 12 * g] + [rng.getrandbits(64) for _ in range(12 * g)] for g in range(groups)]
+    sets = []
+    for _ in range(n):
+        own = list(rng.choice(variants))
+        for at in rng.sample(range(len(own)), rng.randrange(0, 30)):
+            own[at] = rng.getrandbits(64)
+        sets.append(own[: rng.randrange(len(own) - 8, len(own) + 1)])
+    return [np.unique(np.array(s, np.uint64)) for s in sets]
+
+
+@pytest.mark.parametrize("groups", [1, 4])
+def test_crowds_lose_no_link(spark, groups):
+    sets = near_crowd(3 + groups, 260, groups)
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if crowds.alike(x, sets[j], 80):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    want = {k: find(k) for k in range(len(sets))}
+    assert 5 < len(set(want.values())) < 200
+    full = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "node long, full binary")
+    rows = spark.createDataFrame([(7, k, k, len(s)) for k, s in enumerate(sets)], "group long, node long, label long, n long")
+    for few in (0, 50, 10**6):
+        found = components(crowds.links_in_groups(rows, full, 80, limit=0, few=few), "a", "b").collect()
+        got = {k: k for k in want} | {r["node"]: r["root"] for r in found}
+        assert got == want

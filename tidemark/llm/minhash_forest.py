@@ -14,14 +14,14 @@ partitions like anything else. Each node meets the one before it, the one with t
 beginning; what is alike becomes one component.
 
 *Regions.* After that the regions of all trees are looked at for pairs across components. Where they are at
-most ``FEW``, or ``LIMIT`` for each node, all of them are compared, the nodes outside of the largest component with
-all others: first by ``BITS`` bits of each minhash, where more differ than six standard deviations above the
-mean of barely alike sets, the sets are not looked at. A region with more pairs goes one level deeper,
-until its parts can be done (``DEPTHS``); at the deepest level all of them are compared. So a crowd of copies of one text costs a neighbour for each
-member, and a stranger in it is still compared with all of them.
+most ``FEW``, or ``LIMIT`` for each node, all of them are compared: first by marks of sets up to ``SMALL``
+shingles, which bound what they share, and ``BITS`` bits of each minhash of others; where more of these differ than
+six standard deviations above the mean of barely alike sets, the sets are not looked at. A region with more pairs is a crowd, compared by its members' differences from one of them (``crowds``),
+which loses no pair and does not grow by the square: a crowd of copies of one text costs a link for each member, and
+documents just outside of it meet only those with which they share differences.
 
 A pair of likeness s shares a region of depth d in one of the trees with probability
-``1 - (1 - s^d)^trees``: at 0.8 and 32 trees 1 - 1e-10 at depth 3, 0.997 at depth 8.
+``1 - (1 - s^d)^trees``: at 0.8 and 32 trees 1 - 1e-10 at depth 3.
 """
 
 from __future__ import annotations
@@ -38,16 +38,15 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from tidemark.llm.components import components
+from tidemark.llm.crowds import LIMIT, confirmed, links_in_groups, marks, most_common
 from tidemark.llm.text import arrow_schema, in_small_batches, map_slices, with_text, words
 from tidemark.session import written
 
 HASHES = 128
 TREES = 32
-DEPTHS = (3, 4, 5, 6, 8, 10, 13, 16)
-DEPTH, DEEPEST = DEPTHS[0], DEPTHS[-1]
-LIMIT = 4
-FEW = 512
+DEPTH, DEEPEST = 3, 16
 SORTED = 16
+SMALL = 512
 BITS = 4
 SHINGLE = 2
 PERCENT = 80
@@ -76,11 +75,6 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def _least_size(percent: int) -> int:
     """Sets smaller than this are linked to equal ones only: one shingle more or less is too much."""
     return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
@@ -110,7 +104,7 @@ _NODES = "doc_id long, text_id binary, n_shingles long, node binary, signature b
 
 
 def nodes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The node of every row: a digest of its set (null: no shingle), its size and minhashes."""
+    """The node of every row: a digest of its set (null: no shingle), its size, minhashes and marks or few bits."""
     least = _least_size(percent)
     names = arrow_schema(_NODES).names
 
@@ -122,7 +116,8 @@ def nodes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Da
             minhashes = bits = None
             if len(found) >= least:
                 own = signature(found)
-                minhashes, bits = own.astype(">u4").tobytes(), few_bits(own)
+                minhashes = own.astype(">u4").tobytes()
+                bits = few_bits(own) if len(found) > SMALL else marks(found).tolist()
             text_id = hashlib.blake2b(text.encode(), digest_size=16).digest()
             out.append((doc_id, text_id, len(found), node, minhashes, bits))
         yield dict(zip(names, zip(*out, strict=True), strict=True))
@@ -209,29 +204,6 @@ def _full_sets(docs: DataFrame, table: DataFrame, trees: DataFrame, shingle: int
     return written(map_slices(found.select("node", "text"), sets, "node binary, full binary").dropDuplicates(["node"]), "forest-sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are alike, as a table."""
-    pairs = written(pairs, "forest-pairs")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("full").alias("full_a")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("full").alias("full_b")), "b")
-    schema = arrow_schema("a binary, b binary")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                columns = [c.to_pylist() for c in batch.slice(at, 256).columns]
-                good = [
-                    (a, b)
-                    for a, b, x, y in zip(*columns, strict=True)
-                    if alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                ]
-                if good:
-                    columns = zip(*good, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], schema=schema)
-
-    return written(in_small_batches(both.select("a", "b", "full_a", "full_b")).mapInArrow(run, "a binary, b binary"), "forest-links")
-
-
 # --- components ---------------------------------------------------------------------------------------
 
 
@@ -240,38 +212,16 @@ def _labels(found: DataFrame) -> DataFrame:
     return written(components(found, "a", "b").withColumnRenamed("root", "label"), "forest-labels")
 
 
-def _region_pairs(trees: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
-    """All pairs across components of all regions, as deep as their number asks for."""
+def _region_links(trees: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, limit: int) -> DataFrame:
+    """Links across components in all regions."""
     label = F.coalesce("label", "node").alias("label")
-    rows = trees.join(labels, "node", "left").select("tree", "path", "node", "n", "bits", label)
-    most = most_bits_apart(percent)
-    found = None
-    for depth in DEPTHS:
-        keyed = rows.withColumn("region", F.xxhash64("tree", _beginning(depth)))
-        own = keyed.groupBy("region", "label").agg(F.count("*").alias("n_own"))
-        sizes = own.groupBy("region").agg(
-            F.sum("n_own").alias("n_all"),
-            F.sum(F.col("n_own").cast("double") * F.col("n_own")).alias("squares"),
-            F.max_by("label", "n_own").alias("main"),
-        )
-        across = (F.col("n_all").cast("double") * F.col("n_all") - F.col("squares")) / 2
-        mixed = sizes.withColumn("across", across).where("across > 0").select("region", "n_all", "across", "main")
-        mixed = written(mixed, "forest-mixed")
-        now = F.lit(True) if depth == DEEPEST else F.col("across") <= F.greatest(limit * F.col("n_all"), F.lit(FEW))
-        held = keyed.join(mixed, "region")
-        doing = held.where(now)
-        left = doing.select("region", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("bits").alias("bits_x"), F.col("label").alias("label_x"))
-        right = doing.where("label != main").select("region", "node", "n", "bits", "label")
-        near = (100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")) & (_bits_apart("bits", "bits_x") <= most)
-        pairs = left.join(right, "region").where((F.col("label") != F.col("label_x")) & near)
-        pairs = pairs.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-        # A table for each depth: the plan of what is compared stays small.
-        pairs = written(pairs.distinct(), "forest-compared")
-        found = pairs if found is None else found.unionByName(pairs)
-        if depth == DEEPEST or mixed.where(~now).isEmpty():
-            break
-        rows = written(held.where(~now).select("tree", "path", "node", "n", "bits", "label"), "forest-deeper")
-    return found.distinct()
+    region = F.xxhash64("tree", _beginning(DEPTH)).alias("group")
+    groups = trees.join(labels, "node", "left").select(region, "node", label, "n", "bits")
+    both_small, both_large = F.greatest("n", "n_x") <= SMALL, F.least("n", "n_x") > SMALL
+    enough = (100 + percent) * most_common("n", "bits") >= percent * (F.col("n") + F.col("n_x"))
+    few_apart = _bits_apart("bits", "bits_x") <= most_bits_apart(percent)
+    near = F.when(both_small, enough).when(both_large, few_apart).otherwise(True)
+    return links_in_groups(groups, sets, percent, near, ["bits"], limit)
 
 
 def links(docs: DataFrame, table: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, limit: int = LIMIT) -> DataFrame:
@@ -281,8 +231,7 @@ def links(docs: DataFrame, table: DataFrame, shingle: int = SHINGLE, percent: in
     near = neighbours(trees.where(F.col("tree") < SORTED), percent)
     found = confirmed(near.select("a", "b").distinct(), sets, percent)
     labels = _labels(found)
-    rest = _region_pairs(trees, labels, percent, limit)
-    return found.unionByName(confirmed(rest, sets, percent))
+    return found.unionByName(_region_links(trees, sets, labels, percent, limit))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, limit: int = LIMIT) -> DataFrame:
