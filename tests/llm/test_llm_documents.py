@@ -575,6 +575,18 @@ def test_a_crowd_of_near_copies(spark):
     assert sum(got[d] != want[d] for d in texts) <= 7
 
 
+def test_a_block_without_its_neighbours_is_compared_whole(spark, monkeypatch):
+    """What neighbours do not find, all pairs of the blocks do."""
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(simhash, "_neighbours", lambda keyed: none)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5_000)}" for _ in range(120)]
+    texts = {k: altered(rng, base, rng.randint(0, 4)) for k in range(150)} | {k: f"other text number {k} " * 9 for k in range(150, 170)}
+    got = dict(simhash.similar_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect())
+    want = likeness_components(texts)
+    assert sum(got[d] != want[d] for d in texts) <= 2
+
+
 def test_odd_rows_and_similar_documents(odd, empty):
     got = rows(simhash.similar_documents(odd))
     ids = [r[0] for r in got]

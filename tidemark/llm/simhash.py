@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_digest
 
 from tidemark.llm.components import components
+from tidemark.llm.crowds import confirmed, links_in_groups, marks, most_common
 from tidemark.llm.text import arrow_schema, map_slices, with_text, words
 from tidemark.session import written
 
@@ -129,8 +130,10 @@ SIMILAR_PERCENT = 80
 # Whole fingerprints of such a pair differ in about 10 of 64 bits; 18 are three deviations more.
 SIMILAR_BITS = 18
 SLICES = 32
-# A document is compared with so many before it under a key, in the order of fingerprints.
+# A document is first compared with so many before it under a key, in the order of fingerprints.
 NEIGHBOURS = 4
+# Sets up to this size are compared by marks before their shingles are.
+SMALL = 512
 
 
 def _shingle_set(text: str) -> np.ndarray:
@@ -185,7 +188,7 @@ def slice_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sliced(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, copy, fp, keys`` of every row; equal shingle sets have one ``copy``."""
+    """``doc_id, text_key, copy, fp, n, marks, keys`` of every row; equal shingle sets have one ``copy``."""
 
     def run(columns: dict[str, list]):
         sets = [_shingle_set(t) for t in columns["text"]]
@@ -195,11 +198,13 @@ def _sliced(docs: DataFrame) -> DataFrame:
             "text_key": columns["text_key"],
             "copy": [xxh3_128_digest(h.tobytes()) for h in sets],
             "fp": whole,
+            "n": [len(h) for h in sets],
+            "marks": [marks(h) for h in sets],
             "keys": [slice_keys(h).view(np.int64) for h in sets],
         }
 
     rows = with_text(docs, ["doc_id", F.xxhash64("text").alias("text_key")])
-    return map_slices(rows, run, "doc_id long, text_key long, copy binary, fp long, keys array<long>")
+    return map_slices(rows, run, "doc_id long, text_key long, copy binary, fp long, n long, marks array<long>, keys array<long>")
 
 
 def _neighbours(keyed: DataFrame) -> DataFrame:
@@ -230,41 +235,48 @@ def _neighbours(keyed: DataFrame) -> DataFrame:
     return ranged.mapInArrow(run, "a long, b long").distinct()
 
 
+def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, full``: the shingle sets of these nodes, each made from one of its texts."""
+    texts = with_text(docs, [F.xxhash64("text").alias("text_key")]).join(nodes, "text_key")
+
+    def run(columns: dict[str, list]):
+        yield {"node": columns["node"], "full": [_shingle_set(t).tobytes() for t in columns["text"]]}
+
+    # Rows with equal texts give equal sets: one of them is read.
+    once = texts.groupBy("node").agg(F.first("text").alias("text"))
+    return written(map_slices(once, run, "node long, full binary"), "simhash-sets")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, component_id`` of every row: near copies at a Jaccard likeness of 0.8.
 
     Shingles are five words. The bits of one SimHash are too few to tell 0.8 from less, so the
     fingerprint is a wide one: a document's shingles are dealt by hash into slices of a few, and each
     slice has a SimHash of its own. The slices are its blocks: near documents share one (of pairs at
-    0.8, 98 in 100 or more), documents that share a block are compared with their neighbours by
-    SimHash, whole fingerprints have to lie within 18 bits, and what is left is confirmed on the full
-    sets. Equal sets are one node from the start. ``component_id`` is the smallest ``doc_id`` of those
-    linked; rows without a ``doc_id`` take part but name none. Texts without words (null ones too)
-    are copies of each other. Repeated rows stay; an empty table gives an empty result.
+    0.8, 98 in 100 or more). Documents that share a block are compared with their neighbours by
+    SimHash first, those whose whole fingerprints lie within 18 bits; then all of a block's pairs that
+    this has not brought together are (``crowds``: exactly, not by the square of a block). Links are
+    confirmed on the full sets. Equal sets are one node from the start. ``component_id`` is the smallest
+    ``doc_id`` of those linked; rows without a ``doc_id`` take part but name none. Texts without words (null
+    ones too) are copies of each other. Repeated rows stay; an empty table gives an empty result.
     """
     table = written(_sliced(docs), "simhash-sliced")
-    grouped = table.groupBy("copy").agg(
-        F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("fp").alias("fp"), F.min("keys").alias("keys")
-    )
+    least = [F.min(c).alias(c) for c in ("text_key", "fp", "n", "marks", "keys")]
+    grouped = table.groupBy("copy").agg(F.min("doc_id").alias("first_id"), *least)
     nodes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "simhash-nodes")
-    pairs = written(_neighbours(nodes.select(F.explode("keys").alias("key"), "fp", "node")), "simhash-pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(ends, "node").select("text_key", "node")
-    texts = with_text(docs, [F.xxhash64("text").alias("text_key")]).join(wanted, "text_key")
-
-    def run(columns: dict[str, list]):
-        sets = [_shingle_set(t).view(np.int64) for t in columns["text"]]
-        yield {"node": columns["node"], "shingles": sets}
-
-    # Rows with equal texts give equal sets: one of them is read.
-    once = texts.groupBy("node").agg(F.first("text").alias("text"))
-    sets = written(map_slices(once, run, "node long, shingles array<long>"), "simhash-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    links = both.where(100 * common >= SIMILAR_PERCENT * union).select("a", "b")
-    rooted = nodes.join(components(links, "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = nodes.select(F.explode("keys").alias("key"), "fp", "node")
+    company = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most")
+    held = written(keyed.join(company.select("key"), "key", "left_semi"), "simhash-held")
+    sets = _full_sets(docs, nodes.select("text_key", "node").join(held.select("node").distinct(), "node", "left_semi"))
+    near = confirmed(_neighbours(held), sets, SIMILAR_PERCENT)
+    labels = written(components(near, "a", "b").withColumnRenamed("root", "label"), "simhash-labels")
+    label = F.coalesce("label", "node").alias("label")
+    groups = held.select("key", "node").join(nodes.select("node", "n", "marks"), "node").join(labels, "node", "left")
+    groups = groups.select(F.col("key").alias("group"), "node", label, "n", "marks")
+    enough = (100 + SIMILAR_PERCENT) * most_common("n") >= SIMILAR_PERCENT * (F.col("n") + F.col("n_x"))
+    small = F.greatest("n", "n_x") <= SMALL
+    across = links_in_groups(groups, sets, SIMILAR_PERCENT, ~small | enough, ["marks"])
+    rooted = nodes.join(components(near.unionByName(across), "a", "b"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.select("copy", "root").join(least, "root").select("copy", "component_id")
     return table.select("doc_id", "copy").join(named, "copy").select("doc_id", "component_id")
