@@ -17,7 +17,7 @@ beginning; what is alike becomes one component.
 most ``FEW``, or ``LIMIT`` for each node, all of them are compared: first by marks of sets up to ``SMALL``
 shingles, which bound what they share, and ``BITS`` bits of each minhash of others; where more of these differ than
 six standard deviations above the mean of barely alike sets, the sets are not looked at. A region with more pairs is a crowd, compared by its members' differences from one of them (``crowds``),
-which loses no pair and does not grow by the square: a crowd of copies of one text costs a link for each member, and
+which loses no pair and compares far fewer: a crowd of copies of one text costs a link for each member, and
 documents just outside of it meet only those with which they share differences.
 
 A pair of likeness s shares a region of depth d in one of the trees with probability
