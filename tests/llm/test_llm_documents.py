@@ -24,6 +24,7 @@ from xxhash import xxh64_intdigest
 
 from tidemark.llm import byte_bpe, fingerprints, line_dedup, packing, quality, secret_scan, simhash, token_count
 from tidemark.llm.components import components
+from tidemark.llm.text import map_slices
 
 CLASHES = "fp text_ h1 h2 line first near dropped doc_key dropped_key curve ids part role kept good n_words root".split()
 
@@ -694,3 +695,19 @@ def test_keep_good_keeps_columns(odd, docs):
     assert quality.keep_good(odd, None).columns == odd.columns
     kept = {r["doc_id"] for r in quality.keep_good(docs, None).collect()}
     assert kept == {r["doc_id"] for r in quality.judge(docs, None).where("kept").collect()}
+
+
+def test_workers_forget_what_other_stages_made_them_remember(spark):
+    """A worker that has tokenised or judged holds neither tokenizer nor words when other rows come."""
+    rows = [(k, f"some words of document number{k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+
+    def remembered(columns):
+        held = packing.word_bpe.cache_info().currsize + quality._word_hash.cache_info().currsize
+        yield {"held": [held] * len(columns["text"])}
+
+    for work in (packing.tokenised(df), quality.judge(df, quality.Model(np.zeros(2**quality.BITS + 1)))):
+        before = work.collect()
+        assert len(before) == len(rows)
+        held = map_slices(df.select("text"), remembered, "held long").collect()
+        assert {r["held"] for r in held} == {0}

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import models
 
-from tidemark.llm.text import Recent, map_slices, sha256_hex, with_text
+from tidemark.llm.text import Recent, map_slices, remembered_by, sha256_hex, with_text
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 # Marks that often end a word.
@@ -158,6 +158,9 @@ def bpe(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+remembered_by(__name__, bpe.cache_clear)
+
+
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, starts, ends`` of every row: token ids and the code points that each touches.
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import arrow_schema, in_small_batches
+from tidemark.llm.text import arrow_schema, at_work, in_small_batches
 from tidemark.session import written
 
 LIMIT = 16
@@ -56,6 +56,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(alike.__module__)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 columns = [c.to_pylist() for c in batch.slice(at, _ROWS).columns]
@@ -124,6 +125,7 @@ def _deltas(held: DataFrame, sets: DataFrame, percent: int, crowd: Column) -> Da
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(alike.__module__)
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 *columns, full, centre = (c.to_pylist() for c in batch.slice(at, _ROWS).columns)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.byte_bpe import byte_characters
-from tidemark.llm.text import Recent, arrow_schema, in_small_batches, map_slices, with_text
+from tidemark.llm.text import Recent, arrow_schema, at_work, in_small_batches, map_slices, remembered_by, with_text
 from tidemark.session import written
 
 VOCABULARY = "word_bpe_49k.json"
@@ -100,6 +100,9 @@ def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+remembered_by(__name__, word_bpe.cache_clear)
+
+
 @lru_cache(maxsize=1)
 def _directions() -> np.ndarray:
     """For each id one random bit for each dimension, in a lane of 16 bits of one number."""
@@ -226,6 +229,7 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Data
     schema = arrow_schema(_PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(WordBpe.__module__)
         packer = _Packer(length, TaskContext.get().partitionId() << 40)
 
         def batch_of(pieces: list[tuple]) -> pa.RecordBatch:

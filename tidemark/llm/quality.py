@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.text import in_small_batches, map_slices, with_text, words
+from tidemark.llm.text import at_work, in_small_batches, map_slices, remembered_by, with_text, words
 
 BITS = 16
 # Fixed threshold on the calibrated probability that a document is good.
@@ -103,6 +103,7 @@ def features(text: str, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 _word_hash = lru_cache(maxsize=150_000)(xxh64_intdigest)
+remembered_by(__name__, _word_hash.cache_clear)
 
 
 @dataclass
@@ -243,6 +244,7 @@ def keep_good(docs: DataFrame, model: Model | None, min_good: float = MIN_GOOD)
     kept = docs.schema
 
     def run(batches):
+        at_work(Model.__module__)
         fitted = weights.value
         for batch in batches:
             verdicts = []

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.text import in_small_batches, map_slices, sha256_hex, with_text
+from tidemark.llm.text import at_work, in_small_batches, map_slices, sha256_hex, with_text
 
 KINDS = ("assign", "access", "hex")
 _RANK = {kind: k for k, kind in enumerate(KINDS)}
@@ -334,6 +334,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
+        at_work(redact.__module__)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             texts = [None if t is None else redact(t) for t in batch.column(at).to_pylist()]

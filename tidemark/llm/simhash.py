@@ -27,7 +27,7 @@ from xxhash import xxh3_128_digest, xxh64_digest
 
 from tidemark.llm.components import components
 from tidemark.llm.crowds import confirmed, links_in_groups, marks, most_common
-from tidemark.llm.text import arrow_schema, map_slices, with_text, words
+from tidemark.llm.text import arrow_schema, at_work, map_slices, with_text, words
 from tidemark.session import written
 
 SEED = 42
@@ -218,6 +218,7 @@ def _neighbours(keyed: DataFrame) -> DataFrame:
     schema = arrow_schema("a long, b long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(fingerprint.__module__)
         key, first, last = None, None, deque(maxlen=NEIGHBOURS)
         for batch in batches:
             found = set()

@@ -19,7 +19,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tidemark.llm.text import Recent, map_slices, with_text
+from tidemark.llm.text import Recent, map_slices, remembered_by, with_text
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -84,6 +84,9 @@ def counter(path: str) -> UnigramCounter:
     return UnigramCounter(read_vocabulary(path))
 
 
+remembered_by(__name__, counter.cache_clear)
+
+
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, n_chars, n_tokens`` of every row, whole texts, in one pass without a shuffle.
 
