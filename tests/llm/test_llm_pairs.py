@@ -352,3 +352,35 @@ def test_crowds_lose_no_link(spark, groups):
         found = components(crowds.links_in_groups(rows, full, 80, limit=0, few=few), "a", "b").collect()
         got = {k: k for k in want} | {r["node"]: r["root"] for r in found}
         assert got == want
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "1g"])
+def test_texts_of_full_sets_are_shuffled_once(spark, broadcast, monkeypatch):
+    """Whether Spark broadcasts or not, texts are shuffled by their digest alone, and sets are not."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join(words), " ".join([*words, "more"]), "nothing else"]
+    df = spark.createDataFrame([*enumerate(texts), (2, texts[2])], "doc_id long, text string")
+    seen = {}
+
+    def written(frame, label):
+        seen[label] = frame
+        return frame
+
+    table = minhash_forest.nodes(df).cache()
+    monkeypatch.setattr(minhash_forest, "written", written)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        trees = table.where("signature is not null").select("node")
+        sets = minhash_forest._full_sets(df, table, trees, minhash_forest.SHINGLE)
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        found = {bytes(r["node"]): bytes(r["full"]) for r in sets.collect()}
+        assert sets.count() == len(found) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = {minhash_forest.shingle_set(t).tobytes() for t in texts[:3]}
+    assert set(found.values()) == want
+    # Above the join with the nodes that are wanted there is no shuffle; below it one for the texts.
+    above, below = plan.split("Join", 1)
+    assert "Exchange" not in above
+    assert "text_id" in below and "Exchange hashpartitioning(text_id" in below

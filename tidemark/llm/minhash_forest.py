@@ -194,14 +194,16 @@ def _full_sets(docs: DataFrame, table: DataFrame, trees: DataFrame, shingle: int
         ids = [hashlib.blake2b(t.encode(), digest_size=16).digest() for t in columns["text"]]
         yield {"text_id": ids, "text": columns["text"]}
 
-    marked = map_slices(texts, run, "text_id binary, text string")
+    # Copies of a text become one before they meet; the join on the same key shuffles no text again, and its
+    # rows are one for each node. So as much is shuffled for each text whatever Spark broadcasts.
+    marked = map_slices(texts, run, "text_id binary, text string").groupBy("text_id").agg(F.first("text").alias("text"))
     found = marked.join(chosen, "text_id")
 
     def sets(columns: dict[str, list]):
         full = [shingle_set(t, shingle).tobytes() for t in columns["text"]]
         yield {"node": columns["node"], "full": full}
 
-    return written(map_slices(found.select("node", "text"), sets, "node binary, full binary").dropDuplicates(["node"]), "forest-sets")
+    return written(map_slices(found.select("node", "text"), sets, "node binary, full binary"), "forest-sets")
 
 
 # --- components ---------------------------------------------------------------------------------------
