@@ -652,6 +652,33 @@ def test_word_ids_equal_the_library(text):
     assert packing.word_bpe(public_tokenizers.path(packing.VOCABULARY)).encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_of_many_texts_are_found_together(monkeypatch):
+    """New words of letters are merged together, each distinct word is looked up once, ids equal the library's."""
+    rng = random.Random(8)
+    letters = "aabcdeeeghinorsttué中ß"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(6_000)]
+    words += [w + rng.choice([".", ",!!", "$$$", "'s", "_", "1", "’", "'re."]) for w in words[:1_500]]
+    spaces = [" ", "  ", "\n", "\t\r", "\u00a0", "\u2003", "\x85", "\x1c", "\u3000"]
+    texts = ["".join(w + rng.choice(spaces) for w in rng.choices(words, k=200)) for _ in range(150)]
+    texts += ["", " ", "\x1f", "Σ" + words[0] + "Σ", "e\u0301a", "x" * 70]
+    path = public_tokenizers.path(packing.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    asked = Counter()
+    by_word = packing.WordBpe._word_ids
+    monkeypatch.setattr(packing.WordBpe, "_word_ids", lambda self, w: asked.update([w]) or by_word(self, w))
+    for limit in (250_000, 100):
+        tokenizer = packing.WordBpe(path)
+        tokenizer.words.limit = limit
+        asked.clear()
+        assert [i.tolist() for i in tokenizer.encode_all(texts[:-1])] == want[:-1]
+        # The library merges none of the words of letters.
+        assert not any(w.isalpha() for w in asked)
+        assert [i.tolist() for i in tokenizer.encode_all(texts)] == want
+        assert tokenizer.encode_all([]) == []
+
+
 # 9: quality
 
 

@@ -15,9 +15,11 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark import TaskContext
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.byte_bpe import byte_characters
+from tidemark.llm.merges import LONGEST, Merges
 from tidemark.llm.text import Recent, arrow_schema, at_work, in_small_batches, map_slices, remembered_by, with_text
 from tidemark.session import written
 
@@ -41,10 +44,12 @@ BITS = 12
 # Capital sigma, and blocks with letters that are newer than Python's tables.
 _BY_LIBRARY = re.compile("[Σ\u1c89\ua7cb-\ua7dc\U00010d50-\U00010d65\U00016ea0-\U00016eb8]")
 
-# White space to ``str.split`` but not to the pattern.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+# White space to the pattern that is not ASCII.
+_SPACES = regex.compile(r"[\s--\x00-\x7f]", regex.VERSION1)
 # Marks that often end a word, each a piece of its own behind letters.
 _MARKS = frozenset(".,;:!?")
+# So many new words are merged together; fewer are left to the library.
+MANY = 2_000
 
 
 class WordBpe:
@@ -52,7 +57,8 @@ class WordBpe:
 
     No piece crosses white space, so what stands between is looked up; what is new is cut into letters,
     digits and marks as the vocabulary's pattern does (by the library, unless it is plain), and new
-    pieces are merged by the library. Texts are normalised whole (lower case, composed form): by Python
+    pieces are merged by the library; where many texts bring many new words of letters, these are merged
+    together (``merges``), as the library would. Texts are normalised whole (lower case, composed form): by Python
     where both agree, which is for composed texts without a capital sigma, whose lower case depends on
     its place; else by the library.
     """
@@ -65,6 +71,7 @@ class WordBpe:
         self.pattern = regex.compile(PATTERN)
         self.characters = {b: c for b, c in enumerate(byte_characters()) if chr(b) != c}
         self.words = Recent(self._word_ids)
+        self.merges = Merges(path)
 
     def normalised(self, text: str) -> str:
         if text.isascii() or (not _BY_LIBRARY.search(text) and unicodedata.is_normalized("NFC", text)):
@@ -87,11 +94,59 @@ class WordBpe:
             cut = [piece for piece, _ in self.cutter.pre_tokenize_str(word)]
         return b"".join(map(self._merged, cut))
 
+    def _spaced(self, text: str) -> str:
+        """The normalised text, its words apart by ASCII white space."""
+        text = self.normalised(text)
+        return text if text.isascii() or not _SPACES.search(text) else " ".join(regex.split(r"\s+", text))
+
+    def _known(self, word: str) -> bytes | None:
+        ids = self.words.get(word)
+        return self.words.older.get(word) if ids is None else ids
+
+    def _learned(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of those of these words that are of letters, with or without marks behind, if there are many."""
+        marked = [(w, stem) for w in new if not w.isalpha() and (stem := w.rstrip(punctuation)).isalpha()]
+        stems = {stem: self._known(stem) for _, stem in marked}
+        wanted = dict.fromkeys(filter(str.isalpha, new)) | {w: None for w, ids in stems.items() if ids is None}
+        pieces = "\n".join(wanted).encode().split(b"\n")
+        if len(pieces) < MANY or max(map(len, pieces)) > LONGEST or not self.merges.usable:
+            return {}
+        ids, counts = self.merges.merged(pieces)
+        data, ends = ids.astype("<u2").tobytes(), (2 * np.cumsum(counts)).tolist()
+        found = {w: data[i:k] for w, i, k in zip(wanted, [0, *ends], ends, strict=False)}
+        # Marks behind letters are one piece.
+        stems |= {w: found[w] for w in stems.keys() & found}
+        return found | {w: stems[stem] + self.words[w[len(stem) :]] for w, stem in marked}
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.words.get, words))
+        older = self.words.older.get
+        found = [older(w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        learned = self._learned(new).get
+        made = {w: self._word_ids(w) if (ids := learned(w)) is None else ids for w in new}
+        found = [made[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        self.words.put_all(dict(zip(words, found, strict=True)))
+        return found
+
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 16-bit numbers, without special tokens."""
-        text = self.normalised(text)
-        split = regex.split(r"\s+", text) if any(c in text for c in _SEPARATORS) else text.split()
-        return np.frombuffer(b"".join(map(self.words.__getitem__, split)), "<u2")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. A word that occurs often is looked up once."""
+        cut = pc.ascii_split_whitespace(pa.array([self._spaced(t) for t in texts], pa.large_string()))
+        words = cut.flatten().dictionary_encode()
+        found = self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(found), "<u2")
+        lengths = np.array([len(f) // 2 for f in found], np.int64)
+        starts, which = np.cumsum(lengths) - lengths, words.indices.to_numpy(zero_copy_only=False)
+        n = lengths[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = ids[np.repeat(starts[which] - ends[:-1], n) + np.arange(ends[-1])]
+        bounds = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        return [ids[i:k] for i, k in zip(bounds, bounds[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +214,7 @@ def tokenised(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(columns: dict[str, list]):
         tokenizer = word_bpe(path or public_tokenizers.path(VOCABULARY))
-        ids = [tokenizer.encode(t) for t in columns["text"]]
+        ids = tokenizer.encode_all(columns["text"])
         keys = hilbert_key(np.stack([coordinates(i) for i in ids]))
         end = np.array([END], np.uint16).tobytes()
         yield {"doc_id": columns["doc_id"], "curve": keys, "ids": [i.tobytes() + end for i in ids]}
