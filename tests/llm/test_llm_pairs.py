@@ -191,6 +191,28 @@ def test_groups_spell_the_text(docs):
             assert b"".join(table[i] for i in ids).decode() == (" " + texts[r["doc_id"]] if ids else "")
 
 
+def test_plain_words_are_merged_without_the_library(monkeypatch):
+    """Words of letters, with or without marks behind, have the ids that the library gives them."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("aabcdeeeghinorsttuÉ中ß", k=rng.randint(1, 12))) for _ in range(4_000)]
+    words += [w + rng.choice([".", ",!!", "$$$", "'s", "_", "1", "’", "<|endoftext|>"]) for w in words[:1_500]]
+    words = [" " + w for w in dict.fromkeys(words)] + ["\nline", " ", " \tx", " " + "y" * 90, " ''", " 's"]
+    paths = spill_align._paths(None, None)
+    found = spill_align.Words(*paths)
+    library = Tokenizer.from_file(paths[0])
+    library.encode_special_tokens = True
+    want = {w: e.ids for w, e in zip(words, library.encode_batch(words, add_special_tokens=False), strict=True)}
+    plain = found._plain(words)
+    assert len(plain) > 4_000 and all(want[w] == ids for w, ids in plain.items())
+    # As texts they have the groups that the library's ids alone lead to.
+    texts = [w[1:] for w in words if w[0] == " "]
+    got = [g for _, g in spill_align._aligned(found, texts)]
+    alone = spill_align.Words(*paths)
+    alone.merges = None
+    assert got == [g for _, g in spill_align._aligned(alone, texts)]
+    assert found.stats.tolist() == alone.stats.tolist()
+
+
 # 12: fill-in-the-middle
 
 

@@ -34,6 +34,8 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 import public_tokenizers
@@ -46,6 +48,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.byte_bpe import byte_characters
+from tidemark.llm.merges import LONGEST, Merges
 from tidemark.llm.text import arrow_schema, in_small_batches, map_slices, sha256_hex, slices, with_text
 from tidemark.session import written
 
@@ -66,6 +69,18 @@ _WORD = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 
 
 _NO_LINKS = np.empty(0, np.uint64)
+# So many plain words are merged together; fewer are left to the library.
+MANY = 2_000
+
+
+def _lies_plain(path: str) -> bool:
+    """Does A cut a space and letters, and the marks behind them, as GPT-2 does, and change no text?"""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    cutter = whole.get("pre_tokenizer") or {}
+    alone = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    specials = all(t["special"] for t in whole.get("added_tokens", ()))
+    return bool(alone and specials and whole.get("normalizer") is None)
 
 
 class Words:
@@ -75,6 +90,8 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        merges = Merges(path_a)
+        self.merges = merges if merges.usable and _lies_plain(path_a) else None
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = {c: b for b, c in enumerate(byte_characters())}
         vocabulary = self.a.get_vocab(with_added_tokens=False)
@@ -98,7 +115,7 @@ class Words:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.chars = 0
-        self.stats: list[tuple[int, int, int, int]] = []
+        self.stats = np.empty((0, 4), np.int64)
         self.groups: list[str | None] = []
         self.links: list[np.ndarray] = []
 
@@ -115,31 +132,53 @@ class Words:
         if self.chars > REMEMBERED_CHARS:
             self.clear()
 
+    def _plain(self, words: list[str]) -> dict[str, list[int]]:
+        """A's ids of those words that are a space and letters, with or without marks behind, if there are many."""
+        stems = {w: stem for w in words if w[0] == " " and (stem := w.rstrip(punctuation))[1:].isalpha() and len(w) <= LONGEST // 4}
+        if self.merges is None or len(stems) < MANY:
+            return {}
+        # Letters are one piece, marks behind them another.
+        pieces = [x.encode() for w, stem in stems.items() for x in (stem, w[len(stem) :]) if x]
+        ids, counts = self.merges.merged(pieces)
+        n_pieces = np.array([1 + (len(w) > len(stem)) for w, stem in stems.items()])
+        ends = np.cumsum(counts)[np.cumsum(n_pieces) - 1].tolist()
+        ids = ids.tolist()
+        return {w: ids[i:k] for w, i, k in zip(stems, [0, *ends], ends, strict=False)}
+
+    def _spelt(self, words: list[bytes], all_ids: list[list[int]], spelling: list[bytes], lengths: np.ndarray) -> np.ndarray:
+        """Whether the tokens of each word spell it."""
+        flat = list(chain.from_iterable(all_ids))
+        n_bytes = np.concatenate([[0], np.cumsum(lengths[flat])]).astype(np.int64)
+        ends = n_bytes[np.cumsum([len(ids) for ids in all_ids])]
+        if (ends == np.cumsum([len(w) for w in words])).all() and b"".join(map(spelling.__getitem__, flat)) == b"".join(words):
+            return np.ones(len(words), bool)
+        return np.array([b"".join(map(spelling.__getitem__, ids)) == w for w, ids in zip(words, all_ids, strict=True)])
+
     def _align(self, missing: list[str]) -> None:
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        all_a = [e.ids for e in encode(missing, add_special_tokens=False)]
+        plain = self._plain(missing)
+        others = [w for w in missing if w not in plain]
+        plain.update(zip(others, (e.ids for e in encode(others, add_special_tokens=False)), strict=True))
+        all_a = [plain[w] for w in missing]
         # B puts a space in front itself; before a line feed it is a token of its own, which goes.
         all_b = self.b.encode([w[1:] if w[0] == " " else w for w in missing], num_threads=1)
         # Of no text it makes no token, so a last space stands for itself.
         all_b = [self.space_b if w == " " else ids if w[0] == " " else ids[1:] for w, ids in zip(missing, all_b, strict=True)]
         base = len(self.stats)
         data = [w.encode() for w in missing]
-        good = [
-            k
-            for k, (word, ids_a, ids_b) in enumerate(zip(data, all_a, all_b, strict=True))
-            if b"".join(map(self.bytes_a.__getitem__, ids_a)) == word == b"".join(map(self.bytes_b.__getitem__, ids_b))
-        ]
+        spelt = self._spelt(data, all_a, self.bytes_a, self.lengths_a) & self._spelt(data, all_b, self.bytes_b, self.lengths_b)
+        good = np.flatnonzero(spelt).tolist()
         n = len(missing)
         self.number.update(zip(missing, range(base, base + n), strict=True))
         self.chars += sum(map(len, missing))
-        self.stats += [(0, 0, 0, 0)] * n
+        self.stats = np.concatenate([self.stats, np.zeros((n, 4), np.int64)])
         self.groups += [None] * n
         self.links += [_NO_LINKS] * n
         if good:
             self._align_good([all_a[k] for k in good], [all_b[k] for k in good], [base + k for k in good])
 
     def _align_good(self, all_a: list[list[int]], all_b: list[list[int]], numbers: list[int]) -> None:
-        flat_a, flat_b = (np.array([i for ids in side for i in ids], np.int64) for side in (all_a, all_b))
+        flat_a, flat_b = (np.array(list(chain.from_iterable(side)), np.int64) for side in (all_a, all_b))
         word_a, word_b = (np.repeat(np.arange(len(side)), [len(ids) for ids in side]) for side in (all_a, all_b))
         ends_a, ends_b = np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])
         # One link for each stretch between neighbouring ends: the tokens that cover it.
@@ -166,12 +205,12 @@ class Words:
         ends_at = np.cumsum(n_a + n_b).tolist()
         starts = [0, *ends_at[:-1]]
         links_at = np.cumsum(n_links).tolist()
-        stats = list(zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), strict=True))
+        self.stats[numbers] = np.stack([n_a, n_b, n_groups, n_links], axis=1)
+        links_from = [0, *links_at[:-1]]
         for k, number in enumerate(numbers):
-            self.stats[number] = stats[k]
             self.groups[number] = "".join(symbols[starts[k] : ends_at[k]])
             # A copy: the batch's array must not live as long as one of its words.
-            self.links[number] = link[links_at[k] - stats[k][3] : links_at[k]].copy()
+            self.links[number] = link[links_from[k] : links_at[k]].copy()
 
     def drop_long(self) -> None:
         for word in [w for w in self.number if len(w) > LONG_WORD]:
@@ -317,10 +356,14 @@ class _Run:
         self.words, self.rows, self.numbers, self.chars = words, [], [], 0
 
     def add(self, doc_ids: list, texts: list[str]) -> None:
-        for doc_id, (numbers, groups) in zip(doc_ids, _aligned(self.words, texts), strict=True):
-            sums = [sum(s) for s in zip(*map(self.words.stats.__getitem__, numbers), strict=True)] or [0] * 4
-            self.rows.append((doc_id, *sums, sha256_hex(groups.encode()) if groups else ""))
-            self.numbers.append(np.array(numbers, np.int64))
+        aligned = list(_aligned(self.words, texts))
+        held = [np.array(numbers, np.int64) for numbers, _ in aligned]
+        stats = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self.words.stats[np.concatenate(held)], axis=0)])
+        ends = np.cumsum([len(numbers) for numbers in held])
+        sums = np.diff(stats[ends], axis=0, prepend=0).tolist()
+        for doc_id, (_, groups), of_doc in zip(doc_ids, aligned, sums, strict=True):
+            self.rows.append((doc_id, *of_doc, sha256_hex(groups.encode()) if groups else ""))
+        self.numbers += held
         self.chars += sum(map(len, texts))
 
     def records(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
