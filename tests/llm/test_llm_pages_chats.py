@@ -294,6 +294,17 @@ def test_every_prefix_begins_with_the_first_turn(spark, name):
         assert places == [s[2:] for s in chat.render(turns, template).spans]
 
 
+def test_the_query_renders_and_compares_whole_prefixes(spark, monkeypatch):
+    used, whole = [], chat.format_turns
+    monkeypatch.setattr(chat, "format_turns", lambda rows, template=chat.marked_turns: used.append(template) or whole(rows, template))
+    QUERIES["op10_chat"](spark, SF_DIR)
+    prefixes, turns = chat.Prefixes(used[0]), [("user", "a"), ("assistant", "### User: <turn b"), ("user", "")]
+    for k, turn in enumerate(turns, 1):
+        prefixes.add(turn)
+        # What the next rendering is compared with.
+        assert prefixes.tail == chat.marked_turns(turns[:k]) != ""
+
+
 # Registered queries and the pipeline
 
 
