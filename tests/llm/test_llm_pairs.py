@@ -376,6 +376,30 @@ def test_crowds_lose_no_link(spark, groups):
         assert got == want
 
 
+def test_crowds_are_compared_in_tiles_not_by_rows(spark, monkeypatch):
+    """As all pairs, over many small tiles; no table has a row for each pair or difference."""
+    sets, n_rows = near_crowd(11, 300, 4), {}
+    root = {k: k for k in range(len(sets))}
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and crowds.alike(x, sets[j], 80):
+                root = {k: min(root[i], root[j]) if r in (root[i], root[j]) else r for k, r in root.items()}
+    whole = crowds.written
+
+    def written(frame, label):
+        made = whole(frame, label)
+        n_rows[label] = n_rows.get(label, 0) + made.count()
+        return made
+
+    monkeypatch.setattr(crowds, "written", written)
+    monkeypatch.setattr(crowds, "TILE_ROWS", 40, raising=False)
+    full = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "node long, full binary")
+    rows = spark.createDataFrame([(7, k, k, len(s)) for k, s in enumerate(sets)], "group long, node long, label long, n long")
+    found = components(crowds.links_in_groups(rows, full, 80, limit=0, few=0), "a", "b").collect()
+    assert {k: k for k in root} | {r["node"]: r["root"] for r in found} == root
+    assert sum(n_rows.values()) < 10 * len(sets), n_rows
+
+
 @pytest.mark.parametrize("broadcast", ["-1", "1g"])
 def test_texts_of_full_sets_are_shuffled_once(spark, broadcast, monkeypatch):
     """Whether Spark broadcasts or not, texts are shuffled by their digest alone, and sets are not."""

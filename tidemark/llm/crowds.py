@@ -1,4 +1,4 @@
-"""Alike sets in groups of any size: every pair of a group that could be alike, not the square of the group.
+"""Alike sets in groups of any size: every pair of a group that could be alike, without a row for each.
 
 Sets are alike at ``percent`` (100 x intersection >= percent x union). A group holds nodes that may be, each
 with the label of the component it is known to be in; only pairs across labels are of interest. Where
@@ -9,22 +9,22 @@ empty set), and each member is reduced to its difference from the centre: ``remo
 ``weight = 100 removed + percent added`` and ``slack = (100 - percent) x size of the centre``, a member is
 alike to the centre if its weight is at most the slack (it is near), and two members are alike exactly if
 ``(100 + percent) x common >= weight + weight - slack``, ``common`` being what their differences share. So near
-members are linked to the centre, not to each other, and any other link needs shared differences: at least
-``weight / (100 + percent)`` of a near member's, ``(weight - slack) / 100`` of another's. Of ``d``
-differences with ``k`` needed, one of the ``d - k + 1`` rarest is shared (the prefix filter). Members that
-share such a one are the next groups, and those may have crowds of their own; behind ``LEVELS`` of them
-all pairs are compared. Each difference sets one of 512 marks: marks that only one of two members has bound
-what they can have in common from above. No pair is lost at any level.
+members are linked to the centre, not to each other, and all other pairs, those with a member that is not near,
+are compared in tiles: members are dealt by size and hash, pairs of tiles over tasks, and a task compares the
+members of two tiles as matrices of marks. Each difference sets one of 512 marks: marks that only one of two
+members has bound what they can have in common from above. What passes does so with 4,096 marks and is then
+compared exactly, unless found links connect it already. No pair is lost. Pairs of members that are not near still
+grow with the square of a crowd, but each costs a few words of arithmetic, not a row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import arrow_schema, at_work, in_small_batches
@@ -32,10 +32,14 @@ from tidemark.session import written
 
 LIMIT = 16
 FEW = 4096
-LEVELS = 2
 MARKS = 512
+FINE_MARKS = 4096
 SALTS = 16
+# Members of a tile, and differences that they have in all, on average at most.
+TILE_ROWS = 4096
+TILE_ELEMENTS = 1 << 20
 _ROWS = 256
+_CELLS = 1 << 20
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -89,10 +93,6 @@ def most_common(size: str = "size", own: str = "marks") -> Column:
     return F.least(F.col(size) - _lacking(own, f"{own}_x"), F.col(f"{size}_x") - _lacking(f"{own}_x", own))
 
 
-def _may_be_alike(percent: int) -> Column:
-    return (100 + percent) * most_common() >= F.col("weight") + F.col("weight_x") - F.col("slack")
-
-
 def difference(own: np.ndarray, centre: np.ndarray, percent: int) -> tuple:
     """``size, weight, slack, needed, marks, delta`` of a set against the centre's."""
     delta = np.setxor1d(own, centre, assume_unique=True)
@@ -139,24 +139,149 @@ def _deltas(held: DataFrame, sets: DataFrame, percent: int, crowd: Column) -> Da
     return written(in_small_batches(both.select(*names, "full", "full_c")).mapInArrow(run, ddl), "crowd-deltas")
 
 
-_WEIGHED = ["size", "weight", "slack", "marks"]
+def _tiled(deltas: DataFrame, percent: int) -> DataFrame:
+    """Members of crowds with one that is not near, once for each pair of tiles to compare.
 
-
-def _by_rare_differences(deltas: DataFrame) -> DataFrame:
-    """Members by each of their rarest differences that another member of the crowd has too."""
+    ``side`` is 0 in a tile that is compared with itself, else 1 or 2. Sets of a size class are alike only to
+    those of the same class or the next one.
+    """
     far = F.col("weight") > F.col("slack")
-    crowds = deltas.where(far).select("crowd").distinct()
-    usable = deltas.where("needed <= size").join(crowds, "crowd", "left_semi")
-    each = usable.select("crowd", "node", (F.col("size") - F.col("needed") + 1).alias("take"), "size", F.explode("delta").alias("element"))
-    times = F.count("*").over(Window.partitionBy("crowd", "element"))
-    shared = each.withColumn("times", times).where("times > 1")
-    # Those that nobody shares are the rarest.
-    of_node = Window.partitionBy("crowd", "node")
-    place = F.row_number().over(of_node.orderBy("times", "element")) + F.col("size") - F.count("*").over(of_node)
-    chosen = shared.withColumn("place", place).where("place <= take").select("crowd", "node", "element")
-    label = F.when(far, F.col("label")).otherwise(F.col("centre_label")).alias("label")
-    own = usable.select("crowd", "node", label, "n", *_WEIGHED)
-    return chosen.join(own, ["crowd", "node"]).select(F.xxhash64("crowd", "element").alias("group"), "node", "label", "n", *_WEIGHED)
+    # A little wider than the ratio of sizes, so rounding moves no set by two classes.
+    width = math.log(100 / min(percent, 99)) * 1.001
+    inside = F.coalesce(F.col("label") == F.col("centre_label"), F.lit(False))
+    usable = deltas.where("needed <= size").withColumns({"far": far, "inside": inside, "class": F.floor(F.log("n") / F.lit(width))})
+    tiles = F.ceil(F.greatest(F.count("*") / TILE_ROWS, F.sum("size") / TILE_ELEMENTS)).cast("long")
+    classes = usable.groupBy("crowd", "class").agg(tiles.alias("tiles"), F.max(F.expr("far and not inside")).alias("outside"))
+    classes = written(classes, "crowd-classes")
+    other = classes.select(
+        "crowd",
+        F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1)).alias("class"),
+        F.struct(F.col("class"), F.col("tiles"), F.col("outside")).alias("other"),
+    )
+    met = classes.join(other, ["crowd", "class"]).where("outside or other.outside").select("crowd", "class", "tiles", "other")
+    held = usable.join(met, ["crowd", "class"])
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    held = held.withColumn("tile", tile).withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other.tiles") - 1)))
+    one, two = F.struct(F.col("class"), F.col("tile")), F.struct(F.col("other.class"), F.col("met").alias("tile"))
+    pair = F.xxhash64("crowd", F.least(one, two), F.greatest(one, two)).alias("pair")
+    side = F.when(one == two, 0).when(one < two, 1).otherwise(2).alias("side")
+    # A near member is in the component of the centre; another one of it has only others to meet.
+    label = F.when(F.col("far"), F.col("label")).otherwise(F.col("centre_label")).alias("label")
+    return held.select(pair, side, "node", label, "n", "size", "weight", "slack", "far", "inside", "marks", "delta")
+
+
+class _Members:
+    """Members of a tile as arrays."""
+
+    def __init__(self, rows: pa.Table, codes: dict):
+        self.node = rows.column("node").to_pylist()
+        self.code = np.array([codes.setdefault(x, len(codes)) for x in rows.column("label").to_pylist()], np.int64)
+        self.n, self.size, self.weight, self.slack = (rows.column(c).to_numpy() for c in ("n", "size", "weight", "slack"))
+        self.far, self.inside = (np.array(rows.column(c).to_pylist(), bool) for c in ("far", "inside"))
+        self.marks = rows.column("marks").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, MARKS // 64)
+        # What a member has more than marks: no mark tells whether another has it too.
+        self.unmarked = self.size - np.bitwise_count(self.marks).sum(axis=1, dtype=np.int64)
+        delta = rows.column("delta").combine_chunks()
+        self.elements, ends = delta.flatten().to_numpy().view(np.uint64), np.cumsum(self.size)
+        self.begin, self.end = ends - self.size, ends
+        bits = np.zeros((len(self.node), FINE_MARKS), bool)
+        bits[np.repeat(np.arange(len(self.node)), self.size), (self.elements % np.uint64(FINE_MARKS)).astype(np.int64)] = True
+        self.fine_marks = np.packbits(bits, axis=1).view(np.uint64)
+        self.unmarked_finely = self.size - bits.sum(axis=1)
+
+    def delta(self, k: int) -> np.ndarray:
+        return self.elements[self.begin[k] : self.end[k]]
+
+
+def _may_be_alike(a: _Members, i: np.ndarray, b: _Members, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which members ``i`` of a and ``j`` of b marks and sizes let be alike."""
+    marks = np.ascontiguousarray(b.marks[j].T)
+    common = np.zeros((len(i), len(j)), np.uint16)
+    for k in range(MARKS // 64):
+        common += np.bitwise_count(a.marks[i, k][:, None] & marks[k])
+    most = common + np.minimum(a.unmarked[i][:, None], b.unmarked[j])
+    near = (100 + percent) * most >= (a.weight[i] - a.slack[i])[:, None] + b.weight[j]
+    small, large = np.minimum(a.n[i][:, None], b.n[j]), np.maximum(a.n[i][:, None], b.n[j])
+    return near & (100 * small >= percent * large)
+
+
+def _links_of_tiles(rows: pa.Table, percent: int) -> list[tuple]:
+    """Links ``a, b`` that connect the members of one or two tiles as all alike pairs with one not near do."""
+    codes: dict = {}
+    side = rows.column("side").to_numpy()
+    if side.max() == 0:
+        a = b = _Members(rows, codes)
+    else:
+        a, b = (_Members(rows.filter(pa.array(side == k)), codes) for k in (1, 2))
+    # The component of each label, as far as links are found.
+    root = np.arange(len(codes))
+    found = []
+
+    def connect(x: int, others: np.ndarray) -> None:
+        own, needed = a.delta(x), a.weight[x] - a.slack[x] + b.weight
+        common = np.bitwise_count(a.fine_marks[x] & b.fine_marks[others]).sum(axis=1, dtype=np.int64)
+        most = common + np.minimum(a.unmarked_finely[x], b.unmarked_finely[others])
+        others = others[(100 + percent) * most >= needed[others]]
+        while len(others := others[root[b.code[others]] != root[a.code[x]]]):
+            for k, y in enumerate(others.tolist()):
+                common = len(np.intersect1d(own, b.delta(y), assume_unique=True))
+                if (100 + percent) * common >= needed[y]:
+                    found.append((min(a.node[x], b.node[y]), max(a.node[x], b.node[y])))
+                    root[root == root[b.code[y]]] = root[a.code[x]]
+                    break
+            others = others[k + 1 :]
+
+    def compare(i: np.ndarray, j: np.ndarray) -> None:
+        step = max(1, _CELLS // max(1, len(j)))
+        for own in (i[at : at + step] for at in range(0, len(i), step)):
+            near = _may_be_alike(a, own, b, j, percent)
+            near &= root[a.code[own]][:, None] != root[b.code[j]]
+            for k in np.flatnonzero(near.any(axis=1)):
+                connect(own[k], j[near[k]])
+
+    (far_a, near_a), (far_b, near_b) = ((np.flatnonzero(m.far), np.flatnonzero(~m.far)) for m in (a, b))
+    compare(far_a[~a.inside[far_a]], near_b)
+    if a is b:
+        for at in range(0, len(far_a), _ROWS):
+            compare(far_a[at : at + _ROWS], far_a[at:])
+    else:
+        compare(far_a, far_b)
+        compare(near_a, far_b[~b.inside[far_b]])
+    return found
+
+
+def _links_in_tiles(deltas: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` of crowds but for those to their centres, as a table."""
+    tiled = _tiled(deltas, percent)
+    ddl = ", ".join(f"{c} {_kind(tiled, 'node')}" for c in "ab")
+    schema = arrow_schema(ddl)
+
+    def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held, last = [], None
+        for batch in batches:
+            pair = batch.column(0).to_numpy()
+            starts = [0, *(np.flatnonzero(np.diff(pair)) + 1).tolist(), len(pair)]
+            for start, end in zip(starts, starts[1:], strict=False):
+                if start == end:
+                    continue
+                if held and pair[start] != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(start, end - start))
+                last = pair[start]
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work(alike.__module__)
+        for rows in tile_pairs(batches):
+            good = _links_of_tiles(rows, percent)
+            if good:
+                columns = zip(*good, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    streamed = tiled.repartition("pair").sortWithinPartitions("pair")
+    return written(in_small_batches(streamed).mapInArrow(run, ddl), "crowd-tiles")
 
 
 def _all_across(doing: DataFrame, percent: int, near: Column, compared: Sequence[str]) -> DataFrame:
@@ -183,31 +308,24 @@ def links_in_groups(
     ``groups`` are ``group, node, label, n`` (``n``: size of the set, ``label``: a node of the component)
     and columns ``compared`` that ``near`` needs to leave out pairs of small groups; ``sets`` are ``node, full``.
     """
-    rows, weighed = groups, list(compared)
     near = F.lit(True) if near is None else near
-    pairs, links = [], []
-    for level in range(LEVELS + 1):
-        own = rows.groupBy("group", "label").agg(F.count("*").alias("n_own"))
-        sizes = own.groupBy("group").agg(
-            F.sum("n_own").alias("n_all"),
-            F.sum(F.col("n_own").cast("double") * F.col("n_own")).alias("squares"),
-            F.max_by("label", F.struct("n_own", "label")).alias("main"),
-        )
-        across = (F.col("n_all").cast("double") * F.col("n_all") - F.col("squares")) / 2
-        crowded = F.lit(level < LEVELS) & (across > F.greatest(limit * F.col("n_all"), F.lit(few)))
-        mixed = sizes.where(across > 0).select("group", "main", crowded.alias("crowded"))
-        mixed = written(mixed, "crowd-groups")
-        held = rows.join(mixed, "group")
-        # A table for each level: the plan of what is compared stays small.
-        pairs.append(written(_all_across(held.where("not crowded"), percent, near, weighed).distinct(), "crowd-compared"))
-        if mixed.where("crowded").isEmpty():
-            break
-        # The groups of one component are one crowd at first.
-        crowd = F.col("group") if level else F.xxhash64("main")
-        deltas = _deltas(held.where("crowded"), sets, percent, crowd)
-        joined = deltas.where((F.col("weight") <= F.col("slack")) & (F.col("label") != F.col("centre_label")))
-        links.append(joined.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
-        rows = written(_by_rare_differences(deltas), "crowd-rows")
-        weighed, near = _WEIGHED, _may_be_alike(percent)
-    found = confirmed(reduce(DataFrame.unionByName, pairs).distinct(), sets, percent)
-    return reduce(DataFrame.unionByName, links, found)
+    own = groups.groupBy("group", "label").agg(F.count("*").alias("n_own"))
+    sizes = own.groupBy("group").agg(
+        F.sum("n_own").alias("n_all"),
+        F.sum(F.col("n_own").cast("double") * F.col("n_own")).alias("squares"),
+        F.max_by("label", F.struct("n_own", "label")).alias("main"),
+    )
+    across = (F.col("n_all").cast("double") * F.col("n_all") - F.col("squares")) / 2
+    crowded = across > F.greatest(limit * F.col("n_all"), F.lit(few))
+    mixed = sizes.where(across > 0).select("group", "main", crowded.alias("crowded"))
+    mixed = written(mixed, "crowd-groups")
+    held = groups.join(mixed, "group")
+    pairs = written(_all_across(held.where("not crowded"), percent, near, compared).distinct(), "crowd-compared")
+    found = confirmed(pairs, sets, percent)
+    if mixed.where("crowded").isEmpty():
+        return found
+    # The groups of one component are one crowd.
+    deltas = _deltas(held.where("crowded"), sets, percent, F.xxhash64("main"))
+    joined = deltas.where((F.col("weight") <= F.col("slack")) & (F.col("label") != F.col("centre_label")))
+    joined = joined.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    return found.unionByName(joined).unionByName(_links_in_tiles(deltas, percent))

@@ -17,8 +17,8 @@ beginning; what is alike becomes one component.
 most ``FEW``, or ``LIMIT`` for each node, all of them are compared: first by marks of sets up to ``SMALL``
 shingles, which bound what they share, and ``BITS`` bits of each minhash of others; where more of these differ than
 six standard deviations above the mean of barely alike sets, the sets are not looked at. A region with more pairs is a crowd, compared by its members' differences from one of them (``crowds``),
-which loses no pair and compares far fewer: a crowd of copies of one text costs a link for each member, and
-documents just outside of it meet only those with which they share differences.
+which loses no pair: a crowd of copies of one text costs a link for each member, and documents just outside of
+it are compared in tiles, by arithmetic on marks and not by rows.
 
 A pair of likeness s shares a region of depth d in one of the trees with probability
 ``1 - (1 - s^d)^trees``: at 0.8 and 32 trees 1 - 1e-10 at depth 3.
@@ -143,7 +143,9 @@ def forest(table: DataFrame) -> DataFrame:
     every = table.where(F.col("signature").isNotNull())
     trees = every.select("node", F.col("n_shingles").alias("n"), "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     keyed = trees.withColumn("region", F.xxhash64("tree", F.substring(_path(F.col("tree")), 1, 4 * DEPTH)))
-    seen = keyed.groupBy("region").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    # Nodes by a hash of theirs: numbers are summed up without sorting.
+    own = F.xxhash64("node")
+    seen = keyed.groupBy("region").agg(F.min(own).alias("least"), F.max(own).alias("most"))
     shared = written(seen.where("least != most").select("region"), "forest-regions")
     held = keyed.select("node", "n", "tree", "region").join(shared, "region", "left_semi").drop("region")
     # Copies of a text are rows of one node: one of them stays, before paths are added.

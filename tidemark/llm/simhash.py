@@ -256,7 +256,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     slice has a SimHash of its own. The slices are its blocks: near documents share one (of pairs at
     0.8, 98 in 100 or more). Documents that share a block are compared with their neighbours by
     SimHash first, those whose whole fingerprints lie within 18 bits; then all of a block's pairs that
-    this has not brought together are (``crowds``: exactly, not by the square of a block). Links are
+    this has not brought together are (``crowds``: exactly, without a row for each pair). Links are
     confirmed on the full sets. Equal sets are one node from the start. ``component_id`` is the smallest
     ``doc_id`` of those linked; rows without a ``doc_id`` take part but name none. Texts without words (null
     ones too) are copies of each other. Repeated rows stay; an empty table gives an empty result.
